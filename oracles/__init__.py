@@ -85,3 +85,301 @@ for _name, _dim in {
     "metrics_by_complaint_category": "complaint_category",
 }.items():
     ORACLES[_name] = q(breakdown_sql(_dim))
+
+
+# ---------------------------------------------------------------------------
+# Sources, enrichment, filters
+# ---------------------------------------------------------------------------
+from .sqlkit import d, npround  # noqa: E402
+
+ORACLES["feed_validation"] = q("""
+SELECT level, code, message, n_rows FROM (
+  SELECT 'error' AS level, 'empty_feed' AS code, 'The feed contains no rows.' AS message,
+         n AS n_rows, n = 0 AS hit FROM s
+  UNION ALL SELECT 'error', 'dates_unparseable',
+         'The ''date'' column could not be parsed as dates.', bad_dates,
+         n > 0 AND bad_dates = n FROM s
+  UNION ALL SELECT 'warning', 'dates_partly_unparseable',
+         'Rows with an unparseable date are excluded from analysis.', bad_dates,
+         bad_dates > 0 AND bad_dates < n FROM s
+  UNION ALL SELECT 'error', 'delay_minutes_not_numeric',
+         'The ''delay_minutes'' column contains no numeric values.', delay_num,
+         n > 0 AND delay_num = 0 FROM s
+  UNION ALL SELECT 'error', 'customer_satisfaction_not_numeric',
+         'The ''customer_satisfaction'' column contains no numeric values.', sat_num,
+         n > 0 AND sat_num = 0 FROM s
+  UNION ALL SELECT 'warning', 'absent_optional_columns',
+         '14 optional column(s) are absent: timestamp, origin_region, destination_region, '
+         || 'journey_purpose, age_group, channel...', 14, TRUE
+) WHERE hit""", """
+s AS (
+  SELECT count(*) AS n,
+         count(*) FILTER (WHERE TRY_CAST(CAST(date AS VARCHAR) AS DATE) IS NULL) AS bad_dates,
+         count(TRY_CAST(CAST(delay_minutes AS VARCHAR) AS DOUBLE)) AS delay_num,
+         count(TRY_CAST(CAST(customer_satisfaction AS VARCHAR) AS DOUBLE)) AS sat_num
+  FROM journeys
+)""")
+
+
+def _bool_text(expr: str) -> str:
+    return (f"CASE WHEN {expr} IN ('true', 'True', 'TRUE', '1', 'yes') THEN TRUE "
+            f"WHEN {expr} IN ('false', 'False', 'FALSE', '0', 'no') THEN FALSE END")
+
+
+ORACLES["canonical_feed"] = q(f"""
+SELECT journey_id, customer_id, date, region, transport_mode, customer_segment,
+       delay_minutes, customer_satisfaction,
+       CAST(date AS TIMESTAMP) AS "timestamp",
+       CAST(NULL AS VARCHAR) AS origin_region, CAST(NULL AS VARCHAR) AS destination_region,
+       service_line, CAST(NULL AS VARCHAR) AS journey_purpose,
+       CAST(NULL AS VARCHAR) AS age_group, CAST(NULL AS VARCHAR) AS channel,
+       journey_duration_minutes,
+       coalesce(delay_minutes <= 5.0, FALSE) AS on_time,
+       complaint_flag, CAST(NULL AS VARCHAR) AS complaint_category,
+       CAST(NULL AS DOUBLE) AS resolution_time_hours, CAST(NULL AS BOOLEAN) AS repeat_customer,
+       service_disruption, CAST(NULL AS BOOLEAN) AS accessibility_service_used,
+       CAST(NULL AS VARCHAR) AS fare_type, CAST(NULL AS BOOLEAN) AS digital_interaction,
+       CAST(NULL AS VARCHAR) AS feedback_text_category
+FROM (
+  SELECT journey_id, customer_id, TRY_CAST(t_date AS DATE) AS date, region, transport_mode,
+         customer_segment,
+         TRY_CAST(t_delay AS DOUBLE) AS delay_minutes,
+         TRY_CAST(t_sat AS DOUBLE) AS customer_satisfaction,
+         service_line,
+         TRY_CAST(t_dur AS DOUBLE) AS journey_duration_minutes,
+         {_bool_text('t_cf')} AS complaint_flag,
+         {_bool_text('t_disr')} AS service_disruption
+  FROM (
+    SELECT journey_id, customer_id, CAST(date AS VARCHAR) AS t_date, region, transport_mode,
+           customer_segment, CAST(delay_minutes AS VARCHAR) AS t_delay,
+           CAST(customer_satisfaction AS VARCHAR) AS t_sat, service_line,
+           CAST(journey_duration_minutes AS VARCHAR) AS t_dur,
+           CAST(complaint_flag AS VARCHAR) AS t_cf,
+           CASE WHEN service_disruption THEN 'yes' WHEN NOT service_disruption THEN 'no' END
+               AS t_disr
+    FROM journeys))""")
+
+ORACLES["enriched_no_dims"] = q(f"SELECT {ALL_COLUMNS} FROM raw_j")
+
+ORACLES["source_manifest"] = q("""
+SELECT (SELECT count(*) FROM journeys) AS n_journeys,
+       (SELECT count(*) FROM an) AS analysable_rows,
+       (SELECT min(date) FROM an) AS start_date,
+       (SELECT max(date) FROM an) AS end_date""")
+
+_DIMS = """
+_cust AS (
+  SELECT 'C' || CAST(o.o_custkey AS VARCHAR) AS customer_id, nr.r_name AS home_region,
+         CAST(o.o_custkey % 10 AS DOUBLE) / CAST(10.0 AS DOUBLE) AS digital_affinity,
+         min(CAST(o.o_orderdate AS DATE)) AS first_seen_date
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN _nr nr ON c.c_nationkey = nr.n_nationkey
+  GROUP BY o.o_custkey, nr.r_name
+),
+_lines AS (
+  SELECT 'L' || CAST(code AS VARCHAR) AS service_line,
+         CAST(0.7 AS DOUBLE) + CAST(code % 10 AS DOUBLE) * CAST(0.05 AS DOUBLE)
+             AS reliability_index,
+         CAST(0.65 AS DOUBLE) + CAST(code % 14 AS DOUBLE) * CAST(0.05 AS DOUBLE)
+             AS capacity_index,
+         CAST(20.0 AS DOUBLE) + CAST(code % 20 AS DOUBLE) AS scheduled_duration_minutes
+  FROM range(48) t(code)
+)"""
+
+_J_COLS = ", ".join('j."timestamp"' if c == "timestamp" else f"j.{c}" for c in C.JOURNEY_COLUMNS)
+ORACLES["enriched_journeys"] = q(f"""
+SELECT {_J_COLS}, {", ".join(C.DERIVED_COLUMNS)},
+       c.home_region AS customer_home_region, c.digital_affinity,
+       c.first_seen_date AS customer_first_seen_date,
+       s.reliability_index AS line_reliability_index,
+       s.capacity_index AS line_capacity_index,
+       s.scheduled_duration_minutes AS line_scheduled_minutes
+FROM (SELECT j.*,{__import__('oracles.prefix', fromlist=['DERIVED']).DERIVED} FROM journeys j) j
+LEFT JOIN _cust c ON c.customer_id = j.customer_id
+LEFT JOIN _lines s ON s.service_line = j.service_line""", _DIMS)
+
+ORACLES["time_band_profile"] = q("""
+SELECT time_band, is_peak, is_weekend, count(*) AS journeys,
+       avg(delay_minutes) AS avg_delay_minutes
+FROM raw_j GROUP BY 1, 2, 3""")
+
+ORACLES["filtered_population"] = q(f"""
+SELECT journey_id, date, region, transport_mode, time_band, delay_minutes FROM an
+WHERE {WHERE_DEFAULT} AND region IN ('ASIA', 'EUROPE') AND transport_mode IN ('Bus', 'Metro')
+  AND time_band IN ('AM Peak', 'PM Peak', 'Off-Peak')""")
+
+ORACLES["dimension_values"] = q("\nUNION\n".join(
+    f"SELECT DISTINCT '{c}' AS dimension, {c} AS value FROM an WHERE {c} IS NOT NULL"
+    for c in C.GROUPING_COLUMNS))
+
+ORACLES["dataset_bounds"] = q(f"""
+SELECT coalesce(min(date), {d(C.AS_OF)}) AS first_date,
+       coalesce(max(date), {d(C.AS_OF)}) AS last_date FROM an""")
+
+ORACLES["row_counts"] = q("""
+SELECT (SELECT count(*) FROM raw_j) AS raw_rows, (SELECT count(*) FROM an) AS analysable_rows""")
+
+# ---------------------------------------------------------------------------
+# KPIs
+# ---------------------------------------------------------------------------
+ORACLES["kpi_all_metrics"] = q(f"SELECT {metrics(METRICS.keys())} FROM an WHERE {WHERE_DEFAULT}")
+
+_c, _b = compare_periods_sql(C.HEADLINE_KPIS)
+ORACLES["kpi_evidence"] = q(f"""
+SELECT metric, label, unit, {npround('current', 4)} AS current,
+       {npround('previous', 4)} AS previous,
+       {npround('absolute_change', 4)} AS absolute_change,
+       {npround('percent_change', 2)} AS percent_change, direction
+FROM ({_b})""", _c)
+
+ORACLES["population_summary"] = q(f"""
+SELECT count(*) AS journeys, count(DISTINCT customer_id) AS customers,
+       count(DISTINCT region) AS regions, count(DISTINCT transport_mode) AS modes,
+       count(DISTINCT service_line) AS service_lines, min(date) AS first_date,
+       max(date) AS last_date
+FROM an WHERE {WHERE_DEFAULT}""")
+
+
+def pop_sql(dimension: str, key: str, min_journeys: int) -> str:
+    return f"""
+SELECT dimension_value, current_value, previous_value, current_journeys, previous_journeys,
+       current_value - previous_value AS absolute_change,
+       CASE WHEN previous_value IS NULL OR previous_value = 0 THEN NULL
+            ELSE 100.0 * (current_value - previous_value) / abs(previous_value) END
+           AS percent_change
+FROM (
+  SELECT {dimension} AS dimension_value,
+         CAST({metric(key, CUR)} AS DOUBLE) AS current_value,
+         CAST({metric(key, PREV)} AS DOUBLE) AS previous_value,
+         count(*) FILTER (WHERE {CUR}) AS current_journeys,
+         count(*) FILTER (WHERE {PREV}) AS previous_journeys
+  FROM an WHERE {SCAN2} GROUP BY 1
+) WHERE dimension_value IS NOT NULL AND current_journeys >= {min_journeys}
+    AND previous_journeys >= {min_journeys}"""
+
+
+ORACLES["pop_by_region"] = q(pop_sql("region", "on_time_performance", 50))
+ORACLES["pop_by_segment"] = q(pop_sql("customer_segment", "avg_satisfaction", 100))
+
+
+def compare_segments_sql(a: str, b: str, keys=C.SEGMENT_COMPARE_METRICS) -> tuple[str, str]:
+    ca, cb = f"customer_segment = '{a}'", f"customer_segment = '{b}'"
+    ctes = f"""
+wide AS (
+  SELECT {metrics(keys, ca, '__a')}, {metrics(keys, cb, '__b')},
+         count(*) FILTER (WHERE {ca}) AS _na, count(*) FILTER (WHERE {cb}) AS _nb
+  FROM an WHERE {WHERE_DEFAULT} AND customer_segment IN ('{a}', '{b}')
+),
+long AS ({_stack(keys, {'value_a': '{k}__a', 'value_b': '{k}__b',
+                        'na': '_na', 'nb': '_nb'}, 'wide')})"""
+    body = f"""
+SELECT metric, position, label, unit, '{a}' AS segment_a, '{b}' AS segment_b,
+       CASE WHEN na > 0 THEN value_a END AS value_a,
+       CASE WHEN nb > 0 THEN value_b END AS value_b,
+       (CASE WHEN na > 0 THEN value_a END) - (CASE WHEN nb > 0 THEN value_b END) AS difference
+FROM long WHERE na + nb > 0"""
+    return ctes, body
+
+
+ORACLES["compare_segments"] = q(*reversed(compare_segments_sql(
+    "Frequent Commuters", "Occasional Travellers")))
+
+ORACLES["segment_share"] = q(f"""
+SELECT dimension_value, total_journeys,
+       total_journeys / sum(total_journeys) OVER () * 100.0 AS share_pct
+FROM ({breakdown_sql('customer_segment', ('total_journeys',))})""")
+
+# ---------------------------------------------------------------------------
+# Trends
+# ---------------------------------------------------------------------------
+for _grain, _col in C.GRAIN_COLUMNS.items():
+    ORACLES[f"time_series_{_grain}"] = q(f"""
+SELECT CAST({_col} AS DATE) AS period, {metrics(C.BREAKDOWN_METRICS)}
+FROM an WHERE {WHERE_DEFAULT} GROUP BY 1""")
+
+_DAILY = f"""
+daily AS (
+  SELECT CAST(date AS DATE) AS period, {metrics(C.BREAKDOWN_METRICS)}
+  FROM an WHERE {WHERE_DEFAULT} GROUP BY 1
+),
+cal AS (
+  SELECT CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 DAY)) AS DATE)
+      AS period FROM daily
+),
+filled AS (SELECT cal.period, daily.* EXCLUDE (period) FROM cal LEFT JOIN daily USING (period))"""
+ORACLES["calendar_filled_daily"] = q("SELECT * FROM filled", _DAILY)
+ORACLES["rolling_7d"] = q(f"""
+SELECT period, avg_delay_minutes, total_journeys,
+       {npround('CASE WHEN count(avg_delay_minutes) OVER w >= 2 '
+                'THEN avg(avg_delay_minutes) OVER w END', 6)} AS avg_delay_minutes_rolling
+FROM filled
+WINDOW w AS (ORDER BY period ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", _DAILY)
+
+ORACLES["series_by_dimension"] = q(f"""
+SELECT CAST(j.week_start AS DATE) AS period, j.service_line AS dimension_value,
+       {metric('avg_delay_minutes')} AS value, count(*) AS journeys
+FROM an j JOIN ranked r ON r.dimension_value = j.service_line
+WHERE {WHERE_DEFAULT}
+GROUP BY 1, 2""", f"""
+ranked AS (
+  SELECT service_line AS dimension_value, count(*) AS n FROM an WHERE {WHERE_DEFAULT}
+  GROUP BY 1 ORDER BY n DESC, dimension_value ASC NULLS LAST LIMIT 6
+)""")
+
+ORACLES["hourly_profile"] = q(f"""
+SELECT journey_hour AS hour, CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+       {metrics(C.HOURLY_METRICS)}
+FROM an WHERE {WHERE_DEFAULT} GROUP BY 1, 2""")
+
+_DAYS = "['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday']"
+ORACLES["weekday_profile"] = q(f"""
+SELECT day_of_week, {metrics(C.WEEKDAY_METRICS)},
+       {_DAYS}[day_of_week + 1] AS day_name, (day_of_week + 6) % 7 AS sort_order
+FROM an WHERE {WHERE_DEFAULT} GROUP BY 1""")
+
+_CELLS = f"""
+cells AS (
+  SELECT day_of_week, journey_hour AS hour, {metric('avg_delay_minutes')} AS value,
+         count(*) AS journeys, {_DAYS}[day_of_week + 1] AS day_name
+  FROM an WHERE {WHERE_DEFAULT} GROUP BY 1, 2 HAVING count(*) >= 5
+)"""
+ORACLES["heatmap_cells"] = q("SELECT * FROM cells", _CELLS)
+ORACLES["heatmap_matrix"] = q(
+    "SELECT day_name, (day_of_week + 6) % 7 AS sort_order, "
+    + ", ".join(f"max(value) FILTER (WHERE hour = {h}) AS h{h:02d}" for h in range(24))
+    + " FROM cells GROUP BY day_of_week, day_name", _CELLS)
+
+# ---------------------------------------------------------------------------
+# Records
+# ---------------------------------------------------------------------------
+_DISPLAY = ", ".join('"timestamp"' if c == "timestamp" else c for c in C.DISPLAY_COLUMNS)
+
+
+def records_sql(order: str, extra: str = "", limit: int = 500) -> str:
+    return (f"SELECT {_DISPLAY} FROM an WHERE {WHERE_DEFAULT} {extra} "
+            f"ORDER BY {order}, journey_id ASC LIMIT {limit}")
+
+
+ORACLES["records_recent"] = q(records_sql('"timestamp" DESC NULLS LAST'))
+ORACLES["records_longest_delay"] = q(records_sql("delay_minutes DESC NULLS LAST",
+                                                 "AND complaint_flag"))
+ORACLES["records_lowest_satisfaction"] = q(records_sql(
+    "customer_satisfaction ASC NULLS LAST", "AND NOT on_time", 300))
+ORACLES["records_search"] = q(records_sql(
+    "journey_duration_minutes DESC NULLS LAST",
+    "AND (lower(journey_id) LIKE '%crowd%' OR lower(service_line) LIKE '%crowd%' "
+    "OR lower(region) LIKE '%crowd%' OR lower(coalesce(complaint_category, '')) LIKE '%crowd%')"))
+ORACLES["records_subset_counts"] = q(f"""
+SELECT subset, journeys FROM (
+  SELECT count(*) AS c0, count(*) FILTER (WHERE complaint_flag) AS c1,
+         count(*) FILTER (WHERE NOT on_time) AS c2,
+         count(*) FILTER (WHERE service_disruption) AS c3,
+         count(*) FILTER (WHERE customer_satisfaction <= 2) AS c4,
+         count(*) FILTER (WHERE accessibility_service_used) AS c5
+  FROM an WHERE {WHERE_DEFAULT}
+) UNPIVOT (journeys FOR subset IN (
+  c0 AS 'All journeys', c1 AS 'Complaints only', c2 AS 'Delayed journeys only',
+  c3 AS 'Disrupted journeys only', c4 AS 'Low satisfaction (1-2)',
+  c5 AS 'Accessibility services used'))""")
+ORACLES["top_service_lines"] = q(breakdown_sql(
+    "service_line", C.SERVICE_METRICS + ("total_journeys",), 20, limit=15))

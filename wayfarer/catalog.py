@@ -70,3 +70,211 @@ def _breakdown(dimension: str):
 
 for _name, _dim in _BREAKDOWNS.items():
     register(_name)(_breakdown(_dim))
+
+
+# ---------------------------------------------------------------------------
+# Sources, enrichment, filters
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from .operators import records, trends  # noqa: E402
+from .plans import model  # noqa: E402
+from .sources import feeds  # noqa: E402
+
+FILTERED = dict(regions=("ASIA", "EUROPE"), transport_modes=("Bus", "Metro"),
+                time_bands=("AM Peak", "PM Peak", "Off-Peak"))
+
+
+@register("feed_validation")
+def _feed_validation(src):
+    """S2 on the whole feed rendered as an uploaded text file."""
+    return feeds.validate_feed(feeds.text_feed(src.journeys))
+
+
+@register("canonical_feed")
+def _canonical_feed(src):
+    """S3: the text rendering canonicalised back to the 26 typed columns."""
+    return feeds.canonicalise(feeds.text_feed(src.journeys))
+
+
+@register("enriched_no_dims")
+def _enriched_no_dims(src):
+    """Raw enriched rows of a feed without dimension tables."""
+    return src.raw
+
+
+@register("source_manifest")
+def _source_manifest(src):
+    return feeds.manifest(src.journeys, src.analytics)
+
+
+@register("enriched_journeys")
+def _enriched_journeys(src):
+    """F1 + J1: raw view with the customer and service-line attributes joined."""
+    return src.enriched_with_dimensions()
+
+
+@register("time_band_profile")
+def _time_band_profile(src):
+    """journeys, peak flag and mean delay per derived time band (raw rows)."""
+    return (src.raw.groupBy("time_band", "is_peak", "is_weekend")
+            .agg(F.count(F.lit(1)).alias("journeys"),
+                 F.avg("delay_minutes").alias("avg_delay_minutes")))
+
+
+@register("filtered_population")
+def _filtered_population(src):
+    """the analysable rows of a multi-dimension selection."""
+    state = FilterState.create(C.DEFAULT_START, C.DEFAULT_END, **FILTERED)
+    return src.analytics.where(state.column()).select(
+        "journey_id", "date", "region", "transport_mode", "time_band", "delay_minutes")
+
+
+@register("dimension_values")
+def _dimension_values(src):
+    """distinct non-NULL values of every allow-listed grouping column."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"),
+                                         F.col(c).alias("value"))
+                                for c in C.GROUPING_COLUMNS])).alias("p")
+    return (src.analytics.select(pairs).select("p.dimension", "p.value")
+            .where(F.col("value").isNotNull()).distinct())
+
+
+@register("dataset_bounds")
+def _dataset_bounds(src):
+    """first / last analysable date (the as-of day when there are none)."""
+    return src.analytics.agg(
+        F.coalesce(F.min("date"), F.lit(C.AS_OF)).alias("first_date"),
+        F.coalesce(F.max("date"), F.lit(C.AS_OF)).alias("last_date"))
+
+
+@register("row_counts")
+def _row_counts(src):
+    """raw and analysable row counts."""
+    return feeds.combine_rows(src.raw.agg(F.count(F.lit(1)).alias("raw_rows")),
+                              src.analytics.agg(F.count(F.lit(1)).alias("analysable_rows")))
+
+
+# ---------------------------------------------------------------------------
+# KPIs (A1, A3, A4, A6, A7, A13)
+# ---------------------------------------------------------------------------
+@register("kpi_all_metrics")
+def _kpi_all_metrics(src):
+    return kpis.compute_metrics(src.analytics, default_filter())
+
+
+@register("kpi_evidence")
+def _kpi_evidence(src):
+    return kpis.kpi_evidence(src.analytics, default_filter())
+
+
+@register("population_summary")
+def _population_summary(src):
+    return kpis.population_summary(src.analytics, default_filter())
+
+
+@register("pop_by_region")
+def _pop_by_region(src):
+    return kpis.period_over_period_by_dimension(
+        src.analytics, default_filter(), "region", "on_time_performance", 50)
+
+
+@register("pop_by_segment")
+def _pop_by_segment(src):
+    return kpis.period_over_period_by_dimension(
+        src.analytics, default_filter(), "customer_segment", "avg_satisfaction", 100)
+
+
+@register("compare_segments")
+def _compare_segments(src):
+    return kpis.compare_segments(src.analytics, default_filter(),
+                                 "Frequent Commuters", "Occasional Travellers")
+
+
+@register("segment_share")
+def _segment_share(src):
+    return kpis.segment_share(src.analytics, default_filter())
+
+
+# ---------------------------------------------------------------------------
+# Trends (T1-T7)
+# ---------------------------------------------------------------------------
+for _grain in ("day", "week", "month"):
+    register(f"time_series_{_grain}")(
+        (lambda g: lambda src: trends.time_series(src.analytics, default_filter(), g))(_grain))
+
+
+@register("calendar_filled_daily")
+def _calendar_filled(src):
+    return trends.fill_calendar(trends.time_series(src.analytics, default_filter(), "day"))
+
+
+@register("rolling_7d")
+def _rolling_7d(src):
+    daily = trends.fill_calendar(trends.time_series(src.analytics, default_filter(), "day"))
+    return trends.add_rolling(daily.select("period", "avg_delay_minutes", "total_journeys"),
+                              "avg_delay_minutes")
+
+
+@register("series_by_dimension")
+def _series_by_dimension(src):
+    return trends.series_by_dimension(src.analytics, default_filter(), "service_line",
+                                      "avg_delay_minutes", "week", 6)
+
+
+@register("hourly_profile")
+def _hourly_profile(src):
+    return trends.hourly_profile(src.analytics, default_filter())
+
+
+@register("weekday_profile")
+def _weekday_profile(src):
+    return trends.weekday_profile(src.analytics, default_filter())
+
+
+@register("heatmap_cells")
+def _heatmap_cells(src):
+    return trends.heatmap_cells(src.analytics, default_filter())
+
+
+@register("heatmap_matrix")
+def _heatmap_matrix(src):
+    return trends.heatmap_matrix(src.analytics, default_filter())
+
+
+# ---------------------------------------------------------------------------
+# Records (R1-R6)
+# ---------------------------------------------------------------------------
+@register("records_recent")
+def _records_recent(src):
+    return records.fetch_records(src.analytics, default_filter())
+
+
+@register("records_longest_delay")
+def _records_longest_delay(src):
+    return records.fetch_records(src.analytics, default_filter(), sort="Longest delay",
+                                 subset="Complaints only")
+
+
+@register("records_lowest_satisfaction")
+def _records_lowest_satisfaction(src):
+    return records.fetch_records(src.analytics, default_filter(), sort="Lowest satisfaction",
+                                 subset="Delayed journeys only", limit=300)
+
+
+@register("records_search")
+def _records_search(src):
+    return records.fetch_records(src.analytics, default_filter(), sort="Longest journey",
+                                 search=" Crowd ", limit=500)
+
+
+@register("records_subset_counts")
+def _records_subset_counts(src):
+    return records.subset_counts(src.analytics, default_filter())
+
+
+@register("top_service_lines")
+def _top_service_lines(src):
+    """First 15 service lines by journeys (>= 20 journeys), service metrics."""
+    return kpis.metrics_by_dimension(src.analytics, default_filter(), "service_line",
+                                     C.SERVICE_METRICS + ("total_journeys",), 20, 15)
