@@ -383,3 +383,215 @@ SELECT subset, journeys FROM (
   c5 AS 'Accessibility services used'))""")
 ORACLES["top_service_lines"] = q(breakdown_sql(
     "service_line", C.SERVICE_METRICS + ("total_journeys",), 20, limit=15))
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+_CHECKS = [
+    ("null_customer_id", "Null customer ID", "Completeness", "customer_id IS NULL"),
+    ("missing_region", "Missing region", "Completeness", "region IS NULL OR trim(region) = ''"),
+    ("missing_satisfaction", "Missing satisfaction score", "Completeness",
+     "customer_satisfaction IS NULL"),
+    ("invalid_satisfaction", "Satisfaction outside 1-5", "Validity",
+     "customer_satisfaction IS NOT NULL AND (customer_satisfaction < 1 "
+     "OR customer_satisfaction > 5)"),
+    ("negative_duration", "Non-positive journey duration", "Validity",
+     "journey_duration_minutes IS NOT NULL AND journey_duration_minutes <= 0"),
+    ("implausible_duration", "Implausible journey duration", "Validity",
+     "journey_duration_minutes > 240.0"),
+    ("invalid_delay", "Impossible delay value", "Validity",
+     "delay_minutes IS NULL OR delay_minutes < 0 OR delay_minutes > 180.0"),
+    ("invalid_transport_mode", "Unrecognised transport mode", "Validity",
+     "transport_mode IS NULL OR transport_mode NOT IN "
+     "('Metro', 'Train', 'Bus', 'Light Rail', 'Ferry')"),
+    ("duplicate_journey_id", "Duplicate journey ID", "Uniqueness", None),
+]
+_PROF = "prof AS (SELECT count(*) AS total_rows, max(date) AS latest_date, " \
+    "count(*) - count(DISTINCT journey_id) AS duplicate_journey_id, " \
+    + ", ".join(f"count(*) FILTER (WHERE {p}) AS {k}" for k, _, _, p in _CHECKS if p) + ", " \
+    + ", ".join(f"count({c}) AS present_{c}" for c in C.PROFILED_FIELDS) \
+    + f" FROM raw_j WHERE {WHERE_DEFAULT})"
+_CHECKS_CTE = _PROF + ",\nchk AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{k}' AS check_key, '{lab}' AS label, '{cat}' AS category, {i} AS position, "
+    f"CAST({k} AS BIGINT) AS failed_rows, total_rows FROM prof"
+    for i, (k, lab, cat, _) in enumerate(_CHECKS)) + "),\n" + """
+chk2 AS (
+  SELECT *, CASE WHEN total_rows = 0 THEN 0.0 ELSE failed_rows / total_rows * 100.0 END
+      AS failure_rate FROM chk
+)"""
+ORACLES["dq_checks"] = q("""
+SELECT check_key, label, category, position, failed_rows, total_rows, failure_rate,
+       failed_rows = 0 AS passed,
+       CASE WHEN failure_rate = 0 THEN 'Pass' WHEN failure_rate < 0.5 THEN 'Low'
+            WHEN failure_rate < 2.0 THEN 'Medium' ELSE 'High' END AS severity
+FROM chk2""", _CHECKS_CTE)
+
+ORACLES["dq_field_completeness"] = q("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS field, {i} AS position, present_{c} AS present, "
+    f"total_rows - present_{c} AS missing, "
+    f"CASE WHEN total_rows = 0 THEN 100.0 ELSE present_{c} / total_rows * 100.0 END "
+    f"AS completeness_pct, {str(c in C.CONDITIONAL_FIELDS).upper()} AS conditional FROM prof"
+    for i, c in enumerate(C.PROFILED_FIELDS)), _PROF)
+
+
+def _rate_sql(k: str) -> str:
+    return f"(CASE WHEN total_rows = 0 THEN 0.0 ELSE {k} / total_rows * 100.0 END)"
+
+
+def _fam(cat: str) -> str:
+    members = [_rate_sql(k) for k, _, c, _ in _CHECKS if c == cat]
+    return f"greatest(0.0, 100.0 - ({' + '.join(members)}))"
+
+
+_WEIGHTED = " + ".join(f"{_fam(cat)} * {w}" for cat, w in C.QUALITY_CATEGORY_WEIGHTS.items())
+_UNCOND = [c for c in C.PROFILED_FIELDS if c not in C.CONDITIONAL_FIELDS]
+_SCORE_COLS = f"""
+  {_fam('Completeness')} AS completeness_score,
+  {_fam('Validity')} AS validity_score,
+  {_fam('Uniqueness')} AS uniqueness_score,
+  {npround(_WEIGHTED, 1)} AS quality_score,
+  CASE WHEN {npround(_WEIGHTED, 1)} >= 97 THEN 'Good'
+       WHEN {npround(_WEIGHTED, 1)} >= 92 THEN 'Acceptable' ELSE 'Needs attention' END AS rating,
+  CASE WHEN total_rows = 0 THEN 100.0 ELSE
+    ({' + '.join(f'present_{c} / total_rows * 100.0' for c in _UNCOND)}) / {float(len(_UNCOND))}
+  END AS completeness_pct"""
+ORACLES["dq_score"] = q(f"SELECT {_SCORE_COLS} FROM prof", _PROF)
+ORACLES["dq_summary"] = q(f"""
+SELECT total_rows, (SELECT count(*) FROM an WHERE {WHERE_DEFAULT}) AS analysable_rows,
+       greatest(0, total_rows - (SELECT count(*) FROM an WHERE {WHERE_DEFAULT})) AS excluded_rows,
+       latest_date, date_diff('day', latest_date, {d(C.AS_OF)}) AS freshness_days,
+       {' + '.join(f'CASE WHEN {k} > 0 THEN 1 ELSE 0 END' for k, _, _, _ in _CHECKS)}
+           AS failing_checks,
+       {_SCORE_COLS}
+FROM prof""", _PROF)
+ORACLES["dq_value_outliers"] = q(f"""
+SELECT count(*) FILTER (WHERE delay_minutes > b.d3 + 3 * (b.d3 - b.d1)) AS delay_outliers,
+       count(*) FILTER (WHERE journey_duration_minutes > b.u3 + 3 * (b.u3 - b.u1)
+                           OR journey_duration_minutes < b.u1 - 3 * (b.u3 - b.u1))
+           AS duration_outliers
+FROM raw_j j, b WHERE {WHERE_DEFAULT}""", f"""
+b AS (
+  SELECT quantile_cont(delay_minutes, 0.25) AS d1, quantile_cont(delay_minutes, 0.75) AS d3,
+         quantile_cont(journey_duration_minutes, 0.25) AS u1,
+         quantile_cont(journey_duration_minutes, 0.75) AS u3
+  FROM raw_j WHERE {WHERE_DEFAULT}
+)""")
+ORACLES["dq_worst_check"] = q("""
+SELECT count(*) AS failing_checks,
+       first(check_key ORDER BY failure_rate DESC, position ASC) AS worst_check,
+       first(label ORDER BY failure_rate DESC, position ASC) AS worst_label,
+       first(failed_rows ORDER BY failure_rate DESC, position ASC) AS worst_failed_rows,
+       max(failure_rate) AS worst_failure_rate
+FROM chk2 WHERE failed_rows > 0""", _CHECKS_CTE)
+
+# ---------------------------------------------------------------------------
+# Customers and segmentation
+# ---------------------------------------------------------------------------
+
+
+def _share(flag: str) -> str:
+    return f"100.0 * count(*) FILTER (WHERE {flag}) / nullif(count(*), 0)"
+
+
+def _mode_cte(name: str, col: str) -> str:
+    return f"""
+{name} AS (
+  SELECT customer_id, {col} AS v FROM (
+    SELECT customer_id, {col},
+           row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, {col} ASC) AS rn
+    FROM an WHERE {WHERE_DEFAULT} AND customer_id IS NOT NULL AND {col} IS NOT NULL
+    GROUP BY customer_id, {col}
+  ) WHERE rn = 1
+)"""
+
+
+FEATURES_CTE = f"""
+cf_base AS (
+  SELECT customer_id, count(*) AS journeys, count(DISTINCT date) AS active_days,
+         count(DISTINCT transport_mode) AS modes_used, count(DISTINCT region) AS regions_used,
+         avg(delay_minutes) AS a_delay, avg(customer_satisfaction) AS a_sat,
+         {_share('complaint_flag')} AS r_complaint, {_share('is_peak')} AS r_peak,
+         {_share('digital_interaction')} AS r_digital,
+         {_share('accessibility_service_used')} AS r_access,
+         100.0 * count(*) FILTER (WHERE on_time)
+             / nullif(count(*) FILTER (WHERE on_time IS NOT NULL), 0) AS r_otp,
+         min(date) AS first_journey, max(date) AS last_journey,
+         min(customer_segment) AS assigned_segment, min(age_group) AS age_group
+  FROM an WHERE {WHERE_DEFAULT} AND customer_id IS NOT NULL
+  GROUP BY customer_id HAVING count(*) >= 3
+),
+{_mode_cte('m_channel', 'channel').strip()},
+{_mode_cte('m_mode', 'transport_mode').strip()},
+features AS (
+  SELECT b.customer_id, journeys, active_days, modes_used, regions_used,
+         {npround('a_delay', 2)} AS avg_delay_minutes,
+         {npround('a_sat', 2)} AS avg_satisfaction,
+         {npround('r_complaint', 1)} AS complaint_rate,
+         {npround('r_peak', 1)} AS peak_share,
+         {npround('r_digital', 1)} AS digital_share,
+         {npround('r_access', 1)} AS accessibility_share,
+         {npround('r_otp', 1)} AS on_time_performance,
+         first_journey, last_journey, assigned_segment, age_group,
+         mc.v AS primary_channel, mm.v AS primary_mode,
+         {npround("journeys / (greatest(date_diff('day', first_journey, last_journey), 6) + 1) * 7", 2)}
+             AS journeys_per_week
+  FROM cf_base b LEFT JOIN m_channel mc ON mc.customer_id = b.customer_id
+  LEFT JOIN m_mode mm ON mm.customer_id = b.customer_id
+)"""
+
+RULE_SQL = """CASE
+  WHEN coalesce(accessibility_share, 0) >= 20.0 OR coalesce(complaint_rate, 0) >= 12.0
+       THEN 'High-Service-Need Customers'
+  WHEN journeys_per_week >= 3.0 AND coalesce(peak_share, 0) >= 45.0 THEN 'Frequent Commuters'
+  WHEN coalesce(digital_share, 0) >= 70.0 THEN 'Digital-First Customers'
+  WHEN journeys_per_week >= 1.2 AND coalesce(peak_share, 0) < 30.0 THEN 'Off-Peak Regulars'
+  ELSE 'Occasional Travellers' END"""
+
+ORACLES["customer_features"] = q("SELECT * FROM features", FEATURES_CTE)
+ORACLES["rule_segments"] = q(f"SELECT *, {RULE_SQL} AS rule_segment FROM features",
+                             FEATURES_CTE)
+ORACLES["rule_segment_profile"] = q(f"""
+SELECT segment, customers, {', '.join(c for c in C.CLUSTER_FEATURES)},
+       {npround('customers / sum(customers) OVER () * 100', 1)} AS share_pct
+FROM (
+  SELECT {RULE_SQL} AS segment, count(*) AS customers,
+         {', '.join(f"{npround(f'avg({c})', 2)} AS {c}" for c in C.CLUSTER_FEATURES)}
+  FROM features GROUP BY 1
+)""", FEATURES_CTE)
+
+_BANDS = [f"""SELECT '{name}' AS band, {i} AS position,
+       count(*) FILTER (WHERE journeys_per_week > {lo} AND journeys_per_week <= {hi}) AS customers,
+       round_even(avg(avg_satisfaction) FILTER (WHERE journeys_per_week > {lo}
+           AND journeys_per_week <= {hi}) * 1000000.0, 0) / 1000000.0 AS satisfaction
+FROM features""" for i, (name, lo, hi) in enumerate(C.ENGAGEMENT_BANDS)]
+ORACLES["engagement_bands"] = q("\nUNION ALL\n".join(_BANDS), FEATURES_CTE)
+ORACLES["frequency_histogram"] = q("""
+SELECT bin, lo + bin * ((hi - lo) / 40.0) AS bin_start, lo + (bin + 1) * ((hi - lo) / 40.0) AS bin_end,
+       customers
+FROM (
+  SELECT CAST(CASE WHEN hi - lo > 0
+                   THEN least(floor((least(journeys_per_week, hi) - lo) / (hi - lo) * 40), 39)
+                   ELSE 0 END AS INTEGER) AS bin,
+         count(*) AS customers, any_value(lo) AS lo, any_value(hi) AS hi
+  FROM features, (SELECT quantile_cont(journeys_per_week, 0.99) AS hi,
+                         min(journeys_per_week) AS lo FROM features) b
+  GROUP BY 1
+)""", FEATURES_CTE)
+ORACLES["top_customers"] = q("""
+SELECT customer_id, assigned_segment, age_group, journeys, journeys_per_week, avg_satisfaction,
+       complaint_rate, peak_share, digital_share, primary_mode, primary_channel
+FROM features ORDER BY journeys DESC, customer_id LIMIT 200""", FEATURES_CTE)
+
+_FEATS = list(C.CLUSTER_FEATURES)
+ORACLES["standardised_features"] = q(
+    "SELECT customer_id, " + ", ".join(
+        npround(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE {c} - m_{c} END", 6)
+        + f" AS {c}" for c in _FEATS) + " FROM filled, mom",
+    FEATURES_CTE + ",\nmed AS (SELECT "
+    + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in _FEATS)
+    + " FROM features),\nfilled AS (SELECT f.customer_id, "
+    + ", ".join(f"coalesce(CAST(f.{c} AS DOUBLE), med.{c}) AS {c}" for c in _FEATS)
+    + " FROM features f, med),\nmom AS (SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _FEATS)
+    + " FROM filled)")

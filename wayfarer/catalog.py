@@ -278,3 +278,110 @@ def _top_service_lines(src):
     """First 15 service lines by journeys (>= 20 journeys), service metrics."""
     return kpis.metrics_by_dimension(src.analytics, default_filter(), "service_line",
                                      C.SERVICE_METRICS + ("total_journeys",), 20, 15)
+
+
+# ---------------------------------------------------------------------------
+# Data quality (Q1-Q8) - on the raw enriched rows
+# ---------------------------------------------------------------------------
+from .operators import quality, segmentation  # noqa: E402
+
+
+@register("dq_checks")
+def _dq_checks(src):
+    return quality.checks(src.raw, default_filter())
+
+
+@register("dq_field_completeness")
+def _dq_field_completeness(src):
+    return quality.field_completeness(src.raw, default_filter())
+
+
+@register("dq_score")
+def _dq_score(src):
+    return quality.score(src.raw, default_filter())
+
+
+@register("dq_summary")
+def _dq_summary(src):
+    return quality.summary(src.raw, src.analytics, default_filter())
+
+
+@register("dq_value_outliers")
+def _dq_value_outliers(src):
+    return quality.value_outliers(src.raw, default_filter())
+
+
+@register("dq_worst_check")
+def _dq_worst_check(src):
+    return quality.worst_check(src.raw, default_filter())
+
+
+# ---------------------------------------------------------------------------
+# Customers and segmentation
+# ---------------------------------------------------------------------------
+def features_of(src):
+    return segmentation.customer_features(src.analytics, default_filter())
+
+
+@register("customer_features")
+def _customer_features(src):
+    return features_of(src)
+
+
+@register("rule_segments")
+def _rule_segments(src):
+    return segmentation.rule_segments(features_of(src))
+
+
+@register("rule_segment_profile")
+def _rule_segment_profile(src):
+    return segmentation.segment_profile(segmentation.rule_segments(features_of(src)),
+                                        "rule_segment")
+
+
+@register("engagement_bands")
+def _engagement_bands(src):
+    return segmentation.engagement_bands(features_of(src))
+
+
+@register("frequency_histogram")
+def _frequency_histogram(src):
+    return segmentation.frequency_histogram(features_of(src))
+
+
+@register("top_customers")
+def _top_customers(src):
+    return segmentation.top_customers(features_of(src))
+
+
+@register("standardised_features")
+def _standardised_features(src):
+    return segmentation.standardised_features(features_of(src))
+
+
+@register("kmeans_profile")
+def _kmeans_profile(src):
+    clustered = segmentation.cluster_customers(features_of(src), k=4)
+    return segmentation.segment_profile(clustered, "cluster_label")
+
+
+@register("kmeans_silhouette")
+def _kmeans_silhouette(src):
+    value = segmentation.silhouette(features_of(src), k=4)
+    return src.spark.createDataFrame([(4, value)], "k INT, silhouette DOUBLE")
+
+
+@register("kmeans_elbow")
+def _kmeans_elbow(src):
+    return segmentation.inertia_curve(features_of(src))
+
+
+@register("customer_sample")
+def _customer_sample(src):
+    return segmentation.customer_sample(segmentation.rule_segments(features_of(src)))
+
+
+@register("cluster_rule_crosstab")
+def _cluster_rule_crosstab(src):
+    return segmentation.cluster_rule_crosstab(
+        segmentation.cluster_customers(features_of(src), k=4))
