@@ -595,3 +595,76 @@ ORACLES["standardised_features"] = q(
     + " FROM features f, med),\nmom AS (SELECT "
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _FEATS)
     + " FROM filled)")
+
+
+# ---------------------------------------------------------------------------
+# Anomalies
+# ---------------------------------------------------------------------------
+from . import anomaly_sql as _A  # noqa: E402
+
+ORACLES["anomaly_daily_frame"] = q("SELECT * FROM daily", _A.ctes("region", "rolling_z"))
+for _name, _method in (("anomaly_baselines_z", "rolling_z"), ("anomaly_baselines_iqr", "iqr")):
+    ORACLES[_name] = q(f"""
+SELECT dimension_value, metric, period, journeys, scope_days,
+       {npround('value', 6)} AS value, {npround('expected', 6)} AS expected,
+       {npround('lower_bound', 6)} AS lower_bound, {npround('upper_bound', 6)} AS upper_bound,
+       {npround('z_score', 6)} AS z_score
+FROM base WHERE metric IN ({', '.join(f"'{m}'" for m in _A.SCAN)})
+  AND period BETWEEN {d(C.DEFAULT_START)} AND {d(C.DEFAULT_END)}""", _A.ctes("region", _method))
+
+for _name, _dim, _method in (("anomalies_region_z", "region", "rolling_z"),
+                             ("anomalies_mode_z", "transport_mode", "rolling_z"),
+                             ("anomalies_network_z", None, "rolling_z"),
+                             ("anomalies_region_iqr", "region", "iqr")):
+    _c, _b = _A.detections_sql(_dim, _method)
+    ORACLES[_name] = q(_b, _c)
+
+_c, _b = _A.detections_sql("region", "rolling_z", adverse_only=True, limit=10)
+ORACLES["anomalies_region_adverse"] = q(_b, _c)
+
+_c, _b = _A.detections_sql("region", "rolling_z")
+ORACLES["anomaly_companions"] = q(f"""
+SELECT anomaly_metric, dimension_value, period, companion,
+       {npround('actual', 6)} AS actual, {npround('baseline', 6)} AS baseline,
+       {npround('chg', 6)} AS change_pct,
+       coalesce(companion IN ('disruption_rate', 'complaint_rate', 'total_journeys')
+                AND companion <> anomaly_metric AND chg IS NOT NULL AND abs(chg) >= 25, FALSE)
+           AS noted
+FROM (
+  SELECT t.metric AS anomaly_metric, t.dimension_value, t.period, b.metric AS companion,
+         b.value AS actual, b.mean AS baseline,
+         CASE WHEN b.mean IS NOT NULL AND b.mean <> 0 AND b.value IS NOT NULL
+              THEN (b.value - b.mean) / abs(b.mean) * 100.0 END AS chg
+  FROM ({_b}) t JOIN base b ON b.dimension_value = t.dimension_value AND b.period = t.period
+  WHERE b.metric IN ({', '.join(f"'{m}'" for m in C.COMPANION_METRICS)})
+)""", _c)
+ORACLES["anomaly_summary"] = q(f"""
+SELECT count(*) AS total_detected, count(*) FILTER (WHERE adverse) AS adverse_detected,
+       count(*) FILTER (WHERE severity = 'High') AS high_severity,
+       coalesce(string_agg(DISTINCT scope, ', ' ORDER BY scope) FILTER (WHERE adverse), '')
+           AS scopes_affected,
+       min(period) AS first_period, max(period) AS last_period
+FROM ({_b})""", _c)
+ORACLES["anomaly_series"] = q(f"""
+SELECT period, {npround('value', 6)} AS value, {npround('expected', 6)} AS expected,
+       {npround('lower_bound', 6)} AS lower, {npround('upper_bound', 6)} AS upper,
+       coalesce(abs(z_score) >= 2.5, FALSE) AS flagged
+FROM base WHERE metric = 'avg_delay_minutes'
+  AND period BETWEEN {d(C.DEFAULT_START)} AND {d(C.DEFAULT_END)}""",
+    _A.ctes("region", "rolling_z", ("avg_delay_minutes",), "ASIA"))
+ORACLES["anomaly_window_recall"] = q(f"""
+SELECT w.dimension_value, w.metric, w.start_date, w.end_date,
+       CAST(date_diff('day', w.start_date, w.end_date) + 1 AS BIGINT) AS window_days,
+       count(DISTINCT t.period) FILTER (WHERE t.period BETWEEN w.start_date AND w.end_date)
+           AS days_detected,
+       count(DISTINCT t.period) FILTER (WHERE t.period NOT BETWEEN w.start_date AND w.end_date)
+           AS days_outside,
+       count(DISTINCT t.period) FILTER (WHERE t.period BETWEEN w.start_date AND w.end_date)
+           / (date_diff('day', w.start_date, w.end_date) + 1) AS recall,
+       CASE WHEN count(DISTINCT t.period) > 0 THEN
+           count(DISTINCT t.period) FILTER (WHERE t.period BETWEEN w.start_date AND w.end_date)
+           / count(DISTINCT t.period) END AS precision
+FROM (SELECT 'ASIA' AS dimension_value, 'avg_delay_minutes' AS metric,
+             DATE '2026-05-09' AS start_date, DATE '2026-05-20' AS end_date) w
+LEFT JOIN ({_b}) t ON t.dimension_value = w.dimension_value AND t.metric = w.metric
+GROUP BY 1, 2, 3, 4""", _c)

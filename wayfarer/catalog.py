@@ -385,3 +385,76 @@ def _customer_sample(src):
 def _cluster_rule_crosstab(src):
     return segmentation.cluster_rule_crosstab(
         segmentation.cluster_customers(features_of(src), k=4))
+
+
+# ---------------------------------------------------------------------------
+# Anomalies
+# ---------------------------------------------------------------------------
+from .operators import anomalies  # noqa: E402
+from .sources.testdata import planted_windows  # noqa: E402
+
+
+@register("anomaly_daily_frame")
+def _anomaly_daily_frame(src):
+    _, needed = anomalies.needed_metrics(None)
+    return anomalies.daily_frame(src.analytics, default_filter(), "region",
+                                 C.ANOMALY_ROLLING_WINDOW + 7, needed)
+
+
+@register("anomaly_baselines_z")
+def _anomaly_baselines_z(src):
+    return anomalies.baseline_table(src.analytics, default_filter(), "region", "rolling_z")
+
+
+@register("anomaly_baselines_iqr")
+def _anomaly_baselines_iqr(src):
+    return anomalies.baseline_table(src.analytics, default_filter(), "region", "iqr")
+
+
+@register("anomalies_region_z")
+def _anomalies_region_z(src):
+    return anomalies.detect(src.analytics, default_filter(), "region")
+
+
+@register("anomalies_mode_z")
+def _anomalies_mode_z(src):
+    return anomalies.detect(src.analytics, default_filter(), "transport_mode")
+
+
+@register("anomalies_network_z")
+def _anomalies_network_z(src):
+    return anomalies.detect(src.analytics, default_filter(), None)
+
+
+@register("anomalies_region_iqr")
+def _anomalies_region_iqr(src):
+    return anomalies.detect(src.analytics, default_filter(), "region", method="iqr")
+
+
+@register("anomalies_region_adverse")
+def _anomalies_region_adverse(src):
+    """The adverse region anomalies report (top 10)."""
+    return anomalies.detect(src.analytics, default_filter(), "region", adverse_only=True,
+                            limit=10)
+
+
+@register("anomaly_companions")
+def _anomaly_companions(src):
+    return anomalies.companions(src.analytics, default_filter(), "region")
+
+
+@register("anomaly_summary")
+def _anomaly_summary(src):
+    return anomalies.summarise(anomalies.detect(src.analytics, default_filter(), "region"))
+
+
+@register("anomaly_series")
+def _anomaly_series(src):
+    return anomalies.series(src.analytics, default_filter(), "avg_delay_minutes",
+                            "region", "ASIA")
+
+
+@register("anomaly_window_recall")
+def _anomaly_window_recall(src):
+    return anomalies.window_recall(
+        anomalies.detect(src.analytics, default_filter(), "region"), planted_windows(src.spark))

@@ -186,3 +186,16 @@ def service_line_dim(spark: SparkSession) -> DataFrame:
         (F.lit(0.7) + (code % 10).cast("double") * 0.05).alias("reliability_index"),
         (F.lit(0.65) + (code % 14).cast("double") * 0.05).alias("capacity_index"),
     )
+
+
+# FIXED VALUES - the planted incident of the adapter: region ASIA, delay +6 min
+# on offsets 147..158 (the known window a detector should recover).
+PLANTED_WINDOWS = (
+    ("ASIA", "avg_delay_minutes", dt.date(2026, 5, 9), dt.date(2026, 5, 20)),
+)
+
+
+def planted_windows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        list(PLANTED_WINDOWS),
+        "dimension_value STRING, metric STRING, start_date DATE, end_date DATE")
