@@ -668,3 +668,95 @@ FROM (SELECT 'ASIA' AS dimension_value, 'avg_delay_minutes' AS metric,
              DATE '2026-05-09' AS start_date, DATE '2026-05-20' AS end_date) w
 LEFT JOIN ({_b}) t ON t.dimension_value = w.dimension_value AND t.metric = w.metric
 GROUP BY 1, 2, 3, 4""", _c)
+
+
+# ---------------------------------------------------------------------------
+# Insights, reports, routing
+# ---------------------------------------------------------------------------
+from . import insight_sql as _I  # noqa: E402
+
+_cmp_c, _cmp_b = compare_periods_sql(C.HEADLINE_KPIS)
+ORACLES["insight_kpi_movement"] = q(_I.kpi_movement(_cmp_b), _cmp_c)
+_mv_c, _mv_b = _I.movers(pop_sql)
+ORACLES["insight_dimension_movers"] = q(_mv_b, _mv_c)
+ORACLES["disruption_impact"] = q(_I.DISRUPTION)
+ORACLES["peak_pressure"] = q(_I.PEAK)
+ORACLES["complaint_concentration"] = q(_I.COMPLAINTS)
+_adv_c, _adv_b = _A.detections_sql("region", "rolling_z", adverse_only=True, limit=20)
+ORACLES["insight_top_anomaly"] = q(_I.top_anomaly(_adv_b), _adv_c)
+_SUMMARY_BODY = ORACLES["dq_summary"].split(_PROF)[-1].strip()
+ORACLES["insight_data_quality"] = q(_I.dq_notice(_SUMMARY_BODY), _PROF)
+
+_ICOLS = "key, category, headline, direction, importance"
+ORACLES["insights_ranked"] = q(f"""
+SELECT {_ICOLS} FROM (
+  SELECT {_ICOLS} FROM ({_I.kpi_movement(_cmp_b)})
+  UNION ALL SELECT {_ICOLS} FROM ({_mv_b})
+  UNION ALL SELECT {_ICOLS} FROM ({_I.DISRUPTION})
+  UNION ALL SELECT {_ICOLS} FROM ({_I.PEAK})
+  UNION ALL SELECT {_ICOLS} FROM ({_I.COMPLAINTS})
+  UNION ALL SELECT {_ICOLS} FROM ({_I.top_anomaly(_adv_b)})
+  UNION ALL SELECT {_ICOLS} FROM ({_I.dq_notice(_SUMMARY_BODY)})
+) ORDER BY importance DESC, key LIMIT 8""",
+    ",\n".join([_cmp_c.strip(), _mv_c.strip(), _adv_c.strip(), _PROF]))
+
+ORACLES["report_kpi_movers"] = q(f"""
+SELECT metric, label, current, previous, absolute_change, percent_change, direction
+FROM ({_cmp_b}) WHERE percent_change IS NOT NULL AND abs(percent_change) >= 2
+ORDER BY abs(percent_change) DESC, position LIMIT 3""", _cmp_c)
+
+_k8 = tuple(METRICS)[:8]
+_p8_c, _p8_b = compare_periods_sql(_k8)
+ORACLES["report_period_changes"] = q(f"""
+SELECT metric, label, current, previous, absolute_change, percent_change, direction, rank,
+       abs(percent_change) >= 2 AND sum(CASE WHEN abs(percent_change) >= 2 THEN 1 ELSE 0 END)
+           OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= 4 AS material
+FROM (SELECT *, row_number() OVER (ORDER BY abs(percent_change) DESC, position) AS rank
+      FROM ({_p8_b}) WHERE percent_change IS NOT NULL)""", _p8_c)
+
+
+def _report_dim_sql(dim: str, focus: str | None) -> str:
+    focus_sql = f"(bd.dimension_value = '{focus}')" if focus else "FALSE"
+    return f"""
+SELECT bd.*, mv2.move_current, mv2.move_previous, mv2.move_change, mv2.is_best, mv2.is_worst,
+       {focus_sql} AS is_focus
+FROM ({breakdown_sql(dim)}) bd
+LEFT JOIN (
+  SELECT dimension_value, current_value AS move_current, previous_value AS move_previous,
+         absolute_change AS move_change,
+         row_number() OVER (ORDER BY absolute_change DESC, abs(absolute_change) DESC,
+                            dimension_value) = 1 AS is_best,
+         row_number() OVER (ORDER BY absolute_change ASC, abs(absolute_change) DESC,
+                            dimension_value) = 1 AS is_worst
+  FROM ({pop_sql(dim, 'on_time_performance', 100)}) WHERE absolute_change IS NOT NULL
+) mv2 ON mv2.dimension_value = bd.dimension_value"""
+
+
+ORACLES["report_region"] = q(_report_dim_sql("region", "ASIA"))
+ORACLES["report_mode"] = q(_report_dim_sql("transport_mode", None))
+ORACLES["report_complaints"] = q(f"""
+SELECT * FROM (
+  SELECT dimension_value AS worst_mode, {npround('complaint_rate', 6)} AS worst_mode_complaint_rate,
+         total_journeys AS worst_mode_journeys
+  FROM ({breakdown_sql('transport_mode', ('total_journeys', 'complaint_rate'))})
+  ORDER BY complaint_rate DESC, total_journeys DESC, dimension_value LIMIT 1
+), (
+  SELECT dimension_value AS top_reason,
+         {npround('total_journeys / (SELECT sum(total_journeys) FROM bc) * 100', 6)}
+             AS top_reason_share
+  FROM bc ORDER BY total_journeys DESC, dimension_value LIMIT 1
+)""", f"bc AS ({breakdown_sql('complaint_category', ('total_journeys',))})")
+ORACLES["report_satisfaction"] = q(f"""
+SELECT * FROM (
+  SELECT dimension_value AS worst_segment, {npround('previous_value', 6)} AS worst_previous,
+         {npround('current_value', 6)} AS worst_current,
+         {npround('percent_change', 6)} AS worst_percent_change
+  FROM u ORDER BY absolute_change, abs(absolute_change) DESC, dimension_value LIMIT 1
+), (
+  SELECT dimension_value AS best_segment, {npround('previous_value', 6)} AS best_previous,
+         {npround('current_value', 6)} AS best_current,
+         {npround('percent_change', 6)} AS best_percent_change
+  FROM u ORDER BY absolute_change DESC, abs(absolute_change) DESC, dimension_value LIMIT 1
+)""", f"u AS (SELECT * FROM ({pop_sql('customer_segment', 'avg_satisfaction', 100)}) "
+      "WHERE absolute_change IS NOT NULL)")
+ORACLES["route_questions"] = _I.routing_sql()

@@ -48,11 +48,11 @@ daily AS (
     FROM an WHERE date BETWEEN {d(ext)} AND {d(END)} GROUP BY 1, 2
   ) WHERE dimension_value IS NOT NULL{value_cond}
 ),
-long AS ({long}),
+a_long AS ({long}),
 b1 AS (
   SELECT *, count(*) OVER (PARTITION BY dimension_value, metric) AS scope_days,
          CASE WHEN count(value) OVER w >= 14 THEN avg(value) OVER w END AS mean,{stats}
-  FROM long
+  FROM a_long
   WINDOW w AS (PARTITION BY dimension_value, metric ORDER BY period
                ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)
 ),

@@ -458,3 +458,96 @@ def _anomaly_series(src):
 def _anomaly_window_recall(src):
     return anomalies.window_recall(
         anomalies.detect(src.analytics, default_filter(), "region"), planted_windows(src.spark))
+
+
+# ---------------------------------------------------------------------------
+# Insights and reports (I1-I18), routing
+# ---------------------------------------------------------------------------
+from .operators import insights, routing  # noqa: E402
+from .sources.testdata import table  # noqa: E402
+
+
+@register("insight_kpi_movement")
+def _insight_kpi_movement(src):
+    return insights.kpi_movement(src.analytics, default_filter())
+
+
+@register("insight_dimension_movers")
+def _insight_dimension_movers(src):
+    return insights.all_dimension_movers(src.analytics, default_filter())
+
+
+@register("disruption_impact")
+def _disruption_impact(src):
+    return insights.disruption_impact(src.analytics, default_filter())
+
+
+@register("peak_pressure")
+def _peak_pressure(src):
+    return insights.peak_pressure(src.analytics, default_filter())
+
+
+@register("complaint_concentration")
+def _complaint_concentration(src):
+    return insights.complaint_concentration(src.analytics, default_filter())
+
+
+@register("insight_top_anomaly")
+def _insight_top_anomaly(src):
+    return insights.top_anomaly(src.analytics, default_filter())
+
+
+@register("insight_data_quality")
+def _insight_data_quality(src):
+    return insights.data_quality_notice(src.raw, src.analytics, default_filter())
+
+
+@register("insights_ranked")
+def _insights_ranked(src):
+    return insights.generate(src.raw, src.analytics, default_filter(), limit=8)
+
+
+@register("brief_sections")
+def _brief_sections(src):
+    return insights.executive_brief(src.raw, src.analytics, default_filter())
+
+
+@register("report_kpi_movers")
+def _report_kpi_movers(src):
+    return insights.report_kpi_movers(src.analytics, default_filter())
+
+
+@register("report_period_changes")
+def _report_period_changes(src):
+    return insights.report_period_changes(src.analytics, default_filter())
+
+
+@register("report_region")
+def _report_region(src):
+    return insights.report_dimension(src.analytics, default_filter(), "region", "ASIA")
+
+
+@register("report_mode")
+def _report_mode(src):
+    return insights.report_dimension(src.analytics, default_filter(), "transport_mode", None)
+
+
+@register("report_complaints")
+def _report_complaints(src):
+    return insights.report_complaints(src.analytics, default_filter())
+
+
+@register("report_satisfaction")
+def _report_satisfaction(src):
+    return insights.report_satisfaction(src.analytics, default_filter())
+
+
+@register("report_top_issues")
+def _report_top_issues(src):
+    return insights.report_top_issues(src.raw, src.analytics, default_filter())
+
+
+@register("route_questions")
+def _route_questions(src):
+    """X1 + X2 over every user turn of the conversations table."""
+    return routing.route(routing.user_questions(table(src.spark, src.sf_dir, "conversations")))
