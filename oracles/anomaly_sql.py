@@ -23,15 +23,24 @@ def ctes(dimension: str | None, method: str, keep: tuple[str, ...] = NEEDED,
         f"SELECT dimension_value, period, total_journeys AS journeys, '{m}' AS metric, "
         f"CAST({m} AS DOUBLE) AS value FROM daily" for m in keep)
     if method == "iqr":
+        # exact percentile with linear interpolation between the two order
+        # statistics around (n - 1) * p, spelled out on the sorted frame values
         stats = """
-         CASE WHEN count(value) OVER w >= 14 THEN quantile_cont(value, 0.25) OVER w END AS q1,
-         CASE WHEN count(value) OVER w >= 14 THEN quantile_cont(value, 0.5) OVER w END AS q2,
-         CASE WHEN count(value) OVER w >= 14 THEN quantile_cont(value, 0.75) OVER w END AS q3"""
-        derived = """
+         CASE WHEN count(value) OVER w >= 14
+              THEN list_sort(list_filter(list(value) OVER w, lambda x: x IS NOT NULL)) END
+             AS vals"""
+
+        def pct(p: float) -> str:
+            pos = f"((len(vals) - 1) * {p})"
+            lo, hi = f"floor({pos})", f"ceil({pos})"
+            vlo, vhi = f"vals[CAST({lo} AS BIGINT) + 1]", f"vals[CAST({hi} AS BIGINT) + 1]"
+            return (f"CASE WHEN vals IS NULL THEN NULL WHEN {lo} = {hi} OR {vlo} = {vhi} "
+                    f"THEN {vlo} ELSE ({hi} - {pos}) * {vlo} + ({pos} - {lo}) * {vhi} END")
+        derived = f"""
   SELECT *, q2 AS expected, q1 - 1.5 * (q3 - q1) AS lower_bound,
          q3 + 1.5 * (q3 - q1) AS upper_bound,
          (value - q2) / (CASE WHEN q3 - q1 <> 0 THEN (q3 - q1) / 1.349 END) AS z_score
-  FROM b1"""
+  FROM (SELECT *, {pct(0.25)} AS q1, {pct(0.5)} AS q2, {pct(0.75)} AS q3 FROM b1)"""
     else:
         stats = """
          CASE WHEN count(value) OVER w >= 14 THEN stddev_pop(value) OVER w END AS sd"""

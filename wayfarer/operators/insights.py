@@ -63,12 +63,13 @@ MOVER_CONFIGS = (
 
 
 def dimension_movers(analytics: DataFrame, filters: FilterState, dimension: str, metric: str,
-                     category: str, noun: str) -> DataFrame:
+                     category: str, noun: str, pop: DataFrame | None = None) -> DataFrame:
     """Best and worst mover of one metric across one dimension (>= 100
     journeys in both periods, >= 3 % move)."""
     spec = METRICS[metric]
-    pop = kpis.period_over_period_by_dimension(analytics, filters, dimension, metric,
-                                               C.MIN_SAMPLE_FOR_COMPARISON)
+    if pop is None:
+        pop = kpis.period_over_period_by_dimension(analytics, filters, dimension, metric,
+                                                   C.MIN_SAMPLE_FOR_COMPARISON)
     usable = pop.where(F.col("current_value").isNotNull() & F.col("previous_value").isNotNull())
     improvement = -F.col("absolute_change") if spec.lower_is_better else F.col("absolute_change")
     row = F.struct("dimension_value", "current_value", "previous_value", "current_journeys",
@@ -102,7 +103,12 @@ def dimension_movers(analytics: DataFrame, filters: FilterState, dimension: str,
 
 
 def all_dimension_movers(analytics: DataFrame, filters: FilterState) -> DataFrame:
-    parts = [dimension_movers(analytics, filters, *cfg) for cfg in MOVER_CONFIGS]
+    """I2 for every configured (dimension, metric): the per-dimension two-period
+    aggregates come from ONE grouping-sets scan (shared by all four configs)."""
+    shared = kpis.period_over_period_sets(
+        analytics, filters, [(d, m) for d, m, _, _ in MOVER_CONFIGS], C.MIN_SAMPLE_FOR_COMPARISON)
+    parts = [dimension_movers(analytics, filters, *cfg, pop=shared[(cfg[0], cfg[1])])
+             for cfg in MOVER_CONFIGS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -242,21 +248,24 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: FilterState)
         _fmt("%s: %s (%s)", "label", F.col("current").cast("string"),
              F.coalesce(np_round("absolute_change", 2).cast("string"),
                         F.lit("no comparison period"))).alias("text"))
-    found = generate(raw, analytics, filters, limit=10).select(
-        "*", F.row_number().over(Window.orderBy(F.col("importance").desc(), "key")).alias("rk"))
-    text = F.col("headline")
-
-    def section(name: str, cond: Column, cap: int) -> DataFrame:
-        w = Window.orderBy("rk")          # <= 10 ranked insight rows
-        picked = found.where(cond).select(F.row_number().over(w).alias("position"), text)
-        return picked.where(F.col("position") <= cap).select(
-            F.lit(name).alias("section"), (F.col("position") - 1).alias("position"),
-            F.col("headline").alias("text"))
+    found = generate(raw, analytics, filters, limit=10)
     first_three = F.col("category").isin(C.CATEGORY_PERFORMANCE, C.CATEGORY_DEMAND,
                                          C.CATEGORY_CUSTOMER)
-    return (current.unionByName(section("key_changes", first_three, 5))
-            .unionByName(section("attention", F.col("direction") == "bad", 5))
-            .unionByName(section("positives", F.col("direction") == "good", 4)))
+    # one pass over the (<= 10) ranked insights: each row fans out to the
+    # sections it belongs to, then a per-section rank applies the caps
+    tagged = found.select("*", F.explode(F.array(
+        F.when(first_three, F.lit("key_changes")),
+        F.when(F.col("direction") == "bad", F.lit("attention")),
+        F.when(F.col("direction") == "good", F.lit("positives")))).alias("section")) \
+        .where(F.col("section").isNotNull())
+    caps = F.create_map(F.lit("key_changes"), F.lit(5), F.lit("attention"), F.lit(5),
+                        F.lit("positives"), F.lit(4))
+    pos = F.row_number().over(Window.partitionBy("section").orderBy(
+        F.col("importance").desc(), F.col("key")))
+    sections = tagged.select("section", pos.alias("p"), F.col("headline").alias("text")) \
+        .where(F.col("p") <= caps[F.col("section")]) \
+        .select("section", (F.col("p") - 1).alias("position"), "text")
+    return current.unionByName(sections)
 
 
 # ---------------------------------------------------------------------------

@@ -144,6 +144,11 @@ def standardised_features(features: DataFrame,
                           digits: int | None = 6) -> DataFrame:
     """Median-fill each feature, then (x - mean) / population sigma (a zero
     sigma leaves x - mean). Medians and moments are scalar subqueries."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(features.sparkSession)
+    # three passes read the features (medians, moments, projection): cut the
+    # lineage once so journeys are aggregated a single time
+    features = features.checkpoint(eager=True)
     cols = list(feature_columns)
     med = features.agg(F.struct(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c)
                                   for c in cols])).scalar()

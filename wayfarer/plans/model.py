@@ -136,6 +136,14 @@ def analytics_rows(enriched: DataFrame) -> DataFrame:
     return dedupe(valid_rows(enriched))
 
 
+def analytics_from_journeys(journeys: DataFrame) -> DataFrame:
+    """Same rows as ``analytics_rows(enrich(journeys))``, planned narrower: the
+    validity predicate and the de-duplication only read canonical columns and
+    the derived columns are functions of the row, so rows are de-duplicated on
+    the 26 canonical columns first and enriched after."""
+    return enrich(dedupe(journeys.select(*C.JOURNEY_COLUMNS).where(valid_predicate())))
+
+
 # ---------------------------------------------------------------------------
 # Source holder
 # ---------------------------------------------------------------------------
@@ -156,7 +164,7 @@ class JourneySource:
     def from_journeys(cls, spark: SparkSession, journeys: DataFrame,
                       origin: str = "upload") -> "JourneySource":
         raw = enrich(journeys)
-        return cls(spark, journeys, raw, analytics_rows(raw), origin)
+        return cls(spark, journeys, raw, analytics_from_journeys(journeys), origin)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
@@ -177,7 +185,7 @@ class JourneySource:
         feed.write.mode("overwrite").parquet(f"{base}/journeys")
         journeys = spark.read.parquet(f"{base}/journeys")
         raw = enrich(journeys)
-        (analytics_rows(raw).sortWithinPartitions("date")
+        (analytics_from_journeys(journeys).sortWithinPartitions("date")
          .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/analytics"))
         analytics = spark.read.parquet(f"{base}/analytics").select(
             *C.JOURNEY_COLUMNS, *C.DERIVED_COLUMNS, *C.DIMENSION_ATTRIBUTE_COLUMNS)
