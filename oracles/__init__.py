@@ -388,6 +388,7 @@ ORACLES["top_service_lines"] = q(breakdown_sql(
 # ---------------------------------------------------------------------------
 # Data quality
 # ---------------------------------------------------------------------------
+from .sqlkit import spark_pct as _P  # noqa: E402
 _CHECKS = [
     ("null_customer_id", "Null customer ID", "Completeness", "customer_id IS NULL"),
     ("missing_region", "Missing region", "Completeness", "region IS NULL OR trim(region) = ''"),
@@ -472,9 +473,9 @@ SELECT count(*) FILTER (WHERE delay_minutes > b.d3 + 3 * (b.d3 - b.d1)) AS delay
            AS duration_outliers
 FROM raw_j j, b WHERE {WHERE_DEFAULT}""", f"""
 b AS (
-  SELECT quantile_cont(delay_minutes, 0.25) AS d1, quantile_cont(delay_minutes, 0.75) AS d3,
-         quantile_cont(journey_duration_minutes, 0.25) AS u1,
-         quantile_cont(journey_duration_minutes, 0.75) AS u3
+  SELECT {_P('delay_minutes', 0.25)} AS d1, {_P('delay_minutes', 0.75)} AS d3,
+         {_P('journey_duration_minutes', 0.25)} AS u1,
+         {_P('journey_duration_minutes', 0.75)} AS u3
   FROM raw_j WHERE {WHERE_DEFAULT}
 )""")
 ORACLES["dq_worst_check"] = q("""
@@ -566,7 +567,7 @@ _BANDS = [f"""SELECT '{name}' AS band, {i} AS position,
            AND journeys_per_week <= {hi}) * 1000000.0, 0) / 1000000.0 AS satisfaction
 FROM features""" for i, (name, lo, hi) in enumerate(C.ENGAGEMENT_BANDS)]
 ORACLES["engagement_bands"] = q("\nUNION ALL\n".join(_BANDS), FEATURES_CTE)
-ORACLES["frequency_histogram"] = q("""
+ORACLES["frequency_histogram"] = q(f"""
 SELECT bin, lo + bin * ((hi - lo) / 40.0) AS bin_start, lo + (bin + 1) * ((hi - lo) / 40.0) AS bin_end,
        customers
 FROM (
@@ -574,7 +575,7 @@ FROM (
                    THEN least(floor((least(journeys_per_week, hi) - lo) / (hi - lo) * 40), 39)
                    ELSE 0 END AS INTEGER) AS bin,
          count(*) AS customers, any_value(lo) AS lo, any_value(hi) AS hi
-  FROM features, (SELECT quantile_cont(journeys_per_week, 0.99) AS hi,
+  FROM features, (SELECT {_P('journeys_per_week', 0.99)} AS hi,
                          min(journeys_per_week) AS lo FROM features) b
   GROUP BY 1
 )""", FEATURES_CTE)
@@ -589,7 +590,7 @@ ORACLES["standardised_features"] = q(
         npround(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE {c} - m_{c} END", 6)
         + f" AS {c}" for c in _FEATS) + " FROM filled, mom",
     FEATURES_CTE + ",\nmed AS (SELECT "
-    + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in _FEATS)
+    + ", ".join(f"{_P(f'CAST({c} AS DOUBLE)', 0.5)} AS {c}" for c in _FEATS)
     + " FROM features),\nfilled AS (SELECT f.customer_id, "
     + ", ".join(f"coalesce(CAST(f.{c} AS DOUBLE), med.{c}) AS {c}" for c in _FEATS)
     + " FROM features f, med),\nmom AS (SELECT "

@@ -31,7 +31,7 @@ def ctes(dimension: str | None, method: str, keep: tuple[str, ...] = NEEDED,
              AS vals"""
 
         def pct(p: float) -> str:
-            pos = f"((len(vals) - 1) * {p})"
+            pos = f"((len(vals) - 1) * CAST({p!r} AS DOUBLE))"
             lo, hi = f"floor({pos})", f"ceil({pos})"
             vlo, vhi = f"vals[CAST({lo} AS BIGINT) + 1]", f"vals[CAST({hi} AS BIGINT) + 1]"
             return (f"CASE WHEN vals IS NULL THEN NULL WHEN {lo} = {hi} OR {vlo} = {vhi} "

@@ -34,6 +34,18 @@ PREV = f"date BETWEEN {d(PREV_START)} AND {d(PREV_END)}"
 SCAN2 = f"date BETWEEN {d(PREV_START)} AND {d(END)}"
 
 
+def spark_pct(values: str, p: float, cond: str | None = None) -> str:
+    """Exact percentile: sort the non-NULL values, interpolate linearly between
+    the order statistics around (n - 1) * p (weights ceil - pos, pos - floor)."""
+    f = f" FILTER (WHERE {cond})" if cond else ""
+    vals = f"list_sort(list_filter(list({values}){f}, lambda x: x IS NOT NULL))"
+    pos = f"((len({vals}) - 1) * CAST({p!r} AS DOUBLE))"
+    lo, hi = f"floor({pos})", f"ceil({pos})"
+    vlo, vhi = f"{vals}[CAST({lo} AS BIGINT) + 1]", f"{vals}[CAST({hi} AS BIGINT) + 1]"
+    return (f"(CASE WHEN len({vals}) = 0 THEN NULL WHEN {lo} = {hi} OR {vlo} = {vhi} "
+            f"THEN CAST({vlo} AS DOUBLE) ELSE ({hi} - {pos}) * {vlo} + ({pos} - {lo}) * {vhi} END)")
+
+
 def metric(key: str, cond: str | None = None) -> str:
     f = f" FILTER (WHERE {cond})" if cond else ""
     if key == "total_journeys":
@@ -43,7 +55,7 @@ def metric(key: str, cond: str | None = None) -> str:
     if key in AVGS:
         return f"avg({AVGS[key]}){f}"
     if key == "p90_delay_minutes":
-        return f"quantile_cont(delay_minutes, 0.9){f}"
+        return spark_pct("delay_minutes", 0.9, cond)
     flag = RATE_FLAGS[key]
     c1 = f"({cond}) AND {flag}" if cond else flag
     c2 = f"({cond}) AND {flag} IS NOT NULL" if cond else f"{flag} IS NOT NULL"
