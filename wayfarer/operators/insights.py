@@ -290,7 +290,7 @@ def report_period_changes(analytics: DataFrame, filters: FilterState) -> DataFra
         F.col("percent_change").isNotNull())
     rank = F.row_number().over(Window.orderBy(F.abs(F.col("percent_change")).desc(),
                                               F.col("position")))   # <= 8 rows
-    ranked = cmp.select("*", rank.alias("rank"))
+    ranked = cmp.select("*", rank.cast("bigint").alias("rank"))
     big = F.abs(F.col("percent_change")) >= 2
     nth_big = F.sum(F.when(big, 1).otherwise(0)).over(
         Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
