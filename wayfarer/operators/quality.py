@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.metrics import np_round
+from ..functions.metrics import np_round, quantile
 from ..plans.filters import FilterState
 
 
@@ -159,11 +159,10 @@ def value_outliers(raw: DataFrame, filters: FilterState | None) -> DataFrame:
     subquery (computed once, inlined as a value), not a cross join.
     """
     pop = _population(raw, filters)
+    delay, dur_ = F.col("delay_minutes"), F.col("journey_duration_minutes")
     q = pop.agg(F.struct(
-        F.percentile("delay_minutes", 0.25).alias("d1"),
-        F.percentile("delay_minutes", 0.75).alias("d3"),
-        F.percentile("journey_duration_minutes", 0.25).alias("u1"),
-        F.percentile("journey_duration_minutes", 0.75).alias("u3"))).scalar()
+        quantile(delay, 0.25).alias("d1"), quantile(delay, 0.75).alias("d3"),
+        quantile(dur_, 0.25).alias("u1"), quantile(dur_, 0.75).alias("u3"))).scalar()
     d_iqr = q["d3"] - q["d1"]
     u_iqr = q["u3"] - q["u1"]
     dur = F.col("journey_duration_minutes")

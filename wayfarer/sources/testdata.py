@@ -51,6 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def utc_date(df: DataFrame, name: str) -> Column:
+    """Calendar date of a timestamp column independent of the session time zone:
+    wall-clock (NTZ) values cast directly; instants (LTZ) by their UTC day."""
+    from pyspark.sql import types as T
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(name)) / 86400).cast("int"))
+    return F.col(name).cast("date")
+
+
 def _pick(index: Column, values: tuple[str, ...]) -> Column:
     """Element ``index`` of a fixed literal list (element_at is 1-based)."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
@@ -91,7 +100,7 @@ def journey_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
                       F.col("l_linenumber"))
     ck = F.col("o_custkey")
-    off = F.pmod(F.datediff(F.col("l_shipdate").cast("date"), F.lit(EPOCH)), F.lit(CALENDAR_DAYS))
+    off = F.pmod(F.datediff(utc_date(l, "l_shipdate"), F.lit(EPOCH)), F.lit(CALENDAR_DAYS))
     q = F.col("l_quantity").cast("bigint")
     disr = (pk % 40) == 0
     staged = rows.select(
@@ -160,7 +169,7 @@ def journey_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customers`` dimension: one row per ordering customer."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
-    first = o.groupBy("o_custkey").agg(F.min(F.col("o_orderdate").cast("date")).alias("_first"))
+    first = o.groupBy("o_custkey").agg(F.min(utc_date(o, "o_orderdate")).alias("_first"))
     cr = _customer_region(spark, sf_dir)
     ck = F.col("o_custkey")
     return first.join(cr, first.o_custkey == cr.c_custkey).select(
