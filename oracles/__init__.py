@@ -689,17 +689,44 @@ _SUMMARY_BODY = ORACLES["dq_summary"].split(_PROF)[-1].strip()
 ORACLES["insight_data_quality"] = q(_I.dq_notice(_SUMMARY_BODY), _PROF)
 
 _ICOLS = "key, category, headline, direction, importance"
-ORACLES["insights_ranked"] = q(f"""
-SELECT {_ICOLS} FROM (
+_ALL_INSIGHTS = f"""
   SELECT {_ICOLS} FROM ({_I.kpi_movement(_cmp_b)})
   UNION ALL SELECT {_ICOLS} FROM ({_mv_b})
   UNION ALL SELECT {_ICOLS} FROM ({_I.DISRUPTION})
   UNION ALL SELECT {_ICOLS} FROM ({_I.PEAK})
   UNION ALL SELECT {_ICOLS} FROM ({_I.COMPLAINTS})
   UNION ALL SELECT {_ICOLS} FROM ({_I.top_anomaly(_adv_b)})
-  UNION ALL SELECT {_ICOLS} FROM ({_I.dq_notice(_SUMMARY_BODY)})
-) ORDER BY importance DESC, key LIMIT 8""",
-    ",\n".join([_cmp_c.strip(), _mv_c.strip(), _adv_c.strip(), _PROF]))
+  UNION ALL SELECT {_ICOLS} FROM ({_I.dq_notice(_SUMMARY_BODY)})"""
+_INSIGHT_CTES = ",\n".join([_cmp_c.strip(), _mv_c.strip(), _adv_c.strip(), _PROF])
+ORACLES["insights_ranked"] = q(f"""
+SELECT {_ICOLS} FROM ({_ALL_INSIGHTS}) ORDER BY importance DESC, key LIMIT 8""", _INSIGHT_CTES)
+
+_FOUND10 = f"found AS (SELECT * FROM ({_ALL_INSIGHTS}) ORDER BY importance DESC, key LIMIT 10)"
+ORACLES["brief_sections"] = q(f"""
+SELECT 'current_performance' AS section, CAST(position AS BIGINT) AS position,
+       CASE WHEN current IS NULL THEN printf('%s: no data', label)
+            WHEN absolute_change IS NULL
+                 THEN printf('%s: %.2f (no comparison period)', label, {npround('current', 2)})
+            ELSE printf('%s: %.2f (%+.2f vs previous period)', label, {npround('current', 2)},
+                        {npround('absolute_change', 2)}) END AS text
+FROM ({_cmp_b})
+UNION ALL
+SELECT section, CAST(p - 1 AS BIGINT) AS position, text FROM (
+  SELECT section, headline AS text,
+         row_number() OVER (PARTITION BY section ORDER BY importance DESC, key) AS p
+  FROM (SELECT *, unnest([
+          CASE WHEN category IN ('Service performance', 'Demand', 'Customer experience')
+               THEN 'key_changes' END,
+          CASE WHEN direction = 'bad' THEN 'attention' END,
+          CASE WHEN direction = 'good' THEN 'positives' END]) AS section FROM found)
+  WHERE section IS NOT NULL)
+WHERE p <= CASE section WHEN 'positives' THEN 4 ELSE 5 END""", _INSIGHT_CTES + ",\n" + _FOUND10)
+ORACLES["report_top_issues"] = q(f"""
+SELECT CAST(rank AS BIGINT) AS rank, {_ICOLS} FROM (
+  SELECT *, row_number() OVER (ORDER BY direction <> 'bad', importance DESC, key) AS rank,
+         max(CASE WHEN direction = 'bad' THEN 1 ELSE 0 END) OVER () AS has_bad
+  FROM found)
+WHERE rank <= 3 AND (has_bad = 0 OR direction = 'bad')""", _INSIGHT_CTES + ",\n" + _FOUND10)
 
 ORACLES["report_kpi_movers"] = q(f"""
 SELECT metric, label, current, previous, absolute_change, percent_change, direction
@@ -761,3 +788,8 @@ SELECT * FROM (
 )""", f"u AS (SELECT * FROM ({pop_sql('customer_segment', 'avg_satisfaction', 100)}) "
       "WHERE absolute_change IS NOT NULL)")
 ORACLES["route_questions"] = _I.routing_sql()
+
+ORACLES["csv_roundtrip"] = ORACLES["canonical_feed"]
+ORACLES["upload_template"] = q(f"""
+SELECT {', '.join('"timestamp"' if c == 'timestamp' else c for c in C.JOURNEY_COLUMNS)}
+FROM journeys ORDER BY "timestamp" ASC NULLS LAST, journey_id LIMIT 300""")

@@ -551,3 +551,23 @@ def _report_top_issues(src):
 def _route_questions(src):
     """X1 + X2 over every user turn of the conversations table."""
     return routing.route(routing.user_questions(table(src.spark, src.sf_dir, "conversations")))
+
+
+# ---------------------------------------------------------------------------
+# CSV round trip and upload template
+# ---------------------------------------------------------------------------
+@register("csv_roundtrip")
+def _csv_roundtrip(src):
+    """S7 export of the whole text feed as CSV (shared folder), S1 read back as
+    text, S3 canonicalise: must equal ``canonical_feed``."""
+    import uuid as _uuid
+    from .session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(src.spark).rstrip('/')}/csv-{_uuid.uuid4().hex[:10]}"
+    feeds.export_csv(feeds.text_feed(src.journeys), path)
+    return feeds.canonicalise(feeds.read_csv(src.spark, path))
+
+
+@register("upload_template")
+def _upload_template(src):
+    """The 300-row sample upload (first journeys by timestamp, id)."""
+    return feeds.upload_template(src.journeys)

@@ -244,10 +244,13 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: FilterState)
     (headline KPIs), key changes (<= 5), attention (<= 5 bad), positives (<= 4 good)."""
     cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
     current = cmp.select(
-        F.lit("current_performance").alias("section"), F.col("position"),
-        _fmt("%s: %s (%s)", "label", F.col("current").cast("string"),
-             F.coalesce(np_round("absolute_change", 2).cast("string"),
-                        F.lit("no comparison period"))).alias("text"))
+        F.lit("current_performance").alias("section"), F.col("position").cast("bigint"),
+        F.when(F.col("current").isNull(), _fmt("%s: no data", "label"))
+        .when(F.col("absolute_change").isNull(),
+              _fmt("%s: %.2f (no comparison period)", "label", np_round("current", 2)))
+        .otherwise(_fmt("%s: %.2f (%+.2f vs previous period)", "label",
+                        np_round("current", 2), np_round("absolute_change", 2)))
+        .alias("text"))
     found = generate(raw, analytics, filters, limit=10)
     first_three = F.col("category").isin(C.CATEGORY_PERFORMANCE, C.CATEGORY_DEMAND,
                                          C.CATEGORY_CUSTOMER)
@@ -264,7 +267,7 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: FilterState)
         F.col("importance").desc(), F.col("key")))
     sections = tagged.select("section", pos.alias("p"), F.col("headline").alias("text")) \
         .where(F.col("p") <= caps[F.col("section")]) \
-        .select("section", (F.col("p") - 1).alias("position"), "text")
+        .select("section", (F.col("p") - 1).cast("bigint").alias("position"), "text")
     return current.unionByName(sections)
 
 
@@ -376,4 +379,4 @@ def report_top_issues(raw: DataFrame, analytics: DataFrame, filters: FilterState
     ranked = found.select("*", rank.alias("rank"), has_bad.alias("has_bad"))
     return ranked.where((F.col("rank") <= 3)
                         & ((F.col("has_bad") == 0) | (F.col("direction") == "bad"))) \
-        .select("rank", *INSIGHT_COLUMNS)
+        .select(F.col("rank").cast("bigint").alias("rank"), *INSIGHT_COLUMNS)
