@@ -26,7 +26,9 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_DIM_MAX_ROWS = 200_000
 
 
-def derived_columns() -> list[Column]:
+def derived_columns(stored_month: bool = False) -> list[Column]:
+    """The seven derived time columns; ``stored_month`` reuses a stored
+    ``month_start`` partition column (so selections prune partitions)."""
     ts, day = F.col("timestamp"), F.col("date")
     hour = F.hour(ts)
     dow = F.dayofweek(day) - 1                      # 0 = Sunday
@@ -41,7 +43,7 @@ def derived_columns() -> list[Column]:
         F.when(weekend, "Weekend").when(am, "AM Peak").when(pm, "PM Peak")
         .otherwise("Off-Peak").alias("time_band"),
         F.trunc(day, "week").alias("week_start"),
-        F.trunc(day, "month").alias("month_start"),
+        (F.col("month_start") if stored_month else F.trunc(day, "month")).alias("month_start"),
     ]
 
 
@@ -61,9 +63,9 @@ def _small_enough(df: DataFrame, max_rows: int) -> bool:
 
 
 def enrich(journeys: DataFrame, customers: DataFrame | None = None,
-           lines: DataFrame | None = None) -> DataFrame:
+           lines: DataFrame | None = None, stored_month: bool = False) -> DataFrame:
     """The raw enriched view. Without dimensions the six attributes are typed NULLs."""
-    base = journeys.select(*C.JOURNEY_COLUMNS, *derived_columns())
+    base = journeys.select(*C.JOURNEY_COLUMNS, *derived_columns(stored_month))
     if customers is None or lines is None:
         return base.select("*", *null_dimension_columns())
 
@@ -182,9 +184,13 @@ class JourneySource:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         base = f"{root}/wayfarer-{tag}-{uuid.uuid4().hex[:8]}"
-        feed.write.mode("overwrite").parquet(f"{base}/journeys")
-        journeys = spark.read.parquet(f"{base}/journeys")
-        raw = enrich(journeys)
+        # raw feed stored by month too: date selections on raw rows (data
+        # quality) prune partitions like the analytics table does
+        (feed.select("*", F.trunc("date", "month").alias("month_start"))
+         .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/journeys"))
+        stored = spark.read.parquet(f"{base}/journeys")
+        journeys = stored.select(*C.JOURNEY_COLUMNS)
+        raw = enrich(stored, stored_month=True)
         (analytics_from_journeys(journeys).sortWithinPartitions("date")
          .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/analytics"))
         analytics = spark.read.parquet(f"{base}/analytics").select(
