@@ -68,6 +68,21 @@ def main() -> None:
         run(fn(spark, sf_dir))
         times[name] = time.perf_counter() - t0
 
+    # SURVEY 7.3 step 8: the one-scan two-period comparison against the plain
+    # two-scan form (each period aggregated separately, then paired up).
+    from wayfarer import config as C
+    from wayfarer.operators import kpis
+    from wayfarer.plans.filters import FilterState
+    src = JourneySource.from_testdata(spark, sf_dir)
+    cur = FilterState.default()
+    runs = []
+    for _ in range(3):
+        t0 = time.perf_counter()
+        a = kpis.compute_metrics(src.analytics, cur, C.HEADLINE_KPIS).collect()
+        b = kpis.compute_metrics(src.analytics, cur.for_previous_period(), C.HEADLINE_KPIS).collect()
+        runs.append(time.perf_counter() - t0)
+    times["kpi_period_compare_two_scan_form"] = statistics.median(runs)
+
     headline = times["build"] + sum(times[n] for n in HEADLINE)
     print(json.dumps({
         "metric": "headline_total_sec",
