@@ -132,12 +132,18 @@ def _filtered_population(src):
 
 @register("dimension_values")
 def _dimension_values(src):
-    """distinct non-NULL values of every allow-listed grouping column."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"),
-                                         F.col(c).alias("value"))
-                                for c in C.GROUPING_COLUMNS])).alias("p")
-    return (src.analytics.select(pairs).select("p.dimension", "p.value")
-            .where(F.col("value").isNotNull()).distinct())
+    """distinct non-NULL values of every allow-listed grouping column.
+
+    One single-column distinct per column, unioned: each scan reads only its
+    column (columnar pruning, so the bytes read equal one wide scan) and each
+    partial aggregate sees one value per row - no 13x row explosion."""
+    parts = [src.analytics.where(F.col(c).isNotNull())
+             .select(F.lit(c).alias("dimension"), F.col(c).alias("value")).distinct()
+             for c in C.GROUPING_COLUMNS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("dataset_bounds")

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import METRICS, metric_columns, np_round
-from ..plans.filters import FilterState
+from ..plans.filters import FilterState, period_filters
 from . import anomalies, kpis, quality
 
 INSIGHT_COLUMNS = ("key", "category", "headline", "direction", "importance")
@@ -103,16 +103,73 @@ def dimension_movers(analytics: DataFrame, filters: FilterState, dimension: str,
 
 
 def all_dimension_movers(analytics: DataFrame, filters: FilterState) -> DataFrame:
-    """I2 for every configured (dimension, metric): the per-dimension two-period
-    aggregates come from ONE grouping-sets scan (shared by all four configs)."""
-    shared = kpis.period_over_period_sets(
-        analytics, filters, [(d, m) for d, m, _, _ in MOVER_CONFIGS], C.MIN_SAMPLE_FOR_COMPARISON)
-    parts = [dimension_movers(analytics, filters, *cfg, pop=shared[(cfg[0], cfg[1])])
-             for cfg in MOVER_CONFIGS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """I2 for every configured (dimension, metric) as ONE pipeline: a single
+    grouping-sets aggregate (both periods, every needed metric), exploded to one
+    row per (config, dimension value), then best / worst picked by windows
+    partitioned by config (tiny). No per-config re-scan: column pruning would
+    otherwise specialise - and so duplicate - the shared aggregate per consumer."""
+    scan, current, previous = period_filters(filters)
+    dims = list(dict.fromkeys(d for d, _, _, _ in MOVER_CONFIGS))
+    keys = list(dict.fromkeys(m for _, m, _, _ in MOVER_CONFIGS))
+    grouped = (analytics.where(scan)
+               .groupingSets([[F.col(d)] for d in dims], *[F.col(d) for d in dims])
+               .agg(*[F.grouping(d).alias(f"_g_{d}") for d in dims],
+                    *[METRICS[m].build(current).cast("double").alias(f"{m}__c") for m in keys],
+                    *[METRICS[m].build(previous).cast("double").alias(f"{m}__p") for m in keys],
+                    F.count(F.when(current, 1)).alias("current_journeys"),
+                    F.count(F.when(previous, 1)).alias("previous_journeys")))
+    entries = [F.when(F.col(f"_g_{d}") == 0, F.struct(
+        F.lit(f"{d}_{m}").alias("config"), F.col(d).cast("string").alias("dimension_value"),
+        F.col(f"{m}__c").alias("current_value"), F.col(f"{m}__p").alias("previous_value")))
+        for d, m, _, _ in MOVER_CONFIGS]
+    long = (grouped.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+                           .alias("e"), "current_journeys", "previous_journeys")
+            .select("e.*", "current_journeys", "previous_journeys")
+            .where(F.col("dimension_value").isNotNull()
+                   & (F.col("current_journeys") >= C.MIN_SAMPLE_FOR_COMPARISON)
+                   & (F.col("previous_journeys") >= C.MIN_SAMPLE_FOR_COMPARISON)
+                   & F.col("current_value").isNotNull() & F.col("previous_value").isNotNull()))
+
+    def lookup(values: dict[str, object]) -> Column:
+        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])[
+            F.col("config")]
+    cfg = {f"{d}_{m}": (d, m, cat, noun) for d, m, cat, noun in MOVER_CONFIGS}
+    lower_better = lookup({k: METRICS[m].lower_is_better for k, (_, m, _, _) in cfg.items()})
+    points = lookup({k: METRICS[m].compare_as_points for k, (_, m, _, _) in cfg.items()})
+    ch = F.col("current_value") - F.col("previous_value")
+    pct = F.when(F.col("previous_value") == 0, F.lit(None).cast("double")) \
+        .otherwise(F.lit(100.0) * ch / F.abs(F.col("previous_value")))
+    improvement = F.when(lower_better, -ch).otherwise(ch)
+    per_config = Window.partitionBy("config")          # <= values of one dimension
+    best = F.row_number().over(per_config.orderBy(
+        improvement.desc(), F.abs(ch).desc(), F.col("dimension_value")))
+    worst = F.row_number().over(per_config.orderBy(
+        improvement.asc(), F.abs(ch).desc(), F.col("dimension_value")))
+    ranked = long.select("*", ch.alias("absolute_change"), pct.alias("percent_change"),
+                         best.alias("_best"), worst.alias("_worst"))
+    picked = ranked.select("*", F.explode(F.filter(F.array(
+        F.when(F.col("_best") == 1, F.lit(True)), F.when(F.col("_worst") == 1, F.lit(False))),
+        lambda x: x.isNotNull())).alias("is_best"))
+    a_ch, a_pct = F.col("absolute_change"), F.col("percent_change")
+    magnitude = F.when(points, _fmt("%.1f percentage points", np_round(F.abs(a_ch), 1))) \
+        .otherwise(_fmt("%.1f%%", np_round(F.abs(a_pct), 1)))
+    label = lookup({k: METRICS[m].label.lower() for k, (_, m, _, _) in cfg.items()})
+    noun = lookup({k: n for k, (_, _, _, n) in cfg.items()})
+    return (picked.where((F.abs(a_ch) >= 1e-6) & a_pct.isNotNull()
+                         & (F.abs(a_pct) >= C.MATERIAL_CHANGE_PCT))
+            .select(F.concat(F.col("config"), F.lit("_"),
+                             F.when(F.col("is_best"), "best").otherwise("worst")).alias("key"),
+                    lookup({k: c for k, (_, _, c, _) in cfg.items()}).alias("category"),
+                    _fmt("%s recorded the largest %s in %s among %s, which %s by %s.",
+                         F.col("dimension_value"),
+                         F.when(F.col("is_best"), "improvement").otherwise("deterioration"),
+                         label, noun, F.when(a_ch > 0, "increased").otherwise("decreased"),
+                         magnitude).alias("headline"),
+                    F.when(F.col("is_best"), "good").otherwise("bad").alias("direction"),
+                    np_round(F.least(F.abs(a_pct) / 8.0, F.lit(3.0)), DIGITS).alias("importance"),
+                    "dimension_value", np_round("current_value", DIGITS).alias("current"),
+                    np_round("previous_value", DIGITS).alias("previous"),
+                    "current_journeys"))
 
 
 def disruption_impact(analytics: DataFrame, filters: FilterState) -> DataFrame:

@@ -167,45 +167,6 @@ def period_over_period_by_dimension(analytics: DataFrame, filters: FilterState,
                     .alias("percent_change")))
 
 
-def period_over_period_sets(analytics: DataFrame, filters: FilterState,
-                            pairs: Sequence[tuple[str, str]],
-                            min_journeys: int = 50) -> dict[tuple[str, str], DataFrame]:
-    """A6 for several (dimension, metric) pairs from ONE scan: a grouping-sets
-    aggregate over the distinct dimensions computes every needed metric for
-    both periods; each pair is then a filter of that (small) result. The
-    shared aggregate's exchange is reused by every consumer in the same plan."""
-    dims = list(dict.fromkeys(d for d, _ in pairs))
-    for d in dims:
-        check_dimension(d)
-    keys = check_keys(dict.fromkeys(m for _, m in pairs))
-    scan, current, previous = period_filters(filters)
-    grouped = (analytics.where(scan)
-               .groupingSets([[F.col(d)] for d in dims], *[F.col(d) for d in dims])
-               .agg(*[F.grouping(d).alias(f"_g_{d}") for d in dims],
-                    *[METRICS[m].build(current).cast("double").alias(f"{m}__c") for m in keys],
-                    *[METRICS[m].build(previous).cast("double").alias(f"{m}__p") for m in keys],
-                    F.count(F.when(current, 1)).alias("current_journeys"),
-                    F.count(F.when(previous, 1)).alias("previous_journeys")))
-    out = {}
-    for d, m in pairs:
-        rows = grouped.where(F.col(f"_g_{d}") == 0).select(
-            F.col(d).alias("dimension_value"), F.col(f"{m}__c").alias("current_value"),
-            F.col(f"{m}__p").alias("previous_value"), "current_journeys", "previous_journeys")
-        change = F.col("current_value") - F.col("previous_value")
-        out[(d, m)] = (rows.where(F.col("dimension_value").isNotNull()
-                                  & (F.col("current_journeys") >= min_journeys)
-                                  & (F.col("previous_journeys") >= min_journeys))
-                       .select("dimension_value", "current_value", "previous_value",
-                               "current_journeys", "previous_journeys",
-                               change.alias("absolute_change"),
-                               F.when(F.col("previous_value").isNull()
-                                      | (F.col("previous_value") == 0),
-                                      F.lit(None).cast("double"))
-                               .otherwise(F.lit(100.0) * change / F.abs(F.col("previous_value")))
-                               .alias("percent_change")))
-    return out
-
-
 def compare_segments(analytics: DataFrame, filters: FilterState, segment_a: str, segment_b: str,
                      keys: Sequence[str] | None = None) -> DataFrame:
     """Two customer segments side by side, one row per metric + difference.
