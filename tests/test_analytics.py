@@ -156,3 +156,17 @@ def test_streaming_matches_batch(spark, smoke_source, tmp_path):
     q.stop()
     from wayfarer.plans.model import valid_predicate
     assert spark.table("valid_rows").count() == smoke_source.raw.where(valid_predicate()).count()
+
+
+def test_insight_cube_matches_direct_aggregates(source):
+    f = FilterState.default()
+    cube = insights.insight_cube(source.analytics, f)
+    cols = ["day_of_week", "time_band", "journeys", "avg_delay_minutes", "on_time_performance"]
+    direct = sorted(tuple(r) for r in
+                    insights.kpis.weekday_band_delay(source.analytics, f).select(*cols).collect())
+    from_cube = sorted(tuple(r) for r in insights.peak_groups_from_cube(cube).select(*cols).collect())
+    assert direct == from_cube and len(direct) > 0
+    assert (insights._disruption_from_cube(cube).collect()
+            == insights.disruption_impact(source.analytics, f).collect())
+    assert (insights._complaints_from_cube(cube).collect()
+            == insights.complaint_concentration(source.analytics, f).collect())

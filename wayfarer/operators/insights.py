@@ -102,22 +102,55 @@ def dimension_movers(analytics: DataFrame, filters: FilterState, dimension: str,
                     "current_journeys"))
 
 
-def all_dimension_movers(analytics: DataFrame, filters: FilterState) -> DataFrame:
+CUBE_SETS = (("customer_segment",), ("region",), ("transport_mode",), ("service_disruption",),
+             ("day_of_week", "time_band"), ("complaint_category",))
+CUBE_METRICS = ("avg_satisfaction", "on_time_performance", "total_journeys", "complaint_rate",
+                "avg_delay_minutes")
+
+
+def insight_cube(analytics: DataFrame, filters: FilterState) -> DataFrame:
+    """ONE grouping-sets aggregate over previous-start..end feeding four
+    generators (movers, disruption split, weekday x band pressure, complaint
+    categories): every metric for both periods per set, plus current-period
+    complaint counts. The result is small (sum of the sets' cardinalities) and
+    is checkpointed so each generator reads it instead of re-scanning journeys."""
+    from ..session import ensure_checkpoint_dir
+    scan, current, previous = period_filters(filters)
+    cols = list(dict.fromkeys(c for st in CUBE_SETS for c in st))
+    cube = (analytics.where(scan)
+            .groupingSets([[F.col(c) for c in st] for st in CUBE_SETS], *[F.col(c) for c in cols])
+            .agg(*[F.grouping(c).alias(f"_g_{c}") for c in cols],
+                 *[METRICS[m].build(current).cast("double").alias(f"{m}__c") for m in CUBE_METRICS],
+                 *[METRICS[m].build(previous).cast("double").alias(f"{m}__p") for m in CUBE_METRICS],
+                 F.count(F.when(current, 1)).alias("current_journeys"),
+                 F.count(F.when(previous, 1)).alias("previous_journeys"),
+                 F.count(F.when(current & F.col("complaint_flag"), 1)).alias("complaints_c")))
+    ensure_checkpoint_dir(analytics.sparkSession)
+    return cube.checkpoint(eager=True)
+
+
+def all_dimension_movers(analytics: DataFrame, filters: FilterState,
+                         cube: DataFrame | None = None) -> DataFrame:
     """I2 for every configured (dimension, metric) as ONE pipeline: a single
     grouping-sets aggregate (both periods, every needed metric), exploded to one
     row per (config, dimension value), then best / worst picked by windows
     partitioned by config (tiny). No per-config re-scan: column pruning would
     otherwise specialise - and so duplicate - the shared aggregate per consumer."""
-    scan, current, previous = period_filters(filters)
-    dims = list(dict.fromkeys(d for d, _, _, _ in MOVER_CONFIGS))
-    keys = list(dict.fromkeys(m for _, m, _, _ in MOVER_CONFIGS))
-    grouped = (analytics.where(scan)
-               .groupingSets([[F.col(d)] for d in dims], *[F.col(d) for d in dims])
-               .agg(*[F.grouping(d).alias(f"_g_{d}") for d in dims],
-                    *[METRICS[m].build(current).cast("double").alias(f"{m}__c") for m in keys],
-                    *[METRICS[m].build(previous).cast("double").alias(f"{m}__p") for m in keys],
-                    F.count(F.when(current, 1)).alias("current_journeys"),
-                    F.count(F.when(previous, 1)).alias("previous_journeys")))
+    if cube is None:
+        scan, current, previous = period_filters(filters)
+        dims = list(dict.fromkeys(d for d, _, _, _ in MOVER_CONFIGS))
+        keys = list(dict.fromkeys(m for _, m, _, _ in MOVER_CONFIGS))
+        grouped = (analytics.where(scan)
+                   .groupingSets([[F.col(d)] for d in dims], *[F.col(d) for d in dims])
+                   .agg(*[F.grouping(d).alias(f"_g_{d}") for d in dims],
+                        *[METRICS[m].build(current).cast("double").alias(f"{m}__c")
+                          for m in keys],
+                        *[METRICS[m].build(previous).cast("double").alias(f"{m}__p")
+                          for m in keys],
+                        F.count(F.when(current, 1)).alias("current_journeys"),
+                        F.count(F.when(previous, 1)).alias("previous_journeys")))
+    else:
+        grouped = cube
     entries = [F.when(F.col(f"_g_{d}") == 0, F.struct(
         F.lit(f"{d}_{m}").alias("config"), F.col(d).cast("string").alias("dimension_value"),
         F.col(f"{m}__c").alias("current_value"), F.col(f"{m}__p").alias("previous_value")))
@@ -182,6 +215,23 @@ def disruption_impact(analytics: DataFrame, filters: FilterState) -> DataFrame:
         F.count(F.when(disrupted, 1)).alias("disrupted_journeys"),
         F.count(F.when(normal, 1)).alias("baseline_journeys"),
         *metric_columns(keys, disrupted, "_d"), *metric_columns(keys, normal, "_n"))
+    return _disruption_rows(wide)
+
+
+def _disruption_from_cube(cube: DataFrame) -> DataFrame:
+    rows = cube.where((F.col("_g_service_disruption") == 0)
+                      & F.col("service_disruption").isNotNull())
+    sd = F.col("service_disruption")
+    keys = ("complaint_rate", "avg_satisfaction", "avg_delay_minutes")
+    wide = rows.agg(
+        F.coalesce(F.max(F.when(sd, F.col("current_journeys"))), F.lit(0)).alias("disrupted_journeys"),
+        F.coalesce(F.max(F.when(~sd, F.col("current_journeys"))), F.lit(0)).alias("baseline_journeys"),
+        *[F.max(F.when(sd, F.col(f"{k}__c"))).alias(f"{k}_d") for k in keys],
+        *[F.max(F.when(~sd, F.col(f"{k}__c"))).alias(f"{k}_n") for k in keys])
+    return _disruption_rows(wide)
+
+
+def _disruption_rows(wide: DataFrame) -> DataFrame:
     d_rate = F.coalesce(F.col("complaint_rate_d"), F.lit(0.0))
     n_rate = F.coalesce(F.col("complaint_rate_n"), F.lit(0.0))
     mult = d_rate / n_rate
@@ -207,7 +257,27 @@ def disruption_impact(analytics: DataFrame, filters: FilterState) -> DataFrame:
 def peak_pressure(analytics: DataFrame, filters: FilterState) -> DataFrame:
     """A11 + I4: worst weekday x time band when its delay exceeds 1.15 x the
     journey-weighted mean of all groups (>= 100 journeys each)."""
-    g = kpis.weekday_band_delay(analytics, filters)
+    return _peak_rows(kpis.weekday_band_delay(analytics, filters))
+
+
+def _peak_from_cube(cube: DataFrame) -> DataFrame:
+    return _peak_rows(peak_groups_from_cube(cube))
+
+
+def peak_groups_from_cube(cube: DataFrame) -> DataFrame:
+    """The weekday x time-band groups of A11 read from the insight cube."""
+    g = (cube.where(F.col("_g_day_of_week") == 0)
+         .select("day_of_week", "time_band", F.col("current_journeys").alias("journeys"),
+                 F.col("avg_delay_minutes__c").alias("avg_delay_minutes"),
+                 F.col("on_time_performance__c").alias("on_time_performance"))
+         .where(F.col("journeys") >= C.MIN_SAMPLE_FOR_COMPARISON))
+    everything = Window.partitionBy()   # <= 7 x 4 grouped rows
+    weighted = (F.sum(F.col("avg_delay_minutes") * F.col("journeys")).over(everything)
+                / F.sum("journeys").over(everything))
+    return g.select("*", weighted.alias("overall_delay"))
+
+
+def _peak_rows(g: DataFrame) -> DataFrame:
     worst = g.agg(first_by(F.struct("day_of_week", "time_band", "avg_delay_minutes",
                                     "on_time_performance", "journeys", "overall_delay"),
                            -F.col("avg_delay_minutes"), F.col("day_of_week"),
@@ -231,7 +301,20 @@ def peak_pressure(analytics: DataFrame, filters: FilterState) -> DataFrame:
 
 def complaint_concentration(analytics: DataFrame, filters: FilterState) -> DataFrame:
     """A12 + I5: the top complaint category when it holds >= 20 % of >= 100 complaints."""
-    cats = kpis.complaint_categories(analytics, filters)
+    return _complaint_rows(kpis.complaint_categories(analytics, filters))
+
+
+def _complaints_from_cube(cube: DataFrame) -> DataFrame:
+    g = (cube.where((F.col("_g_complaint_category") == 0)
+                    & F.col("complaint_category").isNotNull() & (F.col("complaints_c") > 0))
+         .select("complaint_category", F.col("complaints_c").alias("complaints")))
+    total = F.sum("complaints").over(Window.partitionBy())   # one row per category
+    return _complaint_rows(g.select("complaint_category", "complaints",
+                                    total.alias("total_complaints"),
+                                    (F.col("complaints") / total * 100.0).alias("share_pct")))
+
+
+def _complaint_rows(cats: DataFrame) -> DataFrame:
     top = cats.agg(first_by(F.struct("complaint_category", "complaints", "total_complaints",
                                      "share_pct"),
                             -F.col("complaints"), F.col("complaint_category"))
@@ -284,9 +367,10 @@ def data_quality_notice(raw: DataFrame, analytics: DataFrame,
 def generate(raw: DataFrame, analytics: DataFrame, filters: FilterState, limit: int = 8,
              include_quality: bool = True) -> DataFrame:
     """I8: every generator, ranked by importance (desc) then key; top ``limit``."""
-    parts = [kpi_movement(analytics, filters), all_dimension_movers(analytics, filters),
-             disruption_impact(analytics, filters), peak_pressure(analytics, filters),
-             complaint_concentration(analytics, filters), top_anomaly(analytics, filters)]
+    cube = insight_cube(analytics, filters)
+    parts = [kpi_movement(analytics, filters), all_dimension_movers(analytics, filters, cube),
+             _disruption_from_cube(cube), _peak_from_cube(cube), _complaints_from_cube(cube),
+             top_anomaly(analytics, filters)]
     if include_quality:
         parts.append(data_quality_notice(raw, analytics, filters))
     out = parts[0].select(*INSIGHT_COLUMNS)
