@@ -793,3 +793,21 @@ ORACLES["csv_roundtrip"] = ORACLES["canonical_feed"]
 ORACLES["upload_template"] = q(f"""
 SELECT {', '.join('"timestamp"' if c == 'timestamp' else c for c in C.JOURNEY_COLUMNS)}
 FROM journeys ORDER BY "timestamp" ASC NULLS LAST, journey_id LIMIT 300""")
+
+
+# Preset selection resolved from the data bounds: "Last 90 days".
+_PRESET_CTES = """
+pb AS (SELECT min(date) AS lo, max(date) AS hi FROM an),
+per AS (SELECT greatest(lo, hi - 89) AS s, hi AS e, greatest(lo, hi - 89) - 1 AS pe,
+               greatest(lo, hi - 89) - 1 - CAST(hi - greatest(lo, hi - 89) AS INTEGER) AS ps
+        FROM pb)"""
+_PCUR, _PPREV = "date BETWEEN per.s AND per.e", "date BETWEEN per.ps AND per.pe"
+ORACLES["kpi_compare_last_90_days"] = q(f"""
+SELECT metric, position, label, unit, current, previous,
+       current - previous AS absolute_change,
+       {pct_sql('current', 'previous')} AS percent_change,
+       {direction_sql('metric', 'current - previous')} AS direction
+FROM long""", _PRESET_CTES + f""",
+wide AS (SELECT {metrics(C.HEADLINE_KPIS, _PCUR, '__c')}, {metrics(C.HEADLINE_KPIS, _PPREV, '__p')}
+         FROM an, per WHERE date BETWEEN per.ps AND per.e),
+long AS ({_stack(C.HEADLINE_KPIS, {'current': '{k}__c', 'previous': '{k}__p'}, 'wide')})""")

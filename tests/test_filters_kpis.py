@@ -77,3 +77,12 @@ def test_search_is_literal_text(source):
     out = records.fetch_records(source.analytics, FilterState.default(),
                                 search="'; DROP TABLE journeys; --")
     assert out.count() == 0
+
+
+def test_presets_clamp_to_first_day():
+    from wayfarer.plans.filters import resolve_preset
+    first, last = dt.date(2026, 6, 1), dt.date(2026, 6, 30)
+    assert resolve_preset("Last 30 days", (first, last)) == (first, last)
+    assert resolve_preset("Last 90 days", (first, last)) == (first, last)
+    assert resolve_preset("Last 30 days", (dt.date(2025, 1, 1), last)) == (dt.date(2026, 6, 1), last)
+    assert resolve_preset("All available data", (first, last)) == (first, last)

@@ -577,3 +577,12 @@ def _csv_roundtrip(src):
 def _upload_template(src):
     """The 300-row sample upload (first journeys by timestamp, id)."""
     return feeds.upload_template(src.journeys)
+
+
+@register("kpi_compare_last_90_days")
+def _kpi_compare_last_90_days(src):
+    """A2 over the "Last 90 days" preset resolved from the data's own bounds
+    (F11: two scalars) - the selection the reference opens with."""
+    b = src.analytics.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    state = FilterState.from_preset("Last 90 days", (b.lo or C.AS_OF, b.hi or C.AS_OF))
+    return kpis.compare_periods(src.analytics, state)
