@@ -811,3 +811,7 @@ FROM long""", _PRESET_CTES + f""",
 wide AS (SELECT {metrics(C.HEADLINE_KPIS, _PCUR, '__c')}, {metrics(C.HEADLINE_KPIS, _PPREV, '__p')}
          FROM an, per WHERE date BETWEEN per.ps AND per.e),
 long AS ({_stack(C.HEADLINE_KPIS, {'current': '{k}__c', 'previous': '{k}__p'}, 'wide')})""")
+
+ORACLES["customer_sample"] = q(f"""
+SELECT *, {RULE_SQL} AS rule_segment FROM features
+ORDER BY md5(customer_id), customer_id LIMIT 4000""", FEATURES_CTE)

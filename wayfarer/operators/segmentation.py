@@ -308,8 +308,9 @@ def inertia_curve(features: DataFrame, k_values: Sequence[int] = (2, 3, 4, 5, 6,
 
 
 def customer_sample(features: DataFrame, n: int = C.SILHOUETTE_SAMPLE) -> DataFrame:
-    """A repeatable sample of at most ``n`` customers (hash order)."""
-    return features.orderBy(F.xxhash64("customer_id"), F.col("customer_id")).limit(n)
+    """A repeatable sample of at most ``n`` customers: the first ``n`` in
+    md5(customer_id) order (pseudo-random, identical on every run and engine)."""
+    return features.orderBy(F.md5("customer_id"), F.col("customer_id")).limit(n)
 
 
 def cluster_rule_crosstab(clustered: DataFrame) -> DataFrame:
