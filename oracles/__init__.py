@@ -815,3 +815,7 @@ long AS ({_stack(C.HEADLINE_KPIS, {'current': '{k}__c', 'previous': '{k}__p'}, '
 ORACLES["customer_sample"] = q(f"""
 SELECT *, {RULE_SQL} AS rule_segment FROM features
 ORDER BY md5(customer_id), customer_id LIMIT 4000""", FEATURES_CTE)
+ORACLES["disruption_comparison"] = q(f"""
+SELECT service_disruption, count(*) AS journeys,
+       {metrics(('complaint_rate', 'avg_satisfaction', 'avg_delay_minutes'))}
+FROM an WHERE {WHERE_DEFAULT} AND service_disruption IS NOT NULL GROUP BY 1""")

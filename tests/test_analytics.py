@@ -148,8 +148,9 @@ def test_routing_cases(spark):
 def test_streaming_matches_batch(spark, smoke_source, tmp_path):
     src_dir = str(tmp_path / "in")
     smoke_source.journeys.write.parquet(src_dir)
-    stream = spark.readStream.schema(smoke_source.journeys.schema).parquet(src_dir)
-    from wayfarer.streaming.feed import valid_enriched_stream
+    from wayfarer.streaming.feed import read_feed_stream, valid_enriched_stream
+    stream = read_feed_stream(spark, src_dir, smoke_source.journeys.schema,
+                              max_files_per_trigger=2)
     q = (valid_enriched_stream(stream).writeStream.format("memory").queryName("valid_rows")
          .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start())
     q.processAllAvailable()

@@ -586,3 +586,9 @@ def _kpi_compare_last_90_days(src):
     b = src.analytics.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     state = FilterState.from_preset("Last 90 days", (b.lo or C.AS_OF, b.hi or C.AS_OF))
     return kpis.compare_periods(src.analytics, state)
+
+
+@register("disruption_comparison")
+def _disruption_comparison(src):
+    """A10: disrupted vs normal journeys - complaints, satisfaction, delay."""
+    return kpis.disruption_comparison(src.analytics, default_filter())

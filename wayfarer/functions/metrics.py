@@ -116,9 +116,3 @@ def np_round(col: Column | str, digits: int) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     scale = float(10 ** digits)
     return F.bround(col * F.lit(scale), 0) / F.lit(scale)
-
-
-def metric_meta_rows(keys: Iterable[str]) -> list[tuple]:
-    """(metric, label, unit, lower_is_better, compare_as_points, position)."""
-    return [(k, METRICS[k].label, METRICS[k].unit, METRICS[k].lower_is_better,
-             METRICS[k].compare_as_points, i) for i, k in enumerate(check_keys(keys))]

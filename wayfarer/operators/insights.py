@@ -32,10 +32,6 @@ def first_by(row: Column, *keys: Column) -> Column:
     return F.min_by(row, F.struct(*keys))
 
 
-def _labels(keys) -> Column:
-    return F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(METRICS[k].label))])
-
-
 def kpi_movement(analytics: DataFrame, filters: FilterState) -> DataFrame:
     """Headline KPIs that moved by >= 3 % against the previous period."""
     cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
-from ..functions.metrics import np_round
+from ..functions.metrics import np_round, share
 from ..plans.filters import FilterState
 from .kpis import _where
 
@@ -32,8 +32,9 @@ def customer_features(analytics: DataFrame, filters: FilterState | None,
                       min_journeys: int = 3) -> DataFrame:
     """A8 + A9: one row per customer (>= min journeys, NULL id dropped)."""
     n = F.count(F.lit(1))
-    shares = [(F.lit(100.0) * F.count(F.when(F.col(flag), 1)) / F.nullif(n, F.lit(0))).alias(k)
-              for k, flag in SHARE_FLAGS.items()]
+    # shares divide by all journeys (a NULL flag counts as "no"), unlike the
+    # null-aware registry rates; on-time performance stays null-aware
+    shares = [share(flag).alias(k) for k, flag in SHARE_FLAGS.items()]
     otp = (F.lit(100.0) * F.count(F.when(F.col("on_time"), 1))
            / F.nullif(F.count("on_time"), F.lit(0)))
     g = (_where(analytics, filters)
