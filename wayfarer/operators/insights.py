@@ -361,19 +361,43 @@ def data_quality_notice(raw: DataFrame, analytics: DataFrame,
 
 
 def generate(raw: DataFrame, analytics: DataFrame, filters: FilterState, limit: int = 8,
-             include_quality: bool = True) -> DataFrame:
-    """I8: every generator, ranked by importance (desc) then key; top ``limit``."""
-    cube = insight_cube(analytics, filters)
-    parts = [kpi_movement(analytics, filters), all_dimension_movers(analytics, filters, cube),
-             _disruption_from_cube(cube), _peak_from_cube(cube), _complaints_from_cube(cube),
-             top_anomaly(analytics, filters)]
+             include_quality: bool = True, concurrent: bool = True) -> DataFrame:
+    """I8: every generator, ranked by importance (desc) then key; top ``limit``.
+
+    The generators are independent jobs over the same tables. With
+    ``concurrent`` they run as parallel Spark jobs (KPI movement, the anomaly
+    scan, data quality and the cube chain), each checkpointing its few result
+    rows to the shared folder; the feed is the union of those checkpoints."""
+    def cube_chain() -> DataFrame:
+        cube = insight_cube(analytics, filters)
+        return _union([all_dimension_movers(analytics, filters, cube),
+                       _disruption_from_cube(cube), _peak_from_cube(cube),
+                       _complaints_from_cube(cube)])
+
+    builders = [lambda: kpi_movement(analytics, filters), cube_chain,
+                lambda: top_anomaly(analytics, filters)]
     if include_quality:
-        parts.append(data_quality_notice(raw, analytics, filters))
+        builders.append(lambda: data_quality_notice(raw, analytics, filters))
+    if concurrent:
+        from concurrent.futures import ThreadPoolExecutor
+
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(analytics.sparkSession)
+        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+            parts = list(pool.map(
+                lambda b: b().select(*INSIGHT_COLUMNS).coalesce(1).checkpoint(eager=True),
+                builders))
+    else:
+        parts = [b() for b in builders]
+    ranked = _union(parts).orderBy(F.col("importance").desc(), F.col("key"))
+    return ranked.limit(limit) if limit else ranked
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0].select(*INSIGHT_COLUMNS)
     for p in parts[1:]:
         out = out.unionByName(p.select(*INSIGHT_COLUMNS))
-    ranked = out.orderBy(F.col("importance").desc(), F.col("key"))
-    return ranked.limit(limit) if limit else ranked
+    return out
 
 
 def executive_brief(raw: DataFrame, analytics: DataFrame, filters: FilterState) -> DataFrame:
