@@ -102,6 +102,10 @@ GROUPING_COLUMNS = (
 )
 GRAIN_COLUMNS = {"day": "date", "week": "week_start", "month": "month_start"}
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES - metric sets, record columns, profiled fields, anomaly floors,
+# segmentation rules and phrases, insight categories, routing keywords
+# ---------------------------------------------------------------------------
 # Default metric sets.
 HEADLINE_KPIS = (
     "total_journeys", "active_customers", "avg_satisfaction",
@@ -194,7 +198,8 @@ CATEGORY_DEMAND = "Demand"
 CATEGORY_OPERATIONS = "Operations"
 CATEGORY_QUALITY = "Data quality"
 
-# Question routing: tools in registry order (order breaks ties) and their keywords.
+# Question routing: tools in registry order (order breaks ties) and their
+# keywords; segment tokens.
 ROUTING_TOOLS = (
     ("get_kpi_summary", ("summar", "overview", "how are we", "performance", "current",
                          "kpi", "headline", "overall")),
