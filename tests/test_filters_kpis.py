@@ -86,3 +86,13 @@ def test_presets_clamp_to_first_day():
     assert resolve_preset("Last 90 days", (first, last)) == (first, last)
     assert resolve_preset("Last 30 days", (dt.date(2025, 1, 1), last)) == (dt.date(2026, 6, 1), last)
     assert resolve_preset("All available data", (first, last)) == (first, last)
+
+
+def test_percentile_sketch_switch(source, monkeypatch):
+    """EXACT_PERCENTILES=False swaps the exact map-based percentile for the
+    bounded-memory sketch; on this data it lands on the exact order statistic."""
+    f = FilterState.default()
+    exact = kpis.compute_metrics(source.analytics, f, ["p90_delay_minutes"]).first()[0]
+    monkeypatch.setattr(C, "EXACT_PERCENTILES", False)
+    approx = kpis.compute_metrics(source.analytics, f, ["p90_delay_minutes"]).first()[0]
+    assert abs(approx - exact) <= 0.5
