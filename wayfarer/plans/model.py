@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -151,6 +152,7 @@ def analytics_from_journeys(journeys: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _CACHE: dict[tuple[str, str], "JourneySource"] = {}
+_CACHE_LOCK = threading.Lock()
 
 
 @dataclass
@@ -173,14 +175,20 @@ class JourneySource:
                       materialize: bool = True) -> "JourneySource":
         from ..sources.testdata import journey_feed
         sf_dir = os.path.abspath(sf_dir)
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if materialize and key in _CACHE:
-            return _CACHE[key]
-        feed = journey_feed(spark, sf_dir)
         if not materialize:
-            src = cls.from_journeys(spark, feed, origin="testdata")
+            src = cls.from_journeys(spark, journey_feed(spark, sf_dir), origin="testdata")
             src.sf_dir = sf_dir
             return src
+        key = (spark.sparkContext.applicationId, sf_dir)
+        with _CACHE_LOCK:            # one materialisation per (application, tables)
+            if key not in _CACHE:
+                _CACHE[key] = cls._materialise(spark, sf_dir)
+            return _CACHE[key]
+
+    @classmethod
+    def _materialise(cls, spark: SparkSession, sf_dir: str) -> "JourneySource":
+        from ..sources.testdata import journey_feed
+        feed = journey_feed(spark, sf_dir)
         root = ensure_checkpoint_dir(spark).rstrip("/")
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         base = f"{root}/wayfarer-{tag}-{uuid.uuid4().hex[:8]}"
@@ -195,9 +203,7 @@ class JourneySource:
          .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/analytics"))
         analytics = spark.read.parquet(f"{base}/analytics").select(
             *C.JOURNEY_COLUMNS, *C.DERIVED_COLUMNS, *C.DIMENSION_ATTRIBUTE_COLUMNS)
-        src = cls(spark, journeys, raw, analytics, "testdata", sf_dir)
-        _CACHE[key] = src
-        return src
+        return cls(spark, journeys, raw, analytics, "testdata", sf_dir)
 
     def enriched_with_dimensions(self) -> DataFrame:
         from ..sources.testdata import customer_dim, service_line_dim
