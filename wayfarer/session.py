@@ -8,6 +8,24 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (WAYFARER_PROFILE=cluster): start with many
+# shuffle partitions and let AQE coalesce them to ~256 MB each; split skewed
+# partitions (a hot key) at 5x the median; read ~256 MB parquet splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "wayfarer",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """A session tuned for the engine's plans (local runs; a cluster passes its own)."""
@@ -26,6 +44,9 @@ def build_session(master: str | None = None, app: str = "wayfarer",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
+    if os.environ.get("WAYFARER_PROFILE") == "cluster":
+        for key, value in CLUSTER_CONF.items():
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
