@@ -9,11 +9,14 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import config as C
-from .operators import kpis
+from .operators import anomalies, insights, kpis, quality, records, routing, segmentation, trends
 from .plans.filters import FilterState
 from .plans.model import JourneySource, source_for
+from .sources import feeds
+from .sources.testdata import planted_windows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,11 +78,7 @@ for _name, _dim in _BREAKDOWNS.items():
 # ---------------------------------------------------------------------------
 # Sources, enrichment, filters
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from .operators import records, trends  # noqa: E402
-from .plans import model  # noqa: E402
-from .sources import feeds  # noqa: E402
 
 FILTERED = dict(regions=("ASIA", "EUROPE"), transport_modes=("Bus", "Metro"),
                 time_bands=("AM Peak", "PM Peak", "Off-Peak"))
@@ -289,7 +288,6 @@ def _top_service_lines(src):
 # ---------------------------------------------------------------------------
 # Data quality (Q1-Q8) - on the raw enriched rows
 # ---------------------------------------------------------------------------
-from .operators import quality, segmentation  # noqa: E402
 
 
 @register("dq_checks")
@@ -396,8 +394,6 @@ def _cluster_rule_crosstab(src):
 # ---------------------------------------------------------------------------
 # Anomalies
 # ---------------------------------------------------------------------------
-from .operators import anomalies  # noqa: E402
-from .sources.testdata import planted_windows  # noqa: E402
 
 
 @register("anomaly_daily_frame")
@@ -469,8 +465,6 @@ def _anomaly_window_recall(src):
 # ---------------------------------------------------------------------------
 # Insights and reports (I1-I18), routing
 # ---------------------------------------------------------------------------
-from .operators import insights, routing  # noqa: E402
-from .sources.testdata import table  # noqa: E402
 
 
 @register("insight_kpi_movement")
