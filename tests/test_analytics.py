@@ -171,3 +171,22 @@ def test_insight_cube_matches_direct_aggregates(source):
             == insights.disruption_impact(source.analytics, f).collect())
     assert (insights._complaints_from_cube(cube).collect()
             == insights.complaint_concentration(source.analytics, f).collect())
+
+
+def test_elbow_and_crosstab(source):
+    feats = segmentation.customer_features(source.analytics, FilterState.default())
+    curve = segmentation.inertia_curve(feats, k_values=(2, 3, 4), n_init=2).collect()
+    assert [r.k for r in curve] == [2, 3, 4]
+    assert all(r.inertia > 0 and -1 <= r.silhouette <= 1 for r in curve)
+    assert curve[-1].inertia <= curve[0].inertia
+    clustered = segmentation.cluster_customers(feats, k=3, n_init=2)
+    cross = segmentation.cluster_rule_crosstab(clustered)
+    assert set(cross.columns) == {"cluster_label", *C.CUSTOMER_SEGMENTS}
+    total = sum(sum(r[s] for s in C.CUSTOMER_SEGMENTS) for r in cross.collect())
+    assert total == feats.count()
+
+
+def test_too_few_customers_gives_no_clusters(spark, source):
+    feats = segmentation.customer_features(source.analytics, FilterState.default()).limit(3)
+    assert segmentation.cluster_customers(feats, k=4, n_init=1).count() == 0
+    assert segmentation.inertia_curve(feats, n_init=1).count() == 0
