@@ -193,13 +193,17 @@ class JourneySource:
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         base = f"{root}/wayfarer-{tag}-{uuid.uuid4().hex[:8]}"
         # raw feed stored by month too: date selections on raw rows (data
-        # quality) prune partitions like the analytics table does
+        # quality) prune partitions like the analytics table does. The
+        # REBALANCE hint lets AQE shape the write by month - hot months split,
+        # small ones coalesced - instead of every task writing a file per month
         (feed.select("*", F.trunc("date", "month").alias("month_start"))
+         .hint("rebalance", "month_start")
          .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/journeys"))
         stored = spark.read.parquet(f"{base}/journeys")
         journeys = stored.select(*C.JOURNEY_COLUMNS)
         raw = enrich(stored, stored_month=True)
-        (analytics_from_journeys(journeys).sortWithinPartitions("date")
+        (analytics_from_journeys(journeys).hint("rebalance", "month_start")
+         .sortWithinPartitions("date")
          .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/analytics"))
         analytics = spark.read.parquet(f"{base}/analytics").select(
             *C.JOURNEY_COLUMNS, *C.DERIVED_COLUMNS, *C.DIMENSION_ATTRIBUTE_COLUMNS)
