@@ -42,8 +42,11 @@ def route(questions: DataFrame, text_col: str = "question") -> DataFrame:
         scores.append((name, total))
     best = F.greatest(*[s for _, s in scores])
     winner = _first([(s == best, name) for name, s in scores])
-    region = _first([(low.rlike(_word_pattern(r)), r) for r in C.REGIONS])
-    mode = _first([(low.rlike(_word_pattern(m)), m) for m in C.TRANSPORT_MODES])
+    def whole_word(term: str) -> Column:
+        # cheap substring test first; the regex only runs on candidate texts
+        return (F.instr(low, term.lower()) > 0) & low.rlike(_word_pattern(term))
+    region = _first([(whole_word(r), r) for r in C.REGIONS])
+    mode = _first([(whole_word(m), m) for m in C.TRANSPORT_MODES])
     hits = []
     for seg, tokens in C.SEGMENT_TOKENS:
         cond = None
