@@ -83,6 +83,11 @@ for _name, _dim in {
     "metrics_by_purpose": "journey_purpose",
     "metrics_by_time_band": "time_band",
     "metrics_by_complaint_category": "complaint_category",
+    "metrics_by_age_group": "age_group",
+    "metrics_by_fare_type": "fare_type",
+    "metrics_by_origin_region": "origin_region",
+    "metrics_by_destination_region": "destination_region",
+    "metrics_by_feedback_category": "feedback_text_category",
 }.items():
     ORACLES[_name] = q(breakdown_sql(_dim))
 
