@@ -190,3 +190,55 @@ def test_too_few_customers_gives_no_clusters(spark, source):
     feats = segmentation.customer_features(source.analytics, FilterState.default()).limit(3)
     assert segmentation.cluster_customers(feats, k=4, n_init=1).count() == 0
     assert segmentation.inertia_curve(feats, n_init=1).count() == 0
+
+
+def test_baselines_match_pandas_rolling(source):
+    """Trailing baselines equal pandas' shift(1).rolling(28, min_periods=14) on the
+    collected daily frame (days x regions - small by construction)."""
+    import numpy as np
+    import pandas as pd
+    f = FilterState.default()
+    _, needed = anomalies.needed_metrics(None)
+    daily = anomalies.daily_frame(source.analytics, f, "region", 35, needed).toPandas()
+    base = anomalies.baseline_table(source.analytics, f, "region", "rolling_z").toPandas()
+    base = base[base.metric == "avg_delay_minutes"].set_index(["dimension_value", "period"])
+    checked = 0
+    for scope, g in daily.groupby("dimension_value"):
+        g = g.sort_values("period").reset_index(drop=True)
+        trailing = g["avg_delay_minutes"].shift(1).rolling(28, min_periods=14)
+        mean, sd = trailing.mean(), trailing.std(ddof=0).replace(0, np.nan)
+        z = (g["avg_delay_minutes"] - mean) / sd
+        for i, row in g.iterrows():
+            if row.period < f.start_date:
+                continue
+            got = base.loc[(scope, row.period)]
+            for want, have in ((mean[i], got.expected), (z[i], got.z_score)):
+                if pd.isna(want):
+                    assert have is None or pd.isna(have)
+                else:
+                    assert abs(want - have) < 1e-5
+            checked += 1
+    assert checked == 5 * 60
+
+
+def test_iqr_baselines_match_pandas_rolling(source):
+    import pandas as pd
+    f = FilterState.default()
+    _, needed = anomalies.needed_metrics(None)
+    daily = anomalies.daily_frame(source.analytics, f, "region", 35, needed).toPandas()
+    base = anomalies.baseline_table(source.analytics, f, "region", "iqr").toPandas()
+    base = base[base.metric == "complaint_rate"].set_index(["dimension_value", "period"])
+    for scope, g in daily.groupby("dimension_value"):
+        g = g.sort_values("period").reset_index(drop=True)
+        trailing = g["complaint_rate"].shift(1).rolling(28, min_periods=14)
+        q1, med, q3 = trailing.quantile(0.25), trailing.median(), trailing.quantile(0.75)
+        for i, row in g.iterrows():
+            if row.period < f.start_date:
+                continue
+            got = base.loc[(scope, row.period)]
+            for want, have in ((med[i], got.expected), (q1[i] - 1.5 * (q3[i] - q1[i]), got.lower_bound),
+                               (q3[i] + 1.5 * (q3[i] - q1[i]), got.upper_bound)):
+                if pd.isna(want):
+                    assert have is None or pd.isna(have)
+                else:
+                    assert abs(want - have) < 1e-5
