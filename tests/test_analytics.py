@@ -242,3 +242,38 @@ def test_iqr_baselines_match_pandas_rolling(source):
                     assert have is None or pd.isna(have)
                 else:
                     assert abs(want - have) < 1e-5
+
+
+def test_customer_features_match_pandas(source):
+    import pandas as pd
+    f = FilterState.default()
+    rows = source.analytics.where(f.column()).where(F.col("customer_id").isNotNull()).select(
+        "customer_id", "date", "transport_mode", "region", "delay_minutes",
+        "customer_satisfaction", "complaint_flag", "is_peak", "digital_interaction",
+        "accessibility_service_used", "on_time", "channel").toPandas()
+    g = rows.groupby("customer_id")
+    share = lambda c: 100.0 * g[c].apply(lambda s: (s == True).sum()) / g.size()  # noqa: E712,E731
+    pdf = pd.DataFrame({
+        "journeys": g.size(), "active_days": g["date"].nunique(),
+        "modes_used": g["transport_mode"].nunique(), "regions_used": g["region"].nunique(),
+        "avg_delay_minutes": g["delay_minutes"].mean().round(2),
+        "avg_satisfaction": g["customer_satisfaction"].mean().round(2),
+        "complaint_rate": share("complaint_flag").round(1),
+        "peak_share": share("is_peak").round(1),
+        "first": g["date"].min(), "last": g["date"].max(),
+    })
+    pdf = pdf[pdf.journeys >= 3]
+    span = (pd.to_datetime(pdf["last"]) - pd.to_datetime(pdf["first"])).dt.days.clip(lower=6) + 1
+    pdf["journeys_per_week"] = (pdf["journeys"] / span * 7).round(2)
+    spark_rows = {r.customer_id: r for r in
+                  segmentation.customer_features(source.analytics, f).collect()}
+    assert set(spark_rows) == set(pdf.index)
+    for cid, want in pdf.iterrows():
+        got = spark_rows[cid]
+        for col in ("journeys", "active_days", "modes_used", "regions_used", "avg_delay_minutes",
+                    "complaint_rate", "peak_share", "journeys_per_week"):
+            assert getattr(got, col) == want[col], (cid, col, getattr(got, col), want[col])
+        if pd.isna(want["avg_satisfaction"]):
+            assert got.avg_satisfaction is None
+        else:
+            assert got.avg_satisfaction == want["avg_satisfaction"]
