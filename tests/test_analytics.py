@@ -277,3 +277,21 @@ def test_customer_features_match_pandas(source):
             assert got.avg_satisfaction is None
         else:
             assert got.avg_satisfaction == want["avg_satisfaction"]
+
+
+def test_kmeans_assignment_is_a_lloyd_fixed_point(smoke_source):
+    """Brute force on the small fixture: every customer sits in the cluster whose
+    centroid (mean of its members' standardised vectors) is nearest."""
+    import numpy as np
+    feats = segmentation.customer_features(smoke_source.analytics, None)
+    clustered = segmentation.cluster_customers(feats, k=3, n_init=3)
+    std = segmentation.standardised_features(feats, digits=None)
+    rows = std.join(clustered.select("customer_id", "cluster"), "customer_id").collect()
+    x = np.array([[r[c] for c in C.CLUSTER_FEATURES] for r in rows], dtype=float)
+    lab = np.array([r.cluster for r in rows])
+    assert set(lab) == {0, 1, 2}
+    centres = np.array([x[lab == k].mean(axis=0) for k in range(3)])
+    dist = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    nearest = dist.min(axis=1)
+    own = dist[np.arange(len(lab)), lab]
+    assert np.all(own <= nearest + 1e-6)
