@@ -295,3 +295,15 @@ def test_kmeans_assignment_is_a_lloyd_fixed_point(smoke_source):
     nearest = dist.min(axis=1)
     own = dist[np.arange(len(lab)), lab]
     assert np.all(own <= nearest + 1e-6)
+
+
+def test_single_config_movers_agree_with_feed_pipeline(source):
+    f = FilterState.default()
+    allm = {r.key: r for r in insights.all_dimension_movers(source.analytics, f).collect()}
+    single = {}
+    for cfg in insights.MOVER_CONFIGS:
+        for r in insights.dimension_movers(source.analytics, f, *cfg).collect():
+            single[r.key] = r
+    assert set(allm) == set(single)
+    for k in allm:
+        assert allm[k].asDict() == single[k].asDict()
