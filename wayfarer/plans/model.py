@@ -163,6 +163,8 @@ class JourneySource:
     analytics: DataFrame         # valid + de-duplicated enriched rows
     origin: str = "testdata"
     sf_dir: str | None = None
+    base: str | None = None                      # folder of the materialised tables
+    _dims: tuple[DataFrame, DataFrame] | None = None
 
     @classmethod
     def from_journeys(cls, spark: SparkSession, journeys: DataFrame,
@@ -207,14 +209,29 @@ class JourneySource:
          .write.mode("overwrite").partitionBy("month_start").parquet(f"{base}/analytics"))
         analytics = spark.read.parquet(f"{base}/analytics").select(
             *C.JOURNEY_COLUMNS, *C.DERIVED_COLUMNS, *C.DIMENSION_ATTRIBUTE_COLUMNS)
-        return cls(spark, journeys, raw, analytics, "testdata", sf_dir)
+        return cls(spark, journeys, raw, analytics, "testdata", sf_dir, base)
 
-    def enriched_with_dimensions(self) -> DataFrame:
+    def dimensions(self) -> tuple[DataFrame, DataFrame]:
+        """The two dimension tables of the star schema (customers, service
+        lines), written once next to the fact tables on first use."""
         from ..sources.testdata import customer_dim, service_line_dim
+        with _CACHE_LOCK:
+            if self._dims is None:
+                base = self.base or (ensure_checkpoint_dir(self.spark).rstrip("/")
+                                     + f"/wayfarer-dims-{uuid.uuid4().hex[:8]}")
+                customer_dim(self.spark, self.sf_dir).write.mode("overwrite") \
+                    .parquet(f"{base}/customers")
+                service_line_dim(self.spark).write.mode("overwrite") \
+                    .parquet(f"{base}/service_lines")
+                self._dims = (self.spark.read.parquet(f"{base}/customers"),
+                              self.spark.read.parquet(f"{base}/service_lines"))
+            return self._dims
+
+    def enriched_with_dimensions(self) -> DataFrame:
         if self.sf_dir is None:
             return self.raw
-        return enrich(self.journeys, customer_dim(self.spark, self.sf_dir),
-                      service_line_dim(self.spark))
+        customers, lines = self.dimensions()
+        return enrich(self.journeys, customers, lines)
 
 
 def source_for(spark: SparkSession, sf_dir: str) -> JourneySource:
