@@ -187,6 +187,15 @@ class JourneySource:
                 _CACHE[key] = cls._materialise(spark, sf_dir)
             return _CACHE[key]
 
+    @classmethod
+    def rebuild(cls, spark: SparkSession, sf_dir: str) -> "JourneySource":
+        """Materialise again (fresh folder) and make it the cached source."""
+        sf_dir = os.path.abspath(sf_dir)
+        src = cls._materialise(spark, sf_dir)
+        with _CACHE_LOCK:
+            _CACHE[(spark.sparkContext.applicationId, sf_dir)] = src
+        return src
+
     @classmethod
     def _materialise(cls, spark: SparkSession, sf_dir: str) -> "JourneySource":
         from ..sources.testdata import journey_feed
