@@ -98,3 +98,31 @@ def test_dedup_and_metrics_match_brute_force(spark, rows):
             assert math.isclose(value, 100.0 * sum(known) / len(known))
         else:
             assert value is None
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(ROW, min_size=1, max_size=25))
+def test_quality_rule_counts_match_brute_force(spark, rows):
+    from wayfarer.operators import quality
+    df = feeds.canonicalise(spark.createDataFrame(
+        rows, "journey_id string, customer_id string, date date, timestamp timestamp_ntz, "
+              "transport_mode string, delay_minutes double, customer_satisfaction double, "
+              "complaint_flag boolean, on_time boolean, journey_duration_minutes double"))
+    src = JourneySource.from_journeys(spark, df)
+    got = {r.check_key: r.failed_rows for r in quality.checks(src.raw, None).collect()}
+    sat = [r["customer_satisfaction"] for r in rows]
+    dur = [r["journey_duration_minutes"] for r in rows]
+    delay = [r["delay_minutes"] for r in rows]
+    want = {
+        "null_customer_id": sum(r["customer_id"] is None for r in rows),
+        "missing_region": len(rows),                      # no region column in the feed
+        "missing_satisfaction": sum(s is None for s in sat),
+        "invalid_satisfaction": sum(s is not None and (s < 1 or s > 5) for s in sat),
+        "negative_duration": sum(d is not None and d <= 0 for d in dur),
+        "implausible_duration": sum(d is not None and d > 240 for d in dur),
+        "invalid_delay": sum(d is None or d < 0 or d > 180 for d in delay),
+        "invalid_transport_mode": sum(r["transport_mode"] not in C.TRANSPORT_MODES for r in rows),
+        "duplicate_journey_id": len(rows) - len({r["journey_id"] for r in rows
+                                                 if r["journey_id"] is not None}),
+    }
+    assert got == want
