@@ -126,3 +126,44 @@ def test_quality_rule_counts_match_brute_force(spark, rows):
                                                  if r["journey_id"] is not None}),
     }
     assert got == want
+
+
+def _route_brute(question):
+    import re
+    low = (question or "").lower().strip()
+    if not low:
+        return C.DEFAULT_TOOL, None, None, None, None
+    scores = {name: sum(len(k) for k in kws if k in low) for name, kws in C.ROUTING_TOOLS}
+    best = max(scores.values())
+    tool = next(n for n, _ in C.ROUTING_TOOLS if scores[n] == best) if best else C.DEFAULT_TOOL
+    region = next((r for r in C.REGIONS if re.search(rf"\b{r.lower()}\b", low)), None)
+    mode = next((m for m in C.TRANSPORT_MODES if re.search(rf"\b{m.lower()}\b", low)), None)
+    segs = [s for s, toks in C.SEGMENT_TOKENS if any(t in low for t in toks)]
+    a = segs[0] if segs else None
+    b = segs[1] if len(segs) > 1 else None
+    if b is not None and best:
+        tool = "compare_segments"
+    return tool, region, mode, a, b
+
+
+WORDS = st.sampled_from([k for _, kws in C.ROUTING_TOOLS for k in kws]
+                        + [r.lower() for r in C.REGIONS] + ["Light Rail", "ferry", "regional",
+                                                           "eastern", "x", "the", "1", "_west"])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(WORDS, max_size=6).map(" ".join), min_size=1, max_size=30))
+def test_routing_matches_brute_force(spark, questions):
+    from wayfarer.operators import routing
+    df = spark.createDataFrame([(q,) for q in questions], "question string")
+    for q, r in zip(questions, routing.route(df).collect()):
+        assert (r.tool, r.region, r.transport_mode, r.segment_a, r.segment_b) == _route_brute(q), q
+
+
+def test_routing_matches_brute_force_on_conversations(spark, source):
+    from wayfarer.operators import routing
+    from wayfarer.sources.testdata import table
+    out = routing.route(routing.user_questions(table(spark, source.sf_dir, "conversations")))
+    for r in out.collect():
+        assert (r.tool, r.region, r.transport_mode, r.segment_a, r.segment_b) == \
+            _route_brute(r.question), r.question[:80]
