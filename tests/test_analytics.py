@@ -307,3 +307,24 @@ def test_single_config_movers_agree_with_feed_pipeline(source):
     assert set(allm) == set(single)
     for k in allm:
         assert allm[k].asDict() == single[k].asDict()
+
+
+def test_calendar_and_rolling_match_pandas(source):
+    import pandas as pd
+    from wayfarer.operators import trends
+    f = FilterState.create(dt.date(2026, 5, 2), dt.date(2026, 6, 30), regions=["ASIA"],
+                           transport_modes=["Ferry"], time_bands=["AM Peak"])
+    daily = trends.time_series(source.analytics, f, "day")
+    filled = trends.fill_calendar(daily)
+    rolled = trends.add_rolling(filled, "avg_delay_minutes").toPandas()
+    pdf = daily.toPandas()
+    pdf["period"] = pd.to_datetime(pdf["period"])
+    cal = pd.date_range(pdf["period"].min(), pdf["period"].max(), freq="D")
+    pdf = pdf.set_index("period").reindex(cal)
+    want = pdf["avg_delay_minutes"].rolling(window=7, min_periods=2).mean()
+    assert len(rolled) == len(cal) and rolled["total_journeys"].isna().sum() == pdf["total_journeys"].isna().sum()
+    for got, exp in zip(rolled["avg_delay_minutes_rolling"], want):
+        if pd.isna(exp):
+            assert got is None or pd.isna(got)
+        else:
+            assert abs(got - exp) < 1e-6
