@@ -83,3 +83,17 @@ def test_dimensions_joined(smoke_source):
     assert df.count() == smoke_source.raw.count()
     assert df.where(F.col("customer_id").isNotNull()
                     & F.col("customer_home_region").isNull()).count() == 0
+
+
+def test_text_timestamps_and_numbers_parse(spark):
+    df = spark.createDataFrame(
+        [("J1", "2026-06-01", "2026-06-01 08:15:00", "3.5", "NaN"),
+         ("J2", "2026-06-02", "not a time", "x", "4")],
+        "journey_id string, date string, timestamp string, delay_minutes string, "
+        "customer_satisfaction string")
+    rows = {r.journey_id: r for r in feeds.canonicalise(df).collect()}
+    assert rows["J1"].timestamp == dt.datetime(2026, 6, 1, 8, 15)
+    assert rows["J2"].timestamp is None            # present column: no default to the date
+    assert rows["J1"].delay_minutes == 3.5 and rows["J2"].delay_minutes is None
+    assert rows["J1"].customer_satisfaction is None and rows["J2"].customer_satisfaction == 4.0
+    assert rows["J1"].on_time is True and rows["J2"].on_time is False
