@@ -328,3 +328,16 @@ def test_calendar_and_rolling_match_pandas(source):
             assert got is None or pd.isna(got)
         else:
             assert abs(got - exp) < 1e-6
+
+
+def test_stream_lands_as_month_partitioned_table(spark, smoke_source, tmp_path):
+    from wayfarer.plans.model import valid_predicate
+    from wayfarer.streaming.feed import land, read_feed_stream, valid_enriched_stream
+    src_dir = str(tmp_path / "in")
+    smoke_source.journeys.write.parquet(src_dir)
+    stream = valid_enriched_stream(read_feed_stream(spark, src_dir, smoke_source.journeys.schema))
+    q = land(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination(300)
+    landed = spark.read.parquet(str(tmp_path / "out"))
+    assert "month_start" in landed.columns
+    assert landed.count() == smoke_source.raw.where(valid_predicate()).count()
