@@ -649,7 +649,11 @@ SELECT count(*) AS total_detected, count(*) FILTER (WHERE adverse) AS adverse_de
        count(*) FILTER (WHERE severity = 'High') AS high_severity,
        coalesce(string_agg(DISTINCT scope, ', ' ORDER BY scope) FILTER (WHERE adverse), '')
            AS scopes_affected,
-       min(period) AS first_period, max(period) AS last_period
+       min(period) AS first_period, max(period) AS last_period,
+       (SELECT coalesce(string_agg(statement, ' | '
+                                   ORDER BY abs(z_score) DESC, period DESC, metric, scope), '')
+        FROM (SELECT * FROM ({_b}) WHERE adverse
+              ORDER BY abs(z_score) DESC, period DESC, metric, scope LIMIT 5)) AS most_severe
 FROM ({_b})""", _c)
 ORACLES["anomaly_series"] = q(f"""
 SELECT period, {npround('value', 6)} AS value, {npround('expected', 6)} AS expected,

@@ -202,9 +202,22 @@ def companions(analytics: DataFrame, filters: FilterState, dimension: str | None
                          F.coalesce(noted, F.lit(False)).alias("noted"))
 
 
-def summarise(detections: DataFrame) -> DataFrame:
-    """Totals, adverse count, high-severity count, adverse scopes, date range."""
-    return detections.agg(
+def summarise(detections: DataFrame, top_n: int = 5) -> DataFrame:
+    """Totals, adverse count, high-severity count, adverse scopes, date range,
+    and the ``top_n`` most severe adverse statements (a top-k, then joined)."""
+    from ..sources.feeds import combine_rows
+    top = (detections.where(F.col("adverse"))
+           .orderBy(F.abs(F.col("z_score")).desc(), F.col("period").desc(), F.col("metric"),
+                    F.col("scope"))
+           .limit(top_n)
+           .select(F.struct(-F.abs(F.col("z_score")).alias("a"),
+                            (-F.unix_date(F.col("period"))).alias("p"),
+                            "metric", "scope", "statement").alias("s")))
+    # <= top_n rows: collected and re-sorted in the same order as the top-k
+    most_severe = top.agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list("s")), lambda x: x["statement"]), " | ")
+        .alias("most_severe"))
+    counts = detections.agg(
         F.count(F.lit(1)).alias("total_detected"),
         F.count(F.when(F.col("adverse"), 1)).alias("adverse_detected"),
         F.count(F.when(F.col("severity") == "High", 1)).alias("high_severity"),
@@ -212,6 +225,7 @@ def summarise(detections: DataFrame) -> DataFrame:
                      ", ").alias("scopes_affected"),
         F.min("period").alias("first_period"),
         F.max("period").alias("last_period"))
+    return combine_rows(counts, most_severe)
 
 
 def series(analytics: DataFrame, filters: FilterState, metric: str,
