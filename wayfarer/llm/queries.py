@@ -8,7 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.llm import common as C
-from wayfarer.llm import decontaminate
+from wayfarer.llm import decontaminate, substring_dedup
+
+
+def op3_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(
+        substring_dedup.remove_repeats(C.table(spark, sf_dir, "documents"), span=35, k=8))
 
 
 def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +23,7 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {
+    "op3_relative_lz_substring_dedup": op3_relative_lz_substring_dedup,
     "op10_winnowing_decontamination": op10_winnowing_decontamination,
 }
 
