@@ -165,10 +165,12 @@ def find_repeats(docs: DataFrame, span: int, k: int) -> DataFrame:
     """doc_id, doc_key and the repeated windows: ``n`` from word ``lo`` on, all of
     them (mask -1) or those whose bit of ``mask`` is set."""
     found = docs.mapInArrow(lambda it: phrases(it, span, k), _PHRASES_DDL)
-    groups = (found.groupBy("anchor")
-              .agg(F.count(F.lit(1)).alias("rows"), F.min("phrase").alias("a"),
-                   F.max("phrase").alias("b"))
-              .where("rows > 1").select("anchor", (F.col("a") == F.col("b")).alias("uniform")))
+    # Stored, as are the counts below: a join against a fresh exchange on either
+    # side lets Spark split the rows of one hot anchor over many tasks.
+    groups = C.stored(
+        found.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("phrase").alias("a"), F.max("phrase").alias("b"))
+        .where("rows > 1").select("anchor", (F.col("a") == F.col("b")).alias("uniform")), "anchors")
     near = C.stored(found.join(groups, "anchor"), "phrases")
     mixed = near.where("not uniform")
     kinds = C.stored(mixed.groupBy("anchor", "phrase")
@@ -184,7 +186,8 @@ def find_repeats(docs: DataFrame, span: int, k: int) -> DataFrame:
              .agg(F.collect_list(F.struct("anchor", "pid", "lo", "n")).alias("asked")))
     rows = C.stored(_with(docs, asked, "inner", "asked")
                     .mapInArrow(lambda it: windows(it, span), _WINDOWS_DDL), "windows")
-    again = rows.groupBy("anchor", "window").count().where("count > 1").select("anchor", "window")
+    again = C.stored(rows.groupBy("anchor", "window").count().where("count > 1")
+                     .select("anchor", "window"), "again")
     masks = (rows.join(again, ["anchor", "window"], "left_semi")
              .groupBy("anchor", "pid").agg(F.bit_or(F.expr("shiftleft(1L, off)")).alias("mask")))
     parts = (kinds.where("rows = 1")
