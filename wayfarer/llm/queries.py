@@ -8,7 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.llm import common as C
-from wayfarer.llm import decontaminate, substring_dedup
+from wayfarer.llm import decontaminate, minhash, substring_dedup
+
+
+def op1_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (minhash.find_near_duplicates(C.table(spark, sf_dir, "documents"), k=2, percent=80)
+            .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
 def op3_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,7 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {
+    "op1_setsketch_near_dedup": op1_setsketch_near_dedup,
     "op3_relative_lz_substring_dedup": op3_relative_lz_substring_dedup,
     "op10_winnowing_decontamination": op10_winnowing_decontamination,
 }
