@@ -8,10 +8,12 @@ so bands of them are the buckets of the candidate search. Candidates are screene
 by the likelihood of the register comparison, given both set sizes, and confirmed
 on their full sets.
 
-No bucket is expanded into its pairs. Equal sets are one class from the start; the
-members of a bucket are compared with its smallest member; only those which are
-not linked to it are compared with the rest of the bucket, and only across
-components. That leaves the components exactly as all links would make them.
+No bucket is expanded into its pairs. Equal sets are one class from the start, and
+the members of a bucket are compared with one of them, its hub, drawn anew for
+every eighth of the bands. Where a bucket still holds several components, its
+members are compared across components by prefix filtering, which is exact: two
+sets that are similar enough share one of the rarest few shingles of either, and
+copies that differ too much have nothing but their own changes among those.
 """
 
 from __future__ import annotations
@@ -21,15 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfarer.llm import common as C
 from wayfarer.llm.components import components
 
 WORDS = "spaces_lower"
-# SetSketch parameters: registers, base, rate, largest value; rows in a band.
-REGISTERS, B, RATE, TOP, BAND = 128, 1.001, 20.0, 65535, 4
+# SetSketch parameters: registers, base, rate, largest value; registers in a band;
+# draws of a hub among the bands.
+REGISTERS, B, RATE, TOP, BAND, HUBS = 128, 1.001, 20.0, 65535, 4, 8
 
 
 def shingle_sets(w: C.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,15 +154,71 @@ def _screened(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.mapInArrow(screen, "a binary, b binary, j float")
 
 
+def _texts(names: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(v, text) for each class named in ``names`` (column v, distinct)."""
+    asked = (classes.join(names, "v", "left_semi")
+             .select("v", F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key")))
+    return (docs.join(asked, (F.col("doc_id") == F.col("_id")) & (F.col("doc_key") == F.col("_key")))
+            .select("v", "text"))
+
+
+_ITEMS = pa.schema([("who", pa.int64()), ("item", pa.int64())])
+
+
+def shingle_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for part in C.slices(batches, "text"):
+        values, offsets = shingle_sets(C.words_of(part, "text", WORDS), k)
+        yield C.arrow_rows({"who": np.repeat(part.column("who").to_numpy(), np.diff(offsets)),
+                            "item": values.view(np.int64)}, _ITEMS)
+
+
+def _across(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
+            percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different roots among ``named`` (v, n, root).
+
+    Shingles are ordered by the number of these sets that hold them. Two sets of n
+    and m shingles with enough in common share a shingle that is neither among the
+    last need - 1 of the one nor of the other, need being the common part that the
+    threshold asks for. A pair has an end outside the commonest root of that shingle,
+    so only those ends are matched with all others."""
+    named = C.stored(named.withColumn("who", F.xxhash64("v")), "named")
+    items = C.stored(_texts(named.select("v"), classes, docs).select(F.xxhash64("v").alias("who"), "text")
+                     .mapInArrow(lambda it: shingle_rows(it, k), "who long, item long"), "items")
+    held = C.stored(items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "held")
+    shared = items.join(held, "item")
+    rank = Window.partitionBy("who").orderBy(F.col("df").desc(), F.col("item").desc())
+    # rest: how many shingles of the set follow in the order.
+    prefix = (shared.withColumn("rest", F.row_number().over(rank) - 1)
+              .join(named, "who")
+              .where((F.col("rest") + 1) * 100 >= percent * F.col("n"))
+              .select("item", "v", "n", "root", "rest"))
+    prefix = C.stored(prefix, "prefix")
+    roots = prefix.groupBy("item", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = C.stored(roots.groupBy("item").agg(F.max(F.struct("c", "root")).alias("top"),
+                                              F.count(F.lit(1)).alias("roots"))
+                    .where("roots > 1").select("item", F.col("top.root").alias("main")), "main")
+    y = prefix.join(main, "item")
+    x = y.where("root <> main")
+    x, y = (t.select("item", *(F.col(c).alias(f"{c}_{e}") for c in ("v", "n", "root", "rest")),
+                     *([F.col("main")] if e == "b" else [])) for t, e in ((x, "a"), (y, "b")))
+    x, y = C.stored(x, "minor"), C.stored(y, "split")
+
+    def fits(end: str):
+        return (F.col(f"rest_{end}") + 1) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+
+    return (x.join(y.withColumnRenamed("item", "item_b"),
+                   (F.col("item") == F.col("item_b")) & (F.col("root_a") != F.col("root_b"))
+                   & ((F.col("root_b") == F.col("main")) | (F.col("v_a") < F.col("v_b")))
+                   & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                   & fits("a") & fits("b"))
+            .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct())
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
                percent: int) -> DataFrame:
     pairs = C.stored(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v")))
-    asked = (classes.join(ends.distinct(), "v", "left_semi")
-             .select("v", F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key")))
-    texts = C.stored(docs.join(asked, (F.col("doc_id") == F.col("_id"))
-                               & (F.col("doc_key") == F.col("_key")))
-                     .select("v", "text").dropDuplicates(["v"]), "texts")
+    texts = C.stored(_texts(ends.distinct(), classes, docs).dropDuplicates(["v"]), "texts")
     return (pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
             .mapInArrow(lambda it: confirm(it, k, percent), "a binary, b binary"))
 
@@ -188,42 +247,29 @@ def find_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
                        .agg(F.min(F.struct("doc_id", "doc_key")).alias("at"),
                             F.min("regs").alias("regs"))
                        .select("v", "n", "at.*", "regs"), "classes")
-    bands = classes.select("v", "n", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)),
-        lambda i: F.xxhash64(i, F.substring("regs", i * (2 * BAND) + 1, F.lit(2 * BAND)))))
-        .alias("band"))
+    bands = (classes.select("v", "n", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.struct(
+            F.xxhash64(i, F.substring("regs", i * (2 * BAND) + 1, F.lit(2 * BAND))).alias("band"),
+            F.pmod(i, F.lit(HUBS)).alias("draw")))).alias("at"))
+        .select("v", "n", "at.*"))
     hubs = C.stored(bands.groupBy("band")
-                    .agg(F.min(F.struct("v", "n")).alias("hub"), F.count(F.lit(1)).alias("size"))
-                    .where("size > 1").select("band", F.col("hub.v").alias("hub"),
-                                              F.col("hub.n").alias("hub_n"), "size"), "hubs")
+                    .agg(F.min(F.struct(F.xxhash64("v", "draw"), "v")).alias("hub"),
+                         F.count(F.lit(1)).alias("size"))
+                    .where("size > 1").select("band", F.col("hub.v").alias("hub"), "size"), "hubs")
     members = C.stored(bands.join(hubs, "band").where("v <> hub")
-                       .select("band", "v", "n", "hub", "hub_n", "size"), "members")
-
-    def possible(a: str, b: str):
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-    first = C.stored(_screened(members.select(F.col("v").alias("a"), F.col("hub").alias("b")).distinct(),
-                               classes), "screened")
-    ok = first.where(F.col("j") >= level - margin).select("a", "b")
+                       .select("band", "v", "n", "hub", "size"), "members")
+    first = members.select(F.col("v").alias("a"), F.col("hub").alias("b")).distinct()
+    ok = _screened(first, classes).where(F.col("j") >= level - margin).select("a", "b")
     links = C.stored(_confirmed(ok, classes, docs, k, percent), "links")
     # Buckets that still hold several components.
     roots = C.stored(components(links), "roots")
-    rest = C.stored(
-        members.where("size > 2")
-        .join(first.toDF("v", "hub", "j"), ["v", "hub"])
-        .join(links.select(F.col("a").alias("v"), F.col("b").alias("hub"), F.lit(True).alias("linked")),
-              ["v", "hub"], "left")
-        .join(roots.toDF("v", "root"), "v", "left")
-        .select("band", "v", "n", F.coalesce("root", "v").alias("root"), "j",
-                F.col("linked").isNull().alias("open")), "rest")
-    x = rest.where("open").toDF("band", "a", "n_a", "root_a", "j_a", "open_a")
-    y = rest.toDF("band", "b", "n_b", "root_b", "j_b", "open_b")
-    # Jaccard distance is a metric: distances to the hub bound the distance of two.
-    near = F.abs(F.col("j_a") - F.col("j_b")) <= 1 - level + 2 * margin
-    later = (x.join(y, (x.band == y.band) & (F.col("root_a") != F.col("root_b"))
-                    & (~F.col("open_b") | (F.col("a") < F.col("b")))
-                    & possible("n_a", "n_b") & near)
-             .select("a", "b").distinct())
+    rest = C.stored(members.where("size > 2").select("band", "v", "n")
+                    .join(roots.toDF("v", "root"), "v", "left")
+                    .withColumn("root", F.coalesce("root", "v")), "rest")
+    split = C.stored(rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+                     .where("x <> y").select("band"), "contested")
+    named = rest.join(split, "band", "left_semi").select("v", "n", "root").distinct()
+    later = _across(named, classes, docs, k, percent)
     later = _screened(later, classes).where(F.col("j") >= level - margin).select("a", "b")
     links = C.stored(links.unionByName(_confirmed(later, classes, docs, k, percent)), "links")
     roots = components(links).toDF("v", "root")
