@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.llm import common as C
-from wayfarer.llm import decontaminate, language, minhash, pii, substring_dedup
+from wayfarer.llm import decontaminate, html_text, language, minhash, pii, substring_dedup
 
 
 def op1_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFra
         substring_dedup.remove_repeats(C.table(spark, sf_dir, "documents"), span=35, k=8))
 
 
+def op4_nearest_url_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(html_text.extract_text(C.table(spark, sf_dir, "pages")))
+
+
 def op5_string_kernel_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     model = language.train(docs.where(~language.held_out()))
@@ -41,6 +45,7 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_setsketch_near_dedup": op1_setsketch_near_dedup,
     "op3_relative_lz_substring_dedup": op3_relative_lz_substring_dedup,
+    "op4_nearest_url_html_text": op4_nearest_url_html_text,
     "op5_string_kernel_language_id": op5_string_kernel_language_id,
     "op9_skip_chain_pii": op9_skip_chain_pii,
     "op10_winnowing_decontamination": op10_winnowing_decontamination,
