@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfarer.session import ensure_checkpoint_dir
@@ -41,6 +41,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_AT_BITS = 33      # as in monotonically_increasing_id()
+
+
+def ranged(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` sorted as a whole and stored, with ``part`` (its range) and ``at`` (its
+    place there): together the global order, from which prefix sums are taken."""
+    place = F.monotonically_increasing_id()
+    return stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                  .withColumn("place", place)
+                  .withColumn("part", F.shiftright("place", _AT_BITS).cast("int"))
+                  .withColumn("at", F.col("place").bitwiseAND((1 << _AT_BITS) - 1)).drop("place"), name)
+
+
+def before(sums: DataFrame, order: str, value: str, *group: str) -> DataFrame:
+    """Adds ``before``, the sum of ``value`` over the rows earlier by ``order`` in the
+    group. For a few sums per range or bucket, not for rows: a group is one task."""
+    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumn("before", F.coalesce(F.sum(value).over(w), F.lit(0)))
+
+
 def text_key(text: Column) -> Column:
     """64-bit hash of a text; with the id it names one document (null: a fixed value)."""
     return F.xxhash64(text)
