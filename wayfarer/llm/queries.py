@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.llm import common as C
-from wayfarer.llm import decontaminate, html_text, language, minhash, pii, substring_dedup
+from wayfarer.llm import (decontaminate, embedding_dedup, html_text, language, minhash, mixing, pii,
+                          sharding, substring_dedup, token_output)
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def op1_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +19,10 @@ def op1_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
+def op2_two_pass_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(sharding.shuffle(C.table(spark, sf_dir, "documents"), shards=16))
+
+
 def op3_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(
         substring_dedup.remove_repeats(C.table(spark, sf_dir, "documents"), span=35, k=8))
@@ -32,6 +39,19 @@ def op5_string_kernel_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op6_training_order_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.materialise(C.table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op7_epsilon_grid_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.find_near_duplicates(C.table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(C.table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
 def op9_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(C.table(spark, sf_dir, "documents")))
 
@@ -44,11 +64,16 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_setsketch_near_dedup": op1_setsketch_near_dedup,
+    "op2_two_pass_sharding": op2_two_pass_sharding,
     "op3_relative_lz_substring_dedup": op3_relative_lz_substring_dedup,
     "op4_nearest_url_html_text": op4_nearest_url_html_text,
     "op5_string_kernel_language_id": op5_string_kernel_language_id,
+    "op6_training_order_tokens": op6_training_order_tokens,
+    "op7_epsilon_grid_embedding_dedup": op7_epsilon_grid_embedding_dedup,
+    "op8_mix_sources": op8_mix_sources,
     "op9_skip_chain_pii": op9_skip_chain_pii,
     "op10_winnowing_decontamination": op10_winnowing_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+# The other operators have no SQL; tests/llm holds them against brute force.
+ORACLES: dict[str, str] = {"op8_mix_sources": mixing.oracle()}
