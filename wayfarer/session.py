@@ -29,10 +29,12 @@ CLUSTER_CONF = {
 def build_session(master: str | None = None, app: str = "wayfarer",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """A session tuned for the engine's plans (local runs; a cluster passes its own)."""
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    # spark-submit has named a master and started the JVM; one set here would win over it.
+    if master is None and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     parts = shuffle_partitions or int(os.environ.get("WAYFARER_SHUFFLE_PARTITIONS", "8"))
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        (SparkSession.builder.master(master) if master else SparkSession.builder).appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
