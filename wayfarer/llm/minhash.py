@@ -4,9 +4,9 @@ A document is its set of distinct k-word shingles. A SetSketch holds, for each o
 registers, the smallest of exponentially distributed hash values of the set on a
 logarithmic scale, ``floor(1 - log_b(x))`` truncated to 16 bits; sketches of parts
 merge by the maximum of each register. Registers of similar sets are often equal,
-so bands of them are the buckets of the candidate search. Candidates are screened
-by the likelihood of the register comparison, given both set sizes, and confirmed
-on their full sets.
+so bands of them are the buckets of the candidate search. Members and hubs of buckets are
+screened by the likelihood of the register comparison, given both set sizes, and
+confirmed on their full sets.
 
 No bucket is expanded into its pairs. Equal sets are one class from the start, and
 the members of a bucket are compared with one of them, its hub, drawn anew for
@@ -31,8 +31,8 @@ from wayfarer.llm.components import components
 
 WORDS = "spaces_lower"
 # SetSketch parameters: registers, base, rate, largest value; registers in a band;
-# draws of a hub among the bands.
-REGISTERS, B, RATE, TOP, BAND, HUBS = 128, 1.001, 20.0, 65535, 4, 8
+# draws of a hub among the bands; shingles that prefix filtering asks for.
+REGISTERS, B, RATE, TOP, BAND, HUBS, DEPTH = 128, 1.001, 20.0, 65535, 4, 8, 8
 
 
 def shingle_sets(w: C.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +180,8 @@ def _across(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
     and m shingles with enough in common share a shingle that is neither among the
     last need - 1 of the one nor of the other, need being the common part that the
     threshold asks for. A pair has an end outside the commonest root of that shingle,
-    so only those ends are matched with all others."""
+    so only those ends are matched with all others. By the same argument such sets share
+    DEPTH shingles that aren't among the last need - DEPTH of either: the second test."""
     named = C.stored(named.withColumn("who", F.xxhash64("v")), "named")
     items = C.stored(_texts(named.select("v"), classes, docs).select(F.xxhash64("v").alias("who"), "text")
                      .mapInArrow(lambda it: shingle_rows(it, k), "who long, item long"), "items")
@@ -188,30 +189,41 @@ def _across(named: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
     shared = items.join(held, "item")
     rank = Window.partitionBy("who").orderBy(F.col("df").desc(), F.col("item").desc())
     # rest: how many shingles of the set follow in the order.
-    prefix = (shared.withColumn("rest", F.row_number().over(rank) - 1)
-              .join(named, "who")
-              .where((F.col("rest") + 1) * 100 >= percent * F.col("n"))
-              .select("item", "v", "n", "root", "rest"))
-    prefix = C.stored(prefix, "prefix")
+    ranked = C.stored(shared.withColumn("rest", F.row_number().over(rank) - 1).join(named, "who")
+                      .where((F.col("rest") + 1 + DEPTH) * 100 >= percent * F.col("n"))
+                      .select("item", "who", "v", "n", "root", "rest"), "ranked")
+    heads = C.stored(ranked.groupBy("who").agg(
+        F.sort_array(F.collect_list(F.struct("rest", "item")), asc=False).alias("head"))
+        .select("who", (F.col("head")[0].rest + 1).alias("common"), F.col("head.item").alias("head")), "heads")
+    prefix = ranked.where((F.col("rest") + 1) * 100 >= percent * F.col("n"))
     roots = prefix.groupBy("item", "root").agg(F.count(F.lit(1)).alias("c"))
     main = C.stored(roots.groupBy("item").agg(F.max(F.struct("c", "root")).alias("top"),
                                               F.count(F.lit(1)).alias("roots"))
                     .where("roots > 1").select("item", F.col("top.root").alias("main")), "main")
     y = prefix.join(main, "item")
     x = y.where("root <> main")
-    x, y = (t.select("item", *(F.col(c).alias(f"{c}_{e}") for c in ("v", "n", "root", "rest")),
+    x, y = (t.select("item", *(F.col(c).alias(f"{c}_{e}") for c in ("v", "n", "root", "rest", "who")),
                      *([F.col("main")] if e == "b" else [])) for t, e in ((x, "a"), (y, "b")))
     x, y = C.stored(x, "minor"), C.stored(y, "split")
 
     def fits(end: str):
         return (F.col(f"rest_{end}") + 1) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
 
-    return (x.join(y.withColumnRenamed("item", "item_b"),
-                   (F.col("item") == F.col("item_b")) & (F.col("root_a") != F.col("root_b"))
-                   & ((F.col("root_b") == F.col("main")) | (F.col("v_a") < F.col("v_b")))
-                   & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-                   & fits("a") & fits("b"))
-            .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct())
+    found = (x.join(y.withColumnRenamed("item", "item_b"),
+                    (F.col("item") == F.col("item_b")) & (F.col("root_a") != F.col("root_b"))
+                    & ((F.col("root_b") == F.col("main")) | (F.col("v_a") < F.col("v_b")))
+                    & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                    & fits("a") & fits("b"))
+             .select("who_a", "who_b", "v_a", "v_b", "n_a", "n_b").distinct())
+    need = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent)).cast("int")
+
+    def head(end: str):
+        return F.slice(f"head_{end}", F.lit(1), F.greatest(F.lit(0), F.col(f"common_{end}") - need + DEPTH))
+
+    return (found.join(heads.toDF("who_a", "common_a", "head_a"), "who_a")
+            .join(heads.toDF("who", "common_b", "head_b"), (F.col("who_b") == F.col("who"))
+                  & (F.size(F.array_intersect(head("a"), head("b"))) >= F.least(F.lit(DEPTH), need)))
+            .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
@@ -270,7 +282,6 @@ def find_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
                      .where("x <> y").select("band"), "contested")
     named = rest.join(split, "band", "left_semi").select("v", "n", "root").distinct()
     later = _across(named, classes, docs, k, percent)
-    later = _screened(later, classes).where(F.col("j") >= level - margin).select("a", "b")
     links = C.stored(links.unionByName(_confirmed(later, classes, docs, k, percent)), "links")
     roots = components(links).toDF("v", "root")
     groups = C.stored(classes.select("v", "doc_id").join(roots, "v", "left")
