@@ -121,14 +121,14 @@ s AS (
          CAST(CASE (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % {len(WEIGHTS)} {weights} END
               AS DOUBLE) AS w
   FROM d GROUP BY source),
--- the level at which the water stands: the largest that the full sources allow
-level AS (
-  SELECT max(({num} / {den}.0 * (SELECT sum(n) FROM s)
-              - coalesce((SELECT sum(cap) FROM s f WHERE f.cap / f.w <= x.cap / x.w), 0))
-             / nullif((SELECT sum(w) FROM s f WHERE f.cap / f.w > x.cap / x.w), 0)) AS a,
-         {num} / {den}.0 * (SELECT sum(n) FROM s) / (SELECT sum(w) FROM s) AS b
-  FROM s x),
-t AS (SELECT source, n, least(cap, w * (SELECT greatest(a, b) FROM level)) AS target FROM s),
+-- the water level l / (h * {den}): the highest that any set of full sources gives
+levels AS (
+  SELECT {num} * sum(n) AS l, sum(w) AS h FROM s
+  UNION ALL
+  SELECT {num} * (SELECT sum(n) FROM s) - {den} * (SELECT sum(cap) FROM s f WHERE f.cap / f.w <= x.cap / x.w),
+         (SELECT sum(w) FROM s f WHERE f.cap / f.w > x.cap / x.w) FROM s x),
+best AS (SELECT arg_max(l, l / ({den} * h)) AS l, arg_max(h, l / ({den} * h)) AS h FROM levels WHERE h > 0),
+t AS (SELECT source, n, least(cap, w * l / ({den} * h)) AS target FROM s, best),
 p AS (
   SELECT d.*, CAST(t.n AS BIGINT) AS source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size
