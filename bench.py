@@ -81,14 +81,14 @@ def main() -> None:
     # two-scan form (each period aggregated separately, then paired up).
     from wayfarer import config as C
     from wayfarer.operators import kpis
-    from wayfarer.plans.filters import FilterState
+    from wayfarer.plans.filters import Selection
     src = JourneySource.from_testdata(spark, sf_dir)
-    cur = FilterState.default()
+    cur = Selection.default()
     runs = []
     for _ in range(3):
         t0 = time.perf_counter()
         a = kpis.compute_metrics(src.analytics, cur, C.HEADLINE_KPIS).collect()
-        b = kpis.compute_metrics(src.analytics, cur.for_previous_period(), C.HEADLINE_KPIS).collect()
+        b = kpis.compute_metrics(src.analytics, cur.during(cur.period.shifted_back()), C.HEADLINE_KPIS).collect()
         runs.append(time.perf_counter() - t0)
     times["kpi_period_compare_two_scan_form"] = statistics.median(runs)
 

@@ -828,3 +828,19 @@ ORACLES["disruption_comparison"] = q(f"""
 SELECT service_disruption, count(*) AS journeys,
        {metrics(('complaint_rate', 'avg_satisfaction', 'avg_delay_minutes'))}
 FROM an WHERE {WHERE_DEFAULT} AND service_disruption IS NOT NULL GROUP BY 1""")
+
+# A period is no part of these: the same statements over every row.
+_BREAKDOWN_NAMES = [name for name in ORACLES if name.startswith("metrics_by_")]
+for _name in _BREAKDOWN_NAMES + """
+kpi_all_metrics population_summary compare_segments segment_share
+calendar_filled_daily rolling_7d series_by_dimension hourly_profile
+weekday_profile heatmap_cells heatmap_matrix records_recent
+records_longest_delay records_lowest_satisfaction records_search records_subset_counts
+top_service_lines dq_checks dq_field_completeness dq_score
+dq_summary dq_value_outliers dq_worst_check disruption_impact
+peak_pressure complaint_concentration insight_data_quality report_complaints
+disruption_comparison time_series_day time_series_week time_series_month
+customer_features rule_segments rule_segment_profile engagement_bands
+frequency_histogram top_customers standardised_features customer_sample
+""".split():
+    ORACLES[_name] = ORACLES[_name].replace(WHERE_DEFAULT, "TRUE")

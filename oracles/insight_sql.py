@@ -148,11 +148,14 @@ def routing_sql() -> str:
     for name, kws in C.ROUTING_TOOLS:
         terms = " + ".join(f"(CASE WHEN instr(low, '{k}') > 0 THEN {len(k)} ELSE 0 END)"
                            for k in kws)
-        scores.append((name, f"({terms})"))
-    cols = ",\n         ".join(f"{expr} AS s_{i}" for i, (_, expr) in enumerate(scores))
+        found = ", ".join(f"CASE WHEN instr(low, '{k}') > 0 THEN '{k}' END" for k in kws)
+        scores.append((name, f"({terms})", f"concat_ws(', ', {found})"))
+    cols = ",\n         ".join(f"{expr} AS s_{i}, {found} AS m_{i}"
+                               for i, (_, expr, found) in enumerate(scores))
     best = f"greatest({', '.join(f's_{i}' for i in range(len(scores)))})"
     winner = "CASE " + " ".join(f"WHEN s_{i} = best THEN '{n}'"
-                                for i, (n, _) in enumerate(scores)) + " END"
+                                for i, (n, _, _) in enumerate(scores)) + " END"
+    matched = "CASE " + " ".join(f"WHEN s_{i} = best THEN m_{i}" for i in range(len(scores))) + " END"
     word = r"[^\p{L}\p{N}_]"
 
     def first(terms):
@@ -167,12 +170,13 @@ SELECT conv_id, turn, question,
        CASE WHEN low = '' OR best = 0 THEN '{C.DEFAULT_TOOL}'
             WHEN segs[2] IS NOT NULL THEN 'compare_segments' ELSE winner END AS tool,
        CASE WHEN low = '' THEN 0 ELSE best END AS score,
+       CASE WHEN low = '' OR best = 0 THEN '' ELSE matched END AS matched_terms,
        CASE WHEN low = '' THEN NULL ELSE region END AS region,
        CASE WHEN low = '' THEN NULL ELSE transport_mode END AS transport_mode,
        CASE WHEN low = '' THEN NULL ELSE segs[1] END AS segment_a,
        CASE WHEN low = '' THEN NULL ELSE segs[2] END AS segment_b
 FROM (
-  SELECT *, {winner} AS winner FROM (
+  SELECT *, {winner} AS winner, {matched} AS matched FROM (
     SELECT *, {best} AS best FROM (
       SELECT conv_id, turn, question, low,
              {cols},

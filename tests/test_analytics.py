@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from wayfarer import config as C
 from wayfarer.operators import anomalies, insights, quality, routing, segmentation
-from wayfarer.plans.filters import FilterState
+from wayfarer.plans.filters import Selection
 from wayfarer.plans.model import JourneySource
 from wayfarer.sources import feeds
 
 
 def test_planted_delay_window_found(source):
-    det = anomalies.detect(source.analytics, FilterState.default(), "region",
+    det = anomalies.detect(source.analytics, Selection.default(), "region",
                            metrics=["avg_delay_minutes"])
     asia = det.where(F.col("dimension_value") == "ASIA").collect()
     assert asia, "planted ASIA delay window not detected"
@@ -23,7 +23,7 @@ def test_planted_delay_window_found(source):
 
 
 def test_threshold_monotone_and_adverse_subset(source):
-    f = FilterState.default()
+    f = Selection.default()
     a = anomalies.detect(source.analytics, f, "region", threshold=2.5).count()
     b = anomalies.detect(source.analytics, f, "region", threshold=3.5).count()
     assert b <= a
@@ -33,13 +33,13 @@ def test_threshold_monotone_and_adverse_subset(source):
 
 
 def test_findings_confined_to_narrow_window(source):
-    f = FilterState.create(dt.date(2026, 6, 10), dt.date(2026, 6, 30))
+    f = Selection.of(dt.date(2026, 6, 10), dt.date(2026, 6, 30))
     det = anomalies.detect(source.analytics, f, "region").collect()
-    assert all(f.start_date <= r.period <= f.end_date for r in det)
+    assert all(f.period.start <= r.period <= f.period.end for r in det)
 
 
 def test_bounds_bracket_expected(source):
-    s = anomalies.series(source.analytics, FilterState.default(), "avg_delay_minutes",
+    s = anomalies.series(source.analytics, Selection.default(), "avg_delay_minutes",
                          "region", "ASIA").collect()
     for r in s:
         if r.expected is not None and r.lower is not None:
@@ -58,7 +58,7 @@ def test_clean_feed_scores_exactly_100(spark):
 
 
 def test_excluded_equals_raw_minus_analysable(source):
-    s = quality.summary(source.raw, source.analytics, FilterState.default()).first()
+    s = quality.summary(source.raw, source.analytics, Selection.default()).first()
     assert s.excluded_rows == s.total_rows - s.analysable_rows > 0
     assert 0 <= s.quality_score <= 100
 
@@ -73,7 +73,7 @@ def test_planted_defects_found(source):
 
 def test_rules_exhaustive_and_first_match(source):
     feats = segmentation.rule_segments(
-        segmentation.customer_features(source.analytics, FilterState.default()))
+        segmentation.customer_features(source.analytics, Selection.default()))
     segs = {r.rule_segment for r in feats.select("rule_segment").distinct().collect()}
     assert segs <= set(C.CUSTOMER_SEGMENTS)
     assert feats.where(F.col("rule_segment").isNull()).count() == 0
@@ -82,13 +82,13 @@ def test_rules_exhaustive_and_first_match(source):
 
 
 def test_features_thresholds(source):
-    feats = segmentation.customer_features(source.analytics, FilterState.default())
+    feats = segmentation.customer_features(source.analytics, Selection.default())
     assert feats.where(F.col("journeys") < 3).count() == 0
     assert feats.where(F.col("customer_id").isNull()).count() == 0
 
 
 def test_kmeans_labels_unique_and_profile_totals(source):
-    feats = segmentation.customer_features(source.analytics, FilterState.default())
+    feats = segmentation.customer_features(source.analytics, Selection.default())
     clustered = segmentation.cluster_customers(feats, k=4, n_init=3)
     prof = segmentation.segment_profile(clustered, "cluster_label").collect()
     assert len(prof) == 4 and len({r.segment for r in prof}) == 4
@@ -100,21 +100,21 @@ def test_kmeans_labels_unique_and_profile_totals(source):
 
 
 def test_silhouette_in_range(source):
-    feats = segmentation.customer_features(source.analytics, FilterState.default())
+    feats = segmentation.customer_features(source.analytics, Selection.default())
     value = segmentation.silhouette(feats, k=3, n_init=2)
     assert value is not None and -1.0 <= value <= 1.0
 
 
 def test_insight_order_stable(source):
     a = [r.key for r in insights.generate(source.raw, source.analytics,
-                                          FilterState.default()).collect()]
+                                          Selection.default()).collect()]
     b = [r.key for r in insights.generate(source.raw, source.analytics,
-                                          FilterState.default()).collect()]
+                                          Selection.default()).collect()]
     assert a == b and len(a) == 8
 
 
 def test_brief_sections(source):
-    rows = insights.executive_brief(source.raw, source.analytics, FilterState.default()).collect()
+    rows = insights.executive_brief(source.raw, source.analytics, Selection.default()).collect()
     by = {}
     for r in rows:
         by.setdefault(r.section, []).append(r)
@@ -160,7 +160,7 @@ def test_streaming_matches_batch(spark, smoke_source, tmp_path):
 
 
 def test_insight_cube_matches_direct_aggregates(source):
-    f = FilterState.default()
+    f = Selection.default()
     cube = insights.insight_cube(source.analytics, f)
     cols = ["day_of_week", "time_band", "journeys", "avg_delay_minutes", "on_time_performance"]
     direct = sorted(tuple(r) for r in
@@ -174,7 +174,7 @@ def test_insight_cube_matches_direct_aggregates(source):
 
 
 def test_elbow_and_crosstab(source):
-    feats = segmentation.customer_features(source.analytics, FilterState.default())
+    feats = segmentation.customer_features(source.analytics, Selection.default())
     curve = segmentation.inertia_curve(feats, k_values=(2, 3, 4), n_init=2).collect()
     assert [r.k for r in curve] == [2, 3, 4]
     assert all(r.inertia > 0 and -1 <= r.silhouette <= 1 for r in curve)
@@ -187,7 +187,7 @@ def test_elbow_and_crosstab(source):
 
 
 def test_too_few_customers_gives_no_clusters(spark, source):
-    feats = segmentation.customer_features(source.analytics, FilterState.default()).limit(3)
+    feats = segmentation.customer_features(source.analytics, Selection.default()).limit(3)
     assert segmentation.cluster_customers(feats, k=4, n_init=1).count() == 0
     assert segmentation.inertia_curve(feats, n_init=1).count() == 0
 
@@ -197,7 +197,7 @@ def test_baselines_match_pandas_rolling(source):
     collected daily frame (days x regions - small by construction)."""
     import numpy as np
     import pandas as pd
-    f = FilterState.default()
+    f = Selection.default()
     _, needed = anomalies.needed_metrics(None)
     daily = anomalies.daily_frame(source.analytics, f, "region", 35, needed).toPandas()
     base = anomalies.baseline_table(source.analytics, f, "region", "rolling_z").toPandas()
@@ -209,7 +209,7 @@ def test_baselines_match_pandas_rolling(source):
         mean, sd = trailing.mean(), trailing.std(ddof=0).replace(0, np.nan)
         z = (g["avg_delay_minutes"] - mean) / sd
         for i, row in g.iterrows():
-            if row.period < f.start_date:
+            if row.period < f.period.start:
                 continue
             got = base.loc[(scope, row.period)]
             for want, have in ((mean[i], got.expected), (z[i], got.z_score)):
@@ -223,7 +223,7 @@ def test_baselines_match_pandas_rolling(source):
 
 def test_iqr_baselines_match_pandas_rolling(source):
     import pandas as pd
-    f = FilterState.default()
+    f = Selection.default()
     _, needed = anomalies.needed_metrics(None)
     daily = anomalies.daily_frame(source.analytics, f, "region", 35, needed).toPandas()
     base = anomalies.baseline_table(source.analytics, f, "region", "iqr").toPandas()
@@ -233,7 +233,7 @@ def test_iqr_baselines_match_pandas_rolling(source):
         trailing = g["complaint_rate"].shift(1).rolling(28, min_periods=14)
         q1, med, q3 = trailing.quantile(0.25), trailing.median(), trailing.quantile(0.75)
         for i, row in g.iterrows():
-            if row.period < f.start_date:
+            if row.period < f.period.start:
                 continue
             got = base.loc[(scope, row.period)]
             for want, have in ((med[i], got.expected), (q1[i] - 1.5 * (q3[i] - q1[i]), got.lower_bound),
@@ -246,7 +246,7 @@ def test_iqr_baselines_match_pandas_rolling(source):
 
 def test_customer_features_match_pandas(source):
     import pandas as pd
-    f = FilterState.default()
+    f = Selection.default()
     rows = source.analytics.where(f.column()).where(F.col("customer_id").isNotNull()).select(
         "customer_id", "date", "transport_mode", "region", "delay_minutes",
         "customer_satisfaction", "complaint_flag", "is_peak", "digital_interaction",
@@ -298,7 +298,7 @@ def test_kmeans_assignment_is_a_lloyd_fixed_point(smoke_source):
 
 
 def test_single_config_movers_agree_with_feed_pipeline(source):
-    f = FilterState.default()
+    f = Selection.default()
     allm = {r.key: r for r in insights.all_dimension_movers(source.analytics, f).collect()}
     single = {}
     for cfg in insights.MOVER_CONFIGS:
@@ -312,8 +312,8 @@ def test_single_config_movers_agree_with_feed_pipeline(source):
 def test_calendar_and_rolling_match_pandas(source):
     import pandas as pd
     from wayfarer.operators import trends
-    f = FilterState.create(dt.date(2026, 5, 2), dt.date(2026, 6, 30), regions=["ASIA"],
-                           transport_modes=["Ferry"], time_bands=["AM Peak"])
+    f = Selection.of(dt.date(2026, 5, 2), dt.date(2026, 6, 30), region=["ASIA"],
+                           transport_mode=["Ferry"], time_band=["AM Peak"])
     daily = trends.time_series(source.analytics, f, "day")
     filled = trends.fill_calendar(daily)
     rolled = trends.add_rolling(filled, "avg_delay_minutes").toPandas()

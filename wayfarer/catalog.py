@@ -1,7 +1,8 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Each entry runs one operator over the whole testdata-derived journey table
-with the reference fixture's selection (60 days ending 2026-06-30).
+Each entry runs one operator over the whole testdata-derived journey table. Where
+a period is the feature (comparisons, anomalies, insights, briefs, reports on them)
+the period is the reference fixture's: 60 days ending 2026-06-30.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from .operators import anomalies, insights, kpis, quality, records, routing, segmentation, trends
-from .plans.filters import FilterState
+from .plans.filters import Period, Selection, preset_period
 from .plans.model import JourneySource, source_for
 from .sources import feeds
 from .sources.testdata import planted_windows, table
@@ -33,8 +34,12 @@ def register(name: str):
     return wrap
 
 
-def default_filter() -> FilterState:
-    return FilterState.default()
+# Every row: what a query reads unless a period is its feature.
+EVERYTHING = Selection()
+
+
+def default_filter() -> Selection:
+    return Selection.default()
 
 
 # ---------------------------------------------------------------------------
@@ -72,7 +77,7 @@ _BREAKDOWNS = {
 
 def _breakdown(dimension: str):
     def fn(src):
-        return kpis.metrics_by_dimension(src.analytics, default_filter(), dimension)
+        return kpis.metrics_by_dimension(src.analytics, EVERYTHING, dimension)
     return fn
 
 
@@ -85,8 +90,8 @@ for _name, _dim in _BREAKDOWNS.items():
 # ---------------------------------------------------------------------------
 
 
-FILTERED = dict(regions=("ASIA", "EUROPE"), transport_modes=("Bus", "Metro"),
-                time_bands=("AM Peak", "PM Peak", "Off-Peak"))
+FILTERED = dict(region=("ASIA", "EUROPE"), transport_mode=("Bus", "Metro"),
+                time_band=("AM Peak", "PM Peak", "Off-Peak"))
 
 
 @register("feed_validation")
@@ -129,7 +134,7 @@ def _time_band_profile(src):
 @register("filtered_population")
 def _filtered_population(src):
     """the analysable rows of a multi-dimension selection."""
-    state = FilterState.create(C.DEFAULT_START, C.DEFAULT_END, **FILTERED)
+    state = Selection.of(C.DEFAULT_START, C.DEFAULT_END, **FILTERED)
     return src.analytics.where(state.column()).select(
         "journey_id", "date", "region", "transport_mode", "time_band", "delay_minutes")
 
@@ -170,7 +175,7 @@ def _row_counts(src):
 # ---------------------------------------------------------------------------
 @register("kpi_all_metrics")
 def _kpi_all_metrics(src):
-    return kpis.compute_metrics(src.analytics, default_filter())
+    return kpis.compute_metrics(src.analytics, EVERYTHING)
 
 
 @register("kpi_evidence")
@@ -180,7 +185,7 @@ def _kpi_evidence(src):
 
 @register("population_summary")
 def _population_summary(src):
-    return kpis.population_summary(src.analytics, default_filter())
+    return kpis.population_summary(src.analytics, EVERYTHING)
 
 
 @register("pop_by_region")
@@ -197,13 +202,13 @@ def _pop_by_segment(src):
 
 @register("compare_segments")
 def _compare_segments(src):
-    return kpis.compare_segments(src.analytics, default_filter(),
+    return kpis.compare_segments(src.analytics, EVERYTHING,
                                  "Frequent Commuters", "Occasional Travellers")
 
 
 @register("segment_share")
 def _segment_share(src):
-    return kpis.segment_share(src.analytics, default_filter())
+    return kpis.segment_share(src.analytics, EVERYTHING)
 
 
 # ---------------------------------------------------------------------------
@@ -211,45 +216,45 @@ def _segment_share(src):
 # ---------------------------------------------------------------------------
 for _grain in ("day", "week", "month"):
     register(f"time_series_{_grain}")(
-        (lambda g: lambda src: trends.time_series(src.analytics, default_filter(), g))(_grain))
+        (lambda g: lambda src: trends.time_series(src.analytics, EVERYTHING, g))(_grain))
 
 
 @register("calendar_filled_daily")
 def _calendar_filled(src):
-    return trends.fill_calendar(trends.time_series(src.analytics, default_filter(), "day"))
+    return trends.fill_calendar(trends.time_series(src.analytics, EVERYTHING, "day"))
 
 
 @register("rolling_7d")
 def _rolling_7d(src):
-    daily = trends.fill_calendar(trends.time_series(src.analytics, default_filter(), "day"))
+    daily = trends.fill_calendar(trends.time_series(src.analytics, EVERYTHING, "day"))
     return trends.add_rolling(daily.select("period", "avg_delay_minutes", "total_journeys"),
                               "avg_delay_minutes")
 
 
 @register("series_by_dimension")
 def _series_by_dimension(src):
-    return trends.series_by_dimension(src.analytics, default_filter(), "service_line",
+    return trends.series_by_dimension(src.analytics, EVERYTHING, "service_line",
                                       "avg_delay_minutes", "week", 6)
 
 
 @register("hourly_profile")
 def _hourly_profile(src):
-    return trends.hourly_profile(src.analytics, default_filter())
+    return trends.hourly_profile(src.analytics, EVERYTHING)
 
 
 @register("weekday_profile")
 def _weekday_profile(src):
-    return trends.weekday_profile(src.analytics, default_filter())
+    return trends.weekday_profile(src.analytics, EVERYTHING)
 
 
 @register("heatmap_cells")
 def _heatmap_cells(src):
-    return trends.heatmap_cells(src.analytics, default_filter())
+    return trends.heatmap_cells(src.analytics, EVERYTHING)
 
 
 @register("heatmap_matrix")
 def _heatmap_matrix(src):
-    return trends.heatmap_matrix(src.analytics, default_filter())
+    return trends.heatmap_matrix(src.analytics, EVERYTHING)
 
 
 # ---------------------------------------------------------------------------
@@ -257,36 +262,36 @@ def _heatmap_matrix(src):
 # ---------------------------------------------------------------------------
 @register("records_recent")
 def _records_recent(src):
-    return records.fetch_records(src.analytics, default_filter())
+    return records.fetch_records(src.analytics, EVERYTHING)
 
 
 @register("records_longest_delay")
 def _records_longest_delay(src):
-    return records.fetch_records(src.analytics, default_filter(), sort="Longest delay",
+    return records.fetch_records(src.analytics, EVERYTHING, sort="Longest delay",
                                  subset="Complaints only")
 
 
 @register("records_lowest_satisfaction")
 def _records_lowest_satisfaction(src):
-    return records.fetch_records(src.analytics, default_filter(), sort="Lowest satisfaction",
+    return records.fetch_records(src.analytics, EVERYTHING, sort="Lowest satisfaction",
                                  subset="Delayed journeys only", limit=300)
 
 
 @register("records_search")
 def _records_search(src):
-    return records.fetch_records(src.analytics, default_filter(), sort="Longest journey",
+    return records.fetch_records(src.analytics, EVERYTHING, sort="Longest journey",
                                  search=" Crowd ", limit=500)
 
 
 @register("records_subset_counts")
 def _records_subset_counts(src):
-    return records.subset_counts(src.analytics, default_filter())
+    return records.subset_counts(src.analytics, EVERYTHING)
 
 
 @register("top_service_lines")
 def _top_service_lines(src):
     """First 15 service lines by journeys (>= 20 journeys), service metrics."""
-    return kpis.metrics_by_dimension(src.analytics, default_filter(), "service_line",
+    return kpis.metrics_by_dimension(src.analytics, EVERYTHING, "service_line",
                                      C.SERVICE_METRICS + ("total_journeys",), 20, 15)
 
 
@@ -297,39 +302,39 @@ def _top_service_lines(src):
 
 @register("dq_checks")
 def _dq_checks(src):
-    return quality.checks(src.raw, default_filter())
+    return quality.checks(src.raw, EVERYTHING)
 
 
 @register("dq_field_completeness")
 def _dq_field_completeness(src):
-    return quality.field_completeness(src.raw, default_filter())
+    return quality.field_completeness(src.raw, EVERYTHING)
 
 
 @register("dq_score")
 def _dq_score(src):
-    return quality.score(src.raw, default_filter())
+    return quality.score(src.raw, EVERYTHING)
 
 
 @register("dq_summary")
 def _dq_summary(src):
-    return quality.summary(src.raw, src.analytics, default_filter())
+    return quality.summary(src.raw, src.analytics, EVERYTHING)
 
 
 @register("dq_value_outliers")
 def _dq_value_outliers(src):
-    return quality.value_outliers(src.raw, default_filter())
+    return quality.value_outliers(src.raw, EVERYTHING)
 
 
 @register("dq_worst_check")
 def _dq_worst_check(src):
-    return quality.worst_check(src.raw, default_filter())
+    return quality.worst_check(src.raw, EVERYTHING)
 
 
 # ---------------------------------------------------------------------------
 # Customers and segmentation
 # ---------------------------------------------------------------------------
 def features_of(src):
-    return segmentation.customer_features(src.analytics, default_filter())
+    return segmentation.customer_features(src.analytics, EVERYTHING)
 
 
 @register("customer_features")
@@ -484,17 +489,17 @@ def _insight_dimension_movers(src):
 
 @register("disruption_impact")
 def _disruption_impact(src):
-    return insights.disruption_impact(src.analytics, default_filter())
+    return insights.disruption_impact(src.analytics, EVERYTHING)
 
 
 @register("peak_pressure")
 def _peak_pressure(src):
-    return insights.peak_pressure(src.analytics, default_filter())
+    return insights.peak_pressure(src.analytics, EVERYTHING)
 
 
 @register("complaint_concentration")
 def _complaint_concentration(src):
-    return insights.complaint_concentration(src.analytics, default_filter())
+    return insights.complaint_concentration(src.analytics, EVERYTHING)
 
 
 @register("insight_top_anomaly")
@@ -504,7 +509,7 @@ def _insight_top_anomaly(src):
 
 @register("insight_data_quality")
 def _insight_data_quality(src):
-    return insights.data_quality_notice(src.raw, src.analytics, default_filter())
+    return insights.data_quality_notice(src.raw, src.analytics, EVERYTHING)
 
 
 @register("insights_ranked")
@@ -539,7 +544,7 @@ def _report_mode(src):
 
 @register("report_complaints")
 def _report_complaints(src):
-    return insights.report_complaints(src.analytics, default_filter())
+    return insights.report_complaints(src.analytics, EVERYTHING)
 
 
 @register("report_satisfaction")
@@ -583,11 +588,11 @@ def _kpi_compare_last_90_days(src):
     """A2 over the "Last 90 days" preset resolved from the data's own bounds
     (F11: two scalars) - the selection the reference opens with."""
     b = src.analytics.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    state = FilterState.from_preset("Last 90 days", (b.lo or C.AS_OF, b.hi or C.AS_OF))
-    return kpis.compare_periods(src.analytics, state)
+    period = preset_period("Last 90 days", Period(b.lo or C.AS_OF, b.hi or C.AS_OF))
+    return kpis.compare_periods(src.analytics, Selection(period))
 
 
 @register("disruption_comparison")
 def _disruption_comparison(src):
     """A10: disrupted vs normal journeys - complaints, satisfaction, delay."""
-    return kpis.disruption_comparison(src.analytics, default_filter())
+    return kpis.disruption_comparison(src.analytics, EVERYTHING)

@@ -85,16 +85,10 @@ LOWER_IS_BETTER = frozenset({
 # ---------------------------------------------------------------------------
 # FIXED VALUES - allow-lists
 # ---------------------------------------------------------------------------
-FILTER_COLUMNS = {
-    "regions": "region",
-    "transport_modes": "transport_mode",
-    "customer_segments": "customer_segment",
-    "service_lines": "service_line",
-    "channels": "channel",
-    "time_bands": "time_band",
-    "journey_purposes": "journey_purpose",
-    "age_groups": "age_group",
-}
+FILTER_COLUMNS = (
+    "region", "transport_mode", "customer_segment", "service_line", "channel",
+    "time_band", "journey_purpose", "age_group",
+)
 GROUPING_COLUMNS = (
     "region", "transport_mode", "customer_segment", "service_line", "channel",
     "age_group", "journey_purpose", "time_band", "fare_type", "origin_region",

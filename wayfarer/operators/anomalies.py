@@ -10,7 +10,6 @@ on already-aggregated rows (scopes x metrics x days), never on journeys.
 
 from __future__ import annotations
 
-import datetime as dt
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +18,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
-from ..plans.filters import FilterState
+from ..plans.filters import Selection
 from .kpis import check_dimension
 
 METHODS = ("rolling_z", "iqr")
@@ -32,14 +31,13 @@ def needed_metrics(metrics: Iterable[str] | None) -> tuple[dict[str, float], tup
     return scan, tuple(dict.fromkeys([*scan, *C.COMPANION_METRICS]))
 
 
-def daily_frame(analytics: DataFrame, filters: FilterState, dimension: str | None,
+def daily_frame(analytics: DataFrame, filters: Selection, dimension: str | None,
                 lookback_days: int, metrics: Sequence[str]) -> DataFrame:
     """One row per (day, scope) with every needed metric, from
     ``start - lookback_days`` to the end of the selection."""
     if dimension is not None:
         check_dimension(dimension)
-    extended = filters.with_dates(filters.start_date - dt.timedelta(days=lookback_days),
-                                  filters.end_date)
+    extended = filters.during(filters.period.extended_back(lookback_days))
     scope = F.lit("Network") if dimension is None else F.col(dimension)
     return (analytics.where(extended.column())
             .groupBy(F.col("date").alias("period"), scope.alias("dimension_value"))
@@ -100,7 +98,7 @@ def _rounded(cols: Sequence[str]) -> list[Column]:
     return [np_round(c, DIGITS).alias(c) for c in cols]
 
 
-def scan(analytics: DataFrame, filters: FilterState, dimension: str | None = None,
+def scan(analytics: DataFrame, filters: Selection, dimension: str | None = None,
          metrics: Iterable[str] | None = None, method: str = "rolling_z",
          window: int = C.ANOMALY_ROLLING_WINDOW,
          threshold: float = C.ANOMALY_Z_THRESHOLD) -> tuple[DataFrame, dict[str, float]]:
@@ -110,7 +108,7 @@ def scan(analytics: DataFrame, filters: FilterState, dimension: str | None = Non
     return baselines(long_series(daily, needed), method, window, threshold), floors
 
 
-def detect(analytics: DataFrame, filters: FilterState, dimension: str | None = None,
+def detect(analytics: DataFrame, filters: Selection, dimension: str | None = None,
            metrics: Iterable[str] | None = None, method: str = "rolling_z",
            window: int = C.ANOMALY_ROLLING_WINDOW, threshold: float = C.ANOMALY_Z_THRESHOLD,
            min_journeys_per_day: int = 25, adverse_only: bool = False,
@@ -121,7 +119,7 @@ def detect(analytics: DataFrame, filters: FilterState, dimension: str | None = N
                 adverse_only, limit)
 
 
-def gate(base: DataFrame, floors: dict[str, float], filters: FilterState,
+def gate(base: DataFrame, floors: dict[str, float], filters: Selection,
          dimension: str | None, method: str, threshold: float,
          min_journeys_per_day: int = 25, adverse_only: bool = False,
          limit: int | None = None) -> DataFrame:
@@ -131,7 +129,7 @@ def gate(base: DataFrame, floors: dict[str, float], filters: FilterState,
         else (F.abs(z) >= threshold)
     det = (base.where(F.col("metric").isin(*floors))
            .where(F.col("scope_days") >= C.ANOMALY_MIN_HISTORY + 1)
-           .where(F.col("period").between(F.lit(filters.start_date), F.lit(filters.end_date)))
+           .where(F.col("period").between(F.lit(filters.period.start), F.lit(filters.period.end)))
            .where(v.isNotNull() & e.isNotNull() & z.isNotNull())
            .where(F.col("journeys") >= min_journeys_per_day)
            .where(F.abs(v - e) >= floor[F.col("metric")])
@@ -168,17 +166,17 @@ def gate(base: DataFrame, floors: dict[str, float], filters: FilterState,
     return ordered.limit(limit) if limit else ordered
 
 
-def baseline_table(analytics: DataFrame, filters: FilterState, dimension: str | None,
+def baseline_table(analytics: DataFrame, filters: Selection, dimension: str | None,
                    method: str, metrics: Iterable[str] | None = None) -> DataFrame:
     """N2 as a query: baselines of the scanned metrics on the selected days."""
     base, floors = scan(analytics, filters, dimension, metrics, method)
     return (base.where(F.col("metric").isin(*floors))
-            .where(F.col("period").between(F.lit(filters.start_date), F.lit(filters.end_date)))
+            .where(F.col("period").between(F.lit(filters.period.start), F.lit(filters.period.end)))
             .select("dimension_value", "metric", "period", "journeys", "scope_days",
                     *_rounded(["value", "expected", "lower_bound", "upper_bound", "z_score"])))
 
 
-def companions(analytics: DataFrame, filters: FilterState, dimension: str | None = None,
+def companions(analytics: DataFrame, filters: Selection, dimension: str | None = None,
                method: str = "rolling_z", adverse_only: bool = False) -> DataFrame:
     """For every detection, the same-day value and trailing-mean baseline of
     each companion metric; ``noted`` marks the context metrics that moved >= 25 %."""
@@ -228,7 +226,7 @@ def summarise(detections: DataFrame, top_n: int = 5) -> DataFrame:
     return combine_rows(counts, most_severe)
 
 
-def series(analytics: DataFrame, filters: FilterState, metric: str,
+def series(analytics: DataFrame, filters: Selection, metric: str,
            dimension: str | None = None, dimension_value: str | None = None,
            method: str = "rolling_z", window: int = C.ANOMALY_ROLLING_WINDOW,
            threshold: float = C.ANOMALY_Z_THRESHOLD) -> DataFrame:
@@ -245,8 +243,8 @@ def series(analytics: DataFrame, filters: FilterState, metric: str,
     v = F.col("value")
     flagged = ((v < F.col("lower_bound")) | (v > F.col("upper_bound"))) if method == "iqr" \
         else (F.abs(F.col("z_score")) >= threshold)
-    return (base.where(F.col("period").between(F.lit(filters.start_date),
-                                               F.lit(filters.end_date)))
+    return (base.where(F.col("period").between(F.lit(filters.period.start),
+                                               F.lit(filters.period.end)))
             .select("period", *_rounded(["value", "expected"]),
                     np_round("lower_bound", DIGITS).alias("lower"),
                     np_round("upper_bound", DIGITS).alias("upper"),

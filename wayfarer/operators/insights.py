@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import METRICS, metric_columns, np_round
-from ..plans.filters import FilterState, period_filters
+from ..plans.filters import Selection, period_filters
 from . import anomalies, kpis, quality
 
 INSIGHT_COLUMNS = ("key", "category", "headline", "direction", "importance")
@@ -32,7 +32,7 @@ def first_by(row: Column, *keys: Column) -> Column:
     return F.min_by(row, F.struct(*keys))
 
 
-def kpi_movement(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def kpi_movement(analytics: DataFrame, filters: Selection) -> DataFrame:
     """Headline KPIs that moved by >= 3 % against the previous period."""
     cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
     ch, pct = F.col("absolute_change"), F.col("percent_change")
@@ -58,7 +58,7 @@ MOVER_CONFIGS = (
 )
 
 
-def dimension_movers(analytics: DataFrame, filters: FilterState, dimension: str, metric: str,
+def dimension_movers(analytics: DataFrame, filters: Selection, dimension: str, metric: str,
                      category: str, noun: str, pop: DataFrame | None = None) -> DataFrame:
     """Best and worst mover of one metric across one dimension (>= 100
     journeys in both periods, >= 3 % move)."""
@@ -104,7 +104,7 @@ CUBE_METRICS = ("avg_satisfaction", "on_time_performance", "total_journeys", "co
                 "avg_delay_minutes")
 
 
-def insight_cube(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def insight_cube(analytics: DataFrame, filters: Selection) -> DataFrame:
     """ONE grouping-sets aggregate over previous-start..end feeding four
     generators (movers, disruption split, weekday x band pressure, complaint
     categories): every metric for both periods per set, plus current-period
@@ -125,7 +125,7 @@ def insight_cube(analytics: DataFrame, filters: FilterState) -> DataFrame:
     return cube.checkpoint(eager=True)
 
 
-def all_dimension_movers(analytics: DataFrame, filters: FilterState,
+def all_dimension_movers(analytics: DataFrame, filters: Selection,
                          cube: DataFrame | None = None) -> DataFrame:
     """I2 for every configured (dimension, metric) as ONE pipeline: a single
     grouping-sets aggregate (both periods, every needed metric), exploded to one
@@ -201,7 +201,7 @@ def all_dimension_movers(analytics: DataFrame, filters: FilterState,
                     "current_journeys"))
 
 
-def disruption_impact(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def disruption_impact(analytics: DataFrame, filters: Selection) -> DataFrame:
     """A10 + I3: complaint-rate multiplier of disrupted vs normal journeys (one
     scan, both groups as gated aggregates)."""
     keys = ("complaint_rate", "avg_satisfaction", "avg_delay_minutes")
@@ -250,7 +250,7 @@ def _disruption_rows(wide: DataFrame) -> DataFrame:
                     "disrupted_journeys", "baseline_journeys"))
 
 
-def peak_pressure(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def peak_pressure(analytics: DataFrame, filters: Selection) -> DataFrame:
     """A11 + I4: worst weekday x time band when its delay exceeds 1.15 x the
     journey-weighted mean of all groups (>= 100 journeys each)."""
     return _peak_rows(kpis.weekday_band_delay(analytics, filters))
@@ -295,7 +295,7 @@ def _peak_rows(g: DataFrame) -> DataFrame:
                     np_round(ratio, DIGITS).alias("ratio"), "journeys"))
 
 
-def complaint_concentration(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def complaint_concentration(analytics: DataFrame, filters: Selection) -> DataFrame:
     """A12 + I5: the top complaint category when it holds >= 20 % of >= 100 complaints."""
     return _complaint_rows(kpis.complaint_categories(analytics, filters))
 
@@ -328,7 +328,7 @@ def _complaint_rows(cats: DataFrame) -> DataFrame:
                     np_round(share, 1).alias("share_pct")))
 
 
-def top_anomaly(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def top_anomaly(analytics: DataFrame, filters: Selection) -> DataFrame:
     """The most extreme of the top 20 adverse region anomalies."""
     det = anomalies.detect(analytics, filters, "region", adverse_only=True, limit=20)
     worst = det.orderBy(F.abs(F.col("z_score")).desc(), F.col("period").desc(),
@@ -343,7 +343,7 @@ def top_anomaly(analytics: DataFrame, filters: FilterState) -> DataFrame:
 
 
 def data_quality_notice(raw: DataFrame, analytics: DataFrame,
-                        filters: FilterState) -> DataFrame:
+                        filters: Selection) -> DataFrame:
     """Excluded-row notice unless exclusions < 0.1 % and completeness > 99.5 %."""
     s = quality.summary(raw, analytics, filters)
     pct = F.col("excluded_rows") / F.col("total_rows") * 100.0
@@ -360,7 +360,7 @@ def data_quality_notice(raw: DataFrame, analytics: DataFrame,
                     np_round("completeness_pct", DIGITS).alias("completeness_pct")))
 
 
-def generate(raw: DataFrame, analytics: DataFrame, filters: FilterState, limit: int = 8,
+def generate(raw: DataFrame, analytics: DataFrame, filters: Selection, limit: int = 8,
              include_quality: bool = True, concurrent: bool = True) -> DataFrame:
     """I8: every generator, ranked by importance (desc) then key; top ``limit``.
 
@@ -400,7 +400,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def executive_brief(raw: DataFrame, analytics: DataFrame, filters: FilterState) -> DataFrame:
+def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection) -> DataFrame:
     """Brief sections as rows (section, position, text): current performance
     (headline KPIs), key changes (<= 5), attention (<= 5 bad), positives (<= 4 good)."""
     cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
@@ -436,7 +436,7 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: FilterState)
 # Reports (the analytical tools behind question routing)
 # ---------------------------------------------------------------------------
 
-def report_kpi_movers(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def report_kpi_movers(analytics: DataFrame, filters: Selection) -> DataFrame:
     """Headline KPIs that moved >= 2 %, the three largest."""
     cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
     movers = cmp.where(F.col("percent_change").isNotNull()
@@ -446,7 +446,7 @@ def report_kpi_movers(analytics: DataFrame, filters: FilterState) -> DataFrame:
                 "direction")
 
 
-def report_period_changes(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def report_period_changes(analytics: DataFrame, filters: Selection) -> DataFrame:
     """The first 8 registered metrics ordered by absolute % change; the first
     four moves of >= 2 % are material."""
     keys = tuple(METRICS)[:8]
@@ -463,7 +463,7 @@ def report_period_changes(analytics: DataFrame, filters: FilterState) -> DataFra
                          (big & (nth_big <= 4)).alias("material"))
 
 
-def report_dimension(analytics: DataFrame, filters: FilterState, dimension: str,
+def report_dimension(analytics: DataFrame, filters: Selection, dimension: str,
                      focus: str | None, metric: str = "on_time_performance") -> DataFrame:
     """Breakdown of a dimension joined to its period-over-period movement,
     with the focus value and the best / worst mover flagged."""
@@ -488,7 +488,7 @@ def report_dimension(analytics: DataFrame, filters: FilterState, dimension: str,
         else F.lit(False).alias("is_focus"))
 
 
-def report_complaints(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def report_complaints(analytics: DataFrame, filters: Selection) -> DataFrame:
     """The mode with the highest complaint rate and the most common reason."""
     by_mode = kpis.metrics_by_dimension(analytics, filters, "transport_mode",
                                         ("total_journeys", "complaint_rate"))
@@ -510,7 +510,7 @@ def report_complaints(analytics: DataFrame, filters: FilterState) -> DataFrame:
                    .alias("top_reason_share")))
 
 
-def report_satisfaction(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def report_satisfaction(analytics: DataFrame, filters: Selection) -> DataFrame:
     """I16: the segments with the largest fall and rise in satisfaction."""
     move = kpis.period_over_period_by_dimension(analytics, filters, "customer_segment",
                                                 "avg_satisfaction", C.MIN_SAMPLE_FOR_COMPARISON)
@@ -531,7 +531,7 @@ def report_satisfaction(analytics: DataFrame, filters: FilterState) -> DataFrame
         np_round("b.percent_change", DIGITS).alias("best_percent_change"))
 
 
-def report_top_issues(raw: DataFrame, analytics: DataFrame, filters: FilterState) -> DataFrame:
+def report_top_issues(raw: DataFrame, analytics: DataFrame, filters: Selection) -> DataFrame:
     """The three most important adverse findings, else the top three."""
     found = generate(raw, analytics, filters, limit=10)
     rank = F.row_number().over(Window.orderBy(

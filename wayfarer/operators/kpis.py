@@ -15,10 +15,10 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
-from ..plans.filters import FilterState, period_filters
+from ..plans.filters import Selection, period_filters
 
 
-def _where(df: DataFrame, filters: FilterState | None) -> DataFrame:
+def _where(df: DataFrame, filters: Selection | None) -> DataFrame:
     return df if filters is None else df.where(filters.column())
 
 
@@ -28,7 +28,7 @@ def check_dimension(dimension: str) -> str:
     return dimension
 
 
-def compute_metrics(analytics: DataFrame, filters: FilterState | None,
+def compute_metrics(analytics: DataFrame, filters: Selection | None,
                     keys: Iterable[str] | None = None) -> DataFrame:
     """A1: one row of metrics over the filtered population (empty -> counts 0)."""
     keys = check_keys(keys or METRICS.keys())
@@ -59,7 +59,7 @@ def _stack_pairs(keys: Sequence[str], cols: dict[str, tuple[str, ...]]) -> Colum
     return F.expr(f"stack({len(keys)}, {', '.join(parts)}) AS ({', '.join(names)})")
 
 
-def compare_periods(analytics: DataFrame, filters: FilterState,
+def compare_periods(analytics: DataFrame, filters: Selection,
                     keys: Iterable[str] | None = None) -> DataFrame:
     """A2: current vs previous equal-length period, one row per metric."""
     keys = check_keys(keys or C.HEADLINE_KPIS)
@@ -82,7 +82,7 @@ def compare_periods(analytics: DataFrame, filters: FilterState,
     )
 
 
-def kpi_evidence(analytics: DataFrame, filters: FilterState,
+def kpi_evidence(analytics: DataFrame, filters: Selection,
                  keys: Iterable[str] | None = None) -> DataFrame:
     """A3: evidence form of A2 (values rounded to 4 dp, percent change to 2 dp)."""
     cmp = compare_periods(analytics, filters, keys)
@@ -95,7 +95,7 @@ def kpi_evidence(analytics: DataFrame, filters: FilterState,
         "direction")
 
 
-def population_summary(analytics: DataFrame, filters: FilterState | None) -> DataFrame:
+def population_summary(analytics: DataFrame, filters: Selection | None) -> DataFrame:
     """A4: journeys, distinct customers / regions / modes / lines, date bounds.
 
     Only the customer count is an (unbounded) distinct aggregate; regions,
@@ -113,7 +113,7 @@ def population_summary(analytics: DataFrame, filters: FilterState | None) -> Dat
     )
 
 
-def metrics_by_dimension(analytics: DataFrame, filters: FilterState | None, dimension: str,
+def metrics_by_dimension(analytics: DataFrame, filters: Selection | None, dimension: str,
                          keys: Iterable[str] | None = None, min_journeys: int = 1,
                          limit: int | None = None) -> DataFrame:
     """A5: metric set per dimension value; HAVING n >= min; NULL group dropped
@@ -136,7 +136,7 @@ def metrics_by_dimension(analytics: DataFrame, filters: FilterState | None, dime
     return ordered.where(F.col("dimension_value").isNotNull())
 
 
-def period_over_period_by_dimension(analytics: DataFrame, filters: FilterState, dimension: str,
+def period_over_period_by_dimension(analytics: DataFrame, filters: Selection, dimension: str,
                                     metric: str, min_journeys: int = 50) -> DataFrame:
     """One metric per dimension value, current vs previous, both sides >= min.
 
@@ -167,7 +167,7 @@ def period_over_period_by_dimension(analytics: DataFrame, filters: FilterState,
                     .alias("percent_change")))
 
 
-def compare_segments(analytics: DataFrame, filters: FilterState, segment_a: str, segment_b: str,
+def compare_segments(analytics: DataFrame, filters: Selection, segment_a: str, segment_b: str,
                      keys: Sequence[str] | None = None) -> DataFrame:
     """Two customer segments side by side, one row per metric + difference.
 
@@ -175,7 +175,7 @@ def compare_segments(analytics: DataFrame, filters: FilterState, segment_a: str,
     scan with segment-gated aggregates.
     """
     keys = check_keys(keys or C.SEGMENT_COMPARE_METRICS)
-    base = filters.without("customer_segments")
+    base = filters.any_value_of("customer_segment")
     seg = F.col("customer_segment")
     wide = (analytics.where(base.column() & seg.isin(segment_a, segment_b))
             .agg(*metric_columns(keys, seg == segment_a, "__a"),
@@ -198,7 +198,7 @@ def compare_segments(analytics: DataFrame, filters: FilterState, segment_a: str,
         (va - vb).alias("difference"))
 
 
-def disruption_comparison(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def disruption_comparison(analytics: DataFrame, filters: Selection) -> DataFrame:
     """A10: disrupted vs normal journeys (complaints, satisfaction, delay)."""
     keys = ("complaint_rate", "avg_satisfaction", "avg_delay_minutes")
     return (_where(analytics, filters)
@@ -207,7 +207,7 @@ def disruption_comparison(analytics: DataFrame, filters: FilterState) -> DataFra
             .agg(F.count(F.lit(1)).alias("journeys"), *metric_columns(keys)))
 
 
-def weekday_band_delay(analytics: DataFrame, filters: FilterState,
+def weekday_band_delay(analytics: DataFrame, filters: Selection,
                        min_journeys: int = C.MIN_SAMPLE_FOR_COMPARISON) -> DataFrame:
     """A11 input: delay / OTP per (weekday, time band) with >= min journeys, and the
     journey-weighted mean delay across the kept groups."""
@@ -222,7 +222,7 @@ def weekday_band_delay(analytics: DataFrame, filters: FilterState,
     return g.select("*", weighted.alias("overall_delay"))
 
 
-def complaint_categories(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def complaint_categories(analytics: DataFrame, filters: Selection) -> DataFrame:
     """Complaints per category with share of the total (tiny grouped result)."""
     g = (_where(analytics, filters)
          .where(F.col("complaint_flag") & F.col("complaint_category").isNotNull())
@@ -232,7 +232,7 @@ def complaint_categories(analytics: DataFrame, filters: FilterState) -> DataFram
                     (F.col("complaints") / total * 100.0).alias("share_pct"))
 
 
-def segment_share(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def segment_share(analytics: DataFrame, filters: Selection) -> DataFrame:
     """Journeys per customer segment and share of the total."""
     by = metrics_by_dimension(analytics, filters, "customer_segment", ("total_journeys",))
     total = F.sum("total_journeys").over(Window.partitionBy())

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.metrics import np_round, quantile
-from ..plans.filters import FilterState
+from ..plans.filters import Selection
 
 
 def check_definitions() -> list[tuple[str, str, str, Column | None]]:
@@ -43,11 +43,11 @@ def check_definitions() -> list[tuple[str, str, str, Column | None]]:
     ]
 
 
-def _population(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def _population(raw: DataFrame, filters: Selection | None) -> DataFrame:
     return raw if filters is None else raw.where(filters.column())
 
 
-def profile(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def profile(raw: DataFrame, filters: Selection | None) -> DataFrame:
     """One wide row: total, latest date, failing rows per check, present values
     per profiled field."""
     aggs = [F.count(F.lit(1)).alias("total_rows"), F.max("date").alias("latest_date"),
@@ -58,7 +58,7 @@ def profile(raw: DataFrame, filters: FilterState | None) -> DataFrame:
     return _population(raw, filters).agg(*aggs)
 
 
-def checks(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def checks(raw: DataFrame, filters: Selection | None) -> DataFrame:
     """Q1-Q3: one row per rule - failing rows, failure rate %, passed, severity."""
     defs = check_definitions()
     stack = ", ".join(f"'{k}', '{label}', '{cat}', {i}, CAST({k} AS BIGINT)"
@@ -76,7 +76,7 @@ def checks(raw: DataFrame, filters: FilterState | None) -> DataFrame:
         .otherwise("High").alias("severity"))
 
 
-def field_completeness(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def field_completeness(raw: DataFrame, filters: Selection | None) -> DataFrame:
     """Q4: present / missing / completeness % per profiled field."""
     stack = ", ".join(f"'{c}', {i}, present_{c}, {str(c in C.CONDITIONAL_FIELDS).lower()}"
                       for i, c in enumerate(C.PROFILED_FIELDS))
@@ -129,11 +129,11 @@ def score_columns() -> list[Column]:
     ]
 
 
-def score(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def score(raw: DataFrame, filters: Selection | None) -> DataFrame:
     return profile(raw, filters).select(*score_columns())
 
 
-def summary(raw: DataFrame, analytics: DataFrame, filters: FilterState | None,
+def summary(raw: DataFrame, analytics: DataFrame, filters: Selection | None,
             as_of: dt.date = C.AS_OF) -> DataFrame:
     """Q6 (+ Q5): raw / analysable / excluded rows, latest date, freshness, score."""
     prof = profile(raw, filters)
@@ -152,7 +152,7 @@ def summary(raw: DataFrame, analytics: DataFrame, filters: FilterState | None,
         *score_columns())
 
 
-def value_outliers(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def value_outliers(raw: DataFrame, filters: Selection | None) -> DataFrame:
     """Q7: values beyond 3 x IQR (delay upper side only; duration both sides).
 
     The quartiles are one aggregate row used as an uncorrelated scalar
@@ -172,7 +172,7 @@ def value_outliers(raw: DataFrame, filters: FilterState | None) -> DataFrame:
         .alias("duration_outliers"))
 
 
-def worst_check(raw: DataFrame, filters: FilterState | None) -> DataFrame:
+def worst_check(raw: DataFrame, filters: Selection | None) -> DataFrame:
     """Q8: failing checks count and the worst one (highest rate; first in rule order)."""
     c = checks(raw, filters).where(~F.col("passed"))
     order = F.struct(F.col("failure_rate"), -F.col("position"))

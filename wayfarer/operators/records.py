@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..plans.filters import FilterState
+from ..plans.filters import Selection
 
 
 def _sort_options() -> dict[str, list[Column]]:
@@ -47,7 +47,7 @@ def search_predicate(search: str) -> Column | None:
             | F.lower(F.coalesce(F.col("complaint_category"), F.lit(""))).like(pattern))
 
 
-def fetch_records(analytics: DataFrame, filters: FilterState, *,
+def fetch_records(analytics: DataFrame, filters: Selection, *,
                   columns: tuple[str, ...] = C.DISPLAY_COLUMNS, sort: str = "Most recent",
                   subset: str = "All journeys", search: str = "", limit: int = 500) -> DataFrame:
     """Records behind the selection (unknown sort / subset fall back; unknown
@@ -64,7 +64,7 @@ def fetch_records(analytics: DataFrame, filters: FilterState, *,
     return df.orderBy(*order, F.col("journey_id").asc()).limit(limit).select(*selected)
 
 
-def subset_counts(analytics: DataFrame, filters: FilterState) -> DataFrame:
+def subset_counts(analytics: DataFrame, filters: Selection) -> DataFrame:
     """Row count of every subset, one scan with conditional counts."""
     subsets = subset_filters()
     aggs = [F.count(F.lit(1) if cond is None else F.when(cond, 1)).alias(f"c{i}")

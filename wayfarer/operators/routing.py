@@ -3,13 +3,18 @@
 Each question scores every tool by the summed length of the tool's keywords
 that occur in its lower-cased text (plain substring match); the highest score
 wins, ties go to registry order, no match -> the default tool. Entities (first
-region / mode by whole word, up to two segments by token) are extracted in
-the same projection; two segments force the segment comparison. Everything is
-per-row column expressions (no join, no UDF), so it is one narrow stage.
+region / mode by whole word, up to two segments by token) come from the same
+text; two segments force the segment comparison, and the matched terms stay
+those of the winning tool. All of it is column expressions in one narrow stage
+(no join, no UDF), projected step by step so that the text, the matches and the
+best score are each computed once.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,49 +29,55 @@ def _word_pattern(term: str) -> str:
 
 
 def _first(matches: list[tuple[Column, str]]) -> Column:
-    expr = None
-    for cond, value in matches:
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return expr.otherwise(F.lit(None).cast("string"))
+    return F.coalesce(*[F.when(cond, F.lit(value)) for cond, value in matches])
 
 
 def route(questions: DataFrame, text_col: str = "question") -> DataFrame:
-    """X1 + X2: add tool, score, region, transport_mode, segment_a, segment_b."""
-    low = F.trim(F.lower(F.coalesce(F.col(text_col), F.lit(""))))
-    scores = []
-    for name, keywords in C.ROUTING_TOOLS:
-        total = None
-        for kw in keywords:
-            term = F.when(F.instr(low, kw) > 0, F.lit(len(kw))).otherwise(F.lit(0))
-            total = term if total is None else total + term
-        scores.append((name, total))
-    best = F.greatest(*[s for _, s in scores])
-    winner = _first([(s == best, name) for name, s in scores])
+    """X1 + X2: add tool, score, matched_terms (comma-joined), region,
+    transport_mode, segment_a, segment_b. Columns of the questions whose names
+    begin with ``_rt_`` are not allowed."""
+    kept = [F.col(f"`{c}`") for c in questions.columns]
+    low = F.col("_rt_low")
+
+    def found(terms) -> Column:
+        """The terms that occur in the text, in their order."""
+        return F.array_compact(F.array(*[F.when(F.instr(low, t) > 0, F.lit(t)) for t in terms]))
+
+    def length(terms: Column) -> Column:
+        return F.aggregate(terms, F.lit(0), lambda n, t: n + F.length(t))
+
     def whole_word(term: str) -> Column:
         # cheap substring test first; the regex only runs on candidate texts
         return (F.instr(low, term.lower()) > 0) & low.rlike(_word_pattern(term))
-    region = _first([(whole_word(r), r) for r in C.REGIONS])
-    mode = _first([(whole_word(m), m) for m in C.TRANSPORT_MODES])
-    hits = []
-    for seg, tokens in C.SEGMENT_TOKENS:
-        cond = None
-        for t in tokens:
-            term = F.instr(low, t) > 0
-            cond = term if cond is None else cond | term
-        hits.append(F.when(cond, F.lit(seg)))
-    segs = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    seg_a = F.try_element_at(segs, F.lit(1))
-    seg_b = F.try_element_at(segs, F.lit(2))
-    empty = low == ""
-    tool = (F.when(empty | (best == 0), F.lit(C.DEFAULT_TOOL))
-            .when(seg_b.isNotNull(), F.lit("compare_segments"))
-            .otherwise(winner))
-    return questions.select(
-        "*", tool.alias("tool"), F.when(empty, 0).otherwise(best).alias("score"),
-        F.when(empty, None).otherwise(region).alias("region"),
-        F.when(empty, None).otherwise(mode).alias("transport_mode"),
-        F.when(empty, None).otherwise(seg_a).alias("segment_a"),
-        F.when(empty, None).otherwise(seg_b).alias("segment_b"))
+
+    def any_token(tokens) -> Column:
+        return functools.reduce(operator.or_, [F.instr(low, t) > 0 for t in tokens])
+
+    names = [name for name, _ in C.ROUTING_TOOLS]
+    text = questions.select(*kept, F.trim(F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+                            .alias("_rt_low"))
+    matched = text.select(
+        *kept, "_rt_low",
+        *[found(keywords).alias(f"_rt_terms_{name}") for name, keywords in C.ROUTING_TOOLS],
+        F.array_compact(F.array(*[F.when(any_token(tokens), F.lit(segment))
+                                  for segment, tokens in C.SEGMENT_TOKENS])).alias("_rt_segments"))
+    scored = matched.select("*", *[length(F.col(f"_rt_terms_{n}")).alias(f"_rt_score_{n}")
+                                   for n in names])
+    best = scored.select("*", F.greatest(*[F.col(f"_rt_score_{n}") for n in names]).alias("_rt_best"))
+    winner = best.select("*", F.when(F.col("_rt_best") > 0, _first(
+        [(F.col(f"_rt_score_{n}") == F.col("_rt_best"), n) for n in names])).alias("_rt_tool"))
+    terms = F.coalesce(*[F.when(F.col("_rt_tool") == n, F.col(f"_rt_terms_{n}")) for n in names])
+    segment = [F.try_element_at("_rt_segments", F.lit(i)) for i in (1, 2)]
+    return winner.select(
+        *kept,
+        F.when(F.col("_rt_tool").isNull(), F.lit(C.DEFAULT_TOOL))
+        .when(segment[1].isNotNull(), F.lit("compare_segments"))
+        .otherwise(F.col("_rt_tool")).alias("tool"),
+        F.col("_rt_best").alias("score"),
+        F.coalesce(F.array_join(terms, ", "), F.lit("")).alias("matched_terms"),
+        _first([(whole_word(r), r) for r in C.REGIONS]).alias("region"),
+        _first([(whole_word(m), m) for m in C.TRANSPORT_MODES]).alias("transport_mode"),
+        segment[0].alias("segment_a"), segment[1].alias("segment_b"))
 
 
 def user_questions(conversations: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import np_round, share
-from ..plans.filters import FilterState
+from ..plans.filters import Selection
 from .kpis import _where
 
 SHARE_FLAGS = {
@@ -28,7 +28,7 @@ SHARE_FLAGS = {
 }
 
 
-def customer_features(analytics: DataFrame, filters: FilterState | None,
+def customer_features(analytics: DataFrame, filters: Selection | None,
                       min_journeys: int = 3) -> DataFrame:
     """A8 + A9: one row per customer (>= min journeys, NULL id dropped)."""
     n = F.count(F.lit(1))

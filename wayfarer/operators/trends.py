@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
-from ..plans.filters import FilterState
+from ..plans.filters import Selection
 from .kpis import _where, check_dimension
 
 
@@ -34,7 +34,7 @@ def monday_first(dow) -> F.Column:
     return F.pmod(dow + 6, F.lit(7))
 
 
-def time_series(analytics: DataFrame, filters: FilterState | None, grain: str = "day",
+def time_series(analytics: DataFrame, filters: Selection | None, grain: str = "day",
                 keys: Iterable[str] | None = None) -> DataFrame:
     """Metric set per day / week / month."""
     column = check_grain(grain)
@@ -66,7 +66,7 @@ def add_rolling(series: DataFrame, column: str, window: int = 7,
     return series.select("*", np_round(value, digits).alias(f"{column}{suffix}"))
 
 
-def series_by_dimension(analytics: DataFrame, filters: FilterState | None, dimension: str,
+def series_by_dimension(analytics: DataFrame, filters: Selection | None, dimension: str,
                         metric: str, grain: str = "week", top_n: int = 6) -> DataFrame:
     """T4: one series per value of the ``top_n`` busiest dimension values.
 
@@ -88,7 +88,7 @@ def series_by_dimension(analytics: DataFrame, filters: FilterState | None, dimen
             .orderBy("period", "dimension_value"))
 
 
-def hourly_profile(analytics: DataFrame, filters: FilterState | None,
+def hourly_profile(analytics: DataFrame, filters: Selection | None,
                    keys: Iterable[str] | None = None) -> DataFrame:
     """T5: metrics by hour of day, split weekday / weekend."""
     keys = check_keys(keys or C.HOURLY_METRICS)
@@ -98,7 +98,7 @@ def hourly_profile(analytics: DataFrame, filters: FilterState | None,
             .agg(*metric_columns(keys)).orderBy("hour", "day_type"))
 
 
-def weekday_profile(analytics: DataFrame, filters: FilterState | None,
+def weekday_profile(analytics: DataFrame, filters: Selection | None,
                     keys: Iterable[str] | None = None) -> DataFrame:
     """Metrics by day of week, named, Monday first."""
     keys = check_keys(keys or C.WEEKDAY_METRICS)
@@ -108,7 +108,7 @@ def weekday_profile(analytics: DataFrame, filters: FilterState | None,
             .orderBy("sort_order"))
 
 
-def heatmap_cells(analytics: DataFrame, filters: FilterState | None,
+def heatmap_cells(analytics: DataFrame, filters: Selection | None,
                   metric: str = "avg_delay_minutes", min_journeys: int = 5) -> DataFrame:
     """T7 (long form): one metric per (weekday, hour) cell with >= 5 journeys."""
     check_keys([metric])
@@ -119,7 +119,7 @@ def heatmap_cells(analytics: DataFrame, filters: FilterState | None,
     return g.select("*", day_name(F.col("day_of_week")).alias("day_name"))
 
 
-def heatmap_matrix(analytics: DataFrame, filters: FilterState | None,
+def heatmap_matrix(analytics: DataFrame, filters: Selection | None,
                    metric: str = "avg_delay_minutes") -> DataFrame:
     """The cells pivoted to one row per weekday (Monday first), one column per
     hour (``h00`` .. ``h23``; the 24 pivot values are fixed, so no extra pass)."""

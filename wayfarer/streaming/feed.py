@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.filters import FilterState
+from ..plans.filters import Selection
 from ..plans.model import enrich, valid_predicate
 from ..sources.feeds import canonicalise
 
@@ -27,7 +27,7 @@ def read_feed_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.load(path)
 
 
-def valid_enriched_stream(feed: DataFrame, filters: FilterState | None = None) -> DataFrame:
+def valid_enriched_stream(feed: DataFrame, filters: Selection | None = None) -> DataFrame:
     """canonicalise -> enrich -> validity [-> selection], all stateless."""
     rows = enrich(canonicalise(feed, probe_timestamp=False)).where(valid_predicate())
     return rows if filters is None else rows.where(filters.column())
