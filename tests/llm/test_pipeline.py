@@ -1,9 +1,9 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline as P
-from test_decontaminate import brute as contaminated
-from test_mixing import water, words
-from test_minhash import brute as near
+from .test_decontaminate import brute as contaminated
+from .test_mixing import water, words
+from .test_minhash import brute as near
 
 from wayfarer.llm import common as C
 
