@@ -98,30 +98,31 @@ for _name, _dim in {
 from .sqlkit import d, npround  # noqa: E402
 
 ORACLES["feed_validation"] = q("""
-SELECT level, code, message, n_rows FROM (
-  SELECT 'error' AS level, 'empty_feed' AS code, 'The feed contains no rows.' AS message,
-         n AS n_rows, n = 0 AS hit FROM s
-  UNION ALL SELECT 'error', 'dates_unparseable',
-         'The ''date'' column could not be parsed as dates.', bad_dates,
-         n > 0 AND bad_dates = n FROM s
-  UNION ALL SELECT 'warning', 'dates_partly_unparseable',
-         'Rows with an unparseable date are excluded from analysis.', bad_dates,
-         bad_dates > 0 AND bad_dates < n FROM s
-  UNION ALL SELECT 'error', 'delay_minutes_not_numeric',
-         'The ''delay_minutes'' column contains no numeric values.', delay_num,
-         n > 0 AND delay_num = 0 FROM s
-  UNION ALL SELECT 'error', 'customer_satisfaction_not_numeric',
-         'The ''customer_satisfaction'' column contains no numeric values.', sat_num,
-         n > 0 AND sat_num = 0 FROM s
-  UNION ALL SELECT 'warning', 'absent_optional_columns',
-         '14 optional column(s) are absent: timestamp, origin_region, destination_region, '
-         || 'journey_purpose, age_group, channel...', 14, TRUE
+SELECT feed, level, code, message, CAST(n_rows AS BIGINT) AS n_rows FROM (
+  SELECT 'required_only' AS feed, 'warning' AS level, 'absent_optional_columns' AS code,
+         '18 optional column(s) are absent: timestamp, origin_region, destination_region, '
+         || 'service_line, journey_purpose, age_group...' AS message, 18 AS n_rows,
+         delay_num > 0 AND sat_num > 0 AS hit FROM s
+  UNION ALL SELECT 'some_defects', 'warning', 'dates_partly_unparseable',
+         'Rows with an unparseable date are excluded from analysis.', sevens, sevens > 0 FROM s
+  UNION ALL SELECT 'some_defects', 'warning', 'unrecognised_booleans',
+         'Rows hold a boolean text that is not recognised; it is read as missing.', digital,
+         digital > 0 FROM s
+  UNION ALL SELECT 'no_values', 'error', 'dates_unparseable',
+         'The ''date'' column could not be parsed as dates.', n, TRUE FROM s
+  UNION ALL SELECT 'no_values', 'error', 'delay_minutes_not_numeric',
+         'The ''delay_minutes'' column contains no numeric values.', 0, TRUE
+  UNION ALL SELECT 'no_values', 'error', 'customer_satisfaction_not_numeric',
+         'The ''customer_satisfaction'' column contains no numeric values.', 0, TRUE
+  UNION ALL SELECT 'columns_missing', 'error', 'missing_required_columns',
+         'Missing required column(s): date, region', NULL, TRUE
+  UNION ALL SELECT 'empty', 'error', 'empty_feed', 'The feed contains no rows.', 0, TRUE
 ) WHERE hit""", """
 s AS (
   SELECT count(*) AS n,
-         count(*) FILTER (WHERE TRY_CAST(CAST(date AS VARCHAR) AS DATE) IS NULL) AS bad_dates,
-         count(TRY_CAST(CAST(delay_minutes AS VARCHAR) AS DOUBLE)) AS delay_num,
-         count(TRY_CAST(CAST(customer_satisfaction AS VARCHAR) AS DOUBLE)) AS sat_num
+         count(*) FILTER (WHERE date IS NULL OR suffix(journey_id, '7')) AS sevens,
+         count(*) FILTER (WHERE digital_interaction) AS digital,
+         count(delay_minutes) AS delay_num, count(customer_satisfaction) AS sat_num
   FROM journeys
 )""")
 
@@ -131,38 +132,46 @@ def _bool_text(expr: str) -> str:
             f"WHEN {expr} IN ('false', 'False', 'FALSE', '0', 'no') THEN FALSE END")
 
 
+def _text_back(name: str, kind: str, texts: tuple[str, str] = ("true", "false")) -> str:
+    """A column rendered as text and read again."""
+    if kind == "BOOLEAN":
+        return _bool_text(f"(CASE WHEN {name} THEN '{texts[0]}' WHEN NOT {name} THEN '{texts[1]}' END)")
+    return f"TRY_CAST(CAST({name} AS VARCHAR) AS {kind})"
+
+
+_REQUIRED_BACK = f"""journey_id, customer_id, region, transport_mode, customer_segment,
+       {_text_back('date', 'DATE')} AS date,
+       {_text_back('delay_minutes', 'DOUBLE')} AS delay_minutes,
+       {_text_back('customer_satisfaction', 'DOUBLE')} AS customer_satisfaction"""
+
 ORACLES["canonical_feed"] = q(f"""
-SELECT journey_id, customer_id, date, region, transport_mode, customer_segment,
-       delay_minutes, customer_satisfaction,
-       CAST(date AS TIMESTAMP) AS "timestamp",
-       CAST(NULL AS VARCHAR) AS origin_region, CAST(NULL AS VARCHAR) AS destination_region,
-       service_line, CAST(NULL AS VARCHAR) AS journey_purpose,
-       CAST(NULL AS VARCHAR) AS age_group, CAST(NULL AS VARCHAR) AS channel,
-       journey_duration_minutes,
+SELECT {_REQUIRED_BACK},
+       {_text_back('"timestamp"', 'TIMESTAMP')} AS "timestamp",
+       origin_region, destination_region, service_line, journey_purpose, age_group, channel,
+       {_text_back('journey_duration_minutes', 'DOUBLE')} AS journey_duration_minutes,
+       coalesce({_text_back('on_time', 'BOOLEAN')}, delay_minutes <= 5.0, FALSE) AS on_time,
+       {_text_back('complaint_flag', 'BOOLEAN', ('True', 'False'))} AS complaint_flag,
+       complaint_category,
+       {_text_back('resolution_time_hours', 'DOUBLE')} AS resolution_time_hours,
+       {_text_back('repeat_customer', 'BOOLEAN', ('1', '0'))} AS repeat_customer,
+       {_text_back('service_disruption', 'BOOLEAN', ('yes', 'no'))} AS service_disruption,
+       {_text_back('accessibility_service_used', 'BOOLEAN', ('TRUE', 'FALSE'))}
+           AS accessibility_service_used,
+       fare_type, {_text_back('digital_interaction', 'BOOLEAN')} AS digital_interaction,
+       feedback_text_category
+FROM journeys""")
+
+ORACLES["canonical_feed_required"] = q(f"""
+SELECT {_REQUIRED_BACK}, CAST(date AS TIMESTAMP) AS "timestamp",
        coalesce(delay_minutes <= 5.0, FALSE) AS on_time,
-       complaint_flag, CAST(NULL AS VARCHAR) AS complaint_category,
-       CAST(NULL AS DOUBLE) AS resolution_time_hours, CAST(NULL AS BOOLEAN) AS repeat_customer,
-       service_disruption, CAST(NULL AS BOOLEAN) AS accessibility_service_used,
-       CAST(NULL AS VARCHAR) AS fare_type, CAST(NULL AS BOOLEAN) AS digital_interaction,
-       CAST(NULL AS VARCHAR) AS feedback_text_category
-FROM (
-  SELECT journey_id, customer_id, TRY_CAST(t_date AS DATE) AS date, region, transport_mode,
-         customer_segment,
-         TRY_CAST(t_delay AS DOUBLE) AS delay_minutes,
-         TRY_CAST(t_sat AS DOUBLE) AS customer_satisfaction,
-         service_line,
-         TRY_CAST(t_dur AS DOUBLE) AS journey_duration_minutes,
-         {_bool_text('t_cf')} AS complaint_flag,
-         {_bool_text('t_disr')} AS service_disruption
-  FROM (
-    SELECT journey_id, customer_id, CAST(date AS VARCHAR) AS t_date, region, transport_mode,
-           customer_segment, CAST(delay_minutes AS VARCHAR) AS t_delay,
-           CAST(customer_satisfaction AS VARCHAR) AS t_sat, service_line,
-           CAST(journey_duration_minutes AS VARCHAR) AS t_dur,
-           CAST(complaint_flag AS VARCHAR) AS t_cf,
-           CASE WHEN service_disruption THEN 'yes' WHEN NOT service_disruption THEN 'no' END
-               AS t_disr
-    FROM journeys))""")
+       {", ".join(f"CAST(NULL AS {kind}) AS {name}" for kind, names in (
+           ("VARCHAR", "origin_region destination_region service_line journey_purpose age_group "
+                       "channel complaint_category fare_type feedback_text_category"),
+           ("DOUBLE", "journey_duration_minutes resolution_time_hours"),
+           ("BOOLEAN", "complaint_flag repeat_customer service_disruption "
+                       "accessibility_service_used digital_interaction"))
+           for name in names.split())}
+FROM journeys""")
 
 ORACLES["enriched_no_dims"] = q(f"SELECT {ALL_COLUMNS} FROM raw_j")
 

@@ -44,8 +44,34 @@ def test_validation_reports_everything(spark):
     cols = list(C.REQUIRED_COLUMNS)
     bad = _upload(spark, [("J1", "C1", "not a date", "N", "Bus", "S", "x", "y")], cols)
     codes = {r.code for r in feeds.validate_feed(bad).collect()}
-    assert {"dates_unparseable", "delay_minutes_not_numeric",
-            "customer_satisfaction_not_numeric", "absent_optional_columns"} <= codes
+    # absent optional columns are told only where nothing is wrong
+    assert codes == {"dates_unparseable", "delay_minutes_not_numeric",
+                     "customer_satisfaction_not_numeric"}
+
+
+def test_validation_of_booleans_empty_feeds_and_files(spark, tmp_path):
+    good = ("J1", "C1", "30 Jun 2026", "N", "Bus", "S", "1", "4")
+    cols = [*C.REQUIRED_COLUMNS, "on_time", "complaint_flag"]
+    feed = _upload(spark, [(*good, "Y", "yes"), (*good, "TRUE ", None), (*good, "1", "")], cols)
+    found = {r.code: r.n_rows for r in feeds.validate_feed(feed).collect()}
+    assert found == {"unrecognised_booleans": 2, "absent_optional_columns": 16}
+    nothing = spark.createDataFrame([], "journey_id string")
+    assert [r.code for r in feeds.validate_feed(nothing).collect()] == ["empty_feed"]
+    lost = feeds.validate_csv(spark, str(tmp_path / "nowhere.csv")).collect()
+    assert [(r.level, r.code) for r in lost] == [("error", "unreadable_file")]
+
+
+def test_date_and_timestamp_formats(spark):
+    texts = ["2026-06-30", "2026/06/30", "6/30/2026", "30 Jun 2026", "30 June 2026",
+             "Jun 30, 2026", "2026/06/30 08:05"]
+    df = spark.createDataFrame([(str(i), t, t) for i, t in enumerate([*texts, "soon", ""])],
+                               "journey_id string, date string, timestamp string")
+    out = {r.journey_id: r for r in feeds.canonicalise(df).collect()}
+    for i, text in enumerate(texts):
+        assert out[str(i)].date == dt.date(2026, 6, 30), text
+        clock = dt.time(8, 5) if text.endswith("08:05") else dt.time()
+        assert out[str(i)].timestamp == dt.datetime.combine(dt.date(2026, 6, 30), clock), text
+    assert out["7"].date is None and out["8"].date is None
 
 
 def test_invalid_rows_removed_and_dedup(spark):

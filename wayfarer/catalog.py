@@ -7,6 +7,7 @@ the period is the reference fixture's: 60 days ending 2026-06-30.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,8 +97,26 @@ FILTERED = dict(region=("ASIA", "EUROPE"), transport_mode=("Bus", "Metro"),
 
 @register("feed_validation")
 def _feed_validation(src):
-    """S2 on the whole feed rendered as an uploaded text file."""
-    return feeds.validate_feed(feeds.text_feed(src.journeys))
+    """S2 on the whole feed rendered as uploaded text files: a sound one, one with the
+    required columns only, and one for each kind of defect."""
+    required = C.REQUIRED_COLUMNS
+    no_region = tuple(c for c in required if c not in ("date", "region"))
+    texts = {
+        "sound": feeds.text_feed(src.journeys),
+        "required_only": feeds.text_feed(src.journeys, required),
+        "some_defects": feeds.text_feed(
+            src.journeys,
+            date=F.when(F.col("journey_id").endswith("7"), "soon")
+            .otherwise(F.date_format("date", "yyyy/M/d")),
+            digital_interaction=F.when(F.col("digital_interaction"), "Y").otherwise("no")),
+        "no_values": feeds.text_feed(src.journeys, required, date=F.lit("soon"),
+                                     delay_minutes=F.lit("late"),
+                                     customer_satisfaction=F.lit("good")),
+        "columns_missing": feeds.text_feed(src.journeys, no_region),
+        "empty": feeds.text_feed(src.journeys.where(F.lit(False)), no_region),
+    }
+    found = [feeds.validate_feed(t).select(F.lit(n).alias("feed"), "*") for n, t in texts.items()]
+    return reduce(DataFrame.unionByName, found)
 
 
 @register("canonical_feed")
@@ -106,6 +125,12 @@ def _canonical_feed(src):
     return feeds.canonicalise(feeds.text_feed(src.journeys))
 
 
+@register("canonical_feed_required")
+def _canonical_feed_required(src):
+    """S3 of a text feed without any optional column: the timestamp is the date."""
+    return feeds.canonicalise(feeds.text_feed(src.journeys, C.REQUIRED_COLUMNS))
+
+
 @register("enriched_no_dims")
 def _enriched_no_dims(src):
     """Raw enriched rows of a feed without dimension tables."""
