@@ -5,7 +5,7 @@ from __future__ import annotations
 from wayfarer import config as C
 from wayfarer.functions.metrics import METRICS
 
-from .prefix import q
+from .prefix import DERIVED, q
 from .sqlkit import CUR, PREV, SCAN2, WHERE_DEFAULT, metric, metrics
 
 ORACLES: dict[str, str] = {}
@@ -208,7 +208,7 @@ SELECT {_J_COLS}, {", ".join(C.DERIVED_COLUMNS)},
        s.reliability_index AS line_reliability_index,
        s.capacity_index AS line_capacity_index,
        s.scheduled_duration_minutes AS line_scheduled_minutes
-FROM (SELECT j.*,{__import__('oracles.prefix', fromlist=['DERIVED']).DERIVED} FROM journeys j) j
+FROM (SELECT j.*,{DERIVED} FROM journeys j) j
 LEFT JOIN _cust c ON c.customer_id = j.customer_id
 LEFT JOIN _lines s ON s.service_line = j.service_line""", _DIMS)
 
@@ -582,17 +582,21 @@ _BANDS = [f"""SELECT '{name}' AS band, {i} AS position,
 FROM features""" for i, (name, lo, hi) in enumerate(C.ENGAGEMENT_BANDS)]
 ORACLES["engagement_bands"] = q("\nUNION ALL\n".join(_BANDS), FEATURES_CTE)
 ORACLES["frequency_histogram"] = q(f"""
-SELECT bin, lo + bin * ((hi - lo) / 40.0) AS bin_start, lo + (bin + 1) * ((hi - lo) / 40.0) AS bin_end,
-       customers
-FROM (
+SELECT e.bin, lo + e.bin * ((hi - lo) / 40.0) AS bin_start,
+       lo + (e.bin + 1) * ((hi - lo) / 40.0) AS bin_end, coalesce(customers, 0) AS customers
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(40)) e
+CROSS JOIN (SELECT {_P('journeys_per_week', 0.99)} AS hi, min(journeys_per_week) AS lo
+            FROM features) edges
+LEFT JOIN (
   SELECT CAST(CASE WHEN hi - lo > 0
                    THEN least(floor((least(journeys_per_week, hi) - lo) / (hi - lo) * 40), 39)
                    ELSE 0 END AS INTEGER) AS bin,
-         count(*) AS customers, any_value(lo) AS lo, any_value(hi) AS hi
+         count(*) AS customers
   FROM features, (SELECT {_P('journeys_per_week', 0.99)} AS hi,
                          min(journeys_per_week) AS lo FROM features) b
   GROUP BY 1
-)""", FEATURES_CTE)
+) g ON g.bin = e.bin
+WHERE hi > lo OR (lo IS NOT NULL AND e.bin = 0)""", FEATURES_CTE)
 ORACLES["top_customers"] = q("""
 SELECT customer_id, assigned_segment, age_group, journeys, journeys_per_week, avg_satisfaction,
        complaint_rate, peak_share, digital_share, primary_mode, primary_channel
@@ -853,3 +857,23 @@ customer_features rule_segments rule_segment_profile engagement_bands
 frequency_histogram top_customers standardised_features customer_sample
 """.split():
     ORACLES[_name] = ORACLES[_name].replace(WHERE_DEFAULT, "TRUE")
+
+# The K-means fit held against its definition, and the crosstab's column sums.
+ORACLES["kmeans_fit_check"] = f"""
+SELECT CAST(4 AS INTEGER) AS k, count(*) AS customers, CAST(4 AS BIGINT) AS clusters,
+       CAST(0 AS BIGINT) AS misplaced, TRUE AS centres_settled, TRUE AS cost_agrees
+FROM ({ORACLES['customer_features']}) f"""
+ORACLES["cluster_rule_totals"] = f"""
+SELECT names.rule_segment, count(f.rule_segment) AS customers
+FROM (SELECT unnest(['Frequent Commuters', 'Occasional Travellers', 'Off-Peak Regulars',
+                     'Digital-First Customers', 'High-Service-Need Customers'])
+             AS rule_segment) names
+LEFT JOIN ({ORACLES['rule_segments']}) f ON f.rule_segment = names.rule_segment
+GROUP BY 1"""
+ORACLES["weekday_band_delay"] = q(f"""
+SELECT day_of_week, time_band, journeys, {npround('delay', 6)} AS avg_delay_minutes,
+       {npround('punctual', 6)} AS on_time_performance,
+       {npround('sum(delay * journeys) OVER () / sum(journeys) OVER ()', 6)} AS overall_delay
+FROM (SELECT day_of_week, time_band, count(*) AS journeys, avg(delay_minutes) AS delay,
+             100.0 * count(*) FILTER (WHERE on_time) / count(on_time) AS punctual
+      FROM an GROUP BY ALL HAVING count(*) >= 100)""")

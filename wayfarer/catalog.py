@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config as C
+from .functions.metrics import np_round
 from .operators import anomalies, insights, kpis, quality, records, routing, segmentation, trends
 from .plans.filters import Period, Selection, preset_period
 from .plans.model import JourneySource, source_for
@@ -177,7 +178,7 @@ def _dimension_values(src):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("dimension", "value")
 
 
 @register("dataset_bounds")
@@ -415,6 +416,12 @@ def _kmeans_elbow(src):
     return segmentation.inertia_curve(features_of(src))
 
 
+@register("kmeans_fit_check")
+def _kmeans_fit_check(src):
+    """The fit held against what K-means promises."""
+    return segmentation.fit_check(features_of(src), k=4)
+
+
 @register("customer_sample")
 def _customer_sample(src):
     return segmentation.customer_sample(segmentation.rule_segments(features_of(src)))
@@ -517,6 +524,24 @@ def _disruption_impact(src):
     return insights.disruption_impact(src.analytics, EVERYTHING)
 
 
+@register("cluster_rule_totals")
+def _cluster_rule_totals(src):
+    """A17 summed over the clusters: the customers of each rule segment."""
+    table17 = segmentation.cluster_rule_crosstab(
+        segmentation.cluster_customers(features_of(src), k=4))
+    return (table17.unpivot("cluster_label", list(C.CUSTOMER_SEGMENTS), "rule_segment", "customers")
+            .groupBy("rule_segment").agg(F.sum("customers").alias("customers")))
+
+
+@register("weekday_band_delay")
+def _weekday_band_delay(src):
+    """Delay and punctuality per weekday and time band against the overall delay."""
+    return (kpis.weekday_band_delay(src.analytics, EVERYTHING)
+            .select("day_of_week", "time_band", "journeys", *[
+                np_round(c, 6).alias(c)
+                for c in ("avg_delay_minutes", "on_time_performance", "overall_delay")]))
+
+
 @register("peak_pressure")
 def _peak_pressure(src):
     return insights.peak_pressure(src.analytics, EVERYTHING)

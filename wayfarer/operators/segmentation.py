@@ -115,7 +115,8 @@ def engagement_bands(features: DataFrame) -> DataFrame:
 
 def frequency_histogram(features: DataFrame, bins: int = 40) -> DataFrame:
     """journeys/week clipped at its 99th percentile, in ``bins`` equal-width
-    bins between the minimum and the clip value (empty bins omitted)."""
+    bins between the minimum and the clip value, empty bins included. All customers
+    alike: one bin without width; no customers: no bins."""
     b = features.agg(F.struct(F.percentile("journeys_per_week", 0.99).alias("hi"),
                               F.min("journeys_per_week").alias("lo"))).scalar()
     clipped = F.least(F.col("journeys_per_week"), b["hi"])
@@ -124,8 +125,12 @@ def frequency_histogram(features: DataFrame, bins: int = 40) -> DataFrame:
         .otherwise(F.lit(0)).cast("int")
     width = span / float(bins)
     g = features.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("customers"))
-    return g.select("bin", (b["lo"] + F.col("bin") * width).alias("bin_start"),
-                    (b["lo"] + (F.col("bin") + 1) * width).alias("bin_end"), "customers")
+    every = (features.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+             .where((span > 0) | (b["lo"].isNotNull() & (F.col("bin") == 0))))
+    return (every.join(g, "bin", "left")
+            .select("bin", (b["lo"] + F.col("bin") * width).alias("bin_start"),
+                    (b["lo"] + (F.col("bin") + 1) * width).alias("bin_end"),
+                    F.coalesce("customers", F.lit(0)).alias("customers")))
 
 
 def top_customers(features: DataFrame, n: int = 200) -> DataFrame:
@@ -232,6 +237,7 @@ def cluster_customers(features: DataFrame, k: int = 4, n_init: int = 10,
         return features.select("*", F.lit(None).cast("int").alias("cluster"),
                                F.lit(None).cast("string").alias("cluster_label")).limit(0)
     model, _ = fit_kmeans(matrix, k, n_init)
+    matrix.unpersist()      # its checkpoint files stay
     centres = sorted(enumerate(model.clusterCenters()), key=lambda p: tuple(p[1].tolist()))
     remap = {old: new for new, (old, _) in enumerate(centres)}
     assigned = model.transform(matrix).select(
@@ -287,8 +293,10 @@ def silhouette(features: DataFrame, k: int = 4, n_init: int = 10,
     if n <= k:
         return None
     model, _ = fit_kmeans(matrix, k, n_init)
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(
+    value = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(
         model.transform(matrix))
+    matrix.unpersist()
+    return value
 
 
 def inertia_curve(features: DataFrame, k_values: Sequence[int] = (2, 3, 4, 5, 6, 7, 8),
@@ -305,9 +313,49 @@ def inertia_curve(features: DataFrame, k_values: Sequence[int] = (2, 3, 4, 5, 6,
     best = fit_many(matrix, list(k_values), n_init)
     rows = [(k, best[k][1], round(float(evaluator.evaluate(best[k][0].transform(matrix))), 3))
             for k in k_values]
+    matrix.unpersist()
     return spark.createDataFrame(rows, schema)
 
 
+def fit_check(features: DataFrame, k: int = 4, n_init: int = 10,
+              feature_columns: Sequence[str] = C.CLUSTER_FEATURES,
+              tolerance: float = 1e-2) -> DataFrame:
+    """G4 checked from its definition, one row: k, customers, clusters in use, customers
+    nearer to another centre than to their own, whether every centre is the mean of its
+    customers (each coordinate within ``tolerance``) and whether the training cost is the
+    sum of their squared distances (relative 1e-6). Fewer customers than k: no row."""
+    from pyspark.ml.functions import vector_to_array
+    matrix, n = kmeans_matrix(features, list(feature_columns))
+    if n < k:
+        return features.sparkSession.createDataFrame([], (
+            "k INT, customers LONG, clusters LONG, misplaced LONG, centres_settled BOOLEAN, "
+            "cost_agrees BOOLEAN"))
+    model, cost = fit_kmeans(matrix, k, n_init)
+    matrix.unpersist()
+    centres = [c.tolist() for c in model.clusterCenters()]
+    placed = model.transform(matrix).select("cluster", vector_to_array("features").alias("x"))
+
+    def distance(centre: list[float]) -> Column:
+        return sum(((F.col("x")[i] - F.lit(v)) ** 2 for i, v in enumerate(centre)), F.lit(0.0))
+
+    away = placed.select("cluster", "x", F.array(*[distance(c) for c in centres]).alias("d"))
+    own = F.col("d")[F.col("cluster")]
+    dims = range(len(centres[0]))
+    groups = away.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(own > F.array_min("d") + 1e-9).alias("misplaced"), F.sum(own).alias("cost"),
+        *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in dims])
+    fixed = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])[F.col("cluster")]
+    drift = F.greatest(*[F.abs(F.col(f"m{i}") - fixed[i]) for i in dims])
+    return groups.agg(
+        F.sum("customers").alias("customers"), F.count(F.lit(1)).alias("clusters"),
+        F.sum("misplaced").alias("misplaced"), F.max(drift).alias("drift"),
+        F.sum("cost").alias("cost")).select(
+        F.lit(k).alias("k"), "customers", "clusters", "misplaced",
+        (F.col("drift") <= tolerance).alias("centres_settled"),
+        (F.abs(F.col("cost") - cost) <= 1e-6 * max(cost, 1.0)).alias("cost_agrees"))
+
+
 def customer_sample(features: DataFrame, n: int = C.SILHOUETTE_SAMPLE) -> DataFrame:
     """A repeatable sample of at most ``n`` customers: the first ``n`` in
     md5(customer_id) order (pseudo-random, identical on every run and engine)."""
