@@ -710,7 +710,7 @@ ORACLES["insight_top_anomaly"] = q(_I.top_anomaly(_adv_b), _adv_c)
 _SUMMARY_BODY = ORACLES["dq_summary"].split(_PROF)[-1].strip()
 ORACLES["insight_data_quality"] = q(_I.dq_notice(_SUMMARY_BODY), _PROF)
 
-_ICOLS = "key, category, headline, direction, importance"
+_ICOLS = "key, category, headline, detail, direction, importance, evidence"
 _ALL_INSIGHTS = f"""
   SELECT {_ICOLS} FROM ({_I.kpi_movement(_cmp_b)})
   UNION ALL SELECT {_ICOLS} FROM ({_mv_b})
@@ -734,7 +734,7 @@ SELECT 'current_performance' AS section, CAST(position AS BIGINT) AS position,
 FROM ({_cmp_b})
 UNION ALL
 SELECT section, CAST(p - 1 AS BIGINT) AS position, text FROM (
-  SELECT section, headline AS text,
+  SELECT section, headline || ' ' || detail AS text,
          row_number() OVER (PARTITION BY section ORDER BY importance DESC, key) AS p
   FROM (SELECT *, unnest([
           CASE WHEN category IN ('Service performance', 'Demand', 'Customer experience')

@@ -12,6 +12,20 @@ from .sqlkit import WHERE_DEFAULT, metrics, npround
 POINTS = ", ".join(f"'{k}'" for k in METRICS if METRICS[k].compare_as_points)
 
 
+def evidence(texts: dict[str, str], counts: dict[str, str], numbers: dict[str, str]) -> str:
+    """A JSON object of the figures; numbers with 6 decimals."""
+    members = [f"""'"{k}":' || coalesce(CAST(to_json({v}) AS VARCHAR), 'null')"""
+               for k, v in texts.items()]
+    members += [f"""'"{k}":' || coalesce(CAST({v} AS VARCHAR), 'null')""" for k, v in counts.items()]
+    members += [f"""'"{k}":' || coalesce(printf('%.6f', {npround(v, 6)}), 'null')"""
+                for k, v in numbers.items()]
+    return "'{' || " + " || ',' || ".join(members) + " || '}' AS evidence"
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
 def kpi_movement(compare_body: str) -> str:
     return f"""
 SELECT 'kpi_' || metric AS key,
@@ -21,7 +35,11 @@ SELECT 'kpi_' || metric AS key,
               CASE WHEN metric IN ({POINTS})
                    THEN printf('%.1f percentage points', {npround('abs(absolute_change)', 1)})
                    ELSE printf('%.1f%%', {npround('abs(percent_change)', 1)}) END) AS headline,
-       direction, {npround('least(abs(percent_change) / 10.0, 3.0)', 6)} AS importance
+       direction, {npround('least(abs(percent_change) / 10.0, 3.0)', 6)} AS importance,
+       printf('%s is %.2f, against %.2f in the previous period.', label, {npround('current', 2)},
+              {npround('previous', 2)}) AS detail,
+       {evidence(_same('metric', 'unit'), {},
+                 _same('current', 'previous', 'absolute_change', 'percent_change'))}
 FROM ({compare_body})
 WHERE absolute_change IS NOT NULL AND percent_change IS NOT NULL AND abs(percent_change) >= 3.0"""
 
@@ -54,7 +72,13 @@ SELECT '{dim}_{metric}_' || CASE WHEN is_best THEN 'best' ELSE 'worst' END AS ke
        CASE WHEN is_best THEN 'good' ELSE 'bad' END AS direction,
        {npround('least(abs(percent_change) / 8.0, 3.0)', 6)} AS importance,
        dimension_value, {npround('current_value', 6)} AS current,
-       {npround('previous_value', 6)} AS previous, current_journeys
+       {npround('previous_value', 6)} AS previous, current_journeys,
+       printf('%s went from %.2f to %.2f over %d journeys.', dimension_value,
+              {npround('previous_value', 2)}, {npround('current_value', 2)}, current_journeys)
+           AS detail,
+       {evidence(_same('dimension_value'), _same('current_journeys'),
+                 {'current': 'current_value', 'previous': 'previous_value',
+                  'percent_change': 'percent_change'})}
 FROM bo{i}
 WHERE abs(absolute_change) >= 1e-6 AND percent_change IS NOT NULL AND abs(percent_change) >= 3.0""")
     return ",".join(c.rstrip() for c in ctes), "\nUNION ALL\n".join(bodies)
@@ -72,7 +96,15 @@ SELECT 'disruption_impact' AS key, 'Operations' AS category,
        {npround('mult', 2)} AS multiplier, {npround('gap', 6)} AS satisfaction_gap,
        {npround('avg_delay_minutes_d', 6)} AS disrupted_avg_delay,
        {npround('avg_delay_minutes_n', 6)} AS baseline_avg_delay,
-       disrupted_journeys, baseline_journeys
+       disrupted_journeys, baseline_journeys,
+       printf('The complaint rate is %.1f%% on %d disrupted journeys and %.1f%% on %d others.',
+              {npround('d_rate', 1)}, disrupted_journeys, {npround('n_rate', 1)},
+              baseline_journeys) AS detail,
+       {evidence({}, _same('disrupted_journeys', 'baseline_journeys'),
+                 {'disrupted_complaint_rate': 'd_rate', 'baseline_complaint_rate': 'n_rate',
+                  'multiplier': 'mult', 'satisfaction_gap': 'gap',
+                  'disrupted_avg_delay': 'avg_delay_minutes_d',
+                  'baseline_avg_delay': 'avg_delay_minutes_n'})}
 FROM (
   SELECT *, d_rate / n_rate AS mult FROM (
     SELECT *, coalesce(complaint_rate_d, 0.0) AS d_rate, coalesce(complaint_rate_n, 0.0) AS n_rate,
@@ -95,7 +127,15 @@ SELECT 'peak_pressure' AS key, 'Operations' AS category,
        {_DAYS}[day_of_week + 1] AS day, time_band,
        {npround('avg_delay_minutes', 6)} AS avg_delay_minutes,
        {npround('overall_delay', 6)} AS period_average_delay_minutes,
-       {npround('avg_delay_minutes / overall_delay', 6)} AS ratio, journeys
+       {npround('avg_delay_minutes / overall_delay', 6)} AS ratio, journeys,
+       printf('Delay averages %.1f minutes there over %d journeys, %.2f times the period average '
+              || 'of %.1f.', {npround('avg_delay_minutes', 1)}, journeys,
+              {npround('avg_delay_minutes / overall_delay', 2)}, {npround('overall_delay', 1)})
+           AS detail,
+       {evidence({'day': _DAYS + '[day_of_week + 1]', 'time_band': 'time_band'}, _same('journeys'),
+                 {'avg_delay_minutes': 'avg_delay_minutes',
+                  'period_average_delay_minutes': 'overall_delay',
+                  'ratio': 'avg_delay_minutes / overall_delay'})}
 FROM (
   SELECT * FROM (
     SELECT *, sum(avg_delay_minutes * journeys) OVER () / sum(journeys) OVER () AS overall_delay
@@ -112,7 +152,11 @@ SELECT 'complaint_concentration' AS key, 'Customer experience' AS category,
               complaint_category, {npround('share_pct', 0)}) AS headline,
        'neutral' AS direction, {npround('least(share_pct / 20.0, 2.5)', 6)} AS importance,
        complaint_category AS top_category, complaints AS top_complaints, total_complaints,
-       {npround('share_pct', 1)} AS share_pct
+       {npround('share_pct', 1)} AS share_pct,
+       printf('%d of %d complaints that name a category.', complaints, total_complaints) AS detail,
+       {evidence({'top_category': 'complaint_category'},
+                 {'top_complaints': 'complaints', 'total_complaints': 'total_complaints'},
+                 _same('share_pct'))}
 FROM (
   SELECT *, CAST(sum(complaints) OVER () AS BIGINT) AS total_complaints,
          complaints / sum(complaints) OVER () * 100.0 AS share_pct
@@ -126,7 +170,11 @@ def top_anomaly(adverse20_body: str) -> str:
     return f"""
 SELECT 'top_anomaly' AS key, 'Service performance' AS category, statement AS headline,
        'bad' AS direction, {npround('least(abs(z_score) / 2.0, 3.0)', 6)} AS importance,
-       metric, scope, period, z_score, severity
+       metric, scope, period, z_score, severity,
+       printf('A %s deviation of %s in %s: z score %.2f.', severity, metric, scope,
+              {npround('z_score', 2)}) AS detail,
+       {evidence(_same('metric', 'scope', 'severity') | {'period': 'CAST(period AS VARCHAR)'}, {},
+                 _same('z_score'))}
 FROM ({adverse20_body}) ORDER BY abs(z_score) DESC, period DESC, metric, scope LIMIT 1"""
 
 
@@ -138,7 +186,13 @@ SELECT 'data_quality' AS key, 'Data quality' AS category,
        CASE WHEN pct > 1 THEN 'bad' ELSE 'neutral' END AS direction,
        {npround('least(pct, 1.5)', 6)} AS importance,
        excluded_rows, total_rows, quality_score, rating,
-       {npround('completeness_pct', 6)} AS completeness_pct
+       {npround('completeness_pct', 6)} AS completeness_pct,
+       printf('Quality is rated %s (%.1f), completeness is %.1f%%.', rating,
+              {npround('CAST(quality_score AS DOUBLE)', 1)}, {npround('completeness_pct', 1)})
+           AS detail,
+       {evidence(_same('rating'), _same('excluded_rows', 'total_rows'),
+                 {'quality_score': 'CAST(quality_score AS DOUBLE)',
+                  'completeness_pct': 'completeness_pct'})}
 FROM (SELECT *, excluded_rows / total_rows * 100.0 AS pct FROM ({summary_body}))
 WHERE total_rows > 0 AND NOT (pct < 0.1 AND completeness_pct > 99.5)"""
 

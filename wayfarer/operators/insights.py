@@ -3,7 +3,7 @@
 Each generator is a small DataFrame over an aggregate (KPI comparison,
 period-over-period per dimension, disruption split, weekday x band delay,
 complaint categories, anomalies, data quality) with the common schema
-``key, category, headline, direction, importance``; the feed is their
+``key, category, headline, detail, direction, importance, evidence``; the feed is their
 ``unionByName`` ranked by importance then key. Numbers inside headlines are
 rounded half-even first, then formatted.
 """
@@ -19,7 +19,7 @@ from ..functions.metrics import METRICS, metric_columns, np_round
 from ..plans.filters import Selection, period_filters
 from . import anomalies, kpis, quality
 
-INSIGHT_COLUMNS = ("key", "category", "headline", "direction", "importance")
+INSIGHT_COLUMNS = ("key", "category", "headline", "detail", "direction", "importance", "evidence")
 DIGITS = 6
 
 
@@ -27,6 +27,33 @@ def _fmt(pattern: str, *cols: Column) -> Column:
     return F.format_string(pattern, *cols)
 
 
+def _evidence(texts: dict[str, Column], counts: dict[str, Column],
+              numbers: dict[str, Column]) -> Column:
+    """The figures behind an insight as one JSON object; numbers with 6 decimals."""
+    def member(name: str, value: Column, shown: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), F.when(value.isNull(), "null").otherwise(shown))
+
+    members = [member(k, v, F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", ""))
+               for k, v in texts.items()]
+    members += [member(k, v, v.cast("string")) for k, v in counts.items()]
+    members += [member(k, v, _fmt("%.6f", np_round(v, DIGITS))) for k, v in numbers.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("evidence")
+
+
+def _columns(*names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
+
+
+def _mover_told() -> list[Column]:
+    current, previous = F.col("current_value"), F.col("previous_value")
+    return [_fmt("%s went from %.2f to %.2f over %d journeys.", F.col("dimension_value"),
+                 np_round(previous, 2), np_round(current, 2), F.col("current_journeys"))
+            .alias("detail"),
+            _evidence(_columns("dimension_value"), _columns("current_journeys"),
+                      {"current": current, "previous": previous,
+                       "percent_change": F.col("percent_change")})]
+
+
 def first_by(row: Column, *keys: Column) -> Column:
     """The ``row`` of the group that sorts first on ``keys`` (ascending)."""
     return F.min_by(row, F.struct(*keys))
@@ -47,7 +74,12 @@ def kpi_movement(analytics: DataFrame, filters: Selection) -> DataFrame:
                          F.when(ch > 0, "increased").otherwise("decreased"), magnitude)
                     .alias("headline"),
                     "direction",
-                    np_round(F.least(F.abs(pct) / 10.0, F.lit(3.0)), DIGITS).alias("importance")))
+                    np_round(F.least(F.abs(pct) / 10.0, F.lit(3.0)), DIGITS).alias("importance"),
+                    _fmt("%s is %.2f, against %.2f in the previous period.", F.col("label"),
+                         np_round("current", 2), np_round("previous", 2)).alias("detail"),
+                    _evidence(_columns("metric", "unit"), {},
+                              _columns("current", "previous", "absolute_change",
+                                       "percent_change"))))
 
 
 MOVER_CONFIGS = (
@@ -95,7 +127,7 @@ def dimension_movers(analytics: DataFrame, filters: Selection, dimension: str, m
                     np_round(F.least(F.abs(pct) / 8.0, F.lit(3.0)), DIGITS).alias("importance"),
                     "dimension_value", np_round("current_value", DIGITS).alias("current"),
                     np_round("previous_value", DIGITS).alias("previous"),
-                    "current_journeys"))
+                    "current_journeys", *_mover_told()))
 
 
 CUBE_SETS = (("customer_segment",), ("region",), ("transport_mode",), ("service_disruption",),
@@ -198,7 +230,7 @@ def all_dimension_movers(analytics: DataFrame, filters: Selection,
                     np_round(F.least(F.abs(a_pct) / 8.0, F.lit(3.0)), DIGITS).alias("importance"),
                     "dimension_value", np_round("current_value", DIGITS).alias("current"),
                     np_round("previous_value", DIGITS).alias("previous"),
-                    "current_journeys"))
+                    "current_journeys", *_mover_told()))
 
 
 def disruption_impact(analytics: DataFrame, filters: Selection) -> DataFrame:
@@ -247,7 +279,15 @@ def _disruption_rows(wide: DataFrame) -> DataFrame:
                     np_round(gap, DIGITS).alias("satisfaction_gap"),
                     np_round("avg_delay_minutes_d", DIGITS).alias("disrupted_avg_delay"),
                     np_round("avg_delay_minutes_n", DIGITS).alias("baseline_avg_delay"),
-                    "disrupted_journeys", "baseline_journeys"))
+                    "disrupted_journeys", "baseline_journeys",
+                    _fmt("The complaint rate is %.1f%% on %d disrupted journeys and %.1f%% on "
+                         "%d others.", np_round(d_rate, 1), F.col("disrupted_journeys"),
+                         np_round(n_rate, 1), F.col("baseline_journeys")).alias("detail"),
+                    _evidence({}, _columns("disrupted_journeys", "baseline_journeys"),
+                              {"disrupted_complaint_rate": d_rate, "baseline_complaint_rate": n_rate,
+                               "multiplier": mult, "satisfaction_gap": gap,
+                               "disrupted_avg_delay": F.col("avg_delay_minutes_d"),
+                               "baseline_avg_delay": F.col("avg_delay_minutes_n")})))
 
 
 def peak_pressure(analytics: DataFrame, filters: Selection) -> DataFrame:
@@ -292,7 +332,15 @@ def _peak_rows(g: DataFrame) -> DataFrame:
                     day.alias("day"), "time_band",
                     np_round("avg_delay_minutes", DIGITS).alias("avg_delay_minutes"),
                     np_round("overall_delay", DIGITS).alias("period_average_delay_minutes"),
-                    np_round(ratio, DIGITS).alias("ratio"), "journeys"))
+                    np_round(ratio, DIGITS).alias("ratio"), "journeys",
+                    _fmt("Delay averages %.1f minutes there over %d journeys, %.2f times the "
+                         "period average of %.1f.", np_round("avg_delay_minutes", 1),
+                         F.col("journeys"), np_round(ratio, 2), np_round("overall_delay", 1))
+                    .alias("detail"),
+                    _evidence({"day": day, "time_band": F.col("time_band")}, _columns("journeys"),
+                              {"avg_delay_minutes": F.col("avg_delay_minutes"),
+                               "period_average_delay_minutes": F.col("overall_delay"),
+                               "ratio": ratio})))
 
 
 def complaint_concentration(analytics: DataFrame, filters: Selection) -> DataFrame:
@@ -325,7 +373,13 @@ def _complaint_rows(cats: DataFrame) -> DataFrame:
                     np_round(F.least(share / 20.0, F.lit(2.5)), DIGITS).alias("importance"),
                     F.col("complaint_category").alias("top_category"),
                     F.col("complaints").alias("top_complaints"), "total_complaints",
-                    np_round(share, 1).alias("share_pct")))
+                    np_round(share, 1).alias("share_pct"),
+                    _fmt("%d of %d complaints that name a category.", F.col("complaints"),
+                         F.col("total_complaints")).alias("detail"),
+                    _evidence({"top_category": F.col("complaint_category")},
+                              {"top_complaints": F.col("complaints"),
+                               "total_complaints": F.col("total_complaints")},
+                              {"share_pct": share})))
 
 
 def top_anomaly(analytics: DataFrame, filters: Selection) -> DataFrame:
@@ -339,7 +393,13 @@ def top_anomaly(analytics: DataFrame, filters: Selection) -> DataFrame:
                         F.lit("bad").alias("direction"),
                         np_round(F.least(F.abs(F.col("z_score")) / 2.0, F.lit(3.0)), DIGITS)
                         .alias("importance"),
-                        "metric", "scope", "period", "z_score", "severity")
+                        "metric", "scope", "period", "z_score", "severity",
+                        _fmt("A %s deviation of %s in %s: z score %.2f.", F.col("severity"),
+                             F.col("metric"), F.col("scope"), np_round("z_score", 2))
+                        .alias("detail"),
+                        _evidence(_columns("metric", "scope", "severity")
+                                  | {"period": F.col("period").cast("string")}, {},
+                                  _columns("z_score")))
 
 
 def data_quality_notice(raw: DataFrame, analytics: DataFrame,
@@ -357,7 +417,13 @@ def data_quality_notice(raw: DataFrame, analytics: DataFrame,
                     F.when(pct > 1, "bad").otherwise("neutral").alias("direction"),
                     np_round(F.least(pct, F.lit(1.5)), DIGITS).alias("importance"),
                     "excluded_rows", "total_rows", "quality_score", "rating",
-                    np_round("completeness_pct", DIGITS).alias("completeness_pct")))
+                    np_round("completeness_pct", DIGITS).alias("completeness_pct"),
+                    _fmt("Quality is rated %s (%.1f), completeness is %.1f%%.", F.col("rating"),
+                         np_round(F.col("quality_score").cast("double"), 1),
+                         np_round("completeness_pct", 1)).alias("detail"),
+                    _evidence(_columns("rating"), _columns("excluded_rows", "total_rows"),
+                              {"quality_score": F.col("quality_score").cast("double"),
+                               "completeness_pct": F.col("completeness_pct")})))
 
 
 def generate(raw: DataFrame, analytics: DataFrame, filters: Selection, limit: int = 8,
@@ -426,7 +492,7 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection) ->
                         F.lit("positives"), F.lit(4))
     pos = F.row_number().over(Window.partitionBy("section").orderBy(
         F.col("importance").desc(), F.col("key")))
-    sections = tagged.select("section", pos.alias("p"), F.col("headline").alias("text")) \
+    sections = tagged.select("section", pos.alias("p"), F.concat_ws(" ", "headline", "detail").alias("text")) \
         .where(F.col("p") <= caps[F.col("section")]) \
         .select("section", (F.col("p") - 1).cast("bigint").alias("position"), "text")
     return current.unionByName(sections)
