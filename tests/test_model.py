@@ -123,3 +123,28 @@ def test_text_timestamps_and_numbers_parse(spark):
     assert rows["J1"].delay_minutes == 3.5 and rows["J2"].delay_minutes is None
     assert rows["J1"].customer_satisfaction is None and rows["J2"].customer_satisfaction == 4.0
     assert rows["J1"].on_time is True and rows["J2"].on_time is False
+
+
+def test_dimension_joins_agree_when_shuffled(spark, source):
+    lines = spark.createDataFrame([("L1", 0.5, 1.0, 30.0)],
+                                  "service_line string, reliability_index double, "
+                                  "capacity_index double, scheduled_duration_minutes double")
+    customers = (source.journeys.where("customer_id is not null").groupBy("customer_id")
+                 .agg(F.min("region").alias("home_region"), F.min("date").alias("first_seen_date"))
+                 .withColumn("digital_affinity", F.lit(0.25)))
+
+    def digest():
+        rows = enrich(source.journeys, customers, lines)
+        assert rows.columns == enrich(source.journeys).columns
+        return rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")),
+                        F.count("digital_affinity"), F.count("line_capacity_index")).first()
+
+    small = digest()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert digest() == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    keyed = source.journeys.where("customer_id is not null").count()
+    assert small[0] == source.journeys.count() and small[2] == keyed < small[0]

@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..session import ensure_checkpoint_dir
 
-# Dimension sides are broadcast only below this many rows (a checked bound);
-# above it the join shuffles on the key.
-BROADCAST_DIM_MAX_ROWS = 200_000
+# Join keys that rows without a key are spread over.
+NULL_KEY_SPREAD = 9973
 
 
 def derived_columns(stored_month: bool = False) -> list[Column]:
@@ -59,8 +58,15 @@ def null_dimension_columns() -> list[Column]:
     ]
 
 
-def _small_enough(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def _with_dimension(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """``facts`` left-joined with ``dim`` on the text ``key``. Rows without a key match
+    nothing, and get keys of their own, so that a shuffle doesn't send them to one task.
+    Whether the join shuffles or broadcasts is left to the sizes that Spark knows."""
+    own = F.concat(F.lit("none "), F.pmod(F.xxhash64("journey_id"), F.lit(NULL_KEY_SPREAD))
+                   .cast("string"))
+    at = F.coalesce(F.concat(F.lit("key "), F.col(key)), own)
+    side = dim.withColumn("_at", F.concat(F.lit("key "), F.col(key))).drop(key)
+    return facts.withColumn("_at", at).join(side, "_at", "left").drop("_at")
 
 
 def enrich(journeys: DataFrame, customers: DataFrame | None = None,
@@ -81,20 +87,7 @@ def enrich(journeys: DataFrame, customers: DataFrame | None = None,
         F.col("capacity_index").alias("line_capacity_index"),
         F.col("scheduled_duration_minutes").alias("line_scheduled_minutes"))
 
-    # Customers: broadcast only behind a row-count check; otherwise shuffle-join
-    # the non-NULL keys and union the NULL-key rows back (no NULL-key skew).
-    if _small_enough(cust, BROADCAST_DIM_MAX_ROWS):
-        with_cust = base.join(F.broadcast(cust), "customer_id", "left")
-    else:
-        keyed = base.where(F.col("customer_id").isNotNull()).join(cust, "customer_id", "left")
-        unkeyed = base.where(F.col("customer_id").isNull()).select(
-            "*", *[F.lit(None).cast(f.dataType).alias(f.name)
-                   for f in cust.schema.fields if f.name != "customer_id"])
-        with_cust = keyed.unionByName(unkeyed)
-    if _small_enough(line, BROADCAST_DIM_MAX_ROWS):
-        joined = with_cust.join(F.broadcast(line), "service_line", "left")
-    else:
-        joined = with_cust.join(line, "service_line", "left")
+    joined = _with_dimension(_with_dimension(base, cust, "customer_id"), line, "service_line")
     return joined.select(*C.JOURNEY_COLUMNS, *C.DERIVED_COLUMNS, *C.DIMENSION_ATTRIBUTE_COLUMNS)
 
 
