@@ -79,3 +79,30 @@ def test_edge_cases(spark):
     assert got == sorted([(1, None, "", 0), (2, "", "", 0), (3, "no url", "x", 1), (3, "no url", "x", 1),
                           (None, "http://h/é", "é", 1), (4, "http://h/", "", 0)], key=str)
     assert H.extract_text(df.limit(0)).count() == 0
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text.split("\n") for r in H.extract_text(df.repartition(3)).collect()}
+
+
+def test_copies_and_short_stories_lose_their_boilerplate(spark):
+    top = "".join(f"<div>Template line {i}</div>" for i in range(12))
+
+    def page(n, extra=""):
+        return top + "".join(f"<p>Story {n}, part {i}.</p>" for i in range(3)) + extra
+
+    def story(n):
+        return [f"Story {n}, part {i}." for i in range(3)]
+
+    # A run of copies at adjacent URLs, a run of versions, and other pages: 12 of 15 lines are the template's.
+    rows = ([(n, f"http://h.x/a/{n}", page(n)) for n in range(8)]
+            + [(n, f"http://h.x/b/{n}", page(99)) for n in range(10, 16)]
+            + [(n, f"http://h.x/c/{n}", page(77, f"<p>Version {n}</p>")) for n in range(20, 24)])
+    got = texts(spark, rows)
+    assert all(got[n] == story(n) for n in range(8))
+    assert all(got[n] == story(99) for n in range(10, 16))
+    assert all(got[n] == story(77) + [f"Version {n}"] for n in range(20, 24))
+    # Two pages, one of which lies in the other: nothing tells a template.
+    got = texts(spark, [(1, "http://h.x/1", page(1)), (2, "http://h.x/2", page(1, "<p>More.</p>"))])
+    assert len(got[1]) == 15

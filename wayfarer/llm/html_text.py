@@ -1,9 +1,11 @@
 """Main text of web pages by nearest-URL page differencing.
 
-A page is read into text lines, one per block. Pages of a host are put in the order
-of their URL paths; each is compared with its neighbour there, the nearer of the two that
-is not a copy of it. Lines that the longest common subsequence of the two aligns are the site's, not
-the page's, and are deleted.
+A page is read into text lines, one per block. Pages of a host with equal lines are one
+class. The classes are put in the order of their URL paths; each is compared with its neighbour
+there, the nearer of the two. Lines that the longest common subsequence of the two aligns are
+the site's, not the page's, and are deleted. Where it aligns nearly all lines, the two may be versions of
+one story or short stories under one big template: the other neighbour is asked, and if it is as
+alike, an aligned line goes only if at least half of the host's classes hold it.
 
 Differencing cannot see boilerplate that changes from page to page, nor may it delete an
 article's line because another article has it too. So markup that names a part
@@ -42,7 +44,7 @@ recommended related replies reply share sharing sidebar signup skip social spons
 toolbar widget widgets""".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog menu navigation search".split())
 CLOSED_BY_BLOCK = frozenset("p dt dd li option tr td th".split())
-COPY = 0.8       # a page that shares this part of its lines with another is a copy of it
+ALIKE = 0.8      # of two pages that share this part of the shorter one, lines are counted on the host
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -165,12 +167,18 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return [*range(head), *reversed(middle), *range(len(a) - tail, len(a))]
 
 
-def shared_lines(lines: list[int], other: list[int] | None) -> list[int] | None:
-    """Indices of ``lines`` shared with ``other``; None if that page is none or a copy."""
-    if not other or not lines:
-        return None
-    found = common_lines(lines, other)
-    return None if len(found) >= COPY * min(len(lines), len(other)) else found
+def shared_lines(lines: list[int], first: list[int] | None, second: list[int] | None
+                 ) -> tuple[list[int], list[int], int]:
+    """Indices of ``lines`` that go, indices that go if enough classes of the host hold the
+    line, and the least number of classes that is enough."""
+    asked: set[int] = set()
+    for other in (first, second):
+        found = common_lines(lines, other) if lines and other else []
+        if found and len(found) < ALIKE * min(len(lines), len(other)):
+            return found, [], 0
+        asked.update(found)
+    # A page that lies in another as a whole has a line of its own only by a third one's word.
+    return [], sorted(asked), 3 if len(asked) == len(lines) else 2
 
 
 def _line_hash(line: str) -> int:
@@ -190,22 +198,21 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                            | {"lines": lines}, _KEYS)
 
 
-_SHARED = pa.schema([("page_id", pa.int64()), ("page_key", pa.int64()), ("shared", pa.list_(pa.int32()))])
+_ASKED = pa.struct([("at", pa.int32()), ("line", pa.int64()), ("least", pa.int32())])
+_SHARED = pa.schema([("host", pa.string()), ("class", pa.int64()), ("sure", pa.list_(pa.int32())),
+                     ("asked", pa.list_(_ASKED))])
+_SHARED_DDL = "host string, class long, sure array<int>, asked array<struct<at:int,line:long,least:int>>"
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in batches:
-        keep, shared = [], []
-        for i, row in enumerate(part.select(["lines", "first", "second"]).to_pylist()):
-            found = shared_lines(row["lines"], row["first"])
-            if found is None:
-                found = shared_lines(row["lines"], row["second"])
-            if found:
-                keep.append(i)
-                shared.append(found)
-        part = part.take(pa.array(keep, pa.int64()))
-        yield C.arrow_rows({"page_id": part.column("page_id"), "page_key": part.column("page_key"),
-                            "shared": shared}, _SHARED)
+        sure, asked = [], []
+        for row in part.select(["lines", "first", "second"]).to_pylist():
+            gone, maybe, least = shared_lines(row["lines"], row["first"], row["second"])
+            sure.append(gone)
+            asked.append([{"at": i, "line": row["lines"][i], "least": least} for i in maybe])
+        yield C.arrow_rows({"host": part.column("host"), "class": part.column("class"),
+                            "sure": sure, "asked": asked}, _SHARED)
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -229,13 +236,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             "text": texts}, _TEXT)
 
 
-def _neighbours(keys: DataFrame) -> DataFrame:
-    """Each page with the lines of its two neighbours by path on its host, the nearer first.
+def _neighbours(classes: DataFrame) -> DataFrame:
+    """Each class with the lines of its two neighbours by path on its host, the nearer first.
 
     The order is cut into even ranges; the ends of each range (two rows) are
     handed to the next one."""
-    order = ["host", "path", "page_id", "page_key"]
-    keys = C.stored(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "paths")
+    order = ["host", "path", "class"]
+    keys = C.stored(classes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "paths")
     w = Window.partitionBy("part").orderBy(*order)
     side = F.struct("host", "path", "lines")
     rows = (keys.withColumn("before", F.lag(side).over(w)).withColumn("after", F.lead(side).over(w)))
@@ -248,7 +255,7 @@ def _neighbours(keys: DataFrame) -> DataFrame:
     rows = rows.join(ends, "part", "left")
     both = {"before": F.coalesce("before", "b"), "after": F.coalesce("after", "a")}
     same = {k: F.when(v.host == F.col("host"), v) for k, v in both.items()}
-    rows = rows.select("page_id", "page_key", "path", "lines", *(v.alias(k) for k, v in same.items()))
+    rows = rows.select("host", "class", "path", "lines", *(v.alias(k) for k, v in same.items()))
 
     def alike(other):     # length of the common start of two paths
         n = F.least(F.length("path"), F.length(f"{other}.path"))
@@ -256,18 +263,36 @@ def _neighbours(keys: DataFrame) -> DataFrame:
             "path", F.lit(1), i) == F.substr(f"{other}.path", F.lit(1), i))), F.lit(-1))
 
     nearer = alike("before") >= alike("after")
-    return rows.select("page_id", "page_key", "lines",
+    return rows.select("host", "class", "lines",
                        F.when(nearer, F.col("before.lines")).otherwise(F.col("after.lines")).alias("first"),
                        F.when(nearer, F.col("after.lines")).otherwise(F.col("before.lines")).alias("second"))
 
 
+def _shared(keys: DataFrame) -> DataFrame:
+    """page_id, page_key and the indices of the lines that go, for each page that has some."""
+    of = ["host", "class"]
+    classes = C.stored(keys.groupBy(*of).agg(F.min("path").alias("path"), F.first("lines").alias("lines")),
+                       "classes")
+    found = C.stored(_neighbours(classes).mapInArrow(_compare, _SHARED_DDL), "aligned")
+    # Lines that half of a host's classes hold: at most twice as many as a page has, for each host.
+    held = classes.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").count()
+    common = (held.join(classes.groupBy("host").agg(F.count("*").alias("all")), "host")
+              .where(F.col("count") * 2 >= F.col("all")).select("host", "line", "count"))
+    counted = (found.select(*of, F.explode("asked").alias("a")).select(*of, "a.*")
+               .join(common, ["host", "line"]).where(F.col("count") >= F.col("least")).select(*of, "at"))
+    gone = (found.select(*of, F.explode("sure").alias("at")).unionByName(counted)
+            .groupBy(*of).agg(F.collect_list("at").alias("shared")))
+    return (keys.select("page_id", "page_key", *of).join(gone, of)
+            .select("page_id", "page_key", "shared").dropDuplicates(["page_id", "page_key"]))
+
+
 def extract_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url",
                  html_column: str = "html") -> DataFrame:
     """One row per page: page_id, url, text (blocks joined by a newline; empty if none).
 
     Null or empty html has no text; a null or odd URL is a host and path of its own
-    kind; repeated rows and copies of a page are never compared with each other, so they keep
-    their text. Other columns are not read.
+    kind; repeated rows and copies of a page are never compared with each other, and lose the
+    same lines. Other columns are not read.
     """
     u, h = F.col(url), F.col(html_column)
     slim = pages.select(
@@ -276,9 +301,8 @@ def extract_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url"
         F.coalesce(F.lower(F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")).alias("host"),
         F.coalesce(F.regexp_extract(u, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1), F.lit("")).alias("path"))
     keys = slim.mapInArrow(_read, "page_id long, page_key long, host string, path string, lines array<long>")
-    shared = C.stored(_neighbours(keys).where(F.size("lines") > 0)
-                      .mapInArrow(_compare, "page_id long, page_key long, shared array<int>")
-                      .dropDuplicates(["page_id", "page_key"]), "shared")
+    keys = C.stored(keys.where(F.size("lines") > 0).withColumn("class", F.xxhash64("lines")), "lines")
+    shared = C.stored(_shared(keys), "shared")
     shared = shared.toDF("_id", "_key", "shared")
     return (slim.join(shared, F.col("page_id").eqNullSafe(F.col("_id"))
                       & (F.col("page_key") == F.col("_key")), "left")
