@@ -106,3 +106,33 @@ def test_copies_and_short_stories_lose_their_boilerplate(spark):
     # Two pages, one of which lies in the other: nothing tells a template.
     got = texts(spark, [(1, "http://h.x/1", page(1)), (2, "http://h.x/2", page(1, "<p>More.</p>"))])
     assert len(got[1]) == 15
+
+
+def test_articles_are_evidence_only(spark):
+    def page(n):
+        return (f"<div>Site</div><div class='sidebar-left post'><p>Story {n}.</p><p>It goes on {n}.</p></div>"
+                f"<article class='teaser'><p>Teaser {n}</p></article><article class='comment'>Comment {n}</article>"
+                f"<article><p>More stories</p><p>Read {n}</p></article><article><p>Same {n // 2}</p></article>")
+
+    got = texts(spark, [(n, f"http://h.x/a/{n}", page(n)) for n in range(6)])
+    # An article's line goes only where it is on half of the host's pages.
+    assert got == {n: [f"Story {n}.", f"It goes on {n}.", f"Read {n}", f"Same {n // 2}"] for n in range(6)}
+
+
+def test_articles_that_are_not_declared(spark, sf_dir):
+    """The given pages without their article and ad markup, under a template."""
+    pages = C.table(spark, sf_dir, "pages")
+    want = {r.page_id: r.text for r in H.extract_text(pages).collect()}
+    top = "".join(f"<div>Template line {i}</div>" for i in range(4))
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "</?article>", "<hr>"), "<body>",
+                                                     f"<body>{top}"))
+    many = [r.host for r in bare.groupBy(F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"))
+            .agg(F.countDistinct("html").alias("n")).where("n > 2").collect()]
+    assert many
+    kept = 0
+    for r in H.extract_text(bare).collect():
+        kept += len(r.text.split("\n"))
+        if re.search("://([^/?#]*)", r.url)[1] in many:
+            assert "Template line" not in r.text
+        assert set(r.text.split("\n")) - {f"Template line {i}" for i in range(4)} <= set(want[r.page_id].split("\n"))
+    assert kept > 0.9 * sum(len(x.split("\n")) for x in want.values())

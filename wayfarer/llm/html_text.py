@@ -7,10 +7,10 @@ the site's, not the page's, and are deleted. Where it aligns nearly all lines, t
 one story or short stories under one big template: the other neighbour is asked, and if it is as
 alike, an aligned line goes only if at least half of the host's classes hold it.
 
-Differencing cannot see boilerplate that changes from page to page, nor may it delete an
-article's line because another article has it too. So markup that names a part
-(``nav``, ``footer``, class "ad" and the like) deletes that part in any case, and lines
-of a declared ``article`` or ``main`` element stay; differencing decides about the rest.
+Differencing decides about all lines. It cannot see boilerplate that changes from page to page,
+nor should it delete an article's line because another article has it too. So markup that names a part
+(``nav``, ``footer``, class "ad" and the like) deletes that part in any case, and a line in a declared
+``article`` or ``main`` element goes only if three classes and half of the host's hold it.
 
 Only line hashes travel for the comparison: neighbours are found in a table of URL
 paths cut into ranges, so a host with a third of all pages is many ranges.
@@ -41,7 +41,7 @@ NOISE_NAMES = frozenset("""ad ads adsense advert advertisement advertising adver
 breadcrumbs byline-share comment comments consent cookie cookies disqus footer gdpr masthead menu modal
 nav navbar navigation newsletter notice notices overlay pager pagination paywall popup promo promoted
 recommended related replies reply share sharing sidebar signup skip social sponsor sponsored subscribe
-toolbar widget widgets""".split())
+teaser teasers toolbar widget widgets""".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog menu navigation search".split())
 CLOSED_BY_BLOCK = frozenset("p dt dd li option tr td th".split())
 ALIKE = 0.8      # of two pages that share this part of the shorter one, lines are counted on the host
@@ -64,18 +64,18 @@ def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
         value, name = "".join(values).lower(), name.lower()
         if name == "role" and value.strip() in NOISE_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            words = set(re.split(r"[^a-z]+", value))
+        if name in ("class", "id") and tag not in ("body", "html", "main"):
+            words = set(value.split())
             if words & NOISE_NAMES or "header" in words and not in_article:
                 return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[int, str]]:
+def lines_of(page: str, whole: bool = False) -> list[tuple[int, str]]:
     """(KEEP or ASK, text) of each block with text, in page order.
 
-    KEEP lines lie in an ``article`` or ``main`` element; a page that has one has no others. A part
-    cut off by the end of the page ends there."""
+    KEEP lines lie in an ``article`` or ``main`` element; of a page that has one, only the ``whole``
+    has others. A part cut off by the end of the page ends there."""
     out: list[tuple[int, str]] = []
     piece: list[str] = []
     article, dropped, depth = 0, "", 0        # open article elements; the noise element we are in
@@ -103,9 +103,9 @@ def lines_of(page: str) -> list[tuple[int, str]]:
                 elif dropped in CLOSED_BY_BLOCK and tag in BLOCKS and tag not in CLOSED_BY_BLOCK:
                     depth = 0
                 if depth <= 0:
-                    dropped = ""
-                    if tag in ("article", "main"):
+                    if tag in ("article", "main") and tag != dropped:
                         article = max(0, article - 1)
+                    dropped = ""
             elif tag in BLOCKS:
                 flush()
                 if tag in ("article", "main"):
@@ -135,7 +135,7 @@ def lines_of(page: str) -> list[tuple[int, str]]:
     if not dropped and at < len(page):
         piece.append(page[at:])
     flush()
-    return [x for x in out if x[0] == KEEP] if seen_article else out
+    return [x for x in out if x[0] == KEEP] if seen_article and not whole else out
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
@@ -167,18 +167,20 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return [*range(head), *reversed(middle), *range(len(a) - tail, len(a))]
 
 
-def shared_lines(lines: list[int], first: list[int] | None, second: list[int] | None
-                 ) -> tuple[list[int], list[int], int]:
-    """Indices of ``lines`` that go, indices that go if enough classes of the host hold the
-    line, and the least number of classes that is enough."""
+def shared_lines(lines: list[int], declared: list[int], first: list[int] | None, second: list[int] | None
+                 ) -> tuple[list[int], dict[int, int]]:
+    """Indices of ``lines`` that go, and indices that go if enough classes of the host hold the
+    line, with the least number that is enough. ``declared`` are indices of KEEP lines."""
     asked: set[int] = set()
     for other in (first, second):
         found = common_lines(lines, other) if lines and other else []
         if found and len(found) < ALIKE * min(len(lines), len(other)):
-            return found, [], 0
+            keep = set(declared)
+            return [i for i in found if i not in keep], dict.fromkeys(sorted(keep.intersection(found)), 3)
         asked.update(found)
     # A page that lies in another as a whole has a line of its own only by a third one's word.
-    return [], sorted(asked), 3 if len(asked) == len(lines) else 2
+    keep = asked if len(asked) == len(lines) else set(declared)
+    return [], {i: 3 if i in keep else 2 for i in sorted(asked)}
 
 
 def _line_hash(line: str) -> int:
@@ -186,16 +188,19 @@ def _line_hash(line: str) -> int:
 
 
 _KEYS = pa.schema([("page_id", pa.int64()), ("page_key", pa.int64()), ("host", pa.string()),
-                   ("path", pa.string()), ("lines", pa.list_(pa.int64()))])
+                   ("path", pa.string()), ("lines", pa.list_(pa.int64())), ("declared", pa.list_(pa.int32()))])
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the lines that differencing decides about."""
+    """Hashes of the lines, and which of them are declared."""
     for part in C.slices(batches, "html"):
-        lines = [[_line_hash(x) for kind, x in lines_of(p or "") if kind == ASK]
-                 for p in part.column("html").to_pylist()]
+        lines, declared = [], []
+        for p in part.column("html").to_pylist():
+            found = lines_of(p or "", whole=True)
+            lines.append([_line_hash(x) for _, x in found])
+            declared.append([i for i, (kind, _) in enumerate(found) if kind == KEEP])
         yield C.arrow_rows({x: part.column(x) for x in ("page_id", "page_key", "host", "path")}
-                           | {"lines": lines}, _KEYS)
+                           | {"lines": lines, "declared": declared}, _KEYS)
 
 
 _ASKED = pa.struct([("at", pa.int32()), ("line", pa.int64()), ("least", pa.int32())])
@@ -207,10 +212,10 @@ _SHARED_DDL = "host string, class long, sure array<int>, asked array<struct<at:i
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in batches:
         sure, asked = [], []
-        for row in part.select(["lines", "first", "second"]).to_pylist():
-            gone, maybe, least = shared_lines(row["lines"], row["first"], row["second"])
+        for row in part.select(["lines", "declared", "first", "second"]).to_pylist():
+            gone, maybe = shared_lines(row["lines"], row["declared"], row["first"], row["second"])
             sure.append(gone)
-            asked.append([{"at": i, "line": row["lines"][i], "least": least} for i in maybe])
+            asked.append([{"at": i, "line": row["lines"][i], "least": n} for i, n in maybe.items()])
         yield C.arrow_rows({"host": part.column("host"), "class": part.column("class"),
                             "sure": sure, "asked": asked}, _SHARED)
 
@@ -223,15 +228,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, shared in zip(part.column("html").to_pylist(), part.column("shared").to_pylist(),
                                 strict=True):
-            lines = lines_of(page or "")
             gone = set(shared or ())
-            ask = -1
-            kept = []
-            for kind, line in lines:
-                ask += kind == ASK
-                if kind == KEEP or ask not in gone:
-                    kept.append(line)
-            texts.append("\n".join(kept))
+            texts.append("\n".join(line for i, (_, line) in enumerate(lines_of(page or "", whole=True))
+                                   if i not in gone))
         yield C.arrow_rows({"page_id": part.column("page_id"), "url": part.column("url"),
                             "text": texts}, _TEXT)
 
@@ -255,7 +254,7 @@ def _neighbours(classes: DataFrame) -> DataFrame:
     rows = rows.join(ends, "part", "left")
     both = {"before": F.coalesce("before", "b"), "after": F.coalesce("after", "a")}
     same = {k: F.when(v.host == F.col("host"), v) for k, v in both.items()}
-    rows = rows.select("host", "class", "path", "lines", *(v.alias(k) for k, v in same.items()))
+    rows = rows.select("host", "class", "path", "lines", "declared", *(v.alias(k) for k, v in same.items()))
 
     def alike(other):     # length of the common start of two paths
         n = F.least(F.length("path"), F.length(f"{other}.path"))
@@ -263,7 +262,7 @@ def _neighbours(classes: DataFrame) -> DataFrame:
             "path", F.lit(1), i) == F.substr(f"{other}.path", F.lit(1), i))), F.lit(-1))
 
     nearer = alike("before") >= alike("after")
-    return rows.select("host", "class", "lines",
+    return rows.select("host", "class", "lines", "declared",
                        F.when(nearer, F.col("before.lines")).otherwise(F.col("after.lines")).alias("first"),
                        F.when(nearer, F.col("after.lines")).otherwise(F.col("before.lines")).alias("second"))
 
@@ -271,8 +270,8 @@ def _neighbours(classes: DataFrame) -> DataFrame:
 def _shared(keys: DataFrame) -> DataFrame:
     """page_id, page_key and the indices of the lines that go, for each page that has some."""
     of = ["host", "class"]
-    classes = C.stored(keys.groupBy(*of).agg(F.min("path").alias("path"), F.first("lines").alias("lines")),
-                       "classes")
+    classes = C.stored(keys.groupBy(*of).agg(F.min("path").alias("path"), F.first("lines").alias("lines"),
+                                           F.max("declared").alias("declared")), "classes")
     found = C.stored(_neighbours(classes).mapInArrow(_compare, _SHARED_DDL), "aligned")
     # Lines that half of a host's classes hold: at most twice as many as a page has, for each host.
     held = classes.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").count()
@@ -300,7 +299,8 @@ def extract_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url"
         F.xxhash64(u, h).alias("page_key"),
         F.coalesce(F.lower(F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")).alias("host"),
         F.coalesce(F.regexp_extract(u, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1), F.lit("")).alias("path"))
-    keys = slim.mapInArrow(_read, "page_id long, page_key long, host string, path string, lines array<long>")
+    keys = slim.mapInArrow(_read, "page_id long, page_key long, host string, path string, lines array<long>, "
+                           "declared array<int>")
     keys = C.stored(keys.where(F.size("lines") > 0).withColumn("class", F.xxhash64("lines")), "lines")
     shared = C.stored(_shared(keys), "shared")
     shared = shared.toDF("_id", "_key", "shared")
