@@ -66,3 +66,18 @@ def test_edge_cases(spark):
     assert L.identify(df.limit(0), model).count() == 0
     assert L.identified(df, model).columns == df.columns
     assert L.identified(df, model).count() == 5
+
+
+def test_copies_count_once_in_the_training_draw(spark, monkeypatch):
+    monkeypatch.setattr(L, "FIT_PER_LABEL", 20)
+    seen = []
+    monkeypatch.setattr(L, "Model", lambda labels, x, y: seen.append((labels, x, y)))
+    few = [f"{w} of the {i} words" for i in range(5) for w in ("one", "two")]
+    rows = ([("aa", few[i % 10]) for i in range(20_000)] + [("bb", f"mot {i}") for i in range(3000)]
+            + [("cc", "seul")] + [("dd", "viele Male")] * 20_000 + [("dd", f"ein Text {i}") for i in range(100)])
+    L.train(spark.createDataFrame(rows, "lang string, text string"))
+    labels, x, y = seen[0]
+    assert labels == ["aa", "bb", "cc", "dd"]
+    assert np.bincount(y).tolist() == [10, 20, 1, 20]
+    for c in range(4):
+        assert len(np.unique(x[y == c], axis=0)) == (y == c).sum()

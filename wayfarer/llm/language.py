@@ -96,21 +96,34 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
-    """Fit on at most FIT_PER_LABEL texts of each language, drawn by a hash of the text.
+    """Fit on at most FIT_PER_LABEL different texts of each language, drawn by a hash of the text.
 
     The driver receives 4 KB for each drawn text, however long it is. Rows without text or
     language are not used; no labelled row gives a model that knows no language."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                            F.xxhash64(F.col(text)).alias("draw")).where("lang is not null and text <> ''")
-    # The cut is by hash, so the draw is made before any text moves.
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS)
-    cuts = {r["lang"]: r["count"] for r in sizes.collect()}
-    share = F.create_map(*[F.lit(v) for k, n in cuts.items() for v in (k, 4.0 * FIT_PER_LABEL / n)]) \
-        if cuts else F.create_map().cast("map<string,double>")
+    # Hashes are counted and drawn, copies once, before any text moves.
+    draws = C.stored(rows.select("lang", "draw").distinct(), "draws")
+    sizes = draws.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS)
+    wide = {r["lang"]: r["count"] for r in sizes.collect()}
+    cuts = dict.fromkeys(wide, 0.0)
+    factor = 4.0
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     unit = (F.col("draw") / F.lit(2.0 ** 64)) + 0.5
-    few = rows.where(unit < F.element_at(share, F.col("lang")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    drawn = (few.withColumn("rank", rank).where(F.col("rank") <= FIT_PER_LABEL)
+    while wide:      # a language whose draw came out short is drawn again from a wider cut
+        cuts |= {k: factor * FIT_PER_LABEL / n for k, n in wide.items()}
+        share = F.create_map(*[F.lit(v) for pair in cuts.items() for v in pair])
+        few = draws.where(unit <= F.element_at(share, F.col("lang")))
+        got = {r["lang"]: r["count"] for r in few.groupBy("lang").count().collect()}
+        wide = {k: n for k, n in wide.items() if got.get(k, 0) < min(FIT_PER_LABEL, n)}
+        factor *= 4
+    if not cuts:
+        return Model([], np.zeros((0, CELLS), np.float32), np.zeros(0, int))
+    last = (few.withColumn("rank", rank).where(F.col("rank") <= FIT_PER_LABEL)
+            .groupBy("lang").agg(F.max("draw").alias("last")).collect())
+    ends = F.create_map(*[F.lit(v) for r in last for v in (r["lang"], r["last"])])
+    drawn = (rows.where(F.col("draw") <= F.element_at(ends, F.col("lang")))
+             .groupBy("lang", "draw").agg(F.first("text").alias("text"))
              .select("lang", "text").mapInArrow(_cells, "lang string, cells binary").collect())
     drawn.sort(key=lambda r: (r.lang, bytes(r.cells)))
     labels = sorted({r.lang for r in drawn})
