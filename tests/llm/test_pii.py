@@ -87,3 +87,17 @@ def test_edge_cases(spark):
     assert [g[:6] for g in got] == sorted((brute(*d)[0] for d in docs), key=str)
     assert {g[6] for g in got} == {"", "email:0:6", "ip:2:9"}
     assert P.find_pii(df.limit(0)).count() == 0
+
+
+def test_labels_reach_repeats_far_away(spark):
+    w = weights(spark)
+    repeat = ("Long words between. " * 3 + "The short form is 743-555-3824, ok. ") * 50
+    for text in ("Call +1 (743) 555-3824 today. " + repeat, repeat + "Call +1 (743) 555-3824 today. "):
+        base = P.base_spans(text)
+        assert [k for _, k, _ in base] == [4]
+        assert [(text[a:b], k) for a, k, b in P.added(text, base, w)] == [("743-555-3824", 4)] * 50
+        g = P.Graph(text, base)
+        assert len(g.edges) <= 3 * len(g.nodes)
+    # Repeats that none of the observed tokens resembles stay out.
+    other = text.replace("743-555-3824,", "1984,")
+    assert P.added(other, P.base_spans(other), w) == []

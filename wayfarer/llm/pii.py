@@ -9,8 +9,9 @@ carries their labels along the edges, so that a phone number given in full once
 also found where it is shortened. Base spans always stay as they are.
 
 The weights are trained here by pseudo-likelihood, on a bounded sample of documents whose base
-spans are the labels. Equal tokens are linked in a chain, so edges grow with the
-document, never with its square.
+spans are the labels. Tokens with a key in common are linked in a chain, and each of them to the
+key's hubs: the first observed token of each label, or the first token if none is observed. So an observed
+label reaches every repeat in one step, and edges grow with the document, never with its square.
 """
 
 from __future__ import annotations
@@ -112,12 +113,22 @@ class Graph:
         self.label = np.array([k for *_, k in self.nodes], np.int64)
         self.features = np.array([shape(text, a, b, self.nodes[j - 1][1] if j else 0)
                                   for j, (a, b, _) in enumerate(self.nodes)])
+        found = [list(keys(text[a:b])) for a, b, _ in self.nodes]
+        first: dict[str, int] = {}
+        hubs: dict[str, dict[int, int]] = {}     # key -> label -> its first token
+        for j, (*_, kind) in enumerate(self.nodes):
+            for key in found[j]:
+                first.setdefault(key, j)
+                if kind:
+                    hubs.setdefault(key, {}).setdefault(kind, j)
         last: dict[str, int] = {}
         skip: set[tuple[int, int]] = set()
-        for j, (a, b, _) in enumerate(self.nodes):
-            for key in keys(text[a:b]):
-                if key in last and last[key] != j:
-                    skip.add((last[key], j))
+        for j, mine in enumerate(found):
+            for key in mine:
+                around = list(hubs[key].values()) if key in hubs else [first[key]]
+                for other in (*around, last.get(key, j)):
+                    if other != j:
+                        skip.add((min(j, other), max(j, other)))
                 last[key] = j
         near = [(j, j + 1) for j in range(len(self.nodes) - 1)
                 if self.nodes[j + 1][0] - self.nodes[j][1] <= 40 and (j, j + 1) not in skip]
