@@ -1,13 +1,13 @@
-"""Substring dedup by relative Lempel-Ziv parsing over an index of the whole corpus.
+"""Substring dedup by content-defined phrases and window counts over the whole corpus.
 
-Every document is parsed against reference blocks that the corpus itself gives.
+This stands in place of relative Lempel-Ziv parsing: no reference blocks, no greedy factors.
 The smallest k-gram hash of a window is its anchor, a choice that depends on the
 window's words alone, so all copies of a passage are cut alike: a *phrase* is a
 maximal run of windows with one anchor. The phrases, grouped by anchor, are the
 index.
 
-A phrase that occurs again in whole is one long factor: all its windows are
-repeats. Factors end where copies part; there the windows of a phrase that shares its
+Of a phrase that occurs again in whole, all windows are
+repeats. Where copies part, the windows of a phrase that shares its
 anchor but not its words are checked one by one, against the same index, so the
 result is exact: a word goes if and only if a window of ``span`` words that covers
 it occurs anywhere else.
