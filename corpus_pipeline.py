@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, to be written as
 Parquet and read again as the next one's docs; all but the last return the columns
 of documents. A stage reads all that its predecessor kept:
 
-1. language    documents whose language cannot be told (no text, no letter) go;
+1. language    documents whose language cannot be told (no text, no letter) go; the
+               predicted language and its score decide nothing;
 2. dedup       one document of each group of near-duplicates stays (5-word
                shingles, similarity 0.8 or more; the smallest doc_id);
 3. benchmark   documents that hold a benchmark window of 10 words go;
