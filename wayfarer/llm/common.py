@@ -22,10 +22,12 @@ from wayfarer.session import ensure_checkpoint_dir
 SLICE_BYTES = 2 << 20   # text handled at once in a task
 CHUNK_BYTES = 1 << 20   # bytes hashed at once; cut between words
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
+PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15           # odd: invertible modulo 2**64
+ODD = np.uint64(_BASE)
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
@@ -61,6 +63,11 @@ def before(sums: DataFrame, order: str, value: str, *group: str) -> DataFrame:
     return sums.withColumn("before", F.coalesce(F.sum(value).over(w), F.lit(0)))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` as one struct column, ``row``: names added beside it cannot clash with its own."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
 def text_key(text: Column) -> Column:
     """64-bit hash of a text; with the id it names one document (null: a fixed value)."""
     return F.xxhash64(text)
@@ -100,13 +107,16 @@ def _byte_values() -> np.ndarray:
 @functools.cache
 def byte_tables(kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(is a word byte, folded byte) for ``spaces`` (words between ASCII white
-    space, unchanged), ``spaces_lower`` (the same, A-Z lowered) or
-    ``alnum_lower`` (runs of 0-9, a-z and non-ASCII bytes, A-Z lowered)."""
+    space, unchanged), ``spaces_lower`` (the same, A-Z lowered), ``phrases`` (between
+    spaces, tabs and the ends of pieces, A-Z lowered) or ``alnum_lower`` (runs of 0-9,
+    a-z and non-ASCII bytes, A-Z lowered)."""
     word, fold = np.ones(256, bool), np.arange(256, dtype=np.uint8)
     if kind != "spaces":
         fold[65:91] += 32
     if kind.startswith("spaces"):
         word[np.frombuffer(SPACE_BYTES, np.uint8)] = False
+    elif kind == "phrases":
+        word[np.frombuffer(b"\x20\x09" + PIECE_ENDS, np.uint8)] = False
     else:
         word[:128] = False
         for lo, hi in ((48, 58), (65, 91), (97, 123)):
@@ -114,6 +124,14 @@ def byte_tables(kind: str) -> tuple[np.ndarray, np.ndarray]:
     return word, fold
 
 
+@functools.cache
+def piece_ends() -> np.ndarray:
+    """Whether a byte ends a piece of text."""
+    out = np.zeros(256, bool)
+    out[np.frombuffer(PIECE_ENDS, np.uint8)] = True
+    return out
+
+
 class Words:
     """The words of some texts: 64-bit hashes, byte spans, and where each text begins.
 

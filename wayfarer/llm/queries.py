@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.llm import common as C
-from wayfarer.llm import (decontaminate, embedding_dedup, html_text, language, minhash, mixing, pii,
-                          sharding, substring_dedup, token_output)
+from wayfarer.llm import (collocations, decontaminate, embedding_dedup, html_text, language, line_dedup, merkle,
+                          minhash, mixing, pii, sharding, substring_dedup, token_output)
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -62,6 +62,19 @@ def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.digest(found)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(C.table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.find_collocations(C.table(spark, sf_dir, "documents"), longest=5, least=100, top=2000)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    return line_dedup.digest(docs, line_dedup.find_repeated_lines(docs, least=10))
+
+
 QUERIES = {
     "op1_setsketch_near_dedup": op1_setsketch_near_dedup,
     "op2_two_pass_sharding": op2_two_pass_sharding,
@@ -73,7 +86,15 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_skip_chain_pii": op9_skip_chain_pii,
     "op10_winnowing_decontamination": op10_winnowing_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 # The other operators have no SQL; tests/llm holds them against brute force.
-ORACLES: dict[str, str] = {"op8_mix_sources": mixing.oracle()}
+ORACLES: dict[str, str] = {
+    "op8_mix_sources": mixing.oracle(),
+    "op11_merkle_manifest": merkle.oracle(),
+    "op12_phrase_collocations": collocations.oracle(),
+    "op13_line_dedup": line_dedup.oracle(),
+}
