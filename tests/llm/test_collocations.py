@@ -87,8 +87,9 @@ def test_edge_cases(spark):
 
 def test_weights_and_scores_beyond_64_bits(spark):
     big = 4_000_000_000
-    chunks = [("en", "big data", 1, big), ("en", "data x", 1, big), ("en", "x", 1, big + 1), ("en", "rare", 1, 99)]
-    counted = P.count_phrases(spark.createDataFrame(chunks, "lang string, chunk string, core int, times long"))
+    chunks = [(0, "en", "big data", 1, big), (1, "en", "data x", 1, big), (1 << 33, "en", "x", 1, big + 1),
+              (5 << 33, "en", "rare", 1, 99)]
+    counted = P.count_phrases(spark.createDataFrame(chunks, "at long, lang string, chunk string, core int, times long"))
     assert {r.phrase: r.f for r in counted.collect()} == {
         "big": big, "data": big, "x": big + 1, "big data": big, "data x": big}
     rng = random.Random(5)

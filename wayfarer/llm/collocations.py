@@ -8,15 +8,17 @@ one row of the dictionary with their number, and phrases are counted in the dict
 weighted by it.
 
 A phrase with ``least`` occurrences has only parts with as many. So lengths are counted
-one after the other: occurrences, pre-added per batch, are summed in BUCKETS hashed
-buckets, and the buckets that reach ``least`` are a bitmap of fixed size (BUCKETS / 8
-bytes) that goes to every task. Only phrases whose parts pass are looked at in the next
-length, and only phrases that pass are counted as words in the end. A bucket that several
-phrases fill costs work, never a wrong count.
+one after the other: occurrences, pre-added in the tasks, are summed by the phrase's
+64-bit hash (with its language), and those that reach ``least`` become a bitmap of hashed
+buckets, of a fixed size (BUCKETS / 8 bytes), that goes to every task: only phrases whose
+parts pass it are counted in the next length. A bucket that several phrases share costs work,
+never a wrong count. A sum carries one place where its phrase stands, and only the words of
+those places are read in the end.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -30,17 +32,16 @@ from wayfarer.llm import common as C
 
 PERIOD = 32              # words of a chunk on average
 CHUNK_WORDS = 1024       # a longer stretch without a first word is cut into chunks of this
-BUCKETS = 1 << 26        # hashed counters of a length; the bitmap has 8 MB
+BUCKETS = 1 << 26        # bits of a bitmap of phrases or chunks: 8 MB
 HELD = 1 << 22           # occurrences a task adds up before it emits sums
-HELD_PHRASES = 1 << 18   # phrases a task adds up before it emits them
+_WORD_BITS = 10          # of a place: the word's number in its chunk's core
 UNKNOWN = "und"
 # Products of up to 38 digits, divided as integers.
 SCORE = ("(cast(a as decimal(17)) * cast(n as decimal(16)) * 1000BD)"
          " div (cast(l as decimal(19)) * cast(r as decimal(19)))")
 
 _CHUNK = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("core", pa.int32())])
-_SUM = pa.schema([("bucket", pa.int32()), ("weight", pa.int64())])
-_PHRASE = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("weight", pa.int64())])
+_SUM = pa.schema([("hash", pa.int64()), ("weight", pa.int64()), ("place", pa.int64())])
 
 
 def _words(batch: pa.RecordBatch, column: str) -> tuple[C.Words, np.ndarray]:
@@ -85,35 +86,24 @@ def _chunks(batches: Iterator[pa.RecordBatch], longest: int, period: int) -> Ite
                             "core": (stop - start).astype(np.int32)}, _CHUNK)
 
 
-def _gram_hashes(words: C.Words, last: np.ndarray, core: np.ndarray, lang: np.ndarray,
-                 passed: list[np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(n, positions, hashes) of the phrases of n words that begin in a core and whose parts of one
-    word less pass their bitmaps, for n up to one more than there are bitmaps."""
-    index = np.arange(len(words)) - np.repeat(words.first[:-1], words.count)
-    mine = index < np.repeat(core, words.count)
+def _grams(words: C.Words, last: np.ndarray, core: np.ndarray, lang: np.ndarray,
+           passed: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the phrases that begin in a core, one word longer than there are bitmaps,
+    and whose parts pass them. A text's index in its chunk tells what begins in the core."""
     doc = words.doc()
-    fits = None                             # positions, overlaps too, whose n - 1 words pass
-    for n in range(1, min(longest, len(passed) + 1) + 1):
+    fits = np.ones(len(words) + 1, bool)    # positions, overlaps too, whose n - 1 words pass
+    for n in range(1, len(passed) + 2):
         size = max(0, len(words) - n + 1)
-        ok = np.arange(size) + n - 1 <= last[:size]
-        if fits is not None:
-            ok &= fits[:size] & fits[1:size + 1]
-        at = np.flatnonzero(ok)
-        if n == 1:
-            hashes = words.hash
-        else:                               # only of the positions that are left
-            hashes = np.zeros(len(at), np.uint64)
-            for j in range(n):
-                hashes = hashes * C.ODD + words.hash[at + j]
+        at = np.flatnonzero((np.arange(size) + n - 1 <= last[:size]) & fits[:size] & fits[1:size + 1])
+        hashes = np.zeros(len(at), np.uint64)
+        for j in range(n):
+            hashes = hashes * C.ODD + words.hash[at + j]
         hashes = C.mix(hashes ^ lang[doc[at]])
-        own = mine[at]
-        if n > len(passed):
-            yield n, at[own], hashes[own]
-            return
-        hit = _in(passed[n - 1], hashes)
-        fits = np.zeros(len(words) + 1, bool)
-        fits[at[hit]] = True
-        yield n, at[hit & own], hashes[hit & own]
+        if n <= len(passed):
+            fits = np.zeros(len(words) + 1, bool)
+            fits[at[_in(passed[n - 1], hashes)]] = True
+    mine = at - words.first[doc[at]] < core[doc[at]]
+    return at[mine], hashes[mine]
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -132,91 +122,86 @@ def _lang_hashes(column: pa.Array) -> np.ndarray:
     return np.array(names, np.uint64)[column.indices.to_numpy(zero_copy_only=False)]
 
 
-def _sums(batches: Iterator[pa.RecordBatch], passed: list[Broadcast], longest: int,
-          buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, chunk, core, times) to sums (bucket, weight) of the next length."""
+def _sums(batches: Iterator[pa.RecordBatch], passed: list[Broadcast]) -> Iterator[pa.RecordBatch]:
+    """Rows (at, lang, chunk, core, times) to sums (hash, weight, place) of the next length."""
     bitmaps = [b.value for b in passed]
-    held, weights, count = [], [], 0
+    held, count = [], 0
 
     def emit():
-        bucket, weight = np.concatenate(held), np.concatenate(weights)
-        order = np.argsort(bucket)
-        bucket, weight = bucket[order], weight[order]
-        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        return C.arrow_rows({"bucket": bucket[first].astype(np.int32), "weight": np.add.reduceat(weight, first)}, _SUM)
+        hashes, weight, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(hashes)
+        hashes, weight, place = hashes[order], weight[order], place[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        return C.arrow_rows({"hash": hashes[first].view(np.int64), "weight": np.add.reduceat(weight, first),
+                             "place": place[first]}, _SUM)
 
     for batch in C.slices(batches, "chunk"):
         words, last = _words(batch, "chunk")
-        times = batch.column("times").to_numpy()
-        for n, at, hashes in _gram_hashes(words, last, batch.column("core").to_numpy(),
-                                          _lang_hashes(batch.column("lang")), bitmaps, longest):
-            if n > len(bitmaps) and len(at):
-                held.append(_bucket(hashes, buckets).astype(np.int32))
-                weights.append(times[words.doc()[at]])
-                count += len(at)
+        at, hashes = _grams(words, last, batch.column("core").to_numpy(), _lang_hashes(batch.column("lang")), bitmaps)
+        if len(at):
+            doc = words.doc()[at]
+            place = (batch.column("at").to_numpy()[doc] << _WORD_BITS) + (at - words.first[doc])
+            held.append((hashes, batch.column("times").to_numpy()[doc], place))
+            count += len(at)
         if count >= HELD:
             yield emit()
-            held, weights, count = [], [], 0
+            held, count = [], 0
     if count:
         yield emit()
 
 
-def _phrases(batches: Iterator[pa.RecordBatch], passed: list[Broadcast], longest: int) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, chunk, core, times) to rows (lang, size, phrase, weight) of the phrases that may be
-    frequent. Within a task phrases are told apart by 64-bit hashes with their language."""
-    bitmaps = [b.value for b in passed]
-    held: dict[int, list] = {}
-    for batch in C.slices(batches, "chunk"):
-        words, last = _words(batch, "chunk")
-        times, langs = batch.column("times").to_numpy(), batch.column("lang").to_pylist()
-        doc = words.doc()
-        for n, at, hashes in _gram_hashes(words, last, batch.column("core").to_numpy(),
-                                          _lang_hashes(batch.column("lang")), bitmaps, longest):
-            keys, first, group = np.unique(hashes, return_index=True, return_inverse=True)
-            weights = np.zeros(len(keys), np.int64)
-            np.add.at(weights, group, times[doc[at]])
-            for key, spot, weight in zip(keys.tolist(), at[first].tolist(), weights.tolist(), strict=True):
-                if row := held.get(key):
-                    row[3] += weight
-                else:
-                    phrase = b" ".join(words.word(i) for i in range(spot, spot + n)).decode()
-                    held[key] = [langs[doc[spot]], n, phrase, weight]
-        if len(held) >= HELD_PHRASES:
-            yield C.arrow_rows(dict(zip(_PHRASE.names, zip(*held.values()))), _PHRASE)
-            held = {}
-    if held:
-        yield C.arrow_rows(dict(zip(_PHRASE.names, zip(*held.values()))), _PHRASE)
-
-
-def _bitmap(sums: DataFrame, least: int, buckets: int) -> np.ndarray:
-    """The buckets whose weights reach ``least``, one bit each: buckets / 64 rows at most."""
-    words = (sums.groupBy("bucket").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= least)
-             .groupBy(F.shiftright("bucket", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, bucket & 63))").alias("bits"))
-             .toArrow())
+def _picked(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
+    """The chunks whose number is in the bitmap."""
+    for batch in batches:
+        yield batch.filter(pa.array(_in(wanted.value, C.mix(batch.column("at").to_numpy().astype(np.uint64)))))
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunk numbers to the hashes that ``_picked`` looks for."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(C.mix(batch.column("at").to_numpy().astype(np.uint64)).view(np.int64))], ["hash"])
+
+
+def _bitmap(hashes: DataFrame, buckets: int) -> Broadcast:
+    """One bit per bucket that holds a hash: buckets / 64 rows at most reach the driver."""
+    bucket = F.expr(f"cast(hash & {buckets - 1}L as int)")
+    words = (hashes.select(F.shiftright(bucket, 6).alias("word"), (bucket.bitwiseAND(63)).alias("bit")).groupBy("word")
+             .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow())
     out = np.zeros(buckets // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return out
+    return hashes.sparkSession.sparkContext.broadcast(out)
 
 
 def parse(docs: DataFrame, *, text: str = "text", lang: str = "lang", longest: int = 5,
           period: int = PERIOD) -> DataFrame:
-    """The dictionary: lang, chunk, core (words that belong to it), times."""
+    """The dictionary, to be stored: at (a number), lang, chunk, core (words that belong to it), times."""
     slim = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                        F.col(f"`{text}`").alias("text")).where("text is not null")
     return (slim.mapInArrow(lambda b: _chunks(b, longest, period), "lang string, chunk string, core int")
-            .groupBy("lang", "chunk", "core").agg(F.count(F.lit(1)).alias("times")))
+            .groupBy("lang", "chunk", "core").agg(F.count(F.lit(1)).alias("times"))
+            .withColumn("at", F.monotonically_increasing_id()))
 
 
 def count_phrases(chunks: DataFrame, *, longest: int = 5, least: int = 100, buckets: int = BUCKETS) -> DataFrame:
     """lang, size, phrase (words joined by one space), f: all phrases of up to ``longest`` words with
     ``least`` occurrences or more. ``chunks`` is a stored dictionary; it is read once per length."""
-    context = chunks.sparkSession.sparkContext
     passed: list[Broadcast] = []
-    for _ in range(longest - 1):
-        sums = chunks.mapInArrow(lambda b, p=tuple(passed): _sums(b, p, longest, buckets), "bucket int, weight long")
-        passed.append(context.broadcast(_bitmap(sums, least, buckets)))
-    found = chunks.mapInArrow(lambda b: _phrases(b, passed, longest), "lang string, size int, phrase string, weight long")
-    return (found.groupBy("lang", "size", "phrase").agg(F.sum("weight").alias("f")).where(F.col("f") >= least))
+    found: list[DataFrame] = []
+    for n in range(1, longest + 1):
+        sums = chunks.mapInArrow(lambda b, p=tuple(passed): _sums(b, p), "hash long, weight long, place long")
+        found.append(C.stored(sums.groupBy("hash").agg(F.sum("weight").alias("f"), F.min("place").alias("place"))
+                              .where(F.col("f") >= least).withColumn("size", F.lit(n)), "phrase-sums"))
+        if n < longest:
+            passed.append(_bitmap(found[-1], buckets))
+    places = functools.reduce(DataFrame.unionByName, found).select(
+        "size", "f", F.shiftright("place", _WORD_BITS).alias("at"),
+        F.col("place").bitwiseAND((1 << _WORD_BITS) - 1).alias("word"))
+    wanted = _bitmap(places.select("at").mapInArrow(_numbers, "hash long"), buckets)
+    picked = chunks.select("at", "lang", "chunk").mapInArrow(lambda b: _picked(b, wanted), "at long, lang string, chunk string")
+    return (picked.join(places, "at")
+            .withColumn("words", F.regexp_extract_all("chunk", F.lit(r"[^\x20\x09.,;:!?\x0A-\x0D]+"), F.lit(0)))
+            .select("lang", "size", F.expr("array_join(slice(words, cast(word as int) + 1, size), ' ')").alias("phrase"), "f"))
 
 
 def find_collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", longest: int = 5, least: int = 100,
@@ -229,7 +214,7 @@ def find_collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang"
     floor(1000 a n / (l r)), in exact arithmetic. A phrase goes if a longer one around it has
     ``percent`` of its occurrences. A null language is ``und``; null and empty texts have no words,
     and a table without phrases gives no rows. Repeated rows count each time. Other columns are not read.
-    ``buckets`` is a multiple of 64.
+    ``buckets`` is a power of two, 64 or more.
     """
     chunks = C.stored(parse(docs, text=text, lang=lang, longest=longest, period=period), "chunks")
     totals = C.stored(chunks.groupBy("lang").agg(F.sum(F.col("core") * F.col("times")).alias("n")), "word-counts")
