@@ -877,3 +877,12 @@ SELECT day_of_week, time_band, journeys, {npround('delay', 6)} AS avg_delay_minu
 FROM (SELECT day_of_week, time_band, count(*) AS journeys, avg(delay_minutes) AS delay,
              100.0 * count(*) FILTER (WHERE on_time) / count(on_time) AS punctual
       FROM an GROUP BY ALL HAVING count(*) >= 100)""")
+
+# The fits replayed step by step, on the same matrix (standardised to six places).
+from . import cluster_sql as _K  # noqa: E402
+
+_STD = ORACLES["standardised_features"]
+ORACLES["kmeans_profile"] = _K.profile(_STD, ORACLES["customer_features"])
+ORACLES["kmeans_silhouette"] = _K.silhouette(_STD)
+ORACLES["kmeans_elbow"] = _K.elbow(_STD)
+ORACLES["cluster_rule_crosstab"] = _K.crosstab(_STD, ORACLES["rule_segments"])

@@ -98,10 +98,10 @@ journeys AS (
 DERIVED = """
     CAST(hour(j."timestamp") AS INTEGER) AS journey_hour,
     CAST(dayofweek(j.date) AS INTEGER) AS day_of_week,
-    coalesce(day_of_week % 6 = 0, FALSE) AS is_weekend,
+    coalesce(day_of_week IN (0, 6), FALSE) AS is_weekend,
     CASE WHEN is_weekend THEN 'Weekend'
-         WHEN journey_hour IN (7, 8, 9) THEN 'AM Peak'
-         WHEN journey_hour IN (16, 17, 18) THEN 'PM Peak'
+         WHEN journey_hour BETWEEN 7 AND 9 THEN 'AM Peak'
+         WHEN journey_hour BETWEEN 16 AND 18 THEN 'PM Peak'
          ELSE 'Off-Peak' END AS time_band,
     time_band IN ('AM Peak', 'PM Peak') AS is_peak,
     j.date - CAST(isodow(j.date) - 1 AS INTEGER) AS week_start,
@@ -113,14 +113,24 @@ NULL_DIMS = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in (
     ("customer_first_seen_date", "DATE"), ("line_reliability_index", "DOUBLE"),
     ("line_capacity_index", "DOUBLE"), ("line_scheduled_minutes", "DOUBLE")))
 
-# A missing duration or satisfaction counts as a valid one; a missing delay doesn't.
-VALID = """
-    coalesce(delay_minutes, -1.0) BETWEEN 0 AND 180.0
-    AND NOT coalesce(journey_duration_minutes, 1.0) <= 0
-    AND NOT coalesce(journey_duration_minutes, 1.0) > 240.0
-    AND coalesce(customer_satisfaction, 1.0) BETWEEN 1 AND 5
-    AND list_contains(['Metro', 'Train', 'Bus', 'Light Rail', 'Ferry'], transport_mode)
-    AND length(journey_id) >= 0"""
+# FIXED VALUES: what makes a row analysable: column, least, whether the least itself is in, most
+# (in), and whether a missing value is in.
+RANGES = (
+    ("delay_minutes", 0, True, 180, False),
+    ("journey_duration_minutes", 0, False, 240, True),
+    ("customer_satisfaction", 1, True, 5, True),
+)
+KNOWN_MODES = ("Metro", "Train", "Bus", "Light Rail", "Ferry")
+
+
+def valid() -> str:
+    """The predicate of an analysable row."""
+    terms = ["journey_id IS NOT NULL", f"transport_mode IN {KNOWN_MODES}"]
+    for column, low, inclusive, high, missing in RANGES:
+        inside = f"{column} {'>=' if inclusive else '>'} {low} AND {column} <= {high}"
+        terms.append(f"({column} IS NULL OR ({inside}))" if missing else f"({column} IS NOT NULL AND {inside})")
+    return " AND ".join(terms)
+
 
 # Columns of the canonical feed after journey_id / timestamp / date, in order:
 # the dedup tie-break.
@@ -140,7 +150,7 @@ raw_j AS (
 ),
 an AS (
   SELECT * FROM raw_j
-  WHERE {VALID}
+  WHERE {valid()}
   QUALIFY row_number() OVER (
     PARTITION BY journey_id
     ORDER BY "timestamp" ASC NULLS LAST, date ASC NULLS LAST, {TIE_BREAK}) = 1

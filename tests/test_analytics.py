@@ -101,8 +101,8 @@ def test_kmeans_labels_unique_and_profile_totals(source):
 
 def test_silhouette_in_range(source):
     feats = segmentation.customer_features(source.analytics, Selection.default())
-    value = segmentation.silhouette(feats, k=3, n_init=2)
-    assert value is not None and -1.0 <= value <= 1.0
+    (row,) = segmentation.silhouette(feats, k=3, n_init=2).collect()
+    assert row.k == 3 and -1.0 <= row.silhouette <= 1.0
 
 
 def test_insight_order_stable(source):

@@ -407,8 +407,7 @@ def _kmeans_profile(src):
 
 @register("kmeans_silhouette")
 def _kmeans_silhouette(src):
-    value = segmentation.silhouette(features_of(src), k=4)
-    return src.spark.createDataFrame([(4, value)], "k INT, silhouette DOUBLE")
+    return segmentation.silhouette(features_of(src), k=4)
 
 
 @register("kmeans_elbow")

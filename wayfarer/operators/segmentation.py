@@ -4,7 +4,7 @@ Customer features are one ``groupBy(customer_id)`` with map-side combine.
 Distinct counts per customer use ``size(collect_set(..))`` whose sets are
 bounded by the vocabulary (modes, regions) or by the selected date range
 (active days), so no Expand x(n+1) of the fact rows is needed. K-means runs
-in MLlib over the (cached) one-row-per-customer matrix.
+over the (cached) one-row-per-customer matrix, all fits at once (``clustering``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions.metrics import np_round, share
 from ..plans.filters import Selection
+from . import clustering
 from .kpis import _where
 
 SHARE_FLAGS = {
@@ -142,7 +143,7 @@ def top_customers(features: DataFrame, n: int = 200) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Standardised matrix and K-means (MLlib)
+# Standardised matrix and K-means
 # ---------------------------------------------------------------------------
 
 def standardised_features(features: DataFrame,
@@ -170,80 +171,35 @@ def standardised_features(features: DataFrame,
     return filled.select("customer_id", *out)
 
 
-def _assemble(std: DataFrame, cols: Sequence[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol="features").transform(std)
-
-
-# Rows per partition of the K-means matrix (one dense 7-vector per customer).
+# Rows per partition of the K-means matrix (seven doubles per customer).
 MATRIX_ROWS_PER_PARTITION = 250_000
-# K-means restarts / k values fitted concurrently (each fit is its own Spark job).
-PARALLEL_FITS = 8
 
 
 def kmeans_matrix(features: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, int]:
-    """Standardised feature vectors, checkpointed (lineage cut, reliable storage
-    in the shared checkpoint folder) and sized to ~250k rows per partition, so
-    every K-means iteration re-reads a compact materialised input."""
+    """The standardised features (6 dp), checkpointed in the shared folder and sized to about
+    250k rows per partition, so that every K-means step reads a compact input."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(features.sparkSession)
-    std = standardised_features(features, cols, digits=None)
-    matrix = _assemble(std, cols).select("customer_id", "features").checkpoint(eager=True)
+    matrix = standardised_features(features, cols).checkpoint(eager=True)
     n = matrix.count()
     parts = max(1, min(matrix.rdd.getNumPartitions(), -(-n // MATRIX_ROWS_PER_PARTITION)))
-    matrix = matrix.coalesce(parts).persist()
-    matrix.count()
-    return matrix, n
-
-
-def _fit(matrix: DataFrame, k: int, seed: int, max_iter: int, tol: float):
-    from pyspark.ml.clustering import KMeans
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol,
-                   featuresCol="features", predictionCol="cluster").fit(matrix)
-    return model, float(model.summary.trainingCost)
-
-
-def fit_many(matrix: DataFrame, ks: Sequence[int], n_init: int = 10,
-             seed: int = C.CLUSTER_RANDOM_STATE, max_iter: int = 300, tol: float = 1e-4):
-    """Best of ``n_init`` MLlib K-means fits (lowest training cost, then lowest
-    seed) for every k; the fits run as concurrent Spark jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-    jobs = [(k, seed + i) for k in ks for i in range(n_init)]
-    with ThreadPoolExecutor(max_workers=min(len(jobs), PARALLEL_FITS)) as pool:
-        fitted = list(pool.map(lambda j: (j, _fit(matrix, j[0], j[1], max_iter, tol)), jobs))
-    best: dict[int, tuple] = {}
-    for (k, s), (model, cost) in fitted:
-        if k not in best or (cost, s) < (best[k][1], best[k][2]):
-            best[k] = (model, cost, s)
-    return {k: (m, c) for k, (m, c, _) in best.items()}
-
-
-def fit_kmeans(matrix: DataFrame, k: int, n_init: int = 10, seed: int = C.CLUSTER_RANDOM_STATE,
-               max_iter: int = 300, tol: float = 1e-4):
-    return fit_many(matrix, [k], n_init, seed, max_iter, tol)[k]
+    return matrix.coalesce(parts).persist(), n
 
 
 def cluster_customers(features: DataFrame, k: int = 4, n_init: int = 10,
                       feature_columns: Sequence[str] = C.CLUSTER_FEATURES) -> DataFrame:
-    """G4 + G7: customers with a canonical cluster id and a readable cluster label.
+    """G4 + G7: customers with a cluster id and a readable cluster label.
 
-    Cluster ids are made canonical by ordering centroids on their coordinates,
-    so the labelling does not depend on the fit's internal numbering. Fewer
-    customers than k: no clusters (empty result).
+    The fit of the lowest inertia among ``n_init`` restarts; cluster ids follow the centres'
+    coordinates. Fewer customers than k: no clusters (empty result).
     """
     cols = list(feature_columns)
     matrix, n = kmeans_matrix(features, cols)
     if n < k:
         return features.select("*", F.lit(None).cast("int").alias("cluster"),
                                F.lit(None).cast("string").alias("cluster_label")).limit(0)
-    model, _ = fit_kmeans(matrix, k, n_init)
-    matrix.unpersist()      # its checkpoint files stay
-    centres = sorted(enumerate(model.clusterCenters()), key=lambda p: tuple(p[1].tolist()))
-    remap = {old: new for new, (old, _) in enumerate(centres)}
-    assigned = model.transform(matrix).select(
-        "customer_id",
-        F.element_at(F.array(*[F.lit(remap[i]) for i in range(k)]),
-                     (F.col("cluster") + 1).cast("int")).alias("cluster"))
+    centres = clustering.fit(matrix, cols, [k], restarts=n_init)[k].centres
+    assigned = matrix.select("customer_id", clustering.nearest(cols, centres).alias("cluster"))
     labelled = features.join(assigned, "customer_id")
     labels = cluster_labels(labelled, cols)
     # k rows: a proven broadcast bound.
@@ -283,38 +239,34 @@ def cluster_labels(labelled: DataFrame, cols: Sequence[str]) -> DataFrame:
                     .otherwise(F.col("name")).alias("cluster_label")))
 
 
+def _sample(matrix: DataFrame, n: int = C.SILHOUETTE_SAMPLE) -> DataFrame:
+    """The matrix rows of ``customer_sample``."""
+    return matrix.orderBy(F.md5("customer_id"), "customer_id").limit(n)
+
+
 def silhouette(features: DataFrame, k: int = 4, n_init: int = 10,
-               feature_columns: Sequence[str] = C.CLUSTER_FEATURES) -> float | None:
-    """MLlib silhouette (squared Euclidean, O(n k) from cluster statistics -
-    no pairwise distances) of the best K-means fit."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
+               feature_columns: Sequence[str] = C.CLUSTER_FEATURES) -> DataFrame:
+    """(k, silhouette): the exact Euclidean silhouette (6 dp) of the best K-means fit over the
+    ``customer_sample``; NULL unless there are more customers than k."""
     cols = list(feature_columns)
     matrix, n = kmeans_matrix(features, cols)
     if n <= k:
-        return None
-    model, _ = fit_kmeans(matrix, k, n_init)
-    value = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(
-        model.transform(matrix))
-    matrix.unpersist()
-    return value
+        return features.sparkSession.createDataFrame([(k, None)], "k INT, silhouette DOUBLE")
+    fits = clustering.fit(matrix, cols, [k], restarts=n_init)
+    return (clustering.silhouettes(_sample(matrix), cols, fits)
+            .withColumn("silhouette", np_round("silhouette", 6)))
 
 
 def inertia_curve(features: DataFrame, k_values: Sequence[int] = (2, 3, 4, 5, 6, 7, 8),
-                  n_init: int = 10, feature_columns: Sequence[str] = C.CLUSTER_FEATURES):
-    """(k, inertia, silhouette) for each k; empty with fewer than max(k)+1 rows."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
+                  n_init: int = 10, feature_columns: Sequence[str] = C.CLUSTER_FEATURES) -> DataFrame:
+    """(k, inertia, silhouette) for each k, all fits in one scan per step; empty with
+    fewer than max(k)+1 rows."""
     cols = list(feature_columns)
-    spark = features.sparkSession
-    schema = "k INT, inertia DOUBLE, silhouette DOUBLE"
     matrix, n = kmeans_matrix(features, cols)
     if n < max(k_values) + 1:
-        return spark.createDataFrame([], schema)
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    best = fit_many(matrix, list(k_values), n_init)
-    rows = [(k, best[k][1], round(float(evaluator.evaluate(best[k][0].transform(matrix))), 3))
-            for k in k_values]
-    matrix.unpersist()
-    return spark.createDataFrame(rows, schema)
+        return features.sparkSession.createDataFrame([], "k INT, inertia DOUBLE, silhouette DOUBLE")
+    fits = clustering.fit(matrix, cols, list(k_values), restarts=n_init)
+    return clustering.elbow(fits, clustering.silhouettes(_sample(matrix), cols, fits))
 
 
 def fit_check(features: DataFrame, k: int = 4, n_init: int = 10,
@@ -324,16 +276,15 @@ def fit_check(features: DataFrame, k: int = 4, n_init: int = 10,
     nearer to another centre than to their own, whether every centre is the mean of its
     customers (each coordinate within ``tolerance``) and whether the training cost is the
     sum of their squared distances (relative 1e-6). Fewer customers than k: no row."""
-    from pyspark.ml.functions import vector_to_array
-    matrix, n = kmeans_matrix(features, list(feature_columns))
+    cols = list(feature_columns)
+    matrix, n = kmeans_matrix(features, cols)
     if n < k:
         return features.sparkSession.createDataFrame([], (
             "k INT, customers LONG, clusters LONG, misplaced LONG, centres_settled BOOLEAN, "
             "cost_agrees BOOLEAN"))
-    model, cost = fit_kmeans(matrix, k, n_init)
-    matrix.unpersist()
-    centres = [c.tolist() for c in model.clusterCenters()]
-    placed = model.transform(matrix).select("cluster", vector_to_array("features").alias("x"))
+    best = clustering.fit(matrix, cols, [k], restarts=n_init)[k]
+    cost, centres = best.inertia, best.centres.tolist()
+    placed = matrix.select(clustering.nearest(cols, best.centres).alias("cluster"), F.array(*cols).alias("x"))
 
     def distance(centre: list[float]) -> Column:
         return sum(((F.col("x")[i] - F.lit(v)) ** 2 for i, v in enumerate(centre)), F.lit(0.0))
