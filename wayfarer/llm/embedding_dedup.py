@@ -28,6 +28,7 @@ from wayfarer.llm.components import components
 AXES = 8             # principal dimensions of the grid and of the boxes
 FIT_VECTORS = 4096   # vectors the axes are fitted on, at most; they only steer the pruning
 INTERVAL = 2048      # vectors of an interval of the sequence
+SAFE_POWER = 400     # vectors beyond 2 ** 400 or below 2 ** -400 are scaled by a power of two
 LEAF = 256           # vectors compared by one matrix product
 
 
@@ -41,6 +42,10 @@ def _pack(batches: Iterator[pa.RecordBatch], dtype: str) -> Iterator[pa.RecordBa
             if v.is_valid and not v.values.null_count:
                 x = v.values.to_numpy(zero_copy_only=False).astype(dtype) + 0.0   # -0 becomes 0
                 d = x.astype(np.float64)
+                power = int(np.frexp(np.abs(d).max(initial=0))[1]) if np.isfinite(d).all() else 0
+                if abs(power) > SAFE_POWER:      # squares would leave the range of doubles
+                    d = np.ldexp(d, -power)
+                    x = d.astype(dtype)
                 if not np.isfinite(d).all() or not (norm := math.sqrt(d @ d)) or not math.isfinite(norm):
                     x = None
             out.append(None if x is None else x.tobytes())

@@ -99,7 +99,8 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang") -> Mod
     """Fit on at most FIT_PER_LABEL different texts of each language, drawn by a hash of the text.
 
     The driver receives 4 KB for each drawn text, however long it is. Rows without text or
-    language are not used; no labelled row gives a model that knows no language."""
+    language are not used; no labelled row gives a model that knows no language. Of more than
+    LABELS languages those with the most different texts are learnt."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                            F.xxhash64(F.col(text)).alias("draw")).where("lang is not null and text <> ''")
     # Hashes are counted and drawn, copies once, before any text moves.

@@ -302,11 +302,10 @@ def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     that repeat id and text one stays. Rows without an id all stay."""
     found = find_near_duplicates(docs, doc_id=doc_id, text=text, **options)
     kept = (found.where("kept and doc_id is not null")
-            .select(F.col("doc_id").alias("_kept_id"), F.col("doc_key").alias("_kept_key")).distinct())
-    keyed = docs.withColumn("_kept_key", C.text_key(F.col(text)))
-    named = (keyed.where(F.col(doc_id).isNotNull())
-             .join(kept.withColumnsRenamed({"_kept_id": "_id", "_kept_key": "_key"}),
-                   (F.col(doc_id) == F.col("_id")) & (F.col("_kept_key") == F.col("_key")), "left_semi")
-             .dropDuplicates([doc_id, "_kept_key"]))
-    return (named.unionByName(keyed.where(F.col(doc_id).isNull()))
-            .select(*docs.columns))
+            .select(F.col("doc_id").alias("kept_id"), F.col("doc_key").alias("kept_key")).distinct())
+    keyed = C.packed(docs).select("row", F.col("row")[doc_id].alias("id"), C.text_key(F.col("row")[text]).alias("key"))
+    named = (keyed.where(F.col("id").isNotNull())
+             .join(kept, (F.col("id") == F.col("kept_id")) & (F.col("key") == F.col("kept_key")), "left_semi")
+             .dropDuplicates(["id", "key"]))
+    return (named.unionByName(keyed.where(F.col("id").isNull()))
+            .select(*(F.col("row")[c].alias(c) for c in docs.columns)))

@@ -91,21 +91,21 @@ def materialise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     Documents are not cut: the one on which a source's budget ends is in if at least half
     of its words are taken. Documents without words are not in the mix."""
     taken = (mix(docs, doc_id=doc_id, text=text, **options).where("size > 0")
-             .select(F.col("doc_id").alias("_mix_id"), F.col("doc_key").alias("_mix_key"),
-                     F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies")))
+             .select(F.col("doc_id").alias("mix_id"), F.col("doc_key").alias("mix_key"),
+                     F.round(F.col("taken") / F.col("size")).cast("int").alias("copies")))
     # Rows that repeat id and text are taken one by one: their copies are dealt together.
-    taken = (taken.groupBy("_mix_id", "_mix_key")
-             .agg(F.sum("_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")))
-    keyed = docs.withColumn("_doc_key", C.text_key(F.col(text)))
-    joined = keyed.join(taken, F.col(doc_id).cast("long").eqNullSafe(F.col("_mix_id"))
-                        & (F.col("_doc_key") == F.col("_mix_key")))
-    rank = F.when(F.col("_rows") == 1, 1).otherwise(F.row_number().over(
-        Window.partitionBy(doc_id, "_doc_key").orderBy(F.lit(1))))
-    share = F.floor(F.col("_copies") / F.col("_rows")) + F.when(
-        F.col("_rank") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    return (joined.withColumn("_rank", rank).withColumn("_times", share.cast("int")).where("_times > 0")
-            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*docs.columns))
+    taken = (taken.groupBy("mix_id", "mix_key")
+             .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")))
+    keyed = C.packed(docs).select("row", F.col("row")[doc_id].cast("long").alias("id"),
+                                  C.text_key(F.col("row")[text]).alias("key"))
+    joined = keyed.join(taken, F.col("id").eqNullSafe(F.col("mix_id")) & (F.col("key") == F.col("mix_key")))
+    rank = F.when(F.col("rows") == 1, 1).otherwise(F.row_number().over(
+        Window.partitionBy("id", "key").orderBy(F.lit(1))))
+    share = F.floor(F.col("copies") / F.col("rows")) + F.when(
+        F.col("rank") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+    return (joined.withColumn("rank", rank).withColumn("times", share.cast("int")).where("times > 0")
+            .withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+            .select(*(F.col("row")[c].alias(c) for c in docs.columns)))
 
 
 def oracle(seed: int = 0) -> str:

@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from wayfarer.llm import common as C
 
@@ -29,44 +28,41 @@ def shard_of(doc_id: Column, shards: int, seed: int = 0) -> Column:
     return best.shard
 
 
-def _shuffle(table: pa.Table, seed: int, order: list[str]) -> pa.Table:
+def _shuffle(table: pa.Table, seed: int) -> pa.Table:
     """Fisher-Yates over one bucket, from a fixed order."""
-    table = table.sort_by([(c, "ascending") for c in order])
-    rng = np.random.default_rng([seed, table.column("_shard")[0].as_py(), table.column("_bucket")[0].as_py()])
+    table = table.sort_by([("id", "ascending"), ("key", "ascending")])
+    rng = np.random.default_rng([seed, table.column("shard")[0].as_py(), table.column("bucket")[0].as_py()])
     at = np.arange(len(table))
     for i, j in zip(range(len(at) - 1, 0, -1), rng.integers(0, np.arange(len(at), 1, -1)), strict=True):
         at[i], at[j] = at[j], at[i]
     table = table.take(pa.array(at))
-    slot = table.column("_first")[0].as_py() + np.arange(len(table))
-    return (table.append_column("slot", pa.array(slot))
-            .rename_columns(["shard" if c == "_shard" else c for c in table.column_names] + ["slot"])
-            .drop_columns(["_bucket", "_first", "_key"]))
+    slot = table.column("first")[0].as_py() + np.arange(len(table))
+    return table.append_column("slot", pa.array(slot)).select(["row", "shard", "slot"])
 
 
 def shuffle(docs: DataFrame, *, shards: int = 16, doc_id: str = "doc_id", text: str = "text",
             seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The documents (all columns) with ``shard`` and ``slot``, their place in it from 0 without gaps.
 
-    Columns of these names in the input give way. Null ids are one key. Records that agree in id
-    and text are interchangeable; a null text counts no bytes.
+    Columns of these two names in the input give way; any other name may occur. Null ids are one key.
+    Records that agree in id and text are interchangeable; a null text counts no bytes.
     """
     docs = docs.drop("shard", "slot")
-    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
-    keyed = docs.select("*", shard_of(F.col(doc_id), shards, seed).alias("_shard"),
-                        C.text_key(F.col(text)).alias("_key"))
-    total = docs.agg(F.sum(size)).first()[0] or 0
+    rows = C.packed(docs)
+    doc, body = F.col("row")[doc_id], F.col("row")[text]
+    size = F.coalesce(F.octet_length(body), F.lit(0)).cast("long") + 1
+    total = rows.agg(F.sum(size)).first()[0] or 0
     buckets = -(-total // (shards * bucket_bytes)) or 1
-    keyed = keyed.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), doc_id, "_key"), F.lit(buckets)).cast("int"))
-    counts = keyed.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    first = C.stored(C.before(counts, "_bucket", "n", "_shard")
-                     .select("_shard", "_bucket", F.col("before").alias("_first")), "buckets")
+    keyed = (rows.select("row", doc.alias("id"), C.text_key(body).alias("key"), shard_of(doc, shards, seed).alias("shard"))
+             .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "id", "key"), F.lit(buckets)).cast("int")))
+    counts = keyed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    first = C.stored(C.before(counts, "bucket", "n", "shard")
+                     .select("shard", "bucket", F.col("before").alias("first")), "buckets")
     # One small row per bucket of memory size; Spark decides how to join them by their bytes.
-    placed = keyed.join(first, ["_shard", "_bucket"]).select(*docs.columns, "_shard", "_bucket", "_first", "_key")
-    schema = docs.limit(0).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
-    names = to_arrow_schema(schema).names
-    order = [doc_id, "_key"]
-    return placed.groupBy("_shard", "_bucket").applyInArrow(
-        lambda t: _shuffle(t, seed, order).select(names), schema)
+    placed = keyed.join(first, ["shard", "bucket"])
+    schema = rows.limit(0).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
+    shuffled = placed.groupBy("shard", "bucket").applyInArrow(lambda t: _shuffle(t, seed), schema)
+    return shuffled.select(*(F.col("row")[c].alias(c) for c in docs.columns), "shard", "slot")
 
 
 def write(shuffled: DataFrame, path: str) -> None:
