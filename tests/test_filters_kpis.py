@@ -92,13 +92,3 @@ def test_presets_clamp_to_first_day():
 
 def test_selection_without_period_reads_every_row(source):
     assert source.analytics.where(Selection().column()).count() == source.analytics.count()
-
-
-def test_percentile_sketch_switch(source, monkeypatch):
-    """EXACT_PERCENTILES=False swaps the exact map-based percentile for the
-    bounded-memory sketch; on this data it lands on the exact order statistic."""
-    f = Selection.default()
-    exact = kpis.compute_metrics(source.analytics, f, ["p90_delay_minutes"]).first()[0]
-    monkeypatch.setattr(C, "EXACT_PERCENTILES", False)
-    approx = kpis.compute_metrics(source.analytics, f, ["p90_delay_minutes"]).first()[0]
-    assert abs(approx - exact) <= 0.5

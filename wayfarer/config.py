@@ -59,7 +59,6 @@ CUSTOMER_SEGMENTS = (
     "Frequent Commuters", "Occasional Travellers", "Off-Peak Regulars",
     "Digital-First Customers", "High-Service-Need Customers",
 )
-AGE_GROUPS = ("16-24", "25-34", "35-49", "50-64", "65+")
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 # ---------------------------------------------------------------------------
@@ -223,13 +222,6 @@ SEGMENT_TOKENS = (
     ("High-Service-Need Customers", ("high-service", "high service", "assisted")),
 )
 
-# Journey-level percentiles (p90 delay, IQR bounds of raw values). Spark's exact
-# percentile keeps one value->count map per group: bounded when values have a
-# fixed precision (delays in tenths of a minute within 0..180), unbounded for
-# continuous inputs - there, switch to the sketch (relative error ~1/accuracy).
-EXACT_PERCENTILES = True
-APPROX_PERCENTILE_ACCURACY = 100_000
-
 # ---------------------------------------------------------------------------
 # Registered-query parameters (the reference's test fixture: a 60-day
 # selection ending on the last day of data).

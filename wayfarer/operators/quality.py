@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.metrics import np_round, quantile
+from ..functions.metrics import np_round
+from ..functions.selection import exact_quantiles
 from ..plans.filters import Selection
 
 
@@ -155,14 +156,14 @@ def summary(raw: DataFrame, analytics: DataFrame, filters: Selection | None,
 def value_outliers(raw: DataFrame, filters: Selection | None) -> DataFrame:
     """Q7: values beyond 3 x IQR (delay upper side only; duration both sides).
 
-    The quartiles are one aggregate row used as an uncorrelated scalar
-    subquery (computed once, inlined as a value), not a cross join.
+    The quartiles are found by selection, one row used as an uncorrelated scalar
+    subquery (inlined as a value), not a cross join.
     """
     pop = _population(raw, filters)
-    delay, dur_ = F.col("delay_minutes"), F.col("journey_duration_minutes")
-    q = pop.agg(F.struct(
-        quantile(delay, 0.25).alias("d1"), quantile(delay, 0.75).alias("d3"),
-        quantile(dur_, 0.25).alias("u1"), quantile(dur_, 0.75).alias("u3"))).scalar()
+    bounds = exact_quantiles(pop, {"d1": ("delay_minutes", 0.25), "d3": ("delay_minutes", 0.75),
+                                   "u1": ("journey_duration_minutes", 0.25),
+                                   "u3": ("journey_duration_minutes", 0.75)})
+    q = bounds.select(F.struct("d1", "d3", "u1", "u3")).scalar()
     d_iqr = q["d3"] - q["d1"]
     u_iqr = q["u3"] - q["u1"]
     dur = F.col("journey_duration_minutes")

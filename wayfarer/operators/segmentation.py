@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import np_round, share
+from ..functions.selection import exact_quantiles
 from ..plans.filters import Selection
 from . import clustering
 from .kpis import _where
@@ -118,8 +119,9 @@ def frequency_histogram(features: DataFrame, bins: int = 40) -> DataFrame:
     """journeys/week clipped at its 99th percentile, in ``bins`` equal-width
     bins between the minimum and the clip value, empty bins included. All customers
     alike: one bin without width; no customers: no bins."""
-    b = features.agg(F.struct(F.percentile("journeys_per_week", 0.99).alias("hi"),
-                              F.min("journeys_per_week").alias("lo"))).scalar()
+    features = features.checkpoint(eager=True)      # read by every round of the selection
+    b = (exact_quantiles(features, {"hi": ("journeys_per_week", 0.99), "lo": ("journeys_per_week", 0.0)})
+         .select(F.struct("hi", "lo")).scalar())
     clipped = F.least(F.col("journeys_per_week"), b["hi"])
     span = b["hi"] - b["lo"]
     idx = F.when(span > 0, F.least(F.floor((clipped - b["lo"]) / span * bins), F.lit(bins - 1))) \
@@ -157,8 +159,7 @@ def standardised_features(features: DataFrame,
     # lineage once so journeys are aggregated a single time
     features = features.checkpoint(eager=True)
     cols = list(feature_columns)
-    med = features.agg(F.struct(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c)
-                                  for c in cols])).scalar()
+    med = exact_quantiles(features, {c: (c, 0.5) for c in cols}).select(F.struct(*cols)).scalar()
     filled = features.select("customer_id", *[
         F.coalesce(F.col(c).cast("double"), med[c]).alias(c) for c in cols])
     mom = filled.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
