@@ -57,7 +57,7 @@ def _analytics_rows(src: JourneySource) -> DataFrame:
 # ---------------------------------------------------------------------------
 @register("kpi_period_compare")
 def _kpi_period_compare(src):
-    return kpis.compare_periods(src.analytics, default_filter())
+    return kpis.compare_periods(src.analytics, default_filter(), rollup=src.rollup())
 
 
 _BREAKDOWNS = {
@@ -79,7 +79,7 @@ _BREAKDOWNS = {
 
 def _breakdown(dimension: str):
     def fn(src):
-        return kpis.metrics_by_dimension(src.analytics, EVERYTHING, dimension)
+        return kpis.metrics_by_dimension(src.analytics, EVERYTHING, dimension, rollup=src.rollup())
     return fn
 
 
@@ -242,17 +242,17 @@ def _segment_share(src):
 # ---------------------------------------------------------------------------
 for _grain in ("day", "week", "month"):
     register(f"time_series_{_grain}")(
-        (lambda g: lambda src: trends.time_series(src.analytics, EVERYTHING, g))(_grain))
+        (lambda g: lambda src: trends.time_series(src.analytics, EVERYTHING, g, rollup=src.rollup()))(_grain))
 
 
 @register("calendar_filled_daily")
 def _calendar_filled(src):
-    return trends.fill_calendar(trends.time_series(src.analytics, EVERYTHING, "day"))
+    return trends.fill_calendar(trends.time_series(src.analytics, EVERYTHING, "day", rollup=src.rollup()))
 
 
 @register("rolling_7d")
 def _rolling_7d(src):
-    daily = trends.fill_calendar(trends.time_series(src.analytics, EVERYTHING, "day"))
+    daily = trends.fill_calendar(trends.time_series(src.analytics, EVERYTHING, "day", rollup=src.rollup()))
     return trends.add_rolling(daily.select("period", "avg_delay_minutes", "total_journeys"),
                               "avg_delay_minutes")
 
@@ -441,7 +441,7 @@ def _cluster_rule_crosstab(src):
 def _anomaly_daily_frame(src):
     _, needed = anomalies.needed_metrics(None)
     return anomalies.daily_frame(src.analytics, default_filter(), "region",
-                                 C.ANOMALY_ROLLING_WINDOW + 7, needed)
+                                 C.ANOMALY_ROLLING_WINDOW + 7, needed, src.rollup())
 
 
 @register("anomaly_baselines_z")
@@ -456,29 +456,30 @@ def _anomaly_baselines_iqr(src):
 
 @register("anomalies_region_z")
 def _anomalies_region_z(src):
-    return anomalies.detect(src.analytics, default_filter(), "region")
+    return anomalies.detect(src.analytics, default_filter(), "region", rollup=src.rollup())
 
 
 @register("anomalies_mode_z")
 def _anomalies_mode_z(src):
-    return anomalies.detect(src.analytics, default_filter(), "transport_mode")
+    return anomalies.detect(src.analytics, default_filter(), "transport_mode", rollup=src.rollup())
 
 
 @register("anomalies_network_z")
 def _anomalies_network_z(src):
-    return anomalies.detect(src.analytics, default_filter(), None)
+    return anomalies.detect(src.analytics, default_filter(), None, rollup=src.rollup())
 
 
 @register("anomalies_region_iqr")
 def _anomalies_region_iqr(src):
-    return anomalies.detect(src.analytics, default_filter(), "region", method="iqr")
+    return anomalies.detect(src.analytics, default_filter(), "region", method="iqr",
+                            rollup=src.rollup())
 
 
 @register("anomalies_region_adverse")
 def _anomalies_region_adverse(src):
     """The adverse region anomalies report (top 10)."""
     return anomalies.detect(src.analytics, default_filter(), "region", adverse_only=True,
-                            limit=10)
+                            limit=10, rollup=src.rollup())
 
 
 @register("anomaly_companions")
@@ -488,7 +489,7 @@ def _anomaly_companions(src):
 
 @register("anomaly_summary")
 def _anomaly_summary(src):
-    return anomalies.summarise(anomalies.detect(src.analytics, default_filter(), "region"))
+    return anomalies.summarise(anomalies.detect(src.analytics, default_filter(), "region", rollup=src.rollup()))
 
 
 @register("anomaly_series")
@@ -500,7 +501,7 @@ def _anomaly_series(src):
 @register("anomaly_window_recall")
 def _anomaly_window_recall(src):
     return anomalies.window_recall(
-        anomalies.detect(src.analytics, default_filter(), "region"), planted_windows(src.spark))
+        anomalies.detect(src.analytics, default_filter(), "region", rollup=src.rollup()), planted_windows(src.spark))
 
 
 # ---------------------------------------------------------------------------
@@ -510,7 +511,7 @@ def _anomaly_window_recall(src):
 
 @register("insight_kpi_movement")
 def _insight_kpi_movement(src):
-    return insights.kpi_movement(src.analytics, default_filter())
+    return insights.kpi_movement(src.analytics, default_filter(), src.rollup())
 
 
 @register("insight_dimension_movers")
@@ -553,7 +554,7 @@ def _complaint_concentration(src):
 
 @register("insight_top_anomaly")
 def _insight_top_anomaly(src):
-    return insights.top_anomaly(src.analytics, default_filter())
+    return insights.top_anomaly(src.analytics, default_filter(), src.rollup())
 
 
 @register("insight_data_quality")
@@ -563,12 +564,12 @@ def _insight_data_quality(src):
 
 @register("insights_ranked")
 def _insights_ranked(src):
-    return insights.generate(src.raw, src.analytics, default_filter(), limit=8)
+    return insights.generate(src.raw, src.analytics, default_filter(), limit=8, rollup=src.rollup())
 
 
 @register("brief_sections")
 def _brief_sections(src):
-    return insights.executive_brief(src.raw, src.analytics, default_filter())
+    return insights.executive_brief(src.raw, src.analytics, default_filter(), src.rollup())
 
 
 @register("report_kpi_movers")

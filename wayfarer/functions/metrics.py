@@ -46,12 +46,22 @@ class MetricSpec:
     def lower_is_better(self) -> bool:
         return self.key in C.LOWER_IS_BETTER
 
+    @property
+    def parts(self) -> tuple[str, str] | None:
+        """(count | avg | rate, column) of an additive metric, else None."""
+        return getattr(self.builder, "parts", None)
+
     def build(self, cond: Column | None = None) -> Column:
         return self.builder(cond)
 
 
-def _count(cond):
-    return F.count(_gate(cond, F.lit(1)))
+def _additive(kind: str, column: str, build: Callable) -> Callable:
+    """A builder whose metric is a quotient of sums: kept per day, the sums merge over any period."""
+    build.parts = (kind, column)
+    return build
+
+
+_count = _additive("count", "", lambda cond: F.count(_gate(cond, F.lit(1))))
 
 
 def _distinct(column):
@@ -59,11 +69,11 @@ def _distinct(column):
 
 
 def _avg(column):
-    return lambda cond: F.avg(_gate(cond, F.col(column)))
+    return _additive("avg", column, lambda cond: F.avg(_gate(cond, F.col(column))))
 
 
 def _rate(column):
-    return lambda cond: rate(column, cond)
+    return _additive("rate", column, lambda cond: rate(column, cond))
 
 
 def _p90(cond):

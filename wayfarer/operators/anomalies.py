@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
 from ..plans.filters import Selection
+from ..plans.rollup import Rollup, merged
 from .kpis import check_dimension
 
 METHODS = ("rolling_z", "iqr")
@@ -32,12 +33,18 @@ def needed_metrics(metrics: Iterable[str] | None) -> tuple[dict[str, float], tup
 
 
 def daily_frame(analytics: DataFrame, filters: Selection, dimension: str | None,
-                lookback_days: int, metrics: Sequence[str]) -> DataFrame:
+                lookback_days: int, metrics: Sequence[str], rollup: Rollup | None = None) -> DataFrame:
     """One row per (day, scope) with every needed metric, from
     ``start - lookback_days`` to the end of the selection."""
     if dimension is not None:
         check_dimension(dimension)
     extended = filters.during(filters.period.extended_back(lookback_days))
+    if rollup and rollup.answers(filters, metrics, dimension):
+        scope = F.lit("Network") if dimension is None else F.col("value")
+        return (rollup.slice(dimension, extended)
+                .groupBy(F.col("date").alias("period"), scope.alias("dimension_value"))
+                .agg(*(merged(m).alias(m) for m in metrics))
+                .where(F.col("dimension_value").isNotNull()))
     scope = F.lit("Network") if dimension is None else F.col(dimension)
     return (analytics.where(extended.column())
             .groupBy(F.col("date").alias("period"), scope.alias("dimension_value"))
@@ -101,10 +108,11 @@ def _rounded(cols: Sequence[str]) -> list[Column]:
 def scan(analytics: DataFrame, filters: Selection, dimension: str | None = None,
          metrics: Iterable[str] | None = None, method: str = "rolling_z",
          window: int = C.ANOMALY_ROLLING_WINDOW,
-         threshold: float = C.ANOMALY_Z_THRESHOLD) -> tuple[DataFrame, dict[str, float]]:
+         threshold: float = C.ANOMALY_Z_THRESHOLD,
+         rollup: Rollup | None = None) -> tuple[DataFrame, dict[str, float]]:
     """Daily frame -> long series -> baselines (all needed metrics)."""
     floors, needed = needed_metrics(metrics)
-    daily = daily_frame(analytics, filters, dimension, window + 7, needed)
+    daily = daily_frame(analytics, filters, dimension, window + 7, needed, rollup)
     return baselines(long_series(daily, needed), method, window, threshold), floors
 
 
@@ -112,9 +120,9 @@ def detect(analytics: DataFrame, filters: Selection, dimension: str | None = Non
            metrics: Iterable[str] | None = None, method: str = "rolling_z",
            window: int = C.ANOMALY_ROLLING_WINDOW, threshold: float = C.ANOMALY_Z_THRESHOLD,
            min_journeys_per_day: int = 25, adverse_only: bool = False,
-           limit: int | None = None) -> DataFrame:
+           limit: int | None = None, rollup: Rollup | None = None) -> DataFrame:
     """N3 + N4 + N6 + N9: flagged days, most extreme first."""
-    base, floors = scan(analytics, filters, dimension, metrics, method, window, threshold)
+    base, floors = scan(analytics, filters, dimension, metrics, method, window, threshold, rollup)
     return gate(base, floors, filters, dimension, method, threshold, min_journeys_per_day,
                 adverse_only, limit)
 

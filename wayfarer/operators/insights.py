@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions.metrics import METRICS, metric_columns, np_round
 from ..plans.filters import Selection, period_filters
+from ..plans.rollup import Rollup, merged
 from . import anomalies, kpis, quality
 
 INSIGHT_COLUMNS = ("key", "category", "headline", "detail", "direction", "importance", "evidence")
@@ -59,9 +60,9 @@ def first_by(row: Column, *keys: Column) -> Column:
     return F.min_by(row, F.struct(*keys))
 
 
-def kpi_movement(analytics: DataFrame, filters: Selection) -> DataFrame:
+def kpi_movement(analytics: DataFrame, filters: Selection, rollup: Rollup | None = None) -> DataFrame:
     """Headline KPIs that moved by >= 3 % against the previous period."""
-    cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
+    cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS, rollup)
     ch, pct = F.col("absolute_change"), F.col("percent_change")
     points = F.col("metric").isin(*[k for k in C.HEADLINE_KPIS if METRICS[k].compare_as_points])
     magnitude = F.when(points, _fmt("%.1f percentage points", np_round(F.abs(ch), 1))) \
@@ -136,13 +137,38 @@ CUBE_METRICS = ("avg_satisfaction", "on_time_performance", "total_journeys", "co
                 "avg_delay_minutes")
 
 
-def insight_cube(analytics: DataFrame, filters: Selection) -> DataFrame:
+def _cube_from_rollup(rollup: Rollup, filters: Selection) -> DataFrame:
+    """The insight cube from the rollup: the cells of its slices added up over both periods."""
+    scan, current, previous = period_filters(filters)
+    names = ["time_band" if len(st) > 1 else st[0] for st in CUBE_SETS]     # a weekday is a set of days
+    weekday = F.when(F.col("slice") == "time_band", F.dayofweek("date") - 1)
+    cells = rollup.cells.where(F.col("slice").isin(*names)).where(
+        filters.period.extended_back(filters.period.days).holds())
+    sums = cells.groupBy("slice", "value", weekday.alias("weekday")).agg(
+        *[merged(m, c).cast("double").alias(f"{m}__{s}") for s, c in (("c", current), ("p", previous)) for m in CUBE_METRICS],
+        F.coalesce(F.sum(F.when(current, F.col("journeys"))), F.lit(0)).alias("current_journeys"),
+        F.coalesce(F.sum(F.when(previous, F.col("journeys"))), F.lit(0)).alias("previous_journeys"),
+        F.coalesce(F.sum(F.when(current, F.col("complaint_flag_sum"))), F.lit(0)).alias("complaints_c"))
+    out = []
+    for st, name in zip(CUBE_SETS, names):
+        for c in st:
+            here = F.col("slice") == name
+            value = F.col("weekday") if c == "day_of_week" else (
+                F.col("value").cast("boolean") if c == "service_disruption" else F.col("value"))
+            out += [F.when(here, value).alias(c), F.when(here, 0).otherwise(1).alias(f"_g_{c}")]
+    return sums.select(*out, *(c for c in sums.columns if c not in ("slice", "value", "weekday")))
+
+
+def insight_cube(analytics: DataFrame, filters: Selection, rollup: Rollup | None = None) -> DataFrame:
     """ONE grouping-sets aggregate over previous-start..end feeding four
     generators (movers, disruption split, weekday x band pressure, complaint
     categories): every metric for both periods per set, plus current-period
     complaint counts. The result is small (sum of the sets' cardinalities) and
     is checkpointed so each generator reads it instead of re-scanning journeys."""
     from ..session import ensure_checkpoint_dir
+    if rollup and rollup.answers(filters, CUBE_METRICS):
+        ensure_checkpoint_dir(analytics.sparkSession)
+        return _cube_from_rollup(rollup, filters).checkpoint(eager=True)
     scan, current, previous = period_filters(filters)
     cols = list(dict.fromkeys(c for st in CUBE_SETS for c in st))
     cube = (analytics.where(scan)
@@ -382,9 +408,9 @@ def _complaint_rows(cats: DataFrame) -> DataFrame:
                               {"share_pct": share})))
 
 
-def top_anomaly(analytics: DataFrame, filters: Selection) -> DataFrame:
+def top_anomaly(analytics: DataFrame, filters: Selection, rollup: Rollup | None = None) -> DataFrame:
     """The most extreme of the top 20 adverse region anomalies."""
-    det = anomalies.detect(analytics, filters, "region", adverse_only=True, limit=20)
+    det = anomalies.detect(analytics, filters, "region", adverse_only=True, limit=20, rollup=rollup)
     worst = det.orderBy(F.abs(F.col("z_score")).desc(), F.col("period").desc(),
                         F.col("metric"), F.col("scope")).limit(1)
     return worst.select(F.lit("top_anomaly").alias("key"),
@@ -427,7 +453,8 @@ def data_quality_notice(raw: DataFrame, analytics: DataFrame,
 
 
 def generate(raw: DataFrame, analytics: DataFrame, filters: Selection, limit: int = 8,
-             include_quality: bool = True, concurrent: bool = True) -> DataFrame:
+             include_quality: bool = True, concurrent: bool = True,
+             rollup: Rollup | None = None) -> DataFrame:
     """I8: every generator, ranked by importance (desc) then key; top ``limit``.
 
     The generators are independent jobs over the same tables. With
@@ -435,13 +462,13 @@ def generate(raw: DataFrame, analytics: DataFrame, filters: Selection, limit: in
     scan, data quality and the cube chain), each checkpointing its few result
     rows to the shared folder; the feed is the union of those checkpoints."""
     def cube_chain() -> DataFrame:
-        cube = insight_cube(analytics, filters)
+        cube = insight_cube(analytics, filters, rollup)
         return _union([all_dimension_movers(analytics, filters, cube),
                        _disruption_from_cube(cube), _peak_from_cube(cube),
                        _complaints_from_cube(cube)])
 
-    builders = [lambda: kpi_movement(analytics, filters), cube_chain,
-                lambda: top_anomaly(analytics, filters)]
+    builders = [lambda: kpi_movement(analytics, filters, rollup), cube_chain,
+                lambda: top_anomaly(analytics, filters, rollup)]
     if include_quality:
         builders.append(lambda: data_quality_notice(raw, analytics, filters))
     if concurrent:
@@ -466,10 +493,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection) -> DataFrame:
+def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection,
+                    rollup: Rollup | None = None) -> DataFrame:
     """Brief sections as rows (section, position, text): current performance
     (headline KPIs), key changes (<= 5), attention (<= 5 bad), positives (<= 4 good)."""
-    cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
+    cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS, rollup)
     current = cmp.select(
         F.lit("current_performance").alias("section"), F.col("position").cast("bigint"),
         F.when(F.col("current").isNull(), _fmt("%s: no data", "label"))
@@ -478,7 +506,7 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection) ->
         .otherwise(_fmt("%s: %.2f (%+.2f vs previous period)", "label",
                         np_round("current", 2), np_round("absolute_change", 2)))
         .alias("text"))
-    found = generate(raw, analytics, filters, limit=10)
+    found = generate(raw, analytics, filters, limit=10, rollup=rollup)
     first_three = F.col("category").isin(C.CATEGORY_PERFORMANCE, C.CATEGORY_DEMAND,
                                          C.CATEGORY_CUSTOMER)
     # one pass over the (<= 10) ranked insights: each row fans out to the

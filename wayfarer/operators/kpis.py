@@ -15,7 +15,8 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
-from ..plans.filters import Selection, period_filters
+from ..plans.filters import Period, Selection, period_filters
+from ..plans.rollup import Rollup, merged
 
 
 def _where(df: DataFrame, filters: Selection | None) -> DataFrame:
@@ -59,13 +60,29 @@ def _stack_pairs(keys: Sequence[str], cols: dict[str, tuple[str, ...]]) -> Colum
     return F.expr(f"stack({len(keys)}, {', '.join(parts)}) AS ({', '.join(names)})")
 
 
+def _both_periods(rollup: Rollup, filters: Selection, keys: tuple[str, ...]) -> DataFrame:
+    """The wide row of ``compare_periods`` from the rollup: sums of days, unions of bitmaps."""
+    current, previous = filters.period, filters.period.shifted_back()
+    counted = rollup.customers(current, previous)
+    people = counted.select(F.struct(*counted.columns)).scalar()
+    own = {"__c": (current, people["customers0"]), "__p": (previous, people["customers1"])}
+    additive = [k for k in keys if METRICS[k].parts]
+    sums = rollup.slice(None, filters, Period(previous.start, current.end)).agg(
+        F.lit(1).alias("one"), *(merged(k, p.holds()).alias(f"{k}{s}") for s, (p, _) in own.items() for k in additive))
+    return sums.select(*(F.col(f"{k}{s}") if k in additive else n.alias(f"{k}{s}") for s, (_, n) in own.items() for k in keys))
+
+
 def compare_periods(analytics: DataFrame, filters: Selection,
-                    keys: Iterable[str] | None = None) -> DataFrame:
-    """A2: current vs previous equal-length period, one row per metric."""
+                    keys: Iterable[str] | None = None, rollup: Rollup | None = None) -> DataFrame:
+    """A2: current vs previous equal-length period, one row per metric; from the rollup if one
+    is given that answers the question."""
     keys = check_keys(keys or C.HEADLINE_KPIS)
     scan, current, previous = period_filters(filters)
-    wide = analytics.where(scan).agg(*metric_columns(keys, current, "__c"),
-                                     *metric_columns(keys, previous, "__p"))
+    if rollup and rollup.answers(filters, keys, customers=True):
+        wide = _both_periods(rollup, filters, keys)
+    else:
+        wide = analytics.where(scan).agg(*metric_columns(keys, current, "__c"),
+                                         *metric_columns(keys, previous, "__p"))
     long = wide.select(_stack_pairs(keys, {"current": ("__c",), "previous": ("__p",)}))
     change = F.col("current") - F.col("previous")
     meta = F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(METRICS[k].label))])
@@ -115,16 +132,18 @@ def population_summary(analytics: DataFrame, filters: Selection | None) -> DataF
 
 def metrics_by_dimension(analytics: DataFrame, filters: Selection | None, dimension: str,
                          keys: Iterable[str] | None = None, min_journeys: int = 1,
-                         limit: int | None = None) -> DataFrame:
+                         limit: int | None = None, rollup: Rollup | None = None) -> DataFrame:
     """A5: metric set per dimension value; HAVING n >= min; NULL group dropped
     after ordering; optional top ``limit`` (by journeys, then value)."""
     check_dimension(dimension)
     keys = check_keys(keys or C.BREAKDOWN_METRICS)
-    grouped = (_where(analytics, filters)
-               .groupBy(F.col(dimension).alias("dimension_value"))
-               .agg(*metric_columns(keys), F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") >= min_journeys)
-               .drop("_n"))
+    if rollup and rollup.answers(filters, keys, dimension):
+        groups = rollup.slice(dimension, filters).groupBy(F.col("value").alias("dimension_value"))
+        grouped = groups.agg(*(merged(k).alias(k) for k in keys), F.sum("journeys").alias("_n"))
+    else:
+        groups = _where(analytics, filters).groupBy(F.col(dimension).alias("dimension_value"))
+        grouped = groups.agg(*metric_columns(keys), F.count(F.lit(1)).alias("_n"))
+    grouped = grouped.where(F.col("_n") >= min_journeys).drop("_n")
     if "total_journeys" in keys:
         ordering = [F.col("total_journeys").desc(), F.col("dimension_value").asc_nulls_last()]
     else:

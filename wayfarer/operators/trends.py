@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
 from ..plans.filters import Selection
+from ..plans.rollup import Rollup, merged
 from .kpis import _where, check_dimension
 
 
@@ -35,10 +36,14 @@ def monday_first(dow) -> F.Column:
 
 
 def time_series(analytics: DataFrame, filters: Selection | None, grain: str = "day",
-                keys: Iterable[str] | None = None) -> DataFrame:
+                keys: Iterable[str] | None = None, rollup: Rollup | None = None) -> DataFrame:
     """Metric set per day / week / month."""
     column = check_grain(grain)
     keys = check_keys(keys or C.BREAKDOWN_METRICS)
+    if rollup and rollup.answers(filters, keys):
+        start = F.col("date") if grain == "day" else F.trunc("date", grain)
+        return (rollup.slice(None, filters).groupBy(start.alias("period"))
+                .agg(*(merged(k).alias(k) for k in keys)).orderBy("period"))
     return (_where(analytics, filters)
             .groupBy(F.col(column).cast("date").alias("period"))
             .agg(*metric_columns(keys))

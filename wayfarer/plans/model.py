@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import ensure_checkpoint_dir
+from .rollup import Rollup
 
 # Join keys that rows without a key are spread over.
 NULL_KEY_SPREAD = 9973
@@ -158,6 +159,7 @@ class JourneySource:
     sf_dir: str | None = None
     base: str | None = None                      # folder of the materialised tables
     _dims: tuple[DataFrame, DataFrame] | None = None
+    _rollup: Rollup | None = None
 
     @classmethod
     def from_journeys(cls, spark: SparkSession, journeys: DataFrame,
@@ -213,6 +215,13 @@ class JourneySource:
             *C.JOURNEY_COLUMNS, *C.DERIVED_COLUMNS, *C.DIMENSION_ATTRIBUTE_COLUMNS)
         return cls(spark, journeys, raw, analytics, "testdata", sf_dir, base)
 
+    def rollup(self) -> Rollup:
+        """The daily rollup of the analysable rows, stored on first use next to the fact tables."""
+        with _CACHE_LOCK:
+            if self._rollup is None:
+                self._rollup = Rollup.build(self.analytics, self.base)
+            return self._rollup
+
     def dimensions(self) -> tuple[DataFrame, DataFrame]:
         """The two dimension tables of the star schema (customers, service
         lines), written once next to the fact tables on first use."""
