@@ -886,3 +886,7 @@ ORACLES["kmeans_profile"] = _K.profile(_STD, ORACLES["customer_features"])
 ORACLES["kmeans_silhouette"] = _K.silhouette(_STD)
 ORACLES["kmeans_elbow"] = _K.elbow(_STD)
 ORACLES["cluster_rule_crosstab"] = _K.crosstab(_STD, ORACLES["rule_segments"])
+
+# The same statements for the queries that read the daily rollup.
+for _name in ("kpi_period_compare", "insights_ranked"):
+    ORACLES[f"{_name}_rollup"] = ORACLES[_name]

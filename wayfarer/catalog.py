@@ -57,7 +57,7 @@ def _analytics_rows(src: JourneySource) -> DataFrame:
 # ---------------------------------------------------------------------------
 @register("kpi_period_compare")
 def _kpi_period_compare(src):
-    return kpis.compare_periods(src.analytics, default_filter(), rollup=src.rollup())
+    return kpis.compare_periods(src.analytics, default_filter())
 
 
 _BREAKDOWNS = {
@@ -511,7 +511,7 @@ def _anomaly_window_recall(src):
 
 @register("insight_kpi_movement")
 def _insight_kpi_movement(src):
-    return insights.kpi_movement(src.analytics, default_filter(), src.rollup())
+    return insights.kpi_movement(src.analytics, default_filter())
 
 
 @register("insight_dimension_movers")
@@ -519,6 +519,18 @@ def _insight_dimension_movers(src):
     return insights.all_dimension_movers(src.analytics, default_filter())
 
 
+@register("kpi_period_compare_rollup")
+def _kpi_period_compare_rollup(src):
+    """A2 from the daily rollup: sums of days, distinct customers from the union of their bitmaps."""
+    return kpis.compare_periods(src.analytics, default_filter(), rollup=src.rollup())
+
+
+@register("insights_ranked_rollup")
+def _insights_ranked_rollup(src):
+    """I8 with every generator but data quality on the daily rollup."""
+    return insights.generate(src.raw, src.analytics, default_filter(), limit=8, rollup=src.rollup())
+
+
 @register("disruption_impact")
 def _disruption_impact(src):
     return insights.disruption_impact(src.analytics, EVERYTHING)
@@ -564,12 +576,12 @@ def _insight_data_quality(src):
 
 @register("insights_ranked")
 def _insights_ranked(src):
-    return insights.generate(src.raw, src.analytics, default_filter(), limit=8, rollup=src.rollup())
+    return insights.generate(src.raw, src.analytics, default_filter(), limit=8)
 
 
 @register("brief_sections")
 def _brief_sections(src):
-    return insights.executive_brief(src.raw, src.analytics, default_filter(), src.rollup())
+    return insights.executive_brief(src.raw, src.analytics, default_filter())
 
 
 @register("report_kpi_movers")

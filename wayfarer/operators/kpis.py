@@ -63,13 +63,14 @@ def _stack_pairs(keys: Sequence[str], cols: dict[str, tuple[str, ...]]) -> Colum
 def _both_periods(rollup: Rollup, filters: Selection, keys: tuple[str, ...]) -> DataFrame:
     """The wide row of ``compare_periods`` from the rollup: sums of days, unions of bitmaps."""
     current, previous = filters.period, filters.period.shifted_back()
-    counted = rollup.customers(current, previous)
-    people = counted.select(F.struct(*counted.columns)).scalar()
-    own = {"__c": (current, people["customers0"]), "__p": (previous, people["customers1"])}
     additive = [k for k in keys if METRICS[k].parts]
     sums = rollup.slice(None, filters, Period(previous.start, current.end)).agg(
-        F.lit(1).alias("one"), *(merged(k, p.holds()).alias(f"{k}{s}") for s, (p, _) in own.items() for k in additive))
-    return sums.select(*(F.col(f"{k}{s}") if k in additive else n.alias(f"{k}{s}") for s, (_, n) in own.items() for k in keys))
+        F.lit(0).alias("row"), *(merged(k, p.holds()).alias(f"{k}{s}")
+                                 for s, p in (("__c", current), ("__p", previous)) for k in additive))
+    if len(additive) == len(keys):
+        return sums
+    people = rollup.customers(current, previous).toDF("active_customers__c", "active_customers__p")
+    return sums.join(people.withColumn("row", F.lit(0)), "row")      # one row each
 
 
 def compare_periods(analytics: DataFrame, filters: Selection,
