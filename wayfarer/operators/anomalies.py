@@ -261,29 +261,24 @@ def series(analytics: DataFrame, filters: Selection, metric: str,
 
 
 def window_recall(detections: DataFrame, windows: DataFrame) -> DataFrame:
-    """Point-in-range join of detections with known windows (same scope and
-    metric, period between start and end): days found, recall, precision.
+    """Detections held against known windows (same scope and metric, period between start and
+    end): days found, recall, precision. Windows that repeat count once.
 
-    ``windows`` is a short list of known incidents (broadcast: its size is the
-    number of planted / reported windows, not data volume).
+    Detections are read once, as one row per scope and metric with its days (as many as the
+    range has at most); a window meets that row by an equijoin and counts the days inside. There
+    may be any number of windows: whether a side is broadcast is left to the sizes Spark knows.
     """
-    w = F.broadcast(windows.alias("w"))
-    d = detections.select("dimension_value", "metric", "period").distinct().alias("d")
-    hits = w.join(d, (F.col("d.dimension_value") == F.col("w.dimension_value"))
-                  & (F.col("d.metric") == F.col("w.metric"))
-                  & F.col("d.period").between(F.col("w.start_date"), F.col("w.end_date")),
-                  "left")
-    inside = hits.groupBy("w.dimension_value", "w.metric", "w.start_date", "w.end_date").agg(
-        F.count("d.period").alias("days_detected"))
-    outside = (d.join(w, (F.col("d.dimension_value") == F.col("w.dimension_value"))
-                      & (F.col("d.metric") == F.col("w.metric")))
-               .where(~F.col("d.period").between(F.col("w.start_date"), F.col("w.end_date")))
-               .groupBy("w.dimension_value", "w.metric", "w.start_date", "w.end_date")
-               .agg(F.count(F.lit(1)).alias("days_outside")))
+    days = (detections.where(F.col("dimension_value").isNotNull() & F.col("metric").isNotNull())
+            .groupBy("dimension_value", "metric").agg(F.collect_set("period").alias("days")))
+    known = windows.select("dimension_value", "metric", "start_date", "end_date").distinct()
+    inside = F.size(F.filter("days", lambda d: d.between(F.col("start_date"), F.col("end_date"))))
+    res = (known.join(days, ["dimension_value", "metric"], "left")
+           .withColumn("days_detected", F.coalesce(F.when(F.col("days").isNotNull(), inside), F.lit(0)).cast("long"))
+           .withColumn("days_outside", F.coalesce(F.when(F.col("days").isNotNull(), F.size("days")), F.lit(0)).cast("long")
+                       - F.col("days_detected")))
     days = F.datediff("end_date", "start_date") + 1
-    res = inside.join(outside, ["dimension_value", "metric", "start_date", "end_date"], "left")
     found = F.col("days_detected")
-    out_n = F.coalesce(F.col("days_outside"), F.lit(0))
+    out_n = F.col("days_outside")
     return res.select(
         "dimension_value", "metric", "start_date", "end_date",
         days.cast("bigint").alias("window_days"), found.alias("days_detected"),

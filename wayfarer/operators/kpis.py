@@ -158,7 +158,8 @@ def metrics_by_dimension(analytics: DataFrame, filters: Selection | None, dimens
 
 def period_over_period_by_dimension(analytics: DataFrame, filters: Selection, dimension: str,
                                     metric: str, min_journeys: int = 50) -> DataFrame:
-    """One metric per dimension value, current vs previous, both sides >= min.
+    """One metric per dimension value, current vs previous, both sides >= min; the largest
+    absolute moves first.
 
     One scan with period-gated aggregates replaces two grouped scans joined by a
     full outer join; with min >= 1 only values present in both survive anyway.
@@ -184,7 +185,8 @@ def period_over_period_by_dimension(analytics: DataFrame, filters: Selection, di
                     F.when(F.col("previous_value").isNull() | (F.col("previous_value") == 0),
                            F.lit(None).cast("double"))
                     .otherwise(F.lit(100.0) * change / F.abs(F.col("previous_value")))
-                    .alias("percent_change")))
+                    .alias("percent_change"))
+            .orderBy(F.abs(F.col("absolute_change")).desc_nulls_last(), "dimension_value"))
 
 
 def compare_segments(analytics: DataFrame, filters: Selection, segment_a: str, segment_b: str,
