@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.llm import common as C
 from wayfarer.llm import (collocations, decontaminate, embedding_dedup, html_text, language, line_dedup, merkle,
-                          minhash, mixing, pii, sharding, substring_dedup, token_output)
+                          minhash, mixing, oracle_sql, pii, sharding, substring_dedup, token_output)
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -91,8 +91,13 @@ QUERIES = {
     "op13_line_dedup": op13_line_dedup,
 }
 
-# The other operators have no SQL; tests/llm holds them against brute force.
+# op2, op4, op5, op6 and op9 have no SQL (seeded places, markup, learnt models, tokenizer); tests/llm
+# holds them against brute force.
 ORACLES: dict[str, str] = {
+    "op1_setsketch_near_dedup": oracle_sql.near_duplicates(k=2, percent=80),
+    "op3_relative_lz_substring_dedup": oracle_sql.repeats(span=35),
+    "op7_epsilon_grid_embedding_dedup": oracle_sql.close_vectors(least=0.9),
+    "op10_winnowing_decontamination": oracle_sql.contamination(span=10),
     "op8_mix_sources": mixing.oracle(),
     "op11_merkle_manifest": merkle.oracle(),
     "op12_phrase_collocations": collocations.oracle(),
