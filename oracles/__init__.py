@@ -812,6 +812,7 @@ SELECT * FROM (
 ORACLES["route_questions"] = _I.routing_sql()
 
 ORACLES["csv_roundtrip"] = ORACLES["canonical_feed"]
+ORACLES["stored_feed"] = ORACLES["analytics_rows"]
 ORACLES["upload_template"] = q(f"""
 SELECT {', '.join('"timestamp"' if c == 'timestamp' else c for c in C.JOURNEY_COLUMNS)}
 FROM journeys ORDER BY "timestamp" ASC NULLS LAST, journey_id LIMIT 300""")

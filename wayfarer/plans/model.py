@@ -182,6 +182,14 @@ class JourneySource:
         raw = enrich(journeys)
         return cls(spark, journeys, raw, analytics_from_journeys(journeys), origin)
 
+    @classmethod
+    def open(cls, spark: SparkSession, feed: str, root: str | None = None) -> "JourneySource":
+        """S4 for any feed: the CSV file or folder ``feed`` through its store, brought up to its files."""
+        from .store import FeedStore
+        store = FeedStore(spark, feed, root)
+        store.refresh()
+        return store.source()
+
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
                       materialize: bool = True) -> "JourneySource":
