@@ -329,6 +329,22 @@ SELECT period, avg_delay_minutes, total_journeys,
 FROM filled
 WINDOW w AS (ORDER BY period ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", _DAILY)
 
+_SERIES = "region, transport_mode, customer_segment"
+ORACLES["calendar_filled_by_dimensions"] = q(f"""
+SELECT period, {_SERIES}, total_journeys, avg_delay_minutes,
+       {npround('CASE WHEN count(avg_delay_minutes) OVER w >= 2 '
+                'THEN avg(avg_delay_minutes) OVER w END', 6)} AS avg_delay_minutes_rolling
+FROM series_filled
+WINDOW w AS (PARTITION BY {_SERIES} ORDER BY period ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", f"""
+series_daily AS (SELECT CAST(date AS DATE) AS period, {_SERIES},
+                        {metrics(('total_journeys', 'avg_delay_minutes'))} FROM an WHERE date IS NOT NULL GROUP BY ALL),
+series_days AS (SELECT {_SERIES}, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 DAY)) AS DATE) AS period
+                FROM series_daily GROUP BY {_SERIES}),
+series_filled AS (SELECT c.*, d.total_journeys, d.avg_delay_minutes FROM series_days c LEFT JOIN series_daily d
+  ON d.period = c.period AND d.region IS NOT DISTINCT FROM c.region
+     AND d.transport_mode IS NOT DISTINCT FROM c.transport_mode
+     AND d.customer_segment IS NOT DISTINCT FROM c.customer_segment)""")
+
 ORACLES["series_by_dimension"] = q(f"""
 SELECT CAST(j.week_start AS DATE) AS period, j.service_line AS dimension_value,
        {metric('avg_delay_minutes')} AS value, count(*) AS journeys
@@ -810,6 +826,8 @@ SELECT * FROM (
 )""", f"u AS (SELECT * FROM ({pop_sql('customer_segment', 'avg_satisfaction', 100)}) "
       "WHERE absolute_change IS NOT NULL)")
 ORACLES["route_questions"] = _I.routing_sql()
+ORACLES["route_dimension_questions"] = q(_I.routing_sql("", _I.ASKED))
+ORACLES["question_entities"] = q(_I.entities_sql(("region", "transport_mode", "customer_segment", "service_line")))
 
 ORACLES["csv_roundtrip"] = ORACLES["canonical_feed"]
 ORACLES["stored_feed"] = ORACLES["analytics_rows"]

@@ -197,7 +197,31 @@ FROM (SELECT *, excluded_rows / total_rows * 100.0 AS pct FROM ({summary_body}))
 WHERE total_rows > 0 AND NOT (pct < 0.1 AND completeness_pct > 99.5)"""
 
 
-def routing_sql() -> str:
+USER_TURNS = "SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'"
+ASKED = """SELECT DISTINCT 'How do ' || customer_segment || ' in the ' || region || ' region rate the '
+              || transport_mode || ', and where is satisfaction falling?' AS question FROM an
+WHERE region IS NOT NULL AND transport_mode IS NOT NULL AND customer_segment IS NOT NULL"""
+
+
+def entities_sql(columns) -> str:
+    """Whole-word terms found by every run of words of a question; none inside a longer one."""
+    word = r"[\p{L}\p{N}_]"
+    terms = " UNION ".join(f"SELECT '{c}' AS kind, {c} AS value FROM an WHERE {c} IS NOT NULL" for c in columns)
+    return f"""
+SELECT question, kind, value, CAST(i // 2 + 1 AS BIGINT) AS first_word, CAST((n + 1) // 2 AS BIGINT) AS n_words
+FROM (
+  WITH term AS (SELECT DISTINCT kind, value FROM ({terms})),
+  cut AS (SELECT question, regexp_extract_all(lower(question), '{word}+|[^{word[1:]}+') AS p FROM ({ASKED})),
+  place AS (SELECT question, p, unnest(range(0, len(p))) AS i FROM cut),
+  run AS (SELECT question, i, n, array_to_string(p[i + 1:i + n], '') AS held
+          FROM (SELECT *, unnest(range(1, 12, 2)) AS n FROM place WHERE regexp_matches(p[i + 1], '^{word}'))
+          WHERE i + n <= len(p)),
+  hit AS (SELECT run.*, kind, value FROM run JOIN term ON held = lower(value))
+  SELECT * FROM hit WHERE NOT EXISTS (
+    SELECT 1 FROM hit h WHERE h.question = hit.question AND h.n > hit.n AND h.i <= hit.i AND h.i + h.n >= hit.i + hit.n))"""
+
+
+def routing_sql(keys: str = "conv_id, turn, ", questions: str = USER_TURNS) -> str:
     scores = []
     for name, kws in C.ROUTING_TOOLS:
         terms = " + ".join(f"(CASE WHEN instr(low, '{k}') > 0 THEN {len(k)} ELSE 0 END)"
@@ -220,7 +244,7 @@ def routing_sql() -> str:
         "CASE WHEN " + " OR ".join(f"instr(low, '{t}') > 0" for t in toks) + f" THEN '{seg}' END"
         for seg, toks in C.SEGMENT_TOKENS)
     return f"""
-SELECT conv_id, turn, question,
+SELECT {keys}question,
        CASE WHEN low = '' OR best = 0 THEN '{C.DEFAULT_TOOL}'
             WHEN segs[2] IS NOT NULL THEN 'compare_segments' ELSE winner END AS tool,
        CASE WHEN low = '' THEN 0 ELSE best END AS score,
@@ -232,10 +256,9 @@ SELECT conv_id, turn, question,
 FROM (
   SELECT *, {winner} AS winner, {matched} AS matched FROM (
     SELECT *, {best} AS best FROM (
-      SELECT conv_id, turn, question, low,
+      SELECT {keys}question, low,
              {cols},
              {first(C.REGIONS)} AS region,
              {first(C.TRANSPORT_MODES)} AS transport_mode,
              list_filter([{hits}], lambda x: x IS NOT NULL) AS segs
-      FROM (SELECT conv_id, turn, text AS question, trim(lower(coalesce(text, ''))) AS low
-            FROM conversations WHERE role = 'user'))))"""
+      FROM (SELECT *, trim(lower(coalesce(question, ''))) AS low FROM ({questions})))))"""

@@ -257,6 +257,17 @@ def _rolling_7d(src):
                               "avg_delay_minutes")
 
 
+SERIES = ("region", "transport_mode", "customer_segment")
+
+
+@register("calendar_filled_by_dimensions")
+def _calendar_filled_by_dimensions(src):
+    """T2 and T3 for every region, mode and segment: days without journeys are filled per series,
+    the trailing mean of the delay runs over them."""
+    daily = trends.daily_series(src.analytics, EVERYTHING, SERIES, ("total_journeys", "avg_delay_minutes"))
+    return trends.add_rolling(trends.fill_calendar(daily, SERIES), "avg_delay_minutes", by=SERIES)
+
+
 @register("series_by_dimension")
 def _series_by_dimension(src):
     return trends.series_by_dimension(src.analytics, EVERYTHING, "service_line",
@@ -625,6 +636,19 @@ def _route_questions(src):
     return routing.route(routing.user_questions(table(src.spark, src.sf_dir, "conversations")))
 
 
+@register("route_dimension_questions")
+def _route_dimension_questions(src):
+    """X1 + X2 over a question for each region, mode and segment that meet in a journey."""
+    return routing.route(routing.dimension_questions(src.analytics))
+
+
+@register("question_entities")
+def _question_entities(src):
+    """X2 by a vocabulary of all regions, modes, segments and service lines, over the same questions."""
+    vocabulary = routing.vocabulary_of(src.analytics, (*SERIES, "service_line"))
+    return routing.find_entities(routing.dimension_questions(src.analytics), vocabulary, ["question"])
+
+
 # ---------------------------------------------------------------------------
 # CSV round trip and upload template
 # ---------------------------------------------------------------------------

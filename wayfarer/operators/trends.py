@@ -50,22 +50,38 @@ def time_series(analytics: DataFrame, filters: Selection | None, grain: str = "d
             .orderBy("period"))
 
 
-def fill_calendar(series: DataFrame) -> DataFrame:
+def daily_series(analytics: DataFrame, filters: Selection | None, dimensions: Iterable[str],
+                 keys: Iterable[str] | None = None) -> DataFrame:
+    """T1 for every combination of the dimensions' values: period, dimensions, metrics."""
+    dims = [check_dimension(d) for d in dimensions]
+    keys = check_keys(keys or C.BREAKDOWN_METRICS)
+    return (_where(analytics, filters).groupBy(F.col("date").alias("period"), *dims)
+            .agg(*metric_columns(keys)))
+
+
+def fill_calendar(series: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     """Re-index a daily series onto every day between its first and last
-    period; missing days carry NULL metrics (counts too)."""
-    bounds = series.agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
-    calendar = bounds.select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("period"))
-    # Both sides hold one row per day of the selected range.
-    return calendar.join(series, "period", "left").orderBy("period")
+    period, each series of the columns ``by`` on its own; missing days carry NULL
+    metrics (counts too), rows without a period go. Every row brings the days up to the
+    next one along, so the series is computed once. A window holds the days of one series."""
+    by = list(by)
+    after = F.lead("period").over(Window.partitionBy(*by).orderBy("period"))
+    last = F.coalesce(F.date_sub(after, 1), F.col("period"))
+    own = F.col("_day") == F.col("period")
+    metrics = [c for c in series.columns if c != "period" and c not in by]
+    return (series.where(F.col("period").isNotNull())
+            .select("*", last.alias("_last"))
+            .select("*", F.explode(F.sequence("period", "_last", F.expr("INTERVAL 1 DAY"))).alias("_day"))
+            .select(F.col("_day").alias("period"), *by, *[F.when(own, F.col(c)).alias(c) for c in metrics])
+            .orderBy("period", *by))
 
 
 def add_rolling(series: DataFrame, column: str, window: int = 7,
-                suffix: str = "_rolling", digits: int = 6) -> DataFrame:
-    """Trailing mean over ``window`` rows, NULL until max(2, window // 3)
-    non-null values are in the frame. Rounded to ``digits`` (moving-frame sums
-    differ in the last bits between engines)."""
-    frame = Window.orderBy("period").rowsBetween(-(window - 1), 0)
+                suffix: str = "_rolling", digits: int = 6, by: Iterable[str] = ()) -> DataFrame:
+    """Trailing mean over ``window`` rows, per series of the columns ``by``, NULL until
+    max(2, window // 3) non-null values are in the frame. Rounded to ``digits`` (moving-frame
+    sums differ in the last bits between engines)."""
+    frame = Window.partitionBy(*by).orderBy("period").rowsBetween(-(window - 1), 0)
     min_periods = max(2, window // 3)
     value = F.when(F.count(column).over(frame) >= min_periods, F.avg(column).over(frame))
     return series.select("*", np_round(value, digits).alias(f"{column}{suffix}"))
