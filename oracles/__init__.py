@@ -740,7 +740,30 @@ ORACLES["insights_ranked"] = q(f"""
 SELECT {_ICOLS} FROM ({_ALL_INSIGHTS}) ORDER BY importance DESC, key LIMIT 8""", _INSIGHT_CTES)
 
 _FOUND10 = f"found AS (SELECT * FROM ({_ALL_INSIGHTS}) ORDER BY importance DESC, key LIMIT 10)"
+_POPULATION_LINES = " UNION ALL ".join(
+    f"SELECT 'population' AS section, CAST({i} AS BIGINT) AS position, "
+    f"'{name}: ' || coalesce(CAST({expr} AS VARCHAR), 'none') AS text FROM an WHERE {WHERE_DEFAULT}"
+    for i, (name, expr) in enumerate((
+        ("journeys", "count(*)"), ("customers", "count(DISTINCT customer_id)"), ("regions", "count(DISTINCT region)"),
+        ("modes", "count(DISTINCT transport_mode)"), ("service_lines", "count(DISTINCT service_line)"),
+        ("first_date", "CAST(min(date) AS DATE)"), ("last_date", "CAST(max(date) AS DATE)"))))
+ORACLES["report_kpi_summary"] = q(f"""
+{_POPULATION_LINES}
+UNION ALL
+SELECT 'kpis', CAST(position AS BIGINT),
+       CASE WHEN current IS NULL THEN printf('%s: no data', label)
+            ELSE printf('%s: %.2f', label, {npround('current', 2)}) END
+FROM ({_cmp_b})
+UNION ALL
+SELECT 'movements', CAST(row_number() OVER (ORDER BY abs(percent_change) DESC, position) - 1 AS BIGINT) AS place,
+       printf('%s %+.2f %%', label, {npround('percent_change', 2)})
+FROM ({_cmp_b}) WHERE abs(percent_change) >= 2 QUALIFY place < 3
+UNION ALL
+SELECT 'movements', CAST(0 AS BIGINT), 'no headline metric moved by 2 % or more'
+WHERE NOT EXISTS (SELECT 1 FROM ({_cmp_b}) WHERE abs(percent_change) >= 2)""", _cmp_c)
 ORACLES["brief_sections"] = q(f"""
+{_POPULATION_LINES}
+UNION ALL
 SELECT 'current_performance' AS section, CAST(position AS BIGINT) AS position,
        CASE WHEN current IS NULL THEN printf('%s: no data', label)
             WHEN absolute_change IS NULL
@@ -823,6 +846,10 @@ SELECT * FROM (
          {npround('current_value', 6)} AS best_current,
          {npround('percent_change', 6)} AS best_percent_change
   FROM u ORDER BY absolute_change DESC, abs(absolute_change) DESC, dimension_value LIMIT 1
+), (
+  SELECT string_agg(printf('%s: %.2f (%d)', dimension_value, {npround('current_value', 2)}, current_journeys), '; '
+                    ORDER BY dimension_value) AS current_levels
+  FROM ({pop_sql('customer_segment', 'avg_satisfaction', 0)}) WHERE current_value IS NOT NULL
 )""", f"u AS (SELECT * FROM ({pop_sql('customer_segment', 'avg_satisfaction', 100)}) "
       "WHERE absolute_change IS NOT NULL)")
 ORACLES["route_questions"] = _I.routing_sql()

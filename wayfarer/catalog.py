@@ -595,6 +595,12 @@ def _brief_sections(src):
     return insights.executive_brief(src.raw, src.analytics, default_filter())
 
 
+@register("report_kpi_summary")
+def _report_kpi_summary(src):
+    """I10 in whole: population, headline KPIs, largest moves."""
+    return insights.report_kpi_summary(src.analytics, default_filter())
+
+
 @register("report_kpi_movers")
 def _report_kpi_movers(src):
     return insights.report_kpi_movers(src.analytics, default_filter())

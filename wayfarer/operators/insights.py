@@ -493,10 +493,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+POPULATION = ("journeys", "customers", "regions", "modes", "service_lines", "first_date", "last_date")
+
+
+def population_lines(analytics: DataFrame, filters: Selection) -> DataFrame:
+    """The population of a selection as rows: section, position, text."""
+    summary = kpis.population_summary(analytics, filters)
+    lines = [F.struct(F.lit("population").alias("section"), F.lit(i).cast("bigint").alias("position"),
+                      F.concat(F.lit(f"{name}: "), F.coalesce(F.col(name).cast("string"), F.lit("none"))).alias("text"))
+             for i, name in enumerate(POPULATION)]
+    return summary.select(F.inline(F.array(*lines)))
+
+
 def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection,
                     rollup: Rollup | None = None) -> DataFrame:
-    """Brief sections as rows (section, position, text): current performance
-    (headline KPIs), key changes (<= 5), attention (<= 5 bad), positives (<= 4 good)."""
+    """Brief sections as rows (section, position, text): the population, current
+    performance (headline KPIs), key changes (<= 5), attention (<= 5 bad), positives (<= 4 good)."""
     cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS, rollup)
     current = cmp.select(
         F.lit("current_performance").alias("section"), F.col("position").cast("bigint"),
@@ -523,7 +535,7 @@ def executive_brief(raw: DataFrame, analytics: DataFrame, filters: Selection,
     sections = tagged.select("section", pos.alias("p"), F.concat_ws(" ", "headline", "detail").alias("text")) \
         .where(F.col("p") <= caps[F.col("section")]) \
         .select("section", (F.col("p") - 1).cast("bigint").alias("position"), "text")
-    return current.unionByName(sections)
+    return population_lines(analytics, filters).unionByName(current).unionByName(sections)
 
 
 # ---------------------------------------------------------------------------
@@ -540,6 +552,25 @@ def report_kpi_movers(analytics: DataFrame, filters: Selection) -> DataFrame:
                 "direction")
 
 
+def report_kpi_summary(analytics: DataFrame, filters: Selection) -> DataFrame:
+    """I10 as rows (section, position, text): the population, every headline KPI, and the
+    three largest moves of 2 % or more (one row that says so if there is none)."""
+    cmp = kpis.compare_periods(analytics, filters, C.HEADLINE_KPIS)
+    level = cmp.select(
+        F.lit("kpis").alias("section"), F.col("position").cast("bigint"),
+        F.when(F.col("current").isNull(), _fmt("%s: no data", "label"))
+        .otherwise(_fmt("%s: %.2f", "label", np_round("current", 2))).alias("text"))
+    size = F.abs(F.col("percent_change"))
+    # the headline KPIs of one comparison: at most six rows
+    largest = cmp.agg(F.slice(F.array_sort(F.collect_list(F.when(size >= 2, F.struct(
+        (-size).alias("order"), "position", "label", np_round("percent_change", 2).alias("change"))))), 1, 3).alias("m"))
+    text = F.transform("m", lambda m: F.format_string("%s %+.2f %%", m["label"], m["change"]))
+    told = F.when(F.size("m") > 0, text).otherwise(F.array(F.lit("no headline metric moved by 2 % or more")))
+    moves = largest.select(F.posexplode(told).alias("position", "text")).select(
+        F.lit("movements").alias("section"), F.col("position").cast("bigint"), "text")
+    return population_lines(analytics, filters).unionByName(level).unionByName(moves)
+
+
 def report_period_changes(analytics: DataFrame, filters: Selection) -> DataFrame:
     """The first 8 registered metrics ordered by absolute % change; the first
     four moves of >= 2 % are material."""
@@ -605,16 +636,24 @@ def report_complaints(analytics: DataFrame, filters: Selection) -> DataFrame:
 
 
 def report_satisfaction(analytics: DataFrame, filters: Selection) -> DataFrame:
-    """I16: the segments with the largest fall and rise in satisfaction."""
+    """I16: the segments with the largest fall and rise in satisfaction, of those with enough journeys in
+    both periods, and the current levels of all segments that have one (name: mean (journeys), by name)."""
     move = kpis.period_over_period_by_dimension(analytics, filters, "customer_segment",
-                                                "avg_satisfaction", C.MIN_SAMPLE_FOR_COMPARISON)
+                                                "avg_satisfaction", 0)
     row = F.struct("dimension_value", "previous_value", "current_value", "percent_change")
-    usable = move.where(F.col("absolute_change").isNotNull())
-    move = F.abs(F.col("absolute_change"))
+    usable = move.where(F.col("absolute_change").isNotNull()
+                        & (F.least("current_journeys", "previous_journeys") >= C.MIN_SAMPLE_FOR_COMPARISON))
+    size = F.abs(F.col("absolute_change"))
+    # one row per segment
+    known = move.where(F.col("current_value").isNotNull()).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("dimension_value", "current_value", "current_journeys"))),
+        lambda r: F.format_string("%s: %.2f (%d)", r["dimension_value"], np_round(r["current_value"], 2),
+                                  r["current_journeys"])), "; ").alias("current_levels"))
     pick = usable.agg(
-        first_by(row, F.col("absolute_change"), -move, F.col("dimension_value")).alias("w"),
-        first_by(row, -F.col("absolute_change"), -move, F.col("dimension_value")).alias("b"))
+        first_by(row, F.col("absolute_change"), -size, F.col("dimension_value")).alias("w"),
+        first_by(row, -F.col("absolute_change"), -size, F.col("dimension_value")).alias("b"))
     return pick.select(
+        known.scalar().alias("current_levels"),
         F.col("w.dimension_value").alias("worst_segment"),
         np_round("w.previous_value", DIGITS).alias("worst_previous"),
         np_round("w.current_value", DIGITS).alias("worst_current"),
