@@ -51,3 +51,25 @@ def test_edge_cases(spark):
     stream = [x for r in rows for x in np.frombuffer(r.ids, "<u2")[:r.n_tokens].tolist()]
     assert sorted(stream) == sorted(i for _, t in docs for i in ids_of(t))
     assert T.materialise(df.limit(0), VOCABULARY).count() == 0
+
+
+def test_order_does_not_depend_on_the_split(spark, sf_dir):
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    some = docs.where("doc_id < 40")
+    docs = docs.union(some).union(some)          # repeated rows
+    wanted = None
+    for given in (docs, docs.repartition(3), docs.orderBy(F.col("doc_id").desc()).coalesce(1)):
+        made = T.materialise(given, VOCABULARY, length=64, shard_records=50)
+        rows = sorted(tuple(r) for r in made.collect())
+        assert wanted is None or rows == wanted
+        wanted = rows
+    parts = made.select("shard", F.spark_partition_id().alias("task")).distinct().collect()
+    assert sorted((r.shard, r.task) for r in parts) == [(i, i) for i in range(len(parts))]
+
+
+def test_rows_equal_in_id_and_text_fall_into_several_ranges(spark):
+    same = spark.range(6000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
+    rows = T.materialise(same.repartition(8), VOCABULARY, length=16).collect()
+    one = ids_of("one two three")
+    stream = [x for r in sorted(rows, key=lambda r: r.seq) for x in np.frombuffer(r.ids, "<u2")[:r.n_tokens].tolist()]
+    assert stream == one * 6000

@@ -35,11 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back."""
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back
+    (``compression``: that of the files, else Spark's setting)."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

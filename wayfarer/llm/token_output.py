@@ -1,13 +1,14 @@
 """Token ids as fixed-stride binary shards in training order.
 
-Documents are tokenised once; their ids, each document closed by an end mark, are one
+Documents are put in the order of a hash of id and text, whatever files or partitions they come
+from, and tokenised once; their ids, each document closed by an end mark, are one
 long stream, cut into sequences of equal length. A keyed Feistel permutation, walked until it
 lands among the sequences, gives every sequence its global slot in training order. Slots
 are cut into ranges, one per shard; a shard is a file of records of one size, so a reader
 finds slot s at a known byte and can stop and go on anywhere.
 
-Only token counts per partition come together, for the prefix sums. Sequences that several documents
-share are put together by slot after the one shuffle of the ids.
+Only token counts per range of that order come together, for the prefix sums. Sequences that several
+documents share are put together by slot after the one shuffle of the ids, a task for each shard.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ _TOKENS = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("start", pa.
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], ranks: bytes, end: int, dtype: str) -> Iterator[pa.RecordBatch]:
-    """Ids of each document with the end mark; ``start`` counts ids of the partition."""
+    """Ids of each document with the end mark; ``start`` counts ids of the range."""
     encode = _encoding(ranks).encode_ordinary
     done = 0
     for part in C.slices(batches, "text"):
@@ -72,12 +73,14 @@ def _tokenise(batches: Iterator[pa.RecordBatch], ranks: bytes, end: int, dtype:
 
 
 _PIECES = pa.schema([("shard", pa.int32()), ("slot", pa.int64()), ("seq", pa.int64()), ("off", pa.int32()),
-                     ("ids", pa.binary())])
+                     ("n", pa.int32()), ("ids", pa.binary())])
+CODEC = "zstd"       # of the ids while they are moved
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, count: int, key: int, per_shard: int,
          width: int) -> Iterator[pa.RecordBatch]:
-    """Each document's ids, cut where the sequences of the whole stream begin."""
+    """Each document's ids, cut where the sequences of the whole stream begin, and compressed."""
+    pack = pa.Codec(CODEC).compress
     for part in C.slices(batches, "ids"):
         start = part.column("start").to_numpy() + part.column("before").to_numpy()
         n = part.column("n").to_numpy()
@@ -90,8 +93,8 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, count: int, key: int, p
         raw = part.column("ids").to_pylist()
         yield C.arrow_rows({
             "shard": (slot // per_shard).astype(np.int32), "slot": slot, "seq": seq,
-            "off": (lo + start[doc] - seq * length).astype(np.int32),
-            "ids": [raw[d][a * width:b * width] for d, a, b in zip(doc.tolist(), lo.tolist(), hi.tolist(), strict=True)],
+            "off": (lo + start[doc] - seq * length).astype(np.int32), "n": (hi - lo).astype(np.int32),
+            "ids": [pack(raw[d][a * width:b * width], asbytes=True) for d, a, b in zip(doc.tolist(), lo.tolist(), hi.tolist(), strict=True)],
         }, _PIECES)
 
 
@@ -103,6 +106,7 @@ _RECORDS_DDL = "shard int, slot long, seq long, n_tokens int, ids binary"
 def _assemble(batches: Iterator[pa.RecordBatch], length: int, pad: bytes) -> Iterator[pa.RecordBatch]:
     """Records from pieces sorted by slot and offset; the last sequence is padded."""
     width = len(pad)
+    unpack = pa.Codec(CODEC).decompress
     held: list = []      # shard, slot, seq, pieces
 
     def records(rows):
@@ -114,12 +118,12 @@ def _assemble(batches: Iterator[pa.RecordBatch], length: int, pad: bytes) -> Ite
 
     for part in batches:
         rows = []
-        for shard, slot, seq, ids in zip(*(part.column(c).to_pylist() for c in ("shard", "slot", "seq", "ids")),
-                                         strict=True):
+        for shard, slot, seq, n, ids in zip(
+                *(part.column(c).to_pylist() for c in ("shard", "slot", "seq", "n", "ids")), strict=True):
             if not held or held[-1][1] != slot:
                 rows += held
                 held = [[shard, slot, seq, []]]
-            held[-1][3].append(ids)
+            held[-1][3].append(unpack(ids, n * width, asbytes=True))
         if rows:
             yield records(rows)
     if held:
@@ -134,9 +138,10 @@ def materialise(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", tex
     padded with ``end``).
 
     ``vocabulary`` is a file of BPE ranks, read on the driver (below 2 MB) and sent to the tasks.
-    Ids take two bytes if ``end`` and all ranks do, else four. The stream follows the table's files.
-    A null or empty text is its end mark alone; repeated rows are repeated; an empty table
-    gives no sequences; other columns are not read.
+    Ids take two bytes if ``end`` and all ranks do, else four. The stream is in the order of a hash of id
+    and text, so the records depend on the rows and not on how they are split or ordered. A null or
+    empty text is its end mark alone; repeated rows are repeated and may lie in several ranges; an
+    empty table gives no sequences; other columns are not read.
     """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
@@ -145,22 +150,28 @@ def materialise(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", tex
     dtype = "<u2" if top < 1 << 16 else "<u4"
     width = np.dtype(dtype).itemsize
     shared = spark.sparkContext.broadcast(ranks)
+    # Rows equal in id and text give the same ids, so any order among them (``tie``) gives the same
+    # stream; it only lets the ranges split them.
+    order = ["place", "doc_id", "key", "tie"]
+    rows = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+            .withColumns({"place": F.xxhash64("doc_id", "text"), "key": C.text_key(F.col("text")),
+                          "tie": F.monotonically_increasing_id()})
+            .repartitionByRange(*order).sortWithinPartitions(*order))
     tokens = C.stored(
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                    F.spark_partition_id().alias("part"))
+        rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
         .mapInArrow(lambda it: _tokenise(it, shared.value, end, dtype),
-                    "doc_id long, part int, start long, n long, ids binary"), "tokens")
+                    "doc_id long, part int, start long, n long, ids binary"), "tokens", compression=CODEC)
     sums = tokens.groupBy("part").agg(F.sum("n").alias("n"))
     total = sums.agg(F.sum("n")).first()[0] or 0
     count = -(-total // length)
     starts = C.stored(C.before(sums, "part", "n").select("part", "before"), "starts")
-    # One row for each partition of the input.
+    # One row for each range.
     pieces = (tokens.join(F.broadcast(starts), "part").select("start", "before", "n", "ids")
               .mapInArrow(lambda it: _cut(it, length, count, key, shard_records, width),
-                          "shard int, slot long, seq long, off int, ids binary"))
+                          "shard int, slot long, seq long, off int, n int, ids binary"))
     shards = max(1, -(-count // shard_records))
     pad = np.array([end], dtype).tobytes()
-    return (pieces.repartition(shards, "shard").sortWithinPartitions("slot", "off")
+    return (pieces.repartitionById(shards, "shard").sortWithinPartitions("slot", "off")
             .mapInArrow(lambda it: _assemble(it, length, pad), _RECORDS_DDL))
 
 
