@@ -904,6 +904,76 @@ frequency_histogram top_customers standardised_features customer_sample
 """.split():
     ORACLES[_name] = ORACLES[_name].replace(WHERE_DEFAULT, "TRUE")
 
+# Metrics and rules defined by rows: the aggregates spelled out.
+_DEFINED = {   # name -> (aggregate with {f} for a filter's condition, label, unit, lower is better, floor)
+    "long_delay_rate": ("100.0 * count(*) FILTER (WHERE delay_minutes > 30 AND {f}) "
+                        "/ nullif(count(*) FILTER (WHERE delay_minutes IS NOT NULL AND {f}), 0)",
+                        "Delays Over 30 Minutes", "percent", True, 1.0),
+    "disrupted_delay": ("avg(delay_minutes) FILTER (WHERE service_disruption AND {f})",
+                        "Delay When Disrupted", "minutes", True, 0.5),
+    "digital_customers": ("count(DISTINCT customer_id) FILTER (WHERE digital_interaction AND {f})",
+                          "Customers Seen Online", "count", False, 0.0),
+    "longest_delay": ("max(delay_minutes) FILTER (WHERE {f})", "Longest Delay", "minutes", True, 0.0),
+    "weekend_journeys": ("count(*) FILTER (WHERE is_weekend AND {f})", "Journeys on Saturday or Sunday",
+                         "count", False, 20.0),
+    "resolved_share": ("100.0 * count(resolution_time_hours) FILTER (WHERE {f}) / nullif(count(*) FILTER (WHERE {f}), 0)",
+                       "Journeys With a Resolution Time", "percent", False, 0.0),
+}
+
+
+def _defined(cond: str = "TRUE", suffix: str = "") -> str:
+    return ", ".join(f"{m[0].format(f=cond)} AS {k}{suffix}" for k, m in _DEFINED.items())
+
+
+ORACLES["defined_metrics"] = q(f"SELECT count(*) AS total_journeys, {_defined()} FROM an")
+ORACLES["defined_metrics_by_region"] = q(f"""
+SELECT * FROM (SELECT region AS dimension_value, count(*) AS total_journeys, {_defined()} FROM an GROUP BY 1)
+WHERE dimension_value IS NOT NULL""")
+ORACLES["defined_metrics_compare"] = q(f"""
+SELECT metric, position, label, unit, current, previous, current - previous AS absolute_change,
+       {pct_sql('current', 'previous')} AS percent_change,
+       CASE WHEN current - previous IS NULL OR abs(current - previous) < 1e-9 THEN 'flat'
+            WHEN (current < previous) = lower THEN 'good' ELSE 'bad' END AS direction
+FROM ({" UNION ALL ".join(
+    f"SELECT '{k}' AS metric, {i} AS position, '{m[1]}' AS label, '{m[2]}' AS unit, {str(m[3]).upper()} AS lower, "
+    f"CAST({k}__c AS DOUBLE) AS current, CAST({k}__p AS DOUBLE) AS previous FROM wide"
+    for i, (k, m) in enumerate(_DEFINED.items()))})""",
+    f"wide AS (SELECT {_defined(CUR, '__c')}, {_defined(PREV, '__p')} FROM an WHERE {SCAN2})")
+_c, _b = _A.detections_sql(
+    "transport_mode", "rolling_z",
+    more={k: (m[0].format(f="TRUE"), m[1], m[3], m[4]) for k, m in _DEFINED.items()},
+    scan=("long_delay_rate", "disrupted_delay", "weekend_journeys", "avg_delay_minutes"))
+ORACLES["defined_metrics_anomalies"] = q(_b, _c)
+
+_USER_CHECKS = [
+    ("slow_resolution", "Resolution slower than two days", "Validity", 9, "resolution_time_hours > 48"),
+    ("complaint_uncategorised", "Complaint without a category", "Completeness", 10,
+     "complaint_flag AND complaint_category IS NULL"),
+]
+ORACLES["defined_rules_checks"] = q("""
+SELECT *, failed_rows = 0 AS passed,
+       CASE WHEN failure_rate = 0 THEN 'Pass' WHEN failure_rate < 0.5 THEN 'Low'
+            WHEN failure_rate < 2.0 THEN 'Medium' ELSE 'High' END AS severity
+FROM (SELECT * FROM chk2 UNION ALL """ + " UNION ALL ".join(
+    f"SELECT '{k}', '{label}', '{cat}', {i}, count(*) FILTER (WHERE {p}), count(*), "
+    f"CASE WHEN count(*) = 0 THEN 0.0 ELSE count(*) FILTER (WHERE {p}) / count(*) * 100.0 END FROM raw_j"
+    for k, label, cat, i, p in _USER_CHECKS) + ")", _CHECKS_CTE.replace(WHERE_DEFAULT, "TRUE"))
+_families = {cat: "greatest(0.0, 100.0 - (" + " + ".join(
+    [_rate_sql(k) for k, _, c, _ in _CHECKS if c == cat] + [_rate_sql(k) for k, _, c, _, _ in _USER_CHECKS if c == cat])
+    + "))" for cat in ("Completeness", "Validity", "Uniqueness")}
+ORACLES["defined_rules_score"] = q(f"""
+SELECT completeness_score, validity_score, uniqueness_score, quality_score,
+       CASE WHEN quality_score >= 97 THEN 'Good' WHEN quality_score >= 92 THEN 'Acceptable'
+            ELSE 'Needs attention' END AS rating, completeness_pct
+FROM (SELECT *, {npround("completeness_score * 0.4 + validity_score * 0.4 + uniqueness_score * 0.2", 1)} AS quality_score,
+             CASE WHEN total_rows = 0 THEN 100.0 ELSE ({' + '.join(f'present_{c} / total_rows * 100.0' for c in _UNCOND)})
+               / {float(len(_UNCOND))} END AS completeness_pct
+      FROM (SELECT *, {_families['Completeness']} AS completeness_score, {_families['Validity']} AS validity_score,
+                   {_families['Uniqueness']} AS uniqueness_score
+            FROM (SELECT prof.*, {', '.join(f"(SELECT count(*) FILTER (WHERE {p}) FROM raw_j) AS {k}"
+                                            for k, _, _, _, p in _USER_CHECKS)} FROM prof)))""",
+    _PROF.replace(WHERE_DEFAULT, "TRUE"))
+
 # The K-means fit held against its definition, and the crosstab's column sums.
 ORACLES["kmeans_fit_check"] = f"""
 SELECT CAST(4 AS INTEGER) AS k, count(*) AS customers, CAST(4 AS BIGINT) AS clusters,

@@ -15,7 +15,7 @@ LOWER = ", ".join(f"'{k}'" for k in sorted(C.LOWER_IS_BETTER))
 
 
 def ctes(dimension: str | None, method: str, keep: tuple[str, ...] = NEEDED,
-         scope_value: str | None = None) -> str:
+         scope_value: str | None = None, columns: str = metrics(NEEDED)) -> str:
     scope = "'Network'" if dimension is None else dimension
     ext = START - dt.timedelta(days=C.ANOMALY_ROLLING_WINDOW + 7)
     value_cond = f" AND dimension_value = '{scope_value}'" if scope_value else ""
@@ -53,7 +53,7 @@ def ctes(dimension: str | None, method: str, keep: tuple[str, ...] = NEEDED,
     return f"""
 daily AS (
   SELECT * FROM (
-    SELECT date AS period, {scope} AS dimension_value, {metrics(NEEDED)}
+    SELECT date AS period, {scope} AS dimension_value, {columns}
     FROM an WHERE date BETWEEN {d(ext)} AND {d(END)} GROUP BY 1, 2
   ) WHERE dimension_value IS NOT NULL{value_cond}
 ),
@@ -69,20 +69,28 @@ base AS ({derived})"""
 
 
 def detections_sql(dimension: str | None, method: str, adverse_only: bool = False,
-                   limit: int | None = None) -> tuple[str, str]:
-    floors = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in C.DEFAULT_SCAN_METRICS.items())
-    labels = " ".join(f"WHEN '{k}' THEN '{METRICS[k].label}'" for k in METRICS)
+                   limit: int | None = None, more: dict | None = None,
+                   scan: tuple[str, ...] = SCAN) -> tuple[str, str]:
+    """``more``: further metrics, name -> (aggregate, label, lower is better, floor)."""
+    more = more or {}
+    least = {**C.DEFAULT_SCAN_METRICS, **{k: m[3] for k, m in more.items()}}
+    floors = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in least.items())
+    called = {**{k: METRICS[k].label for k in METRICS}, **{k: m[1] for k, m in more.items()}}
+    labels = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in called.items())
+    lower = ", ".join([LOWER, *(f"'{k}'" for k, m in more.items() if m[2])])
+    keep = tuple(dict.fromkeys([*scan, *C.COMPANION_METRICS]))
+    columns = ", ".join(f"{more[k][0]} AS {k}" if k in more else metrics([k]) for k in keep)
     flag = ("(value < lower_bound OR value > upper_bound)" if method == "iqr"
             else "abs(z_score) >= 2.5")
     scope = ("'Network'" if dimension is None else
              f"'{dimension.replace('_', ' ').title()}: ' || dimension_value")
     who = "'the network'" if dimension is None else scope
-    adverse = f"((value > expected) = (metric IN ({LOWER})))"
+    adverse = f"((value > expected) = (metric IN ({lower})))"
     extra = f" AND {adverse}" if adverse_only else ""
     det = f"""
 det AS (
   SELECT * FROM base
-  WHERE metric IN ({', '.join(f"'{m}'" for m in SCAN)}) AND scope_days >= 15
+  WHERE metric IN ({', '.join(f"'{m}'" for m in scan)}) AND scope_days >= 15
     AND period BETWEEN {d(START)} AND {d(END)}
     AND value IS NOT NULL AND expected IS NOT NULL AND z_score IS NOT NULL
     AND journeys >= 25 AND abs(value - expected) >= (CASE metric {floors} END)
@@ -108,4 +116,4 @@ SELECT metric, CASE metric {labels} END AS metric_label,
               {npround('value', 2)}, strftime(period, '%Y-%m-%d'), {npround('expected', 2)})
            AS statement
 FROM det {order}"""
-    return ctes(dimension, method) + "," + det, body
+    return ctes(dimension, method, keep, columns=columns) + "," + det, body

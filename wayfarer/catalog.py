@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config as C
+from .functions import definitions
 from .functions.metrics import np_round
 from .operators import anomalies, insights, kpis, quality, records, routing, segmentation, trends
 from .plans.filters import Period, Selection, preset_period
@@ -332,6 +333,75 @@ def _top_service_lines(src):
                                      C.SERVICE_METRICS + ("total_journeys",), 20, 15)
 
 
+# ---------------------------------------------------------------------------
+# Metrics and rules defined by rows (2.17)
+# ---------------------------------------------------------------------------
+USER_METRICS = [
+    ("long_delay_rate", "Delays Over 30 Minutes", "percent", "rate", "delay_minutes > 30", None, True, True, 1.0),
+    ("disrupted_delay", "Delay When Disrupted", "minutes", "avg", "delay_minutes", "service_disruption", True, False, 0.5),
+    ("digital_customers", "Customers Seen Online", "count", "distinct", "customer_id", "digital_interaction", False, False, None),
+    ("longest_delay", "Longest Delay", "minutes", "max", "delay_minutes", None, True, False, None),
+    ("weekend_journeys", "Journeys on Saturday or Sunday", "count", "count", None, "is_weekend", None, None, 20.0),
+    ("resolved_share", "Journeys With a Resolution Time", "percent", "share", "resolution_time_hours IS NOT NULL", None,
+     False, True, 0.0),
+]
+USER_RULES = [
+    ("slow_resolution", "Resolution slower than two days", "Validity", "resolution_time_hours > 48"),
+    ("complaint_uncategorised", "Complaint without a category", "Completeness", "complaint_flag AND complaint_category IS NULL"),
+]
+
+
+def _user_metrics(src):
+    return definitions.read_metrics(
+        src.analytics.sparkSession.createDataFrame(USER_METRICS, definitions.METRIC_SCHEMA), src.analytics)
+
+
+def _user_rules(src):
+    return definitions.read_rules(
+        src.raw.sparkSession.createDataFrame(USER_RULES, definitions.RULE_SCHEMA), src.raw)
+
+
+@register("defined_metrics")
+def _defined_metrics(src):
+    """A1 with metrics defined by rows, beside the built-in journeys."""
+    return kpis.compute_metrics(src.analytics, EVERYTHING, ["total_journeys", *(r[0] for r in USER_METRICS)],
+                                _user_metrics(src))
+
+
+@register("defined_metrics_compare")
+def _defined_metrics_compare(src):
+    """A2 with metrics defined by rows."""
+    return kpis.compare_periods(src.analytics, default_filter(), [r[0] for r in USER_METRICS],
+                                registry=_user_metrics(src))
+
+
+@register("defined_metrics_by_region")
+def _defined_metrics_by_region(src):
+    """A5 with metrics defined by rows."""
+    return kpis.metrics_by_dimension(src.analytics, EVERYTHING, "region",
+                                     ["total_journeys", *(r[0] for r in USER_METRICS)], registry=_user_metrics(src))
+
+
+@register("defined_metrics_anomalies")
+def _defined_metrics_anomalies(src):
+    """N3 over metrics defined by rows and one built-in metric."""
+    return anomalies.detect(src.analytics, default_filter(), "transport_mode",
+                            ["long_delay_rate", "disrupted_delay", "weekend_journeys", "avg_delay_minutes"],
+                            registry=_user_metrics(src))
+
+
+@register("defined_rules_checks")
+def _defined_rules_checks(src):
+    """Q1-Q3 with rules defined by rows after the built-in ones."""
+    return quality.checks(src.raw, EVERYTHING, _user_rules(src))
+
+
+@register("defined_rules_score")
+def _defined_rules_score(src):
+    """Q5 with rules defined by rows."""
+    return quality.score(src.raw, EVERYTHING, _user_rules(src))
+
+
 # ---------------------------------------------------------------------------
 # Data quality (Q1-Q8) - on the raw enriched rows
 # ---------------------------------------------------------------------------

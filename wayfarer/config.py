@@ -136,6 +136,13 @@ PROFILED_FIELDS = (
     "resolution_time_hours", "fare_type", "feedback_text_category",
 )
 CONDITIONAL_FIELDS = ("complaint_category", "resolution_time_hours")
+# Names of a result that a metric or rule defined by the user cannot take.
+RESERVED_METRICS = ("dimension_value", "period", "metric", "value")
+RESERVED_RULES = (
+    "null_customer_id", "missing_region", "missing_satisfaction", "invalid_satisfaction",
+    "negative_duration", "implausible_duration", "invalid_delay", "invalid_transport_mode",
+    "duplicate_journey_id", "total_rows", "latest_date",
+)
 QUALITY_CATEGORY_WEIGHTS = {"Completeness": 0.40, "Validity": 0.40, "Uniqueness": 0.20}
 
 # Anomaly scan.

@@ -8,7 +8,7 @@ definition serves a plain ``agg``, a two-period single-scan aggregate and any
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable, Iterable
+from typing import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,22 +16,23 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 
-def _gate(cond: Column | None, value: Column) -> Column:
+def gated(cond: Column | None, value: Column) -> Column:
     return value if cond is None else F.when(cond, value)
 
 
-def rate(flag: str, cond: Column | None = None) -> Column:
+def rate(flag: str | Column, cond: Column | None = None) -> Column:
     """100 * count(flag is true) / count(flag is not null), NULL when no flags."""
-    col = F.col(flag)
-    hits = F.count(_gate(cond, F.when(col, F.lit(1))))
-    known = F.count(_gate(cond, col))
+    col = F.col(flag) if isinstance(flag, str) else flag
+    hits = F.count(gated(cond, F.when(col, F.lit(1))))
+    known = F.count(gated(cond, col))
     return F.lit(100.0) * hits / F.nullif(known, F.lit(0))
 
 
-def share(flag: str, cond: Column | None = None) -> Column:
+def share(flag: str | Column, cond: Column | None = None) -> Column:
     """100 * count(flag is true) / count(*) (NULL flags count as 'no')."""
-    hits = F.count(_gate(cond, F.when(F.col(flag), F.lit(1))))
-    return F.lit(100.0) * hits / F.nullif(F.count(_gate(cond, F.lit(1))), F.lit(0))
+    col = F.col(flag) if isinstance(flag, str) else flag
+    hits = F.count(gated(cond, F.when(col, F.lit(1))))
+    return F.lit(100.0) * hits / F.nullif(F.count(gated(cond, F.lit(1))), F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -41,10 +42,12 @@ class MetricSpec:
     unit: str
     builder: Callable[[Column | None], Column]
     compare_as_points: bool = False
+    lower: bool | None = None      # None: as the fixed list says
+    floor: float = 0.0             # least move that an anomaly scan reports
 
     @property
     def lower_is_better(self) -> bool:
-        return self.key in C.LOWER_IS_BETTER
+        return self.key in C.LOWER_IS_BETTER if self.lower is None else self.lower
 
     @property
     def parts(self) -> tuple[str, str] | None:
@@ -61,15 +64,15 @@ def _additive(kind: str, column: str, build: Callable) -> Callable:
     return build
 
 
-_count = _additive("count", "", lambda cond: F.count(_gate(cond, F.lit(1))))
+_count = _additive("count", "", lambda cond: F.count(gated(cond, F.lit(1))))
 
 
 def _distinct(column):
-    return lambda cond: F.count_distinct(_gate(cond, F.col(column)))
+    return lambda cond: F.count_distinct(gated(cond, F.col(column)))
 
 
 def _avg(column):
-    return _additive("avg", column, lambda cond: F.avg(_gate(cond, F.col(column))))
+    return _additive("avg", column, lambda cond: F.avg(gated(cond, F.col(column))))
 
 
 def _rate(column):
@@ -79,7 +82,7 @@ def _rate(column):
 def _p90(cond):
     # Within one aggregate with the other metrics: a count per different delay of 0 to 180 minutes.
     # ``selection.exact_quantiles`` is the form for columns with many different values.
-    return F.percentile(_gate(cond, F.col("delay_minutes")), F.lit(0.9))
+    return F.percentile(gated(cond, F.col("delay_minutes")), F.lit(0.9))
 
 
 METRICS: dict[str, MetricSpec] = {m.key: m for m in (
@@ -101,17 +104,24 @@ METRICS: dict[str, MetricSpec] = {m.key: m for m in (
 )}
 
 
-def check_keys(keys: Iterable[str]) -> tuple[str, ...]:
+Registry = Mapping[str, MetricSpec]
+
+
+def check_keys(keys: Iterable[str], registry: Registry = METRICS) -> tuple[str, ...]:
     keys = tuple(keys)
-    unknown = [k for k in keys if k not in METRICS]
+    unknown = [k for k in keys if k not in registry]
     if unknown:
         raise ValueError(f"Unknown metric(s): {unknown}")
     return keys
 
 
 def metric_columns(keys: Iterable[str], cond: Column | None = None,
-                   suffix: str = "") -> list[Column]:
-    return [METRICS[k].build(cond).alias(f"{k}{suffix}") for k in check_keys(keys)]
+                   suffix: str = "", registry: Registry = METRICS) -> list[Column]:
+    return [registry[k].build(cond).alias(f"{k}{suffix}") for k in check_keys(keys, registry)]
+
+
+def lower_is_better(metric: Column, registry: Registry = METRICS) -> Column:
+    return metric.isin(*sorted(k for k, spec in registry.items() if spec.lower_is_better))
 
 
 def np_round(col: Column | str, digits: int) -> Column:

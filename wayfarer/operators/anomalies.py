@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
-from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
+from ..functions.metrics import METRICS, Registry, check_keys, lower_is_better, metric_columns, np_round
 from ..plans.filters import Selection
 from ..plans.rollup import Rollup, merged
 from .kpis import check_dimension
@@ -26,14 +26,17 @@ METHODS = ("rolling_z", "iqr")
 DIGITS = 6   # moving-frame sums differ in the last bits between engines
 
 
-def needed_metrics(metrics: Iterable[str] | None) -> tuple[dict[str, float], tuple[str, ...]]:
-    scan = {m: C.DEFAULT_SCAN_METRICS.get(m, 0.0) for m in (metrics or C.DEFAULT_SCAN_METRICS)}
-    check_keys(scan)
+def needed_metrics(metrics: Iterable[str] | None,
+                   registry: Registry = METRICS) -> tuple[dict[str, float], tuple[str, ...]]:
+    """(scanned metric -> least move, all metrics the scan needs)."""
+    names = check_keys(metrics or C.DEFAULT_SCAN_METRICS, registry)
+    scan = {m: C.DEFAULT_SCAN_METRICS.get(m, registry[m].floor) for m in names}
     return scan, tuple(dict.fromkeys([*scan, *C.COMPANION_METRICS]))
 
 
 def daily_frame(analytics: DataFrame, filters: Selection, dimension: str | None,
-                lookback_days: int, metrics: Sequence[str], rollup: Rollup | None = None) -> DataFrame:
+                lookback_days: int, metrics: Sequence[str], rollup: Rollup | None = None,
+                registry: Registry = METRICS) -> DataFrame:
     """One row per (day, scope) with every needed metric, from
     ``start - lookback_days`` to the end of the selection."""
     if dimension is not None:
@@ -48,7 +51,7 @@ def daily_frame(analytics: DataFrame, filters: Selection, dimension: str | None,
     scope = F.lit("Network") if dimension is None else F.col(dimension)
     return (analytics.where(extended.column())
             .groupBy(F.col("date").alias("period"), scope.alias("dimension_value"))
-            .agg(*metric_columns(metrics))
+            .agg(*metric_columns(metrics, registry=registry))
             .where(F.col("dimension_value").isNotNull()))
 
 
@@ -109,10 +112,11 @@ def scan(analytics: DataFrame, filters: Selection, dimension: str | None = None,
          metrics: Iterable[str] | None = None, method: str = "rolling_z",
          window: int = C.ANOMALY_ROLLING_WINDOW,
          threshold: float = C.ANOMALY_Z_THRESHOLD,
-         rollup: Rollup | None = None) -> tuple[DataFrame, dict[str, float]]:
+         rollup: Rollup | None = None,
+         registry: Registry = METRICS) -> tuple[DataFrame, dict[str, float]]:
     """Daily frame -> long series -> baselines (all needed metrics)."""
-    floors, needed = needed_metrics(metrics)
-    daily = daily_frame(analytics, filters, dimension, window + 7, needed, rollup)
+    floors, needed = needed_metrics(metrics, registry)
+    daily = daily_frame(analytics, filters, dimension, window + 7, needed, rollup, registry)
     return baselines(long_series(daily, needed), method, window, threshold), floors
 
 
@@ -120,17 +124,18 @@ def detect(analytics: DataFrame, filters: Selection, dimension: str | None = Non
            metrics: Iterable[str] | None = None, method: str = "rolling_z",
            window: int = C.ANOMALY_ROLLING_WINDOW, threshold: float = C.ANOMALY_Z_THRESHOLD,
            min_journeys_per_day: int = 25, adverse_only: bool = False,
-           limit: int | None = None, rollup: Rollup | None = None) -> DataFrame:
+           limit: int | None = None, rollup: Rollup | None = None,
+           registry: Registry = METRICS) -> DataFrame:
     """N3 + N4 + N6 + N9: flagged days, most extreme first."""
-    base, floors = scan(analytics, filters, dimension, metrics, method, window, threshold, rollup)
+    base, floors = scan(analytics, filters, dimension, metrics, method, window, threshold, rollup, registry)
     return gate(base, floors, filters, dimension, method, threshold, min_journeys_per_day,
-                adverse_only, limit)
+                adverse_only, limit, registry)
 
 
 def gate(base: DataFrame, floors: dict[str, float], filters: Selection,
          dimension: str | None, method: str, threshold: float,
          min_journeys_per_day: int = 25, adverse_only: bool = False,
-         limit: int | None = None) -> DataFrame:
+         limit: int | None = None, registry: Registry = METRICS) -> DataFrame:
     floor = F.create_map(*[x for k, f in floors.items() for x in (F.lit(k), F.lit(float(f)))])
     v, e, z = F.col("value"), F.col("expected"), F.col("z_score")
     flagged = ((v < F.col("lower_bound")) | (v > F.col("upper_bound"))) if method == "iqr" \
@@ -142,11 +147,10 @@ def gate(base: DataFrame, floors: dict[str, float], filters: Selection,
            .where(F.col("journeys") >= min_journeys_per_day)
            .where(F.abs(v - e) >= floor[F.col("metric")])
            .where(flagged))
-    lower_better = F.col("metric").isin(*sorted(C.LOWER_IS_BETTER))
-    adverse = (v > e) == lower_better
+    adverse = (v > e) == lower_is_better(F.col("metric"), registry)
     if adverse_only:
         det = det.where(adverse)
-    labels = F.create_map(*[x for k in METRICS for x in (F.lit(k), F.lit(METRICS[k].label))])
+    labels = F.create_map(*[x for k in floors for x in (F.lit(k), F.lit(registry[k].label))])
     scope = _scope_label(dimension)
     magnitude = F.when(e != 0, (v - e) / F.abs(e) * 100.0)
     absz = F.abs(z)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
-from ..functions.metrics import METRICS, check_keys, metric_columns, np_round
+from ..functions.metrics import METRICS, Registry, check_keys, lower_is_better, metric_columns, np_round
 from ..plans.filters import Period, Selection, period_filters
 from ..plans.rollup import Rollup, merged
 
@@ -30,10 +30,11 @@ def check_dimension(dimension: str) -> str:
 
 
 def compute_metrics(analytics: DataFrame, filters: Selection | None,
-                    keys: Iterable[str] | None = None) -> DataFrame:
-    """A1: one row of metrics over the filtered population (empty -> counts 0)."""
-    keys = check_keys(keys or METRICS.keys())
-    return _where(analytics, filters).agg(*metric_columns(keys))
+                    keys: Iterable[str] | None = None, registry: Registry = METRICS) -> DataFrame:
+    """A1: one row of metrics over the filtered population (empty -> counts 0); by default all of
+    ``registry`` (``definitions.read_metrics`` for metrics of the user's own)."""
+    keys = check_keys(keys or registry.keys(), registry)
+    return _where(analytics, filters).agg(*metric_columns(keys, registry=registry))
 
 
 def percent_change(current: Column, previous: Column) -> Column:
@@ -41,8 +42,8 @@ def percent_change(current: Column, previous: Column) -> Column:
         .otherwise((current - previous) / F.abs(previous) * 100.0).cast("double")
 
 
-def direction(metric_key: Column, change: Column) -> Column:
-    lower = metric_key.isin(*sorted(C.LOWER_IS_BETTER))
+def direction(metric_key: Column, change: Column, registry: Registry = METRICS) -> Column:
+    lower = lower_is_better(metric_key, registry)
     improving = F.when(lower, change < 0).otherwise(change > 0)
     return (F.when(change.isNull() | (F.abs(change) < 1e-9), "flat")
             .when(improving, "good").otherwise("bad"))
@@ -74,20 +75,21 @@ def _both_periods(rollup: Rollup, filters: Selection, keys: tuple[str, ...]) ->
 
 
 def compare_periods(analytics: DataFrame, filters: Selection,
-                    keys: Iterable[str] | None = None, rollup: Rollup | None = None) -> DataFrame:
+                    keys: Iterable[str] | None = None, rollup: Rollup | None = None,
+                    registry: Registry = METRICS) -> DataFrame:
     """A2: current vs previous equal-length period, one row per metric; from the rollup if one
     is given that answers the question."""
-    keys = check_keys(keys or C.HEADLINE_KPIS)
+    keys = check_keys(keys or C.HEADLINE_KPIS, registry)
     scan, current, previous = period_filters(filters)
     if rollup and rollup.answers(filters, keys, customers=True):
         wide = _both_periods(rollup, filters, keys)
     else:
-        wide = analytics.where(scan).agg(*metric_columns(keys, current, "__c"),
-                                         *metric_columns(keys, previous, "__p"))
+        wide = analytics.where(scan).agg(*metric_columns(keys, current, "__c", registry),
+                                         *metric_columns(keys, previous, "__p", registry))
     long = wide.select(_stack_pairs(keys, {"current": ("__c",), "previous": ("__p",)}))
     change = F.col("current") - F.col("previous")
-    meta = F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(METRICS[k].label))])
-    units = F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(METRICS[k].unit))])
+    meta = F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(registry[k].label))])
+    units = F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(registry[k].unit))])
     return long.select(
         "metric",
         "position",
@@ -96,7 +98,7 @@ def compare_periods(analytics: DataFrame, filters: Selection,
         "current", "previous",
         change.alias("absolute_change"),
         percent_change(F.col("current"), F.col("previous")).alias("percent_change"),
-        direction(F.col("metric"), change).alias("direction"),
+        direction(F.col("metric"), change, registry).alias("direction"),
     )
 
 
@@ -133,17 +135,18 @@ def population_summary(analytics: DataFrame, filters: Selection | None) -> DataF
 
 def metrics_by_dimension(analytics: DataFrame, filters: Selection | None, dimension: str,
                          keys: Iterable[str] | None = None, min_journeys: int = 1,
-                         limit: int | None = None, rollup: Rollup | None = None) -> DataFrame:
+                         limit: int | None = None, rollup: Rollup | None = None,
+                         registry: Registry = METRICS) -> DataFrame:
     """A5: metric set per dimension value; HAVING n >= min; NULL group dropped
     after ordering; optional top ``limit`` (by journeys, then value)."""
     check_dimension(dimension)
-    keys = check_keys(keys or C.BREAKDOWN_METRICS)
+    keys = check_keys(keys or C.BREAKDOWN_METRICS, registry)
     if rollup and rollup.answers(filters, keys, dimension):
         groups = rollup.slice(dimension, filters).groupBy(F.col("value").alias("dimension_value"))
         grouped = groups.agg(*(merged(k).alias(k) for k in keys), F.sum("journeys").alias("_n"))
     else:
         groups = _where(analytics, filters).groupBy(F.col(dimension).alias("dimension_value"))
-        grouped = groups.agg(*metric_columns(keys), F.count(F.lit(1)).alias("_n"))
+        grouped = groups.agg(*metric_columns(keys, registry=registry), F.count(F.lit(1)).alias("_n"))
     grouped = grouped.where(F.col("_n") >= min_journeys).drop("_n")
     if "total_journeys" in keys:
         ordering = [F.col("total_journeys").desc(), F.col("dimension_value").asc_nulls_last()]

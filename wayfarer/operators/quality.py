@@ -9,18 +9,21 @@ result is a single wide row that is reshaped with ``stack``.
 from __future__ import annotations
 
 import datetime as dt
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.definitions import Rule
 from ..functions.metrics import np_round
 from ..functions.selection import exact_quantiles
 from ..plans.filters import Selection
 
 
-def check_definitions() -> list[tuple[str, str, str, Column | None]]:
-    """(key, label, category, failing-row predicate); duplicates need a distinct count."""
+def check_definitions(rules: Sequence[Rule] = ()) -> list[tuple[str, str, str, Column | None]]:
+    """(key, label, category, failing-row predicate); duplicates need a distinct count. ``rules``
+    (``definitions.read_rules``) follow the built-in checks."""
     sat = F.col("customer_satisfaction")
     dur = F.col("journey_duration_minutes")
     delay = F.col("delay_minutes")
@@ -41,6 +44,7 @@ def check_definitions() -> list[tuple[str, str, str, Column | None]]:
         ("invalid_transport_mode", "Unrecognised transport mode", "Validity",
          mode.isNull() | ~mode.isin(*C.TRANSPORT_MODES)),
         ("duplicate_journey_id", "Duplicate journey ID", "Uniqueness", None),
+        *((r.key, r.label, r.category, r.fails) for r in rules),
     ]
 
 
@@ -48,25 +52,25 @@ def _population(raw: DataFrame, filters: Selection | None) -> DataFrame:
     return raw if filters is None else raw.where(filters.column())
 
 
-def profile(raw: DataFrame, filters: Selection | None) -> DataFrame:
+def profile(raw: DataFrame, filters: Selection | None, rules: Sequence[Rule] = ()) -> DataFrame:
     """One wide row: total, latest date, failing rows per check, present values
     per profiled field."""
     aggs = [F.count(F.lit(1)).alias("total_rows"), F.max("date").alias("latest_date"),
             (F.count(F.lit(1)) - F.count_distinct("journey_id")).alias("duplicate_journey_id")]
     aggs += [F.count(F.when(pred, 1)).alias(key)
-             for key, _, _, pred in check_definitions() if pred is not None]
+             for key, _, _, pred in check_definitions(rules) if pred is not None]
     aggs += [F.count(c).alias(f"present_{c}") for c in C.PROFILED_FIELDS]
     return _population(raw, filters).agg(*aggs)
 
 
-def checks(raw: DataFrame, filters: Selection | None) -> DataFrame:
+def checks(raw: DataFrame, filters: Selection | None, rules: Sequence[Rule] = ()) -> DataFrame:
     """Q1-Q3: one row per rule - failing rows, failure rate %, passed, severity."""
-    defs = check_definitions()
-    stack = ", ".join(f"'{k}', '{label}', '{cat}', {i}, CAST({k} AS BIGINT)"
-                      for i, (k, label, cat, _) in enumerate(defs))
-    long = profile(raw, filters).select(
-        "total_rows",
-        F.expr(f"stack({len(defs)}, {stack}) AS (check_key, label, category, position, failed_rows)"))
+    defs = check_definitions(rules)
+    cells = [x for i, (k, label, cat, _) in enumerate(defs)
+             for x in (F.lit(k), F.lit(label), F.lit(cat), F.lit(i), F.col(k).cast("bigint"))]
+    long = profile(raw, filters, rules).select(
+        "total_rows", F.stack(F.lit(len(defs)), *cells)
+        .alias("check_key", "label", "category", "position", "failed_rows"))
     rate = F.when(F.col("total_rows") == 0, F.lit(0.0)) \
         .otherwise(F.col("failed_rows") / F.col("total_rows") * 100.0)
     return long.select(
@@ -105,12 +109,12 @@ def _sum(cols: list[Column]) -> Column:
     return total
 
 
-def score_columns() -> list[Column]:
+def score_columns(rules: Sequence[Rule] = ()) -> list[Column]:
     """Q5 over the wide profile row: family scores (100 - summed failure rates,
     floored at 0), weighted score (1 dp), rating, mean unconditional completeness."""
     fams = {}
     for cat in C.QUALITY_CATEGORY_WEIGHTS:
-        members = [_rate(k) for k, _, c, _ in check_definitions() if c == cat]
+        members = [_rate(k) for k, _, c, _ in check_definitions(rules) if c == cat]
         fams[cat] = F.greatest(F.lit(0.0), F.lit(100.0) - _sum(members)) if members \
             else F.lit(100.0)
     weighted = _sum([fams[cat] * w for cat, w in C.QUALITY_CATEGORY_WEIGHTS.items()])
@@ -130,19 +134,19 @@ def score_columns() -> list[Column]:
     ]
 
 
-def score(raw: DataFrame, filters: Selection | None) -> DataFrame:
-    return profile(raw, filters).select(*score_columns())
+def score(raw: DataFrame, filters: Selection | None, rules: Sequence[Rule] = ()) -> DataFrame:
+    return profile(raw, filters, rules).select(*score_columns(rules))
 
 
 def summary(raw: DataFrame, analytics: DataFrame, filters: Selection | None,
-            as_of: dt.date = C.AS_OF) -> DataFrame:
+            as_of: dt.date = C.AS_OF, rules: Sequence[Rule] = ()) -> DataFrame:
     """Q6 (+ Q5): raw / analysable / excluded rows, latest date, freshness, score."""
-    prof = profile(raw, filters)
+    prof = profile(raw, filters, rules)
     usable = (analytics if filters is None else analytics.where(filters.column())) \
         .agg(F.count(F.lit(1)).alias("analysable_rows"))
     # analysable_rows is a single value: attach it as a scalar subquery.
     analysable = usable.scalar()
-    failing = _sum([F.when(F.col(k) > 0, 1).otherwise(0) for k, _, _, _ in check_definitions()])
+    failing = _sum([F.when(F.col(k) > 0, 1).otherwise(0) for k, _, _, _ in check_definitions(rules)])
     return prof.select(
         "total_rows",
         analysable.alias("analysable_rows"),
@@ -150,7 +154,7 @@ def summary(raw: DataFrame, analytics: DataFrame, filters: Selection | None,
         "latest_date",
         F.datediff(F.lit(as_of), F.col("latest_date")).cast("bigint").alias("freshness_days"),
         failing.alias("failing_checks"),
-        *score_columns())
+        *score_columns(rules))
 
 
 def value_outliers(raw: DataFrame, filters: Selection | None) -> DataFrame:
@@ -173,9 +177,9 @@ def value_outliers(raw: DataFrame, filters: Selection | None) -> DataFrame:
         .alias("duration_outliers"))
 
 
-def worst_check(raw: DataFrame, filters: Selection | None) -> DataFrame:
+def worst_check(raw: DataFrame, filters: Selection | None, rules: Sequence[Rule] = ()) -> DataFrame:
     """Q8: failing checks count and the worst one (highest rate; first in rule order)."""
-    c = checks(raw, filters).where(~F.col("passed"))
+    c = checks(raw, filters, rules).where(~F.col("passed"))
     order = F.struct(F.col("failure_rate"), -F.col("position"))
     return c.agg(
         F.count(F.lit(1)).alias("failing_checks"),

@@ -102,7 +102,7 @@ class Rollup:
                 customers: bool = False) -> bool:
         """Whether metrics ``keys`` of ``selection``, per value of ``by``, can be read from here."""
         wanted = set(selection.wanted) if selection else set()
-        plain = {k for k in keys if METRICS[k].parts or (customers and k == "active_customers")}
+        plain = {k for k in keys if k in METRICS and (METRICS[k].parts or customers and k == "active_customers")}
         return wanted <= ({by} if by else set()) and plain == set(keys) and (by is None or by in SLICES)
 
     def slice(self, by: str | None, selection: Selection | None, period: Period | None = None) -> DataFrame:
