@@ -654,6 +654,11 @@ for _name, _dim, _method in (("anomalies_region_z", "region", "rolling_z"),
     _c, _b = _A.detections_sql(_dim, _method)
     ORACLES[_name] = q(_b, _c)
 
+_c, _b = _A.detections_sql("region", "rolling_z", evidence=True)
+ORACLES["anomaly_evidence_region"] = q(_b, _c)
+_c, _b = _A.detections_sql("transport_mode", "iqr", adverse_only=True, evidence=True)
+ORACLES["anomaly_evidence_mode"] = q(_b, _c)
+
 _c, _b = _A.detections_sql("region", "rolling_z", adverse_only=True, limit=10)
 ORACLES["anomalies_region_adverse"] = q(_b, _c)
 

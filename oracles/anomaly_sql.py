@@ -68,9 +68,17 @@ b1 AS (
 base AS ({derived})"""
 
 
+_CHANGE = "((b.value - b.mean) / abs(b.mean) * 100.0)"
+
+
+def _shown(value: str) -> str:
+    return (f"CASE WHEN b.metric = 'total_journeys' THEN format('{{:,}}', CAST({npround(value, 0)} AS BIGINT)) "
+            f"ELSE printf('%.1f%%', {npround(value, 1)}) END")
+
+
 def detections_sql(dimension: str | None, method: str, adverse_only: bool = False,
                    limit: int | None = None, more: dict | None = None,
-                   scan: tuple[str, ...] = SCAN) -> tuple[str, str]:
+                   scan: tuple[str, ...] = SCAN, evidence: bool = False) -> tuple[str, str]:
     """``more``: further metrics, name -> (aggregate, label, lower is better, floor)."""
     more = more or {}
     least = {**C.DEFAULT_SCAN_METRICS, **{k: m[3] for k, m in more.items()}}
@@ -116,4 +124,22 @@ SELECT metric, CASE metric {labels} END AS metric_label,
               {npround('value', 2)}, strftime(period, '%Y-%m-%d'), {npround('expected', 2)})
            AS statement
 FROM det {order}"""
+    if evidence:
+        body = f"""
+SELECT t.metric, t.metric_label, t.scope, t.period AS date,
+       {npround('t.actual', 3)} AS actual, {npround('t.expected', 3)} AS expected_baseline,
+       {npround('t.lower_bound', 3)} AS expected_from, {npround('t.upper_bound', 3)} AS expected_to,
+       {npround('t.z_score', 2)} AS z_score, t.severity, t.direction, t.adverse, t.journeys, t.method, t.statement,
+       CASE WHEN n.notes IS NULL
+            THEN 'No companion metric moved materially; the deviation is specific to ' || lower(t.metric_label) || '.'
+            ELSE 'On the same day, ' || n.notes || '.' END AS context
+FROM ({body}) t LEFT JOIN (
+  SELECT s.metric, s.dimension_value, s.period, string_agg(
+      c.label || ' was ' || {_shown('b.value')} || ' against a baseline of ' || {_shown('b.mean')}
+      || printf(' (%+.0f%%)', {npround(_CHANGE, 0)}), '; ' ORDER BY c.place) AS notes
+  FROM det s JOIN base b ON b.dimension_value = s.dimension_value AND b.period = s.period
+  JOIN (VALUES ('disruption_rate', 1, 'Disruption Rate'), ('complaint_rate', 2, 'Complaint Rate'),
+               ('total_journeys', 3, 'Total Journeys')) c(name, place, label) ON c.name = b.metric
+  WHERE b.metric <> s.metric AND b.mean <> 0 AND abs({_CHANGE}) >= 25
+  GROUP BY 1, 2, 3) n ON n.metric = t.metric AND n.dimension_value = t.dimension_value AND n.period = t.period"""
     return ctes(dimension, method, keep, columns=columns) + "," + det, body

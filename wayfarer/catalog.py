@@ -568,6 +568,18 @@ def _anomaly_companions(src):
     return anomalies.companions(src.analytics, default_filter(), "region")
 
 
+@register("anomaly_evidence_region")
+def _anomaly_evidence_region(src):
+    """N5 + N9: records of the region anomalies with the context of the day."""
+    return anomalies.evidence(src.analytics, default_filter(), "region", rollup=src.rollup())
+
+
+@register("anomaly_evidence_mode")
+def _anomaly_evidence_mode(src):
+    """The adverse ones over transport modes by quartiles, from the journeys."""
+    return anomalies.evidence(src.analytics, default_filter(), "transport_mode", method="iqr", adverse_only=True)
+
+
 @register("anomaly_summary")
 def _anomaly_summary(src):
     return anomalies.summarise(anomalies.detect(src.analytics, default_filter(), "region", rollup=src.rollup()))

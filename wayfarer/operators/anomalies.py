@@ -172,6 +172,7 @@ def gate(base: DataFrame, floors: dict[str, float], filters: Selection,
             F.when(v > e, "reached").otherwise("fell to"),
             np_round(v, 2), F.date_format("period", "yyyy-MM-dd"), np_round(e, 2),
         ).alias("statement"),
+        *(["context"] if "context" in base.columns else []),
     ).withColumnRenamed("value", "actual")
     ordered = out.orderBy(F.abs(F.col("z_score")).desc(), F.col("period").desc(),
                           F.col("metric"), F.col("scope"))
@@ -212,6 +213,48 @@ def companions(analytics: DataFrame, filters: Selection, dimension: str | None =
                          F.coalesce(noted, F.lit(False)).alias("noted"))
 
 
+def _with_context(base: DataFrame, registry: Registry) -> DataFrame:
+    """Adds ``context``, a sentence on the context metrics of the same scope and day whose value is
+    at least 25 % off its trailing mean. A window over the metrics of a day, no second scan."""
+    day = Window.partitionBy("dimension_value", "period")
+
+    def shown(value: Column, unit: str) -> Column:
+        if unit == "count":
+            return F.format_string("%,d", np_round(value, 0).cast("bigint"))
+        return F.format_string("%.1f%%", np_round(value, 1))
+
+    notes = []
+    for name in C.CONTEXT_METRICS:
+        spec = registry[name]
+        same = F.max(F.when(F.col("metric") == name, F.struct(
+            F.lit(1).alias("has"), F.col("value").alias("a"), F.col("trailing_mean").alias("b")))).over(day)
+        change = F.when(same["b"] != 0, (same["a"] - same["b"]) / F.abs(same["b"]) * 100.0)
+        notes.append(F.when((F.col("metric") != name) & (F.abs(change) >= 25), F.concat(
+            F.lit(f"{spec.label} was "), shown(same["a"], spec.unit), F.lit(" against a baseline of "),
+            shown(same["b"], spec.unit), F.format_string(" (%+.0f%%)", np_round(change, 0)))))
+    noted = F.concat_ws("; ", *notes)
+    labels = F.create_map(*[x for k, s in registry.items() for x in (F.lit(k), F.lit(s.label.lower()))])
+    return base.withColumn("context", F.when(noted != "", F.concat(F.lit("On the same day, "), noted, F.lit(".")))
+                           .otherwise(F.concat(F.lit("No companion metric moved materially; the deviation is specific to "),
+                                               labels[F.col("metric")], F.lit("."))))
+
+
+def evidence(analytics: DataFrame, filters: Selection, dimension: str | None = None,
+             metrics: Iterable[str] | None = None, method: str = "rolling_z", adverse_only: bool = False,
+             limit: int | None = None, rollup: Rollup | None = None, registry: Registry = METRICS) -> DataFrame:
+    """N5 + N9: the record of every detection, most extreme first: what was seen, the expected
+    range, severity, statement and the context of the same day."""
+    base, floors = scan(analytics, filters, dimension, metrics, method, rollup=rollup, registry=registry)
+    det = gate(_with_context(base, registry), floors, filters, dimension, method, C.ANOMALY_Z_THRESHOLD,
+               adverse_only=adverse_only, limit=limit, registry=registry)
+    return det.select(
+        "metric", "metric_label", "scope", F.col("period").alias("date"),
+        np_round("actual", 3).alias("actual"), np_round("expected", 3).alias("expected_baseline"),
+        np_round("lower_bound", 3).alias("expected_from"), np_round("upper_bound", 3).alias("expected_to"),
+        np_round("z_score", 2).alias("z_score"), "severity", "direction", "adverse", "journeys", "method",
+        "statement", "context")
+
+
 def summarise(detections: DataFrame, top_n: int = 5) -> DataFrame:
     """Totals, adverse count, high-severity count, adverse scopes, date range,
     and the ``top_n`` most severe adverse statements (a top-k, then joined)."""
