@@ -148,3 +148,48 @@ def test_dimension_joins_agree_when_shuffled(spark, source):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     keyed = source.journeys.where("customer_id is not null").count()
     assert small[0] == source.journeys.count() and small[2] == keyed < small[0]
+
+
+def _tables(spark, path):
+    """Tables of the testdata's schema whose rows are repeated, lack keys or dates, and repeat an id in two months."""
+    day = lambda m, d: dt.datetime(1995, m, d)
+    frames = {
+        "region": ([(0, "ASIA"), (1, "EUROPE")], "r_regionkey int, r_name string"),
+        "nation": ([(0, 0), (1, 1)], "n_nationkey int, n_regionkey int"),
+        "customer": ([(1, 0, "BUILDING"), (2, 1, "MACHINERY"), (2, 1, "MACHINERY"), (None, 0, "X")],
+                     "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "orders": ([(i, 1 + i % 2, "2-HIGH") for i in range(1, 40)] + [(40, None, "5-LOW"), (41, 9, "5-LOW")],
+                   "o_orderkey long, o_custkey long, o_orderpriority string"),
+        "lineitem": ([(i, 3 * i, i, 1, float(i), "R", day(1 + i % 7, 3)) for i in range(1, 42)]
+                     + [(4, 12, 4, 1, 4.0, "R", day(2, 9)), (6, 18, 6, 1, 6.0, "N", None), (10, 31, 10, 2, 6.0, "N", None),
+                        (8, 24, 8, 1, None, "N", day(3, 9)), (None, 1, 1, 1, 1.0, "R", day(3, 3))],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                     "l_returnflag string, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in frames.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+
+
+def test_stored_months_hold_the_rows_of_the_feed(spark, tmp_path):
+    from wayfarer.plans.model import JourneySource
+    _tables(spark, tmp_path)
+    got = JourneySource.from_testdata(spark, str(tmp_path))
+    want = JourneySource.from_testdata(spark, str(tmp_path), materialize=False)
+    for name in ("journeys", "raw", "analytics"):
+        mine, other = getattr(got, name), getattr(want, name)
+        assert mine.columns == other.columns
+        assert sorted(mine.collect(), key=str) == sorted(other.collect(), key=str), name
+    assert want.analytics.where("month_start is null").count() and want.analytics.count() < want.journeys.count()
+
+
+def test_rows_are_stored_without_shuffles_of_all_columns(spark, smoke_source):
+    from wayfarer.plans.model import repeated_keys, single_rows, small_side
+    from wayfarer.sources.testdata import journey_feed
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    feed = plan(journey_feed(spark, smoke_source.sf_dir, by_month=True))
+    head, tail = feed.split("Sort [month_start", 1)
+    assert "Exchange" not in head and "journey_id" in head and "journey_id" not in tail
+    stored = spark.read.parquet(f"{smoke_source.base}/journeys")
+    repeated = small_side(repeated_keys(stored).checkpoint())
+    rows = plan(single_rows(stored, repeated, "2026-05-01"))
+    assert "BroadcastExchange" in rows and "hashpartitioning" not in rows and "Sort" not in rows
