@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wayfarer.llm import common as C
@@ -60,3 +61,13 @@ def test_edge_cases(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(docs, key=str)
     assert {r.text_crc32 for r in S.digest(got).where("text_crc32 = 0").collect()} == {0}
     assert S.shuffle(df.limit(0)).count() == 0
+
+
+def test_a_bucket_leaves_in_pieces(monkeypatch):
+    monkeypatch.setattr(S, "PIECE_BYTES", 2_000)
+    rows = pa.table({"row": [{"doc_id": i, "text": "x" * 100} for i in range(300)], "id": range(300),
+                     "key": [0] * 300, "shard": [2] * 300, "bucket": [0] * 300, "first": [50] * 300})
+    out = list(S._shuffle(iter(rows.to_batches(max_chunksize=70)), 0))
+    assert len(out) > 10 and max(b.nbytes for b in out) < 4_000
+    assert [s for b in out for s in b.column("slot").to_pylist()] == list(range(50, 350))
+    assert sorted(r["doc_id"] for b in out for r in b.column("row").to_pylist()) == list(range(300))

@@ -11,14 +11,18 @@ takes records only into itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfarer.llm import common as C
 
 BUCKET_BYTES = 16 << 20
+PIECE_BYTES = 1 << 20   # records that leave a task's Python at once
 
 
 def shard_of(doc_id: Column, shards: int, seed: int = 0) -> Column:
@@ -28,16 +32,26 @@ def shard_of(doc_id: Column, shards: int, seed: int = 0) -> Column:
     return best.shard
 
 
-def _shuffle(table: pa.Table, seed: int) -> pa.Table:
-    """Fisher-Yates over one bucket, from a fixed order."""
-    table = table.sort_by([("id", "ascending"), ("key", "ascending")])
-    rng = np.random.default_rng([seed, table.column("shard")[0].as_py(), table.column("bucket")[0].as_py()])
-    at = np.arange(len(table))
+def _shuffle(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """Fisher-Yates over one bucket, from a fixed order. Only places are sorted and shuffled; records
+    are taken and handed on in pieces of some PIECE_BYTES, so the bucket is held once."""
+    table = pa.Table.from_batches(batches)
+    shard, bucket, first = (table.column(c)[0].as_py() for c in ("shard", "bucket", "first"))
+    order = pc.sort_indices(table.select(["id", "key"]), sort_keys=[("id", "ascending"), ("key", "ascending")])
+    rows = table.select(["row"]).combine_chunks()
+    del table
+    rng = np.random.default_rng([seed, shard, bucket])
+    at = np.arange(len(rows))
     for i, j in zip(range(len(at) - 1, 0, -1), rng.integers(0, np.arange(len(at), 1, -1)), strict=True):
         at[i], at[j] = at[j], at[i]
-    table = table.take(pa.array(at))
-    slot = table.column("first")[0].as_py() + np.arange(len(table))
-    return table.append_column("slot", pa.array(slot)).select(["row", "shard", "slot"])
+    order = order.take(pa.array(at))
+    step = max(1, len(rows) * PIECE_BYTES // max(1, rows.nbytes))
+    for lo in range(0, len(rows), step):
+        piece = rows.take(order.slice(lo, step))
+        piece = piece.append_column("shard", pa.array(np.full(len(piece), shard, np.int32)))
+        yield from piece.append_column("slot", pa.array(first + lo + np.arange(len(piece)))).combine_chunks().to_batches()
+    del rows
+    pa.default_memory_pool().release_unused()
 
 
 def shuffle(docs: DataFrame, *, shards: int = 16, doc_id: str = "doc_id", text: str = "text",
@@ -61,7 +75,11 @@ def shuffle(docs: DataFrame, *, shards: int = 16, doc_id: str = "doc_id", text:
     # One small row per bucket of memory size; Spark decides how to join them by their bytes.
     placed = keyed.join(first, ["shard", "bucket"])
     schema = rows.limit(0).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
-    shuffled = placed.groupBy("shard", "bucket").applyInArrow(lambda t: _shuffle(t, seed), schema)
+
+    def _shuffled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _shuffle(batches, seed)
+
+    shuffled = placed.groupBy("shard", "bucket").applyInArrow(_shuffled, schema)
     return shuffled.select(*(F.col("row")[c].alias(c) for c in docs.columns), "shard", "slot")
 
 
