@@ -112,3 +112,16 @@ def test_open_reads_only_asked_months(spark, tmp_path):
     plan = may._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "month_start" in plan.split("PartitionFilters", 1)[1]
     assert src.rollup().cells.count() > 0
+
+
+def test_only_ids_with_several_or_lost_rows_are_chosen_anew(spark, store):
+    store, folder = store
+    put(folder, "a.csv", [row("J1", "2026-05-02"), row("J2", "2026-05-03"), row("J3", "2026-05-04", -1)])
+    store.refresh()
+    assert store._table("ids", "_h long", store.current()[1]).isEmpty()
+    put(folder, "b.csv", [row("J1", "2026-06-02"), row("J3", "2026-06-03"), row("J4", "2026-06-04")])
+    store.refresh()
+    chosen = store._table("ids", "_h long", store.current()[1]).collect()
+    want = spark.createDataFrame([("J1",)], "i string").selectExpr("xxhash64(i) as _h").collect()
+    assert chosen == want
+    assert {r.journey_id for r in store.source().analytics.collect()} == {"J1", "J2", "J3", "J4"}
