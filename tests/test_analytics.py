@@ -279,6 +279,33 @@ def test_customer_features_match_pandas(source):
             assert got.avg_satisfaction == want["avg_satisfaction"]
 
 
+@pytest.mark.parametrize("many", [100_000, 5, 0])
+def test_customer_features_aggregate_journeys_where_they_meet(spark, monkeypatch, many):
+    """Sets and counts of a customer whose journeys are spread over tasks are wider than the journeys:
+    no row is aggregated before it moves but those of customers of very many. The features are the
+    same whether no customer (100,000), one (5) or every one (0) has that many."""
+    import re
+    from tools.plans import plan_text
+    monkeypatch.setattr(segmentation, "MANY_JOURNEYS", many)
+    day = dt.date(2026, 1, 5)
+    rows = []
+    for cid, n in (("A", 12), ("B", 4), ("C", 2), (None, 9)):
+        for i in range(n):
+            rows.append((cid, day + dt.timedelta(i // 2), ("Bus", "Ferry", "Bus")[i % 3], None if i == 1 else "ASIA",
+                         float(i), None if i % 2 else 4.0, i % 4 == 0, None, i < 1, True, None if i == 0 else i > 2,
+                         "S2" if i else "S1", "65+", "Web" if i % 4 else None))
+    journeys = spark.createDataFrame(rows, (
+        "customer_id string, date date, transport_mode string, region string, delay_minutes double, "
+        "customer_satisfaction double, complaint_flag boolean, is_peak boolean, digital_interaction boolean, "
+        "accessibility_service_used boolean, on_time boolean, customer_segment string, age_group string, "
+        "channel string")).repartition(6)
+    features = segmentation.customer_features(journeys, None)
+    assert re.search(r"ObjectHashAggregate \(\d+\)\n\W*ObjectHashAggregate \(\d+\)\n\W*Exchange", plan_text(features))
+    assert {tuple(r) for r in features.collect()} == {
+        ("A", 12, 6, 2, 1, 5.5, 4.0, 25.0, 0.0, 8.3, 100.0, 81.8, day, day + dt.timedelta(5), "S1", "65+", "Web", "Bus", 12.0),
+        ("B", 4, 2, 2, 1, 1.5, 4.0, 25.0, 0.0, 25.0, 100.0, 33.3, day, day + dt.timedelta(1), "S1", "65+", "Web", "Bus", 4.0)}
+
+
 def test_kmeans_assignment_is_a_lloyd_fixed_point(smoke_source):
     """Brute force on the small fixture: every customer sits in the cluster whose
     centroid (mean of its members' standardised vectors) is nearest."""
